@@ -1,0 +1,48 @@
+"""Casts that yield NULL instead of failing, whatever the session's ANSI mode.
+
+Spark raises on a bad cast by default. Contracts expect a bad value to become
+NULL so the quality rules can see it; ``on_error="fail"`` keeps Spark's error.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+
+def ref(name: str) -> Column:
+    """Column by exact name, even if the name holds dots or backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def parse_date(value: Column, fmt: str | None = None) -> Column:
+    """Text to date with a format, or Spark's ISO parsing without one."""
+    return F.try_to_date(value, fmt) if fmt else value.try_cast("date")
+
+
+def cast_value(
+    value: Column,
+    source: DataType,
+    target: DataType,
+    fmt: str | None = None,
+    on_error: str = "null",
+) -> Column:
+    """``value`` as ``target``; ``fmt`` applies to text becoming a date or time."""
+    if source == target:
+        return value
+    strict = on_error == "fail"
+    if fmt and isinstance(source, StringType):
+        if isinstance(target, DateType):
+            return F.to_date(value, fmt) if strict else parse_date(value, fmt)
+        if isinstance(target, (TimestampType, TimestampNTZType)):
+            parse = F.to_timestamp if strict else F.try_to_timestamp
+            parsed = parse(value, fmt if strict else F.lit(fmt))
+            return parsed.cast(target)
+    return value.cast(target) if strict else value.try_cast(target)
