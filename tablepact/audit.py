@@ -11,6 +11,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .functions.frames import rows_frame
+
 EVENT_SCHEMA = (
     "timestamp string, level string, job_nm string, job_id string, "
     "stage string, message string, details map<string,string>"
@@ -23,7 +25,7 @@ class AuditLog:
 
     job: str
     job_id: str
-    events: list[tuple] = field(default_factory=list)
+    events: list[dict] = field(default_factory=list)
 
     @classmethod
     def start(cls, job: str, moment: datetime | None = None) -> AuditLog:
@@ -35,7 +37,17 @@ class AuditLog:
         text = {
             k: v if isinstance(v, str) else json.dumps(v, default=str) for k, v in details.items()
         }
-        self.events.append((stamp, level.upper(), self.job, self.job_id, stage, message, text))
+        self.events.append(
+            {
+                "timestamp": stamp,
+                "level": level.upper(),
+                "job_nm": self.job,
+                "job_id": self.job_id,
+                "stage": stage,
+                "message": message,
+                "details": text,
+            }
+        )
 
     def info(self, stage: str, message: str, **details: object) -> None:
         self.event("info", stage, message, **details)
@@ -47,7 +59,7 @@ class AuditLog:
         self.event("error", stage, message, **details)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.events, EVENT_SCHEMA)
+        return rows_frame(spark, self.events, EVENT_SCHEMA)
 
     def append_to(self, spark: SparkSession, path: str) -> None:
         self.frame(spark).coalesce(1).write.mode("append").parquet(path)

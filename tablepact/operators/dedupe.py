@@ -74,13 +74,3 @@ def latest_per_key(
     window = Window.partitionBy(*[ref(k) for k in keys]).orderBy(*order)
     ranked = df.withColumn(_RANK, F.row_number().over(window))
     return ranked.filter(f"{_RANK} = 1").drop(_RANK)
-
-
-def one_row_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """A merge batch with unique keys; NULL-keyed rows match nothing and all stay.
-
-    Without an order the row is chosen by its content alone.
-    """
-    if order_by:
-        return latest_per_key(df, keys, order_by, null_keys="keep")
-    return latest_per_key(df, keys, keys, null_keys="keep")

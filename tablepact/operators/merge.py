@@ -5,8 +5,9 @@ match nothing; they go around the join, since an outer or anti join would send
 them all to one task. The right side of every existence test is reduced to
 distinct keys first.
 
-Merges make batch keys unique before joining (``one_row_per_key``), so a
-repeated key cannot fan out; pass ``unique=True`` if the batch already is.
+Merges make batch keys unique before joining, so a repeated key cannot fan out:
+the row greatest by ``order_by`` stays, or without an order one chosen by its
+content. Pass ``unique=True`` if the batch is unique already.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ..functions.casts import ref
 from ..functions.sizing import fits_broadcast
-from .dedupe import any_null, one_row_per_key
+from .dedupe import any_null, latest_per_key
 
 START = "effective_start_date"
 END = "effective_end_date"
@@ -57,6 +58,14 @@ def _unkeyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(any_null(keys))
 
 
+def _unique(
+    batch: DataFrame, keys: Sequence[str], order_by: Sequence[str], unique: bool
+) -> DataFrame:
+    """Keyed batch rows, one per key."""
+    keyed = _keyed(batch, keys)
+    return keyed if unique else latest_per_key(keyed, keys, list(order_by) or list(keys))
+
+
 def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _keyed(df, keys).select(*[ref(k) for k in keys]).distinct()
 
@@ -109,8 +118,8 @@ def scd1_merge(
     unique: bool = False,
 ) -> DataFrame:
     """Batch rows replace business rows of the same key; the rest is kept."""
-    incoming = batch if unique else one_row_per_key(batch, keys, order_by)
-    return incoming.unionByName(merge_untouched(batch, business, keys))
+    kept = _unique(batch, keys, order_by, unique).unionByName(_unkeyed(batch, keys))
+    return kept.unionByName(merge_untouched(batch, business, keys))
 
 
 # -------------------------------------------------------------------- SCD2
@@ -177,13 +186,13 @@ def _joined_keys(keys: Sequence[str]) -> list[str]:
 def _lookup(
     df: DataFrame, other: DataFrame, keys: Sequence[str], columns: Sequence[str], how: str
 ) -> DataFrame:
-    """``df`` rows as struct ``old``, the matching ``other`` columns as ``new``.
+    """Keyed ``df`` rows as struct ``old``, matching ``other`` columns as ``new``.
 
     Only the columns the comparison needs cross the join on the right, so Spark
     broadcasts that side whenever its size allows.
     """
-    left = _packed(_keyed(df, keys), keys, "old", df.columns)
-    right = _packed(_keyed(other, keys), keys, "new", [*keys, *columns])
+    left = _packed(df, keys, "old", df.columns)
+    right = _packed(other, keys, "new", [*keys, *columns])
     return left.join(right, _joined_keys(keys), how)
 
 
@@ -202,7 +211,7 @@ def scd2_changed(
     """
     _check(mode)
     existing = current_rows(business) if mode == "strict" else business
-    pairs = _lookup(existing, batch, keys, tracked, "inner")
+    pairs = _lookup(_keyed(existing, keys), _keyed(batch, keys), keys, tracked, "inner")
     return pairs.filter(_differs("old", "new", tracked, mode)).select("old.*")
 
 
@@ -232,13 +241,21 @@ def scd2_new_versions(
     _check(mode)
     if mode == "as_read":
         return open_versions(batch, load_date)
-    # Narrow the business table to the batch's keys first: that is a broadcast
+    opened = _fresh(_keyed(batch, keys), _keyed(current_rows(business), keys), keys, tracked)
+    return open_versions(opened.unionByName(_unkeyed(batch, keys)), load_date)
+
+
+def _fresh(
+    incoming: DataFrame, current: DataFrame, keys: Sequence[str], tracked: Sequence[str]
+) -> DataFrame:
+    """Incoming rows whose key is new, or known with other tracked values."""
+    # Narrow the current rows to the incoming keys first: that is a broadcast
     # semi join for a small batch, and leaves little to join against.
-    known = matched(current_rows(business), batch, keys)
-    pairs = _lookup(batch, known, keys, tracked, "left")
-    fresh = F.col("new").isNull() | _differs("old", "new", tracked, mode)
-    opened = pairs.filter(fresh).select("old.*").unionByName(_unkeyed(batch, keys))
-    return open_versions(opened, load_date)
+    wanted = incoming.select(*[ref(k) for k in keys])
+    known = current.join(wanted, list(keys), "left_semi")
+    pairs = _lookup(incoming, known, keys, tracked, "left")
+    differs = F.col("new").isNull() | _differs("old", "new", tracked, "strict")
+    return pairs.filter(differs).select("old.*")
 
 
 def scd2_carry_forward(business: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -268,26 +285,34 @@ def scd2_apply(
             table shuffled once. ``auto`` looks at the batch's estimated size.
     """
     _check("strict", plan)
-    incoming = batch if unique else one_row_per_key(batch, keys, order_by)
     if plan == "auto":
         plan = "lookup" if fits_broadcast(batch) else "shuffle"
     columns = [c for c in current.columns if c not in HISTORY]
-    incoming = incoming.select(*[ref(c) for c in columns])
     ordered = [*columns, *HISTORY]
+    batch = batch.select(*[ref(c) for c in columns])
     current = current.select(*[ref(c) for c in ordered])
-    if plan == "shuffle":
-        return _apply_by_shuffle(incoming, current, keys, tracked, load_date)
+    incoming, known = _unique(batch, keys, order_by, unique), _keyed(current, keys)
+    step = _apply_by_lookup if plan == "lookup" else _apply_by_shuffle
+    around = _unkeyed(current, keys).unionByName(open_versions(_unkeyed(batch, keys), load_date))
+    return step(incoming, known, keys, tracked, load_date).unionByName(around)
 
+
+def _apply_by_lookup(
+    incoming: DataFrame,
+    current: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    load_date: str | date,
+) -> DataFrame:
     pairs = _lookup(current, incoming, keys, tracked, "left")
     changed = F.col("new").isNotNull() & _differs("old", "new", tracked, "strict")
     settled = pairs.select(
-        *[F.col("old")[c].alias(c) for c in columns],
-        F.col("old")[START].alias(START),
+        *[F.col("old")[c].alias(c) for c in current.columns if c not in (END, CURRENT)],
         F.when(changed, F.lit(_text(load_date))).otherwise(F.col("old")[END]).alias(END),
         (~changed).alias(CURRENT),
     )
-    opened = scd2_new_versions(current, incoming, keys, tracked, load_date)
-    return settled.unionByName(_unkeyed(current, keys)).unionByName(opened.select(*ordered))
+    opened = open_versions(_fresh(incoming, current, keys, tracked), load_date)
+    return settled.unionByName(opened)
 
 
 def _apply_by_shuffle(
@@ -298,9 +323,9 @@ def _apply_by_shuffle(
     load_date: str | date,
 ) -> DataFrame:
     ordered = current.columns
-    opened = open_versions(incoming, load_date).select(*ordered)
-    left = _packed(_keyed(current, keys), keys, "old", ordered)
-    right = _packed(_keyed(opened, keys), keys, "new", ordered)
+    opened = open_versions(incoming, load_date)
+    left = _packed(current, keys, "old", ordered)
+    right = _packed(opened, keys, "new", ordered)
     pairs = left.join(right, _joined_keys(keys), "full")
     old, new = F.col("old"), F.col("new")
     ended = old.withField(END, F.lit(_text(load_date))).withField(CURRENT, F.lit(False))
@@ -310,8 +335,7 @@ def _apply_by_shuffle(
         .when(_differs("old", "new", tracked, "strict"), F.array(ended, new))
         .otherwise(F.array(old))
     )
-    merged = pairs.select(F.inline(versions))
-    return merged.unionByName(_unkeyed(current, keys)).unionByName(_unkeyed(opened, keys))
+    return pairs.select(F.inline(versions))
 
 
 def scd2_merge(
@@ -347,10 +371,11 @@ def scd2_merge(
         )
         return closed_rows(business).select(*applied.columns).unionByName(applied)
 
-    incoming = batch if unique else one_row_per_key(batch, keys, order_by)
     columns = [c for c in business.columns if c not in HISTORY]
+    batch = batch.select(*[ref(c) for c in columns])
+    incoming = _unique(batch, keys, order_by, unique)
     # One pass over the business table settles carry-forward and closing both.
-    pairs = _lookup(business, incoming, keys, tracked, "left")
+    pairs = _lookup(_keyed(business, keys), incoming, keys, tracked, "left")
     hit = F.col("new").isNotNull()
     survives = pairs.filter(~hit | _differs("old", "new", tracked, mode))
     settled = survives.select(
@@ -359,6 +384,5 @@ def scd2_merge(
         F.when(hit, F.lit(_text(load_date))).otherwise(F.col("old")[END]).alias(END),
         F.when(hit, F.lit(False)).otherwise(F.col("old")[CURRENT]).alias(CURRENT),
     )
-    opened = open_versions(incoming.select(*[ref(c) for c in columns]), load_date)
-    carried = _unkeyed(business, keys)
-    return settled.unionByName(carried).unionByName(opened)
+    opened = open_versions(incoming.unionByName(_unkeyed(batch, keys)), load_date)
+    return settled.unionByName(_unkeyed(business, keys)).unionByName(opened)

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from ..contract import Contract
 from ..functions.casts import ref
+from ..functions.frames import rows_frame
 from ..functions.types import decimal_parts, type_text
 from .profile import null_count
 
@@ -259,25 +260,26 @@ def _dataset_document(schema, name, flags, id_columns, update_columns):
 def contract_frame(spark: SparkSession, contract: Contract) -> DataFrame:
     """The normalised contract as a table, one row per field."""
     rows = [
-        (
-            position,
-            f.source,
-            f.target,
-            f.source_type,
-            f.target_type,
-            f.source_format,
-            f.nullable,
-            f.primary_key,
-            f.regex,
-            None if f.minimum is None else str(f.minimum),
-            None if f.maximum is None else str(f.maximum),
-            json.dumps(list(f.allowed)) if f.allowed else None,
-            ",".join(f.change_types),
-            f.comment,
-        )
+        {
+            "position": position,
+            "source": f.source,
+            "target": f.target,
+            "source_type": f.source_type,
+            "target_type": f.target_type,
+            "source_format": f.source_format,
+            "nullable": f.nullable,
+            "primary_key": f.primary_key,
+            "regex": f.regex,
+            "minimum": None if f.minimum is None else str(f.minimum),
+            "maximum": None if f.maximum is None else str(f.maximum),
+            "allowed": json.dumps(list(f.allowed)) if f.allowed else None,
+            "change_types": ",".join(f.change_types),
+            "comment": f.comment,
+        }
         for position, f in enumerate(contract.fields)
     ]
-    return spark.createDataFrame(
+    return rows_frame(
+        spark,
         rows,
         "position int, source string, target string, source_type string, target_type string, "
         "source_format string, nullable boolean, primary_key boolean, regex string, "

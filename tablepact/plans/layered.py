@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..audit import AuditLog, audited
 from ..contract import Contract, ContractError
+from ..functions.frames import empty_frame
 from ..operators import gates, merge, quality
 from ..operators.mapping import Mapping, compile_mapping, load_partition, with_ingest_ts
 from ..operators.schema import annotated_schema, clean_schema
@@ -93,7 +94,7 @@ def _write_rejects(
         rejects = quality.rejected_rows(tagged)
         if known["rejected_rows"] == 0:
             # Nothing to look for; still replace what an earlier try left.
-            rejects = tagged.sparkSession.createDataFrame([], rejects.schema)
+            rejects = empty_frame(tagged.sparkSession, rejects.schema)
         writers.write_batch(rejects, layers.rejects, dt, hr, mode)
         return known
     observed, counts = watched(tagged, gates.row_metrics())
@@ -182,8 +183,7 @@ def _merge_scd2(
         applied = merge.scd2_apply(batch, current, keys, tracked, load_date)
         writers.write_history_snapshot(applied, root, snapshot)
         return
-    empty = spark.createDataFrame([], schema)
-    business = empty if base is None else writers.read_snapshot(spark, root, schema, base)
+    business = writers.read_base(spark, root, schema, base)
     merged = merge.scd2_merge(batch, business, keys, tracked, load_date, mode=mode)
     writers.write_snapshot(merged, root, snapshot)
 
@@ -317,12 +317,7 @@ def load_scd1(
         dt, hr = load_partition(moment)
         snapshot = f"{dt}-{hr}"
         base = writers.base_snapshot(spark, layers.business, snapshot)
-        empty = spark.createDataFrame([], staging.schema)
-        business = (
-            empty
-            if base is None
-            else writers.read_snapshot(spark, layers.business, staging.schema, base)
-        )
+        business = writers.read_base(spark, layers.business, staging.schema, base)
         merged = merge.scd1_merge(batch, business, keys, order_by=order_by)
         writers.write_snapshot(merged, layers.business, snapshot)
         result.snapshot = snapshot

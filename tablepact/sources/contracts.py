@@ -36,8 +36,7 @@ def save_document(spark: SparkSession, document: Mapping[str, Any] | list, path:
         text = "\n".join(json.dumps(entry) for entry in document)
     else:
         text = json.dumps(document, indent=4)
-    frame = spark.createDataFrame([(text,)], "value string").coalesce(1)
-    frame.write.mode("overwrite").text(path)
+    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_mapping_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..contract import Contract, ContractError
+from ..functions.frames import empty_frame
 
 
 def format_of(path: str) -> str:
@@ -61,4 +62,4 @@ def read_if_exists(
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The parquet dataset at a path, or an empty frame of the same schema."""
     found = read_if_exists(spark, path, schema)
-    return spark.createDataFrame([], schema) if found is None else found
+    return empty_frame(spark, schema) if found is None else found

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..functions.frames import empty_frame
 from ..operators.merge import CURRENT
 
 _SNAPSHOT = "snapshot="
@@ -124,18 +125,21 @@ def write_snapshot(df: DataFrame, root: str, snapshot: str) -> str:
     return target
 
 
-def read_snapshot(
-    spark: SparkSession, root: str, schema: StructType, snapshot: str | None = None
+def read_base(
+    spark: SparkSession, root: str, schema: StructType, snapshot: str | None
 ) -> DataFrame:
-    """A snapshot, by default the newest finished one; empty if there is none."""
-    if snapshot is None:
-        done = committed_snapshots(spark, root)
-        snapshot = done[-1] if done else None
+    """The snapshot of that id; an empty table before the first one."""
     if snapshot is None:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     return spark.read.schema(schema).parquet(snapshot_path(root, snapshot))
 
 
+def read_snapshot(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """The newest finished snapshot; empty if there is none."""
+    done = committed_snapshots(spark, root)
+    return read_base(spark, root, schema, done[-1] if done else None)
+
+
 def write_history_snapshot(applied: DataFrame, root: str, snapshot: str) -> str:
     """Write what ``scd2_apply`` returns, split by ``is_current``.
 
@@ -152,7 +156,7 @@ def read_current(
 ) -> DataFrame:
     """Rows in force as of a snapshot; reads only its current partition."""
     if snapshot is None:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     table = spark.read.schema(schema).parquet(snapshot_path(root, snapshot))
     return table.filter(table[CURRENT]).select(*schema.fieldNames())
 
@@ -161,7 +165,7 @@ def read_history(spark: SparkSession, root: str, schema: StructType) -> DataFram
     """The full history: rows in force now, and all rows ever closed."""
     done = committed_snapshots(spark, root)
     if not done:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     names = schema.fieldNames()
     current = read_current(spark, root, schema, done[-1])
     closed_part = f"{CURRENT}=false"

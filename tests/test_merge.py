@@ -1,0 +1,190 @@
+"""Merges against row-by-row models of what they mean."""
+
+import random
+
+import pytest
+
+from tablepact.operators import merge
+
+SCHEMA = "id int, amount int, kind string"
+HISTORY_SCHEMA = SCHEMA + (
+    ", effective_start_date string, effective_end_date string, is_current boolean"
+)
+KEYS, TRACKED = ["id"], ["amount", "kind"]
+END = merge.OPEN_END
+
+
+def strict_model(history, batch, day):
+    incoming = {r[0]: r for r in batch if r[0] is not None}
+    known, out = set(), []
+    for row in history:
+        current = row[5] and row[0] is not None
+        new = incoming.get(row[0]) if current else None
+        if current:
+            known.add(row[0])
+        if new is None or new[1:] == row[1:3]:
+            out.append(row)
+            if new is not None:
+                incoming[row[0]] = None
+        else:
+            out.append((*row[:4], day, False))
+    opened = [r for r in incoming.values() if r is not None]
+    opened += [r for r in batch if r[0] is None]
+    return out + [(*r, day, END, True) for r in opened]
+
+
+def as_read_model(history, batch, day):
+    incoming = {r[0]: r for r in batch if r[0] is not None}
+    out = []
+    for row in history:
+        new = incoming.get(row[0])
+        if new is None:
+            out.append(row)
+            continue
+        pairs = list(zip(row[1:3], new[1:]))
+        if any(a is not None and b is not None and a != b for a, b in pairs):
+            out.append((*row[:4], day, False))
+    return out + [(*r, day, END, True) for r in batch]
+
+
+def random_batch(rng, size, null_keys=0):
+    ids = rng.sample(range(60), size)
+    draw = lambda: (rng.choice([None, 1, 2]), rng.choice([None, "x", "y"]))
+    return [(i, *draw()) for i in ids] + [(None, *draw()) for _ in range(null_keys)]
+
+
+def key(row):
+    return repr(row)
+
+
+@pytest.mark.parametrize("plan", ["shuffle", "lookup", "auto"])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_strict_scd2_over_three_batches(spark, rows, plan, seed):
+    rng = random.Random(seed)
+    model = []
+    table = spark.createDataFrame([], HISTORY_SCHEMA)
+    for day in ("2025-01-01", "2025-01-02", "2025-01-03"):
+        batch = random_batch(rng, 30, null_keys=2)
+        model = strict_model(model, batch, day)
+        frame = spark.createDataFrame(batch, SCHEMA)
+        merged = merge.scd2_merge(frame, table, KEYS, TRACKED, day, plan=plan)
+        found = rows(merged)
+        assert found == sorted(model, key=key)
+        table = spark.createDataFrame(found, HISTORY_SCHEMA)
+    current = [r[0] for r in model if r[5] and r[0] is not None]
+    assert len(current) == len(set(current))
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_as_read_scd2(spark, rows, seed):
+    rng = random.Random(seed)
+    model = []
+    table = spark.createDataFrame([], HISTORY_SCHEMA)
+    for day in ("2025-01-01", "2025-01-02", "2025-01-03"):
+        batch = random_batch(rng, 30, null_keys=2)
+        model = as_read_model(model, batch, day)
+        frame = spark.createDataFrame(batch, SCHEMA)
+        found = rows(merge.scd2_merge(frame, table, KEYS, TRACKED, day, mode="as_read"))
+        assert found == sorted(model, key=key)
+        table = spark.createDataFrame(found, HISTORY_SCHEMA)
+
+
+@pytest.mark.parametrize("plan", ["shuffle", "lookup"])
+def test_the_same_batch_again_changes_nothing(spark, rows, plan):
+    batch = spark.createDataFrame([(1, 1, None), (2, None, "x")], SCHEMA)
+    empty = spark.createDataFrame([], HISTORY_SCHEMA)
+    once = merge.scd2_merge(batch, empty, KEYS, TRACKED, "2025-01-01", plan=plan)
+    twice = merge.scd2_merge(batch, once, KEYS, TRACKED, "2025-01-02", plan=plan)
+    assert rows(once) == rows(twice)
+
+
+def test_building_blocks_add_up_to_the_strict_merge(spark, rows):
+    rng = random.Random(5)
+    old = [(*r, "2025-01-01", END, True) for r in random_batch(rng, 40)]
+    history = spark.createDataFrame(old, HISTORY_SCHEMA)
+    batch = spark.createDataFrame(random_batch(rng, 40), SCHEMA)
+    day = "2025-01-02"
+    closed = merge.scd2_close_history(history, batch, KEYS, TRACKED, day)
+    changed = merge.scd2_changed(history, batch, KEYS, TRACKED)
+    opened = merge.scd2_new_versions(history, batch, KEYS, TRACKED, day)
+    kept = merge.unmatched(history, changed, KEYS)
+    whole = kept.unionByName(closed).unionByName(opened)
+    assert rows(whole) == rows(merge.scd2_merge(batch, history, KEYS, TRACKED, day))
+
+
+def test_repeated_batch_keys_do_not_fan_out(spark, rows):
+    history = spark.createDataFrame([(1, 1, "x", "2025-01-01", END, True)], HISTORY_SCHEMA)
+    batch = spark.createDataFrame([(1, 5, "x"), (1, 7, "x"), (1, 6, "x")], SCHEMA)
+    for plan in ("shuffle", "lookup"):
+        merged = merge.scd2_merge(
+            batch, history, KEYS, TRACKED, "2025-01-02", plan=plan, order_by=["amount"]
+        )
+        assert rows(merged) == [
+            (1, 1, "x", "2025-01-01", "2025-01-02", False),
+            (1, 7, "x", "2025-01-02", END, True),
+        ]
+    business = spark.createDataFrame([(1, 1, "x"), (2, 2, "y")], SCHEMA)
+    assert rows(merge.scd1_merge(batch, business, KEYS, order_by=["amount"])) == [
+        (1, 7, "x"), (2, 2, "y")
+    ]
+
+
+def test_composite_keys_and_column_order(spark, rows):
+    history = spark.createDataFrame(
+        [("x", 1, 1, "2025-01-01", END, True)],
+        "kind string, id int, amount int, effective_start_date string, "
+        "effective_end_date string, is_current boolean",
+    )
+    batch = spark.createDataFrame([(1, 2, "x"), (1, 1, "y")], SCHEMA)
+    for plan in ("shuffle", "lookup"):
+        out = merge.scd2_merge(batch, history, ["id", "kind"], ["amount"], "2025-01-02", plan=plan)
+        assert rows(out, "id", "kind", "amount", "is_current") == [
+            (1, "x", 1, False), (1, "x", 2, True), (1, "y", 1, True)
+        ]
+
+
+def test_scd1_keeps_null_keys_and_untouched_rows(spark, rows):
+    business = spark.createDataFrame([(1, 1, "a"), (None, 2, "b"), (3, 3, "c")], SCHEMA)
+    batch = spark.createDataFrame([(1, 9, "z"), (None, 8, "y"), (4, 4, "d")], SCHEMA)
+    assert rows(merge.scd1_merge(batch, business, KEYS)) == sorted(
+        [(1, 9, "z"), (None, 8, "y"), (4, 4, "d"), (None, 2, "b"), (3, 3, "c")], key=key
+    )
+    assert rows(merge.merge_updates(batch, business, KEYS)) == [(1, 9, "z")]
+    assert rows(merge.merge_inserts(batch, business, KEYS)) == [(4, 4, "d"), (None, 8, "y")]
+    assert rows(merge.merge_untouched(batch, business, KEYS)) == [(3, 3, "c"), (None, 2, "b")]
+    joined = merge.merge_left_join(batch, business, KEYS)
+    assert rows(joined, "id", "business_id", "business_amount") == [
+        (1, 1, 1), (4, None, None), (None, None, None)
+    ]
+
+
+def test_unknown_is_current_counts_as_closed(spark, rows):
+    history = spark.createDataFrame([(1, 1, "x", "2025-01-01", END, None)], HISTORY_SCHEMA)
+    batch = spark.createDataFrame([(1, 2, "x")], SCHEMA)
+    merged = merge.scd2_merge(batch, history, KEYS, TRACKED, "2025-01-02")
+    assert rows(merged, "amount", "is_current") == [(1, None), (2, True)]
+
+
+def test_bad_options(spark):
+    df = spark.createDataFrame([], HISTORY_SCHEMA)
+    with pytest.raises(ValueError):
+        merge.scd2_merge(df, df, KEYS, TRACKED, "2025-01-01", mode="loose")
+    with pytest.raises(ValueError):
+        merge.scd2_merge(df, df, KEYS, TRACKED, "2025-01-01", plan="fast")
+
+
+@pytest.mark.parametrize("plan", ["shuffle", "lookup"])
+def test_hot_and_null_keys(spark, plan):
+    """A third of the batch on one key, a third without a key."""
+    n = 3000
+    hot = spark.range(n).selectExpr("cast(7 as int) id", "cast(id as int) amount", "'h' kind")
+    none = spark.range(n).selectExpr("cast(null as int) id", "cast(id as int) amount", "'n' kind")
+    rest = spark.range(n).selectExpr("cast(id + 100 as int) id", "1 amount", "'r' kind")
+    batch = hot.union(none).union(rest)
+    empty = spark.createDataFrame([], HISTORY_SCHEMA)
+    merged = merge.scd2_merge(
+        batch, empty, KEYS, TRACKED, "2025-01-01", plan=plan, order_by=["amount"]
+    )
+    found = {r.kind: r["count"] for r in merged.groupBy("kind").count().collect()}
+    assert found == {"h": 1, "n": n, "r": n}
+    assert merged.filter("kind = 'h'").first().amount == n - 1

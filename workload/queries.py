@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablepact.audit import read_audit
 from tablepact.contract import parse_contract
 from tablepact.functions.casts import parse_date
+from tablepact.functions.frames import rows_frame
 from tablepact.operators import dedupe, gates, mapping, merge, profile, quality, schema
 from tablepact.plans import (
     Layers,
@@ -289,7 +290,7 @@ def sink_snapshot_swap(spark, sf_dir):
     root = writers.scratch_path(spark, "business")
     writers.write_snapshot(business, root, "2025-11-13")
     base = writers.base_snapshot(spark, root, "2025-11-14")
-    before = writers.read_snapshot(spark, root, business.schema, base)
+    before = writers.read_base(spark, root, business.schema, base)
     merged = merge.scd1_merge(inputs.batch(spark, sf_dir), before, KEYS)
     writers.write_snapshot(merged, root, "2025-11-14")
     return writers.read_snapshot(spark, root, business.schema)
@@ -911,8 +912,10 @@ def load_lenient_counts(spark, sf_dir):
     kept = spark.read.parquet(output).agg(
         F.lit("kept").alias("measure"), F.count(F.lit(1)).alias("counted_rows")
     )
-    found = [(k, v) for k, v in result.metrics.items() if "check." in k]
-    return spark.createDataFrame(found, "measure string, counted_rows bigint").union(kept)
+    found = [
+        {"measure": k, "counted_rows": v} for k, v in result.metrics.items() if "check." in k
+    ]
+    return rows_frame(spark, found, "measure string, counted_rows bigint").union(kept)
 
 
 @query
