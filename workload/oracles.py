@@ -575,4 +575,28 @@ select distinct cast(txn_id as bigint) as txn_id,
             else 'priority regex' end as error_reason
 from text_txn
 where try_strptime(txn_day, '%d/%m/%Y') is null or not regexp_matches(priority, '^[1-3]-')""",
+    "run_audit": f"""with {LATEST_LINES},
+counts as (
+  select (select cast(count(*) as varchar) from lineitem) as n,
+         (select cast(count(*) as varchar) from checked where error_reason is null) as c,
+         (select cast(round((select count(*) from lineitem)
+                            - count(*) filter (where error_reason is null), 2) as double)
+          from checked) as lost
+),
+events(level, stage, message, has_source, has_curated, has_loss) as (
+  values ('INFO', 'init', 'Job initialized', false, false, false),
+         ('INFO', 'read_input', 'Source read complete', true, false, false),
+         ('WARN', 'schema_validation', 'Extra columns found', false, false, false),
+         ('INFO', 'schema_validation', 'Schema validation completed', false, false, false),
+         ('INFO', 'write_output', 'Curated and rejects written', false, true, false),
+         ('WARN', 'row_count_check', 'Row counts compared', true, true, true),
+         ('INFO', 'complete', 'Job completed', false, false, false)
+)
+select 'transactions' as job_nm, 'transactions_20251114_083000' as job_id,
+       level, stage, message,
+       case when has_source then n end as source_rows,
+       case when has_curated then c end as curated_rows,
+       case when has_loss
+            then cast(round(lost / cast(n as double) * 100, 2) as varchar) || '%' end as pct_loss
+from events, counts""",
 }
