@@ -1,9 +1,10 @@
 """Latest row per key.
 
-The plan is a row_number window filtered to 1. Spark turns that into a grouped
-limit which keeps one row per key *inside each map task before the shuffle*,
-so a key holding a third of the table sends one row per task, not a third of
-the table, to one reducer.
+The row is found by an aggregate, the maximum of the row itself with its order
+columns put first, rather than by numbering rows in a window. Aggregates combine
+*inside each map task before the shuffle*, so a key holding a third of the table
+sends one row per task to its reducer, not a third of the table; and rows are
+sorted by key alone, not by key and order columns.
 """
 
 from __future__ import annotations
@@ -12,13 +13,22 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, ArrayType, MapType, StructType, VariantType
+from pyspark.sql.types import (
+    ArrayType,
+    CalendarIntervalType,
+    DataType,
+    DoubleType,
+    FloatType,
+    MapType,
+    StructType,
+    VariantType,
+)
 
 from ..functions.casts import ref
 
-_RANK = "__rank"
+_ROW = "__row"
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -30,16 +40,7 @@ def _sortable(data_type: DataType) -> bool:
         return all(_sortable(f.dataType) for f in data_type.fields)
     if isinstance(data_type, ArrayType):
         return _sortable(data_type.elementType)
-    return not isinstance(data_type, (MapType, VariantType))
-
-
-def default_tie_breakers(df: DataFrame) -> list[Column]:
-    """A total order over rows: a hash of all columns, then the columns."""
-    names = [f.name for f in df.schema.fields if _sortable(f.dataType)]
-    if not names:
-        return []
-    columns = [ref(n) for n in names]
-    return [F.xxhash64(*columns).desc(), *[c.desc_nulls_last() for c in columns]]
+    return not isinstance(data_type, (MapType, VariantType, CalendarIntervalType))
 
 
 def latest_per_key(
@@ -47,30 +48,38 @@ def latest_per_key(
     keys: Sequence[str],
     order_by: Sequence[str],
     *,
-    tie_breakers: Sequence[str] | None = None,
+    tie_breakers: Sequence[str] = (),
     null_keys: str = "collapse",
 ) -> DataFrame:
     """Keep the row with the greatest ``order_by`` values of every key.
 
-    NULL order values sort last. Ties fall to ``tie_breakers`` (greatest first),
-    else to a total order over the row, so re-runs keep the same row. With no
-    keys or no order the frame is returned as it is. Rows with a NULL in the
-    key form one group (``collapse``) or are all kept (``keep``).
+    NULL order values count as least. Ties fall to ``tie_breakers``, then to the
+    other columns from left to right, greatest first, so re-runs keep the same
+    row. With no keys or no order the frame is returned as it is. Rows with a
+    NULL in the key form one group (``collapse``) or are all kept (``keep``).
     """
     if null_keys not in ("collapse", "keep"):
         raise ValueError(f"null_keys={null_keys!r}")
     if not keys or not order_by:
         return df
     if null_keys == "keep":
-        keyed = df.filter(~any_null(keys))
-        unkeyed = df.filter(any_null(keys))
-        kept = latest_per_key(keyed, keys, order_by, tie_breakers=tie_breakers)
-        return kept.unionByName(unkeyed)
-    order = [ref(c).desc_nulls_last() for c in order_by]
-    if tie_breakers is None:
-        order += default_tie_breakers(df)
+        kept = latest_per_key(df.filter(~any_null(keys)), keys, order_by, tie_breakers=tie_breakers)
+        return kept.unionByName(df.filter(any_null(keys)))
+
+    types = {f.name: f.dataType for f in df.schema.fields}
+    # Grouping turns -0.0 into 0.0; such keys are taken from the row instead.
+    grouped = [k for k in keys if not isinstance(types[k], (FloatType, DoubleType))]
+    carried = [c for c in df.columns if c not in grouped]
+    if not carried:
+        return df.distinct()
+    ranking = [c for c in dict.fromkeys([*order_by, *tie_breakers]) if c not in keys]
+    others = [c for c in carried if c not in ranking]
+    compared = ranking + [c for c in others if _sortable(types[c])]
+    if set(compared) == set(carried):
+        latest = F.max(F.struct(*[ref(c) for c in compared]))
     else:
-        order += [ref(c).desc_nulls_last() for c in tie_breakers]
-    window = Window.partitionBy(*[ref(k) for k in keys]).orderBy(*order)
-    ranked = df.withColumn(_RANK, F.row_number().over(window))
-    return ranked.filter(f"{_RANK} = 1").drop(_RANK)
+        order = F.struct(*[ref(c) for c in compared] or [F.lit(0)])
+        latest = F.max_by(F.struct(*[ref(c) for c in carried]), order)
+    found = df.groupBy(*[ref(k) for k in keys]).agg(latest.alias(_ROW))
+    row = F.col(_ROW)
+    return found.select(*[ref(c) if c in grouped else row[c].alias(c) for c in df.columns])

@@ -328,7 +328,8 @@ def _apply_by_shuffle(
     right = _packed(opened, keys, "new", ordered)
     pairs = left.join(right, _joined_keys(keys), "full")
     old, new = F.col("old"), F.col("new")
-    ended = old.withField(END, F.lit(_text(load_date))).withField(CURRENT, F.lit(False))
+    replaced = {END: F.lit(_text(load_date)), CURRENT: F.lit(False)}
+    ended = F.struct(*[replaced.get(c, old[c]).alias(c) for c in ordered])
     versions = (
         F.when(new.isNull(), F.array(old))
         .when(old.isNull(), F.array(new))

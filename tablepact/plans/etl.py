@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..audit import AuditLog, audited
 from ..contract import Contract
+from ..functions.frames import empty_frame
 from ..operators import gates, quality
 from ..operators.dedupe import latest_per_key
 from ..operators.mapping import add_missing_update_columns, compile_mapping, lenient_mapping
@@ -80,11 +81,13 @@ def load_strict(
     all_reasons: bool = False,
     audit: str = "",
 ) -> LoadResult:
-    """Schema check, dedupe, mapping, rules; curated and rejects in one write.
+    """Schema check, dedupe, mapping, rules; curated rows and rejects.
 
     The deduplicated rows are shuffled once and written once, into
     ``layer=curated`` and ``layer=rejects`` under ``output``; see read_output.
-    Besides that only the source rows are counted, from file footers if parquet.
+    Without keys to deduplicate by nothing is shuffled and each layer is written
+    by a pass of its own. Besides that only the source rows are counted, from
+    file footers if parquet.
     """
     df = read_by_contract(spark, contract) if source is None else source
     with audited(spark, contract.name or "strict", audit, moment) as log:
@@ -92,7 +95,8 @@ def load_strict(
         source_rows = df.count()
         log.info("read_input", "Source read complete", row_count=source_rows)
         _log_diff(df, contract, log)
-        if not (contract.id_columns and contract.update_columns):
+        deduped = bool(contract.id_columns and contract.update_columns)
+        if not deduped:
             log.warn("dedupe", "Skipping dedupe; id or update columns missing")
 
         tagged = strict_tagged(
@@ -103,24 +107,36 @@ def load_strict(
             on_cast_error=on_cast_error,
             all_reasons=all_reasons,
         )
+        result.paths = {name: layer_path(output, name) for name in (CURATED, REJECTS)}
         observed, counts = watched(tagged, gates.row_metrics())
         kept = observed.filter(quality.is_valid() | quality.is_rejected())
-        layer = F.when(quality.is_valid(), CURATED).otherwise(REJECTS)
-        by_layer = kept.withColumn(LAYER, layer)
-        by_layer.write.mode("overwrite").partitionBy(LAYER).parquet(output)
+        if deduped:
+            layer = F.when(quality.is_valid(), CURATED).otherwise(REJECTS)
+            by_layer = kept.withColumn(LAYER, layer)
+            by_layer.write.mode("overwrite").partitionBy(LAYER).parquet(output)
+            metrics = counts.get
+        else:
+            writers.overwrite(kept.filter(quality.is_valid()), result.paths[CURATED])
+            metrics = counts.get
+            rejects = quality.rejected_rows(tagged)
+            if not metrics["rejected_rows"]:
+                rejects = empty_frame(spark, rejects.schema)
+            writers.overwrite(writers.evened(rejects), result.paths[REJECTS])
 
-        metrics = counts.get
         result.metrics["deduped_rows"] = metrics["total_rows"]
         result.metrics["rule_rejects"] = metrics["rejected_rows"]
-        result.paths = {name: f"{output.rstrip('/')}/{LAYER}={name}" for name in (CURATED, REJECTS)}
         log.info("write_output", "Curated and rejects written", path=output, **metrics)
         _log_counts(result, source_rows, metrics["valid_rows"])
         return result
 
 
+def layer_path(output: str, layer: str) -> str:
+    return f"{output.rstrip('/')}/{LAYER}={layer}"
+
+
 def read_output(spark: SparkSession, output: str, layer: str, schema: StructType) -> DataFrame:
     """One layer of a strict load, given the schema of its tagged rows."""
-    table = read_or_empty(spark, f"{output.rstrip('/')}/{LAYER}={layer}", schema)
+    table = read_or_empty(spark, layer_path(output, layer), schema)
     return table if layer == REJECTS else table.drop(quality.ERROR_REASON, quality.ERROR_REASONS)
 
 

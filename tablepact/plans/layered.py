@@ -86,20 +86,19 @@ def _copy_raw(
     return counts.get
 
 
+def _count_rows(tagged: DataFrame) -> dict[str, int]:
+    """Count a batch by an aggregate, which reads only the columns of its rules."""
+    return tagged.agg(*gates.row_metrics()).first().asDict()
+
+
 def _write_rejects(
-    tagged: DataFrame, layers: Layers, dt: str, hr: str | None, mode: str, known: dict | None
-) -> dict[str, int]:
-    """Write the batch's rejects and return the batch's counts."""
-    if known is not None:
-        rejects = quality.rejected_rows(tagged)
-        if known["rejected_rows"] == 0:
-            # Nothing to look for; still replace what an earlier try left.
-            rejects = empty_frame(tagged.sparkSession, rejects.schema)
-        writers.write_batch(rejects, layers.rejects, dt, hr, mode)
-        return known
-    observed, counts = watched(tagged, gates.row_metrics())
-    writers.write_batch(quality.rejected_rows(observed), layers.rejects, dt, hr, mode)
-    return counts.get
+    tagged: DataFrame, layers: Layers, dt: str, hr: str | None, mode: str, expected: int
+) -> None:
+    rejects = quality.rejected_rows(tagged)
+    if expected == 0:
+        # Nothing to look for; still replace what an earlier try left.
+        rejects = empty_frame(tagged.sparkSession, rejects.schema)
+    writers.write_batch(writers.evened(rejects), layers.rejects, dt, hr, mode)
 
 
 def _load_scd2(
@@ -133,7 +132,6 @@ def _load_scd2(
         save_document(spark, document, layers.schema_document)
         log.info("schema", "Schema document written", path=layers.schema_document)
 
-    counts = None
     if layers.raw:
         raw_path = writers.batch_path(layers.raw, dt, hr)
         counts = _copy_raw(source, contract, raw_path, null_policy, kinds)
@@ -142,7 +140,9 @@ def _load_scd2(
         log.info("raw_copy", "Raw copy written", path=raw_path)
 
     tagged = layered_tagged(source, contract, null_policy=null_policy, kinds=kinds)
-    counts = _write_rejects(tagged, layers, dt, hr, reject_mode, counts)
+    if not layers.raw:
+        counts = _count_rows(tagged)
+    _write_rejects(tagged, layers, dt, hr, reject_mode, counts["rejected_rows"])
     result.metrics.update(counts)
     result.paths["rejects"] = writers.batch_path(layers.rejects, dt, hr)
     log.info("validate", "Rejects written", path=result.paths["rejects"], **counts)
@@ -214,8 +214,9 @@ def load_hourly_scd2(
 ) -> LoadResult:
     """Raw copy, validation, gate, curated ``dt=/hr=`` partition, SCD2 merge.
 
-    Four passes write data: raw (which also counts), rejects, curated, business.
-    A failed gate raises after the rejects are written and before curated is.
+    Four passes write data: raw (which also counts), rejects (skipped when there
+    are none), curated, business. A failed gate raises after the rejects are
+    written and before curated is.
     """
     if not layers.raw:
         raise ValueError("an hourly load keeps a raw copy: set layers.raw")
@@ -245,7 +246,8 @@ def load_daily_scd2(
 ) -> LoadResult:
     """Like the hourly load, from an existing raw layer and by ``dt=`` only.
 
-    Three passes: rejects (which also counts), curated, business.
+    One aggregate over the rule columns counts; then three passes write data:
+    rejects (skipped when there are none), curated, business.
     """
     df = read_source(spark, source) if isinstance(source, str) else source
     in_place = Layers(**{**layers.__dict__, "raw": ""})

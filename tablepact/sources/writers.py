@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..functions.casts import ref
 from ..functions.frames import empty_frame
 from ..operators.merge import CURRENT
 
@@ -36,11 +37,25 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def evened(df: DataFrame, *by: str) -> DataFrame:
+    """Rows regrouped for writing: files of the session's advisory size.
+
+    Spark merges small groups and splits big ones, so neither a filter that
+    leaves a few rows per task nor one hot partition value yields bad files.
+    """
+    return df.hint("rebalance", *[ref(c) for c in by])
+
+
 def write_partitions(
-    df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite"
+    df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", even: bool = True
 ) -> None:
-    """Write a frame that spans partitions; overwrite replaces only those it holds."""
-    writer = df.write.mode(mode).partitionBy(*by)
+    """Write a frame that spans partitions; overwrite replaces only those it holds.
+
+    Rows are regrouped by partition first, or every task would add a file to
+    every partition; pass ``even=False`` if they arrive grouped already.
+    """
+    grouped = evened(df, *by) if even else df
+    writer = grouped.write.mode(mode).partitionBy(*by)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

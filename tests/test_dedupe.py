@@ -41,6 +41,26 @@ def test_map_columns_are_carried(spark):
     assert latest_per_key(df, ["k"], ["u"]).first().m == {"a": 2}
 
 
+def test_fractional_keys_come_out_as_they_were(spark, rows):
+    df = spark.createDataFrame([(-0.0, 1), (-0.0, 2), (1.5, 3)], "k double, u int")
+    assert [str(r.k) for r in latest_per_key(df, ["k"], ["u"]).orderBy("u").collect()] == [
+        "-0.0", "1.5"
+    ]
+
+
+def test_only_key_columns(spark, rows):
+    df = spark.createDataFrame([(1, 2), (1, 2), (None, 2)], "a int, b int")
+    assert rows(latest_per_key(df, ["a", "b"], ["b"])) == [(1, 2), (None, 2)]
+
+
+def test_order_columns_count_from_left_to_right(spark, rows):
+    df = spark.createDataFrame([(1, 1, 9, "a"), (1, 2, 1, "b"), (1, 2, 3, "c")],
+                               "k int, x int, y int, v string")
+    assert rows(latest_per_key(df, ["k"], ["x", "y"]), "v") == [("c",)]
+    assert rows(latest_per_key(df, ["k"], ["y"]), "v") == [("a",)]
+    assert rows(latest_per_key(df, ["k"], ["x"], tie_breakers=["y"]), "v") == [("c",)]
+
+
 def test_duplicate_rows_leave_one(spark):
     df = spark.createDataFrame([(1, 1)] * 50, "k int, u int").repartition(7)
     assert latest_per_key(df, ["k"], ["u"]).count() == 1

@@ -222,6 +222,13 @@ def test_strict_load_without_update_columns(spark, tmp_path):
     assert added.metrics["deduped_rows"] == 1
     skipped = load_strict(spark, STRICT.but(update_columns=()), output, HOURS[0], source=df)
     assert skipped.metrics["deduped_rows"] == 2
+    schema = strict_tagged(df, STRICT, HOURS[0]).drop("updated").schema
+    assert read_output(spark, output, "curated", schema).count() == 2
+    assert read_output(spark, output, "rejects", schema).count() == 0
+    odd = df.withColumn("status", df.txn_id)
+    load_strict(spark, STRICT.but(update_columns=()), output, HOURS[0], source=odd)
+    assert read_output(spark, output, "curated", schema).count() == 0
+    assert read_output(spark, output, "rejects", schema).count() == 2
 
 
 def test_strict_load_reads_what_the_contract_points_at(spark, tmp_path):
@@ -303,9 +310,10 @@ def test_the_number_of_actions_does_not_grow_with_the_contract(spark, tmp_path,
             executions(lambda: load_with_policy(spark, df, ds(columns), f"{root}/p", f"{root}/q",
                                                 HOURS[0])),
         ]
-    # hourly: raw, rejects, curated, business; daily: without raw; SCD1: raw,
-    # staging, business; strict: count, write; lenient: write; policy: writes.
-    assert counts["narrow"] == counts["wide"] == [4, 3, 3, 2, 1, counts["wide"][5]]
+    # hourly: raw, rejects, curated, business; daily: a count instead of raw;
+    # SCD1: raw, staging, business; strict: count, write; lenient: write;
+    # policy: one write per layer that has rows.
+    assert counts["narrow"] == counts["wide"] == [4, 4, 3, 2, 1, counts["wide"][5]]
     assert counts["wide"][5] <= 2
 
 

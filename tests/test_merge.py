@@ -165,6 +165,17 @@ def test_unknown_is_current_counts_as_closed(spark, rows):
     assert rows(merged, "amount", "is_current") == [(1, None), (2, True)]
 
 
+@pytest.mark.parametrize("plan", ["shuffle", "lookup"])
+@pytest.mark.parametrize("mode", merge.MODES)
+def test_columns_that_cannot_be_null(spark, rows, plan, mode):
+    """Literal and key columns of either side may be declared not null."""
+    old = merge.open_versions(spark.range(3).selectExpr("id", "1 v"), "2025-01-01")
+    new = spark.range(1, 4).selectExpr("id", "if(id = 1, 1, 2) v")
+    merged = merge.scd2_merge(new, old, KEYS, ["v"], "2025-01-02", plan=plan, mode=mode)
+    strict = [(0, 1, True), (1, 1, True), (2, 1, False), (2, 2, True), (3, 2, True)]
+    assert rows(merged, "id", "v", "is_current") == strict
+
+
 def test_bad_options(spark):
     df = spark.createDataFrame([], HISTORY_SCHEMA)
     with pytest.raises(ValueError):

@@ -127,6 +127,16 @@ def test_dynamic_overwrite_leaves_other_partitions(spark, tmp_path, rows):
     assert "PartitionFilters: [isnotnull(hr" in pruned
 
 
+def test_partitioned_writes_have_few_files(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 8).selectExpr("id", "if(id % 3 = 0, 'hot', 'd' || id % 5) dt")
+    writers.write_partitions(df, f"{tmp_path}/even", ["dt"])
+    writers.write_partitions(df, f"{tmp_path}/as-is", ["dt"], even=False)
+    files = {n: len(list((tmp_path / n).glob("*/*.parquet"))) for n in ("even", "as-is")}
+    assert files["even"] <= 8 < files["as-is"]
+    for name in files:
+        assert spark.read.parquet(f"{tmp_path}/{name}").count() == 1000
+
+
 def test_a_retried_batch_replaces_itself_even_when_empty(spark, people, tmp_path):
     path = f"{tmp_path}/rejects"
     writers.write_batch(people, path, "2025-01-01", "08")
