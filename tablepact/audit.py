@@ -72,11 +72,11 @@ def audited(
     """Record a run; a failure is logged with its traceback and raised again."""
     log = AuditLog.start(job, moment)
     try:
-        log.info("init", "Job initialized")
+        log.info("init", "Run started")
         yield log
-        log.info("complete", "Job completed")
+        log.info("complete", "Run finished")
     except Exception as error:
-        log.error("failure", f"Job failed: {error}", traceback=traceback.format_exc())
+        log.error("failure", f"Run failed: {error}", traceback=traceback.format_exc())
         raise
     finally:
         if path:

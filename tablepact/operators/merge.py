@@ -279,10 +279,11 @@ def scd2_apply(
     Unchanged rows come back untouched, changed ones closed beside their new
     version, and new keys as new versions.
 
-    plan    ``lookup`` joins the batch to the current rows from both sides with
-            left joins: no shuffle of the business table while the batch is
-            small enough to broadcast. ``shuffle`` is one full outer join, each
-            table shuffled once. ``auto`` looks at the batch's estimated size.
+    plan    ``shuffle`` is one full outer join, each table shuffled once.
+            ``lookup`` joins the batch to the current rows from the right, which
+            leaves the business table where it is while Spark can broadcast the
+            batch, and finds new keys by a second scan of the key columns only.
+            ``auto`` looks at the batch's estimated size.
     """
     _check("strict", plan)
     if plan == "auto":
@@ -292,41 +293,30 @@ def scd2_apply(
     batch = batch.select(*[ref(c) for c in columns])
     current = current.select(*[ref(c) for c in ordered])
     incoming, known = _unique(batch, keys, order_by, unique), _keyed(current, keys)
-    step = _apply_by_lookup if plan == "lookup" else _apply_by_shuffle
+    opened = open_versions(incoming, load_date)
+    if plan == "shuffle":
+        applied = _versions(known, opened, keys, tracked, load_date, "full")
+    else:
+        found = matched(known.select(*[ref(k) for k in keys]), batch, keys)
+        inserts = opened.join(found, list(keys), "left_anti").select(*ordered)
+        applied = _versions(known, opened, keys, tracked, load_date, "left").unionByName(inserts)
     around = _unkeyed(current, keys).unionByName(open_versions(_unkeyed(batch, keys), load_date))
-    return step(incoming, known, keys, tracked, load_date).unionByName(around)
-
-
-def _apply_by_lookup(
-    incoming: DataFrame,
-    current: DataFrame,
-    keys: Sequence[str],
-    tracked: Sequence[str],
-    load_date: str | date,
-) -> DataFrame:
-    pairs = _lookup(current, incoming, keys, tracked, "left")
-    changed = F.col("new").isNotNull() & _differs("old", "new", tracked, "strict")
-    settled = pairs.select(
-        *[F.col("old")[c].alias(c) for c in current.columns if c not in (END, CURRENT)],
-        F.when(changed, F.lit(_text(load_date))).otherwise(F.col("old")[END]).alias(END),
-        (~changed).alias(CURRENT),
-    )
-    opened = open_versions(_fresh(incoming, current, keys, tracked), load_date)
-    return settled.unionByName(opened)
+    return applied.unionByName(around)
 
 
-def _apply_by_shuffle(
-    incoming: DataFrame,
+def _versions(
     current: DataFrame,
+    opened: DataFrame,
     keys: Sequence[str],
     tracked: Sequence[str],
     load_date: str | date,
+    how: str,
 ) -> DataFrame:
+    """Join both sides by key and turn each pair into the versions it leaves."""
     ordered = current.columns
-    opened = open_versions(incoming, load_date)
     left = _packed(current, keys, "old", ordered)
     right = _packed(opened, keys, "new", ordered)
-    pairs = left.join(right, _joined_keys(keys), "full")
+    pairs = left.join(right, _joined_keys(keys), how)
     old, new = F.col("old"), F.col("new")
     replaced = {END: F.lit(_text(load_date)), CURRENT: F.lit(False)}
     ended = F.struct(*[replaced.get(c, old[c]).alias(c) for c in ordered])

@@ -38,10 +38,10 @@ def _tagged(
 def _log_diff(df: DataFrame, contract: Contract, log: AuditLog) -> None:
     diff = diff_columns(df, contract)
     if diff.missing:
-        log.error("schema_validation", "Missing columns", missing=diff.missing)
+        log.error("schema_validation", "Source lacks contract columns", missing=diff.missing)
     if diff.extra:
-        log.warn("schema_validation", "Extra columns found", extra=diff.extra)
-    log.info("schema_validation", "Schema validation completed")
+        log.warn("schema_validation", "Source has columns outside the contract", extra=diff.extra)
+    log.info("schema_validation", "Columns compared")
 
 
 def _log_counts(result: LoadResult, source_rows: int, curated_rows: int) -> None:
@@ -93,11 +93,11 @@ def load_strict(
     with audited(spark, contract.name or "strict", audit, moment) as log:
         result = LoadResult(log=log)
         source_rows = df.count()
-        log.info("read_input", "Source read complete", row_count=source_rows)
+        log.info("read_input", "Source counted", row_count=source_rows)
         _log_diff(df, contract, log)
         deduped = bool(contract.id_columns and contract.update_columns)
         if not deduped:
-            log.warn("dedupe", "Skipping dedupe; id or update columns missing")
+            log.warn("dedupe", "Not deduplicated: no id or update columns")
 
         tagged = strict_tagged(
             df,
@@ -225,11 +225,11 @@ def load_with_policy(
         result = LoadResult(log=log)
         result.schema_ok, diff = check_schema(df, contract, on_schema_fail)
         if result.schema_ok:
-            log.info("schema_validation", "Schema validation passed")
+            log.info("schema_validation", "Column policy met")
         else:
             log.warn(
                 "schema_validation",
-                "Schema validation failed; continuing",
+                "Column policy violated; going on",
                 missing=diff.missing,
                 extra=diff.extra,
             )

@@ -5,12 +5,12 @@ import pytest
 from tablepact.contract import ContractError, parse_contract, parse_contract_text
 
 SPECIMEN = {
-    "dataset_name": "financial_transactions_curated",
+    "dataset_name": "payments",
     "fields": [
         {
-            "field_name": "transaction_id",
-            "source_field": "txn_id",
-            "target_field": "transaction_id",
+            "field_name": "payment_id",
+            "source_field": "ref",
+            "target_field": "payment_id",
             "source_type": "string",
             "target_type": "string",
             "nullable": False,
@@ -24,17 +24,17 @@ SPECIMEN = {
             "source_type": "decimal(10,2)",
             "target_type": "decimal(12,2)",
             "nullable": False,
-            "constraints": {"min": 0.01, "max": 1000000.0},
+            "constraints": {"min": 0.5, "max": 20000.0},
             "change_type": "type_modified",
         },
         {
-            "field_name": "transaction_type",
+            "field_name": "direction",
             "source_field": "-",
-            "target_field": "transaction_type",
+            "target_field": "direction",
             "source_type": "-",
             "target_type": "string",
             "nullable": False,
-            "allowed_values": ["debit", "credit"],
+            "allowed_values": ["in", "out"],
             "constraints": None,
             "change_type": "added",
         },
@@ -46,12 +46,12 @@ SPECIMEN = {
 def test_fields_dialect_on_one_line_or_many(indent):
     contract = parse_contract_text(json.dumps(SPECIMEN, indent=indent))
     key, amount, kind = contract.fields
-    assert (key.source, key.target, key.primary_key) == ("txn_id", "transaction_id", True)
-    assert (amount.minimum, amount.maximum, amount.nullable) == (0.01, 1000000.0, False)
-    assert kind.added and kind.allowed == ("debit", "credit") and kind.minimum is None
-    assert contract.key_columns == ["transaction_id"]
-    assert contract.tracked_columns == ["amount", "transaction_type"]
-    assert contract.source_columns == ["txn_id", "amount"]
+    assert (key.source, key.target, key.primary_key) == ("ref", "payment_id", True)
+    assert (amount.minimum, amount.maximum, amount.nullable) == (0.5, 20000.0, False)
+    assert kind.added and kind.allowed == ("in", "out") and kind.minimum is None
+    assert contract.key_columns == ["payment_id"]
+    assert contract.tracked_columns == ["amount", "direction"]
+    assert contract.source_columns == ["ref", "amount"]
 
 
 def test_thresholds_fall_back_one_by_one():

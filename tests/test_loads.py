@@ -125,14 +125,14 @@ def test_null_policies_of_a_load(spark, tmp_path):
 
 def test_the_documented_specimen_cannot_pass_its_own_rules(spark, tmp_path):
     """An added column is all NULL, and NULL is not an allowed value."""
-    df = spark.createDataFrame([("1", "5.00")], "txn_id string, amount string")
+    df = spark.createDataFrame([("1", "5.00")], "ref string, amount string")
     specimen = parse_contract(SPECIMEN)
     with pytest.raises(GateFailed, match="valid_ratio"):
         load_daily_scd2(spark, df, specimen, layers(tmp_path / "a"), HOURS[0])
     with pytest.raises(GateFailed, match="null_pct"):
         load_scd1(spark, df, specimen, layers(tmp_path / "b"), HOURS[0])
     fields = [dict(f) for f in SPECIMEN["fields"]]
-    fields[-1]["expr"] = "case when amount like '-%' then 'debit' else 'credit' end"
+    fields[-1]["expr"] = "case when amount like '-%' then 'out' else 'in' end"
     passing = parse_contract({**SPECIMEN, "fields": fields})
     result = load_daily_scd2(spark, df, passing, layers(tmp_path / "c"), HOURS[0])
     assert result.metrics["valid_rows"] == 1

@@ -61,6 +61,8 @@ def test_small_batches_leave_the_business_table_unshuffled(spark):
     plan = plan_of(merged)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
+    # New keys are found by a scan of the business keys alone.
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan
 
 
 def test_big_batches_shuffle_each_table_once(shuffled):

@@ -584,13 +584,13 @@ counts as (
           from checked) as lost
 ),
 events(level, stage, message, has_source, has_curated, has_loss) as (
-  values ('INFO', 'init', 'Job initialized', false, false, false),
-         ('INFO', 'read_input', 'Source read complete', true, false, false),
-         ('WARN', 'schema_validation', 'Extra columns found', false, false, false),
-         ('INFO', 'schema_validation', 'Schema validation completed', false, false, false),
+  values ('INFO', 'init', 'Run started', false, false, false),
+         ('INFO', 'read_input', 'Source counted', true, false, false),
+         ('WARN', 'schema_validation', 'Source has columns outside the contract', false, false, false),
+         ('INFO', 'schema_validation', 'Columns compared', false, false, false),
          ('INFO', 'write_output', 'Curated and rejects written', false, true, false),
          ('WARN', 'row_count_check', 'Row counts compared', true, true, true),
-         ('INFO', 'complete', 'Job completed', false, false, false)
+         ('INFO', 'complete', 'Run finished', false, false, false)
 )
 select 'transactions' as job_nm, 'transactions_20251114_083000' as job_id,
        level, stage, message,
