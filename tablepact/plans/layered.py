@@ -2,13 +2,26 @@
 
 Each load passes over its data a fixed number of times, whatever the contract
 holds. Quality is counted during a write that happens anyway.
+
+Options of both SCD2 loads:
+
+null_policy      what a rule says about NULL: ``reject``, ``pass`` or ``drop``
+kinds            rule kinds to apply; by default ranges and value lists
+on_cast_error    ``null``, ``reject`` or ``fail``
+all_reasons      also list every failed rule in ``error_reasons``
+min_valid_ratio  the gate's limit, if not the contract's
+reject_mode      ``overwrite`` the batch's rejects, or ``append`` to them
+scd_mode         ``strict`` or ``as_read``; see ``merge.scd2_merge``
+keys, tracked    business key and compared columns, if not the contract's
+order_by         which of several batch rows with one key to merge: the greatest
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +55,19 @@ class Layers:
 
 
 def _compile(
-    source: DataFrame, contract: Contract, kinds: Sequence[str], keep_extra: bool = True
+    source: DataFrame,
+    contract: Contract,
+    kinds: Sequence[str],
+    keep_extra: bool = True,
+    on_cast_error: str = "null",
 ) -> tuple[Mapping, list[quality.Rule], StructType]:
-    mapping = compile_mapping(source.schema, contract, keep_extra=keep_extra, missing="raise")
+    mapping = compile_mapping(
+        source.schema,
+        contract,
+        keep_extra=keep_extra,
+        missing="raise",
+        on_cast_error=on_cast_error,
+    )
     rules = quality.compile_rules(contract, kinds)
     return mapping, rules, mapping.apply(source).schema
 
@@ -55,10 +78,14 @@ def layered_tagged(
     *,
     null_policy: str = "reject",
     kinds: Sequence[str] = LAYERED_RULES,
+    on_cast_error: str = "null",
+    all_reasons: bool = False,
 ) -> DataFrame:
     """Mapped rows, each with the first rule it fails."""
-    mapping, rules, _ = _compile(source, contract, kinds)
-    return quality.tag_rows(mapping.apply(source), rules, null_policy=null_policy)
+    mapping, rules, _ = _compile(source, contract, kinds, on_cast_error=on_cast_error)
+    return quality.tag_rows(
+        mapping.apply(source), rules, null_policy=null_policy, all_reasons=all_reasons
+    )
 
 
 def _copy_raw(
@@ -67,9 +94,10 @@ def _copy_raw(
     path: str,
     null_policy: str,
     kinds: Sequence[str],
+    on_cast_error: str,
 ) -> dict[str, int]:
     """Copy the source untouched; count valid and rejected rows on the way."""
-    mapping, rules, schema = _compile(source, contract, kinds)
+    mapping, rules, schema = _compile(source, contract, kinds, on_cast_error=on_cast_error)
     reason = quality.first_failure(rules, schema, null_policy, mapping.value)
     flagged = source.withColumn(_REASON, reason)
     valid = F.col(_REASON).isNull()
@@ -110,14 +138,20 @@ def _load_scd2(
     log: AuditLog,
     *,
     hourly: bool,
-    null_policy: str,
-    kinds: Sequence[str],
-    min_valid_ratio: float | None,
-    scd_mode: str,
-    reject_mode: str,
-    keys: Sequence[str] | None,
-    tracked: Sequence[str] | None,
+    null_policy: str = "reject",
+    kinds: Sequence[str] = LAYERED_RULES,
+    on_cast_error: str = "null",
+    all_reasons: bool = False,
+    min_valid_ratio: float | None = None,
+    reject_mode: str = "overwrite",
+    scd_mode: str = "strict",
+    keys: Sequence[str] | None = None,
+    tracked: Sequence[str] | None = None,
+    order_by: Sequence[str] = (),
 ) -> LoadResult:
+    for name in ("curated", "rejects", "business"):
+        if not getattr(layers, name):
+            raise ValueError(f"set layers.{name}")
     result = LoadResult(log=log)
     dt, hour = load_partition(moment)
     hr = hour if hourly else None
@@ -134,12 +168,19 @@ def _load_scd2(
 
     if layers.raw:
         raw_path = writers.batch_path(layers.raw, dt, hr)
-        counts = _copy_raw(source, contract, raw_path, null_policy, kinds)
+        counts = _copy_raw(source, contract, raw_path, null_policy, kinds, on_cast_error)
         source = spark.read.schema(source.schema).parquet(raw_path)
         result.paths["raw"] = raw_path
         log.info("raw_copy", "Raw copy written", path=raw_path)
 
-    tagged = layered_tagged(source, contract, null_policy=null_policy, kinds=kinds)
+    tagged = layered_tagged(
+        source,
+        contract,
+        null_policy=null_policy,
+        kinds=kinds,
+        on_cast_error=on_cast_error,
+        all_reasons=all_reasons,
+    )
     if not layers.raw:
         counts = _count_rows(tagged)
     _write_rejects(tagged, layers, dt, hr, reject_mode, counts["rejected_rows"])
@@ -159,7 +200,9 @@ def _load_scd2(
 
     batch = spark.read.schema(curated.schema).parquet(result.paths["curated"])
     snapshot = dt if hr is None else f"{dt}-{hr}"
-    _merge_scd2(spark, batch, layers.business, snapshot, keys, tracked, dt, scd_mode)
+    _merge_scd2(
+        spark, batch, layers.business, snapshot, keys, tracked, dt, scd_mode, order_by
+    )
     result.snapshot = snapshot
     result.paths["business"] = layers.business
     log.info("merge", "Business layer merged", path=layers.business, snapshot=snapshot)
@@ -175,16 +218,19 @@ def _merge_scd2(
     tracked: Sequence[str],
     load_date: str,
     mode: str,
+    order_by: Sequence[str],
 ) -> None:
     schema = merge.history_schema(batch.schema)
     base = writers.base_snapshot(spark, root, snapshot)
     if mode == "strict":
         current = writers.read_current(spark, root, schema, base)
-        applied = merge.scd2_apply(batch, current, keys, tracked, load_date)
+        applied = merge.scd2_apply(batch, current, keys, tracked, load_date, order_by=order_by)
         writers.write_history_snapshot(applied, root, snapshot)
         return
     business = writers.read_base(spark, root, schema, base)
-    merged = merge.scd2_merge(batch, business, keys, tracked, load_date, mode=mode)
+    merged = merge.scd2_merge(
+        batch, business, keys, tracked, load_date, mode=mode, order_by=order_by
+    )
     writers.write_snapshot(merged, root, snapshot)
 
 
@@ -203,14 +249,7 @@ def load_hourly_scd2(
     contract: Contract,
     layers: Layers,
     moment: datetime,
-    *,
-    null_policy: str = "reject",
-    kinds: Sequence[str] = LAYERED_RULES,
-    min_valid_ratio: float | None = None,
-    scd_mode: str = "strict",
-    reject_mode: str = "overwrite",
-    keys: Sequence[str] | None = None,
-    tracked: Sequence[str] | None = None,
+    **options: Any,
 ) -> LoadResult:
     """Raw copy, validation, gate, curated ``dt=/hr=`` partition, SCD2 merge.
 
@@ -222,11 +261,7 @@ def load_hourly_scd2(
         raise ValueError("an hourly load keeps a raw copy: set layers.raw")
     df = read_source(spark, source) if isinstance(source, str) else source
     with audited(spark, contract.name or "hourly_scd2", layers.audit, moment) as log:
-        return _load_scd2(
-            spark, df, contract, layers, moment, log,
-            hourly=True, null_policy=null_policy, kinds=kinds, min_valid_ratio=min_valid_ratio,
-            scd_mode=scd_mode, reject_mode=reject_mode, keys=keys, tracked=tracked,
-        )
+        return _load_scd2(spark, df, contract, layers, moment, log, hourly=True, **options)
 
 
 def load_daily_scd2(
@@ -235,14 +270,7 @@ def load_daily_scd2(
     contract: Contract,
     layers: Layers,
     moment: datetime,
-    *,
-    null_policy: str = "reject",
-    kinds: Sequence[str] = LAYERED_RULES,
-    min_valid_ratio: float | None = None,
-    scd_mode: str = "strict",
-    reject_mode: str = "overwrite",
-    keys: Sequence[str] | None = None,
-    tracked: Sequence[str] | None = None,
+    **options: Any,
 ) -> LoadResult:
     """Like the hourly load, from an existing raw layer and by ``dt=`` only.
 
@@ -250,13 +278,9 @@ def load_daily_scd2(
     rejects (skipped when there are none), curated, business.
     """
     df = read_source(spark, source) if isinstance(source, str) else source
-    in_place = Layers(**{**layers.__dict__, "raw": ""})
+    in_place = replace(layers, raw="")
     with audited(spark, contract.name or "daily_scd2", layers.audit, moment) as log:
-        return _load_scd2(
-            spark, df, contract, in_place, moment, log,
-            hourly=False, null_policy=null_policy, kinds=kinds, min_valid_ratio=min_valid_ratio,
-            scd_mode=scd_mode, reject_mode=reject_mode, keys=keys, tracked=tracked,
-        )
+        return _load_scd2(spark, df, contract, in_place, moment, log, hourly=False, **options)
 
 
 def load_scd1(

@@ -123,6 +123,30 @@ def test_null_policies_of_a_load(spark, tmp_path):
     assert counts == {"reject": (96, 4), "pass": (100, 0), "drop": (96, 0)}
 
 
+@pytest.mark.parametrize("load", [load_hourly_scd2, load_daily_scd2])
+def test_bad_casts_may_be_rejects_with_all_their_reasons(spark, tmp_path, rows, load):
+    df = source(spark, *[(str(i), str(i), "n") for i in range(98)], ("x", "-1", "n"), ("99", "?", "n"))
+    place = layers(tmp_path)
+    result = load(
+        spark, df, contract(), place, HOURS[0], on_cast_error="reject", all_reasons=True
+    )
+    assert result.metrics == {"total_rows": 100, "valid_rows": 98, "rejected_rows": 2}
+    found = spark.read.parquet(place.rejects).select("error_reason", "error_reasons").collect()
+    assert sorted((r.error_reason, tuple(r.error_reasons)) for r in found) == [
+        ("amount not castable", ("amount not castable", "amount outside range")),
+        ("id not castable", ("id not castable", "amount outside range")),
+    ]
+    curated = spark.read.parquet(result.paths["curated"])
+    assert curated.columns == ["id", "amount", "note", "ingest_ts"]
+
+
+def test_paths_are_required(spark, tmp_path):
+    for missing in ("curated", "rejects", "business", "raw"):
+        place = Layers(**{**layers(tmp_path).__dict__, missing: "", "audit": ""})
+        with pytest.raises(ValueError, match=missing):
+            load_hourly_scd2(spark, lots(spark), contract(), place, HOURS[0])
+
+
 def test_the_documented_specimen_cannot_pass_its_own_rules(spark, tmp_path):
     """An added column is all NULL, and NULL is not an allowed value."""
     df = spark.createDataFrame([("1", "5.00")], "ref string, amount string")
