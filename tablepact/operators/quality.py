@@ -34,7 +34,7 @@ from pyspark.sql.types import (
 )
 
 from ..contract import Contract
-from ..functions.casts import ref
+from ..functions.casts import ref, try_cast_text
 from .mapping import CAST_ERROR
 
 ERROR_REASON = "error_reason"
@@ -91,7 +91,7 @@ def _comparable(value: Column, data_type: DataType, bound: Any) -> tuple[Column,
     if isinstance(data_type, _TIMES):
         return value, F.lit(str(bound)).cast(data_type)
     if isinstance(data_type, StringType) and not isinstance(bound, str):
-        return value.try_cast("double"), F.lit(float(bound))
+        return try_cast_text(value, DoubleType()), F.lit(float(bound))
     if isinstance(data_type, (DecimalType, IntegralType)):
         return value, F.lit(Decimal(str(bound)))
     if isinstance(data_type, _FRACTIONS):

@@ -158,6 +158,10 @@ def generate_contract(
     raise ValueError(f"dialect={dialect!r}")
 
 
+# Fixed format: the keys of the documents below and their nesting are what
+# contract readers expect.
+
+
 def _ds_columns(schema: StructType, flags: Mapping[str, bool], unknown: Any) -> list[dict]:
     return [
         {
@@ -340,7 +344,9 @@ def _diff_row(name: str, status: str, values: Column) -> Column:
     )
 
 
-def check_schema(df: DataFrame, contract: Contract, on_fail: str = "flag") -> tuple[bool, SchemaDiff]:
+def check_schema(
+    df: DataFrame, contract: Contract, on_fail: str = "flag"
+) -> tuple[bool, SchemaDiff]:
     """Apply the contract's column policy; ``flag`` and go on, or ``raise``."""
     if on_fail not in ("flag", "raise"):
         raise ValueError(f"on_fail={on_fail!r}")

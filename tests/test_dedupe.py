@@ -37,7 +37,8 @@ def test_no_keys_or_no_order_changes_nothing(spark):
 
 
 def test_map_columns_are_carried(spark):
-    df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"a": 2})], "k int, u int, m map<string,int>")
+    data = [(1, 1, {"a": 1}), (1, 2, {"a": 2})]
+    df = spark.createDataFrame(data, "k int, u int, m map<string,int>")
     assert latest_per_key(df, ["k"], ["u"]).first().m == {"a": 2}
 
 

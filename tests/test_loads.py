@@ -4,6 +4,7 @@ import pytest
 
 from tablepact.audit import audited, read_audit
 from tablepact.contract import ContractError, parse_contract
+from tablepact.functions.frames import empty_frame
 from tablepact.operators import merge, schema
 from tablepact.operators.gates import GateFailed
 from tablepact.plans import (
@@ -110,7 +111,34 @@ def test_a_failed_gate_leaves_rejects_but_no_curated(spark, tmp_path, load):
 
 def test_an_empty_batch_fails_the_ratio_gate(spark, tmp_path):
     with pytest.raises(GateFailed):
-        load_daily_scd2(spark, source(spark).filter("false"), contract(), layers(tmp_path), HOURS[0])
+        none = lots(spark).filter("false")
+        load_daily_scd2(spark, none, contract(), layers(tmp_path), HOURS[0])
+
+
+@pytest.mark.parametrize("kind", ["known", "file", "filtered"])
+def test_empty_sources(spark, tmp_path, kind):
+    """Counts are zero, not missing, however early Spark finds out."""
+    df = source(spark, ("1", "1", "n"))
+    empty = {"known": lambda: empty_frame(spark, df.schema), "filtered": lambda: df.filter("false")}
+    if kind == "file":
+        df.filter("amount = 'x'").write.parquet(f"{tmp_path}/none")
+        no_rows = spark.read.parquet(f"{tmp_path}/none")
+    else:
+        no_rows = empty[kind]()
+    place = layers(tmp_path)
+    result = load_hourly_scd2(spark, no_rows, contract(), place, HOURS[0], min_valid_ratio=0.0)
+    assert result.metrics == {"total_rows": 0, "valid_rows": 0, "rejected_rows": 0}
+    assert business(spark, tmp_path).count() == 0
+    result = load_scd1(spark, no_rows, contract(), layers(tmp_path / "scd1"), HOURS[0])
+    assert result.metrics == {"total_rows": 0, "invalid_rows": 0, "null_values": 0}
+    etl = STRICT.but(update_columns=("note",), fields=STRICT.fields[:1])
+    assert load_strict(spark, etl, f"{tmp_path}/s", HOURS[0], source=no_rows).metrics[
+        "pct_loss"
+    ] == "0%"
+    kept = load_lenient(spark, etl, f"{tmp_path}/l", HOURS[0], source=no_rows)
+    assert kept.metrics["null_check.id"] == 0
+    checked = load_with_policy(spark, no_rows, etl, f"{tmp_path}/p", f"{tmp_path}/q", HOURS[0])
+    assert checked.metrics["total_rows"] == 0
 
 
 def test_null_policies_of_a_load(spark, tmp_path):
@@ -125,7 +153,8 @@ def test_null_policies_of_a_load(spark, tmp_path):
 
 @pytest.mark.parametrize("load", [load_hourly_scd2, load_daily_scd2])
 def test_bad_casts_may_be_rejects_with_all_their_reasons(spark, tmp_path, rows, load):
-    df = source(spark, *[(str(i), str(i), "n") for i in range(98)], ("x", "-1", "n"), ("99", "?", "n"))
+    good = [(str(i), str(i), "n") for i in range(98)]
+    df = source(spark, *good, ("x", "-1", "n"), ("99", "?", "n"))
     place = layers(tmp_path)
     result = load(
         spark, df, contract(), place, HOURS[0], on_cast_error="reject", all_reasons=True

@@ -57,7 +57,8 @@ def test_nan_is_missing_only_in_fractions(spark, numbers):
 
 
 def test_first_failure_and_all_failures(spark):
-    df = spark.createDataFrame([(1, None, 99), (2, "zz", 1), (3, "ab", 99)], "id int, s string, n int")
+    data = [(1, None, 99), (2, "zz", 1), (3, "ab", 99)]
+    df = spark.createDataFrame(data, "id int, s string, n int")
     rules = [
         rule("s", "not_null"),
         rule("s", "regex", regex="^a"),

@@ -26,7 +26,8 @@ def test_parquet_by_suffix_flag_and_contract(spark, people, tmp_path, rows):
     path = f"{tmp_path}/people"
     writers.overwrite(people, path)
     assert rows(readers.read_source(spark, path)) == rows(people)
-    contract = parse_contract({"ds": {"nm": "p", "format": "parquet", "src_prefix": path, "cols": []}})
+    located = {"nm": "p", "format": "parquet", "src_prefix": path, "cols": []}
+    contract = parse_contract({"ds": located})
     assert rows(readers.read_by_contract(spark, contract)) == rows(people)
     with pytest.raises(ContractError):
         readers.read_by_contract(spark, contract.but(source_path=None))

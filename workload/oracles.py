@@ -61,7 +61,9 @@ tagged as (
 )"""
 )
 
-TXN_TEXT_COLUMNS = "txn_id, acct_no, cast(txn_date as varchar) as txn_date, amount, status, priority"
+TXN_TEXT_COLUMNS = (
+    "txn_id, acct_no, cast(txn_date as varchar) as txn_date, amount, status, priority"
+)
 
 LATEST_LINES = """
 lines as (
@@ -208,7 +210,8 @@ def _contract_fields() -> str:
 
 def _generated_contracts() -> str:
     parts = []
-    for dialect, word in (("ds", "definition"), ("ds_bare", "definition"), ("dataset", "description")):
+    words = {"ds": "definition", "ds_bare": "definition", "dataset": "description"}
+    for dialect, word in words.items():
         for n, t in _LINE_TYPES:
             parts.append(
                 f"select '{dialect}' as dialect, '{n}' as source, '{n}' as target, "
@@ -579,8 +582,8 @@ where try_strptime(txn_day, '%d/%m/%Y') is null or not regexp_matches(priority,
 counts as (
   select (select cast(count(*) as varchar) from lineitem) as n,
          (select cast(count(*) as varchar) from checked where error_reason is null) as c,
-         (select cast(round((select count(*) from lineitem)
-                            - count(*) filter (where error_reason is null), 2) as double)
+         (select cast((select count(*) from lineitem)
+                      - count(*) filter (where error_reason is null) as double)
           from checked) as lost
 ),
 events(level, stage, message, has_source, has_curated, has_loss) as (
