@@ -1,10 +1,11 @@
 """Latest row per key.
 
-The row is found by an aggregate, the maximum of the row itself with its order
-columns put first, rather than by numbering rows in a window. Aggregates combine
-*inside each map task before the shuffle*, so a key holding a third of the table
-sends one row per task to its reducer, not a third of the table; and rows are
-sorted by key alone, not by key and order columns.
+The row is found by an aggregate: the maximum of the row itself with its order
+columns put first. It combines *inside each map task before the shuffle*, so a
+key holding a third of the table sends one row per task to its reducer, not a
+third of the table. A row_number window filtered to 1 is cut down before the
+shuffle as well, but has to sort by key and order columns; here the sort is by
+key alone.
 """
 
 from __future__ import annotations
