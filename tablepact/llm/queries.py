@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablepact.llm import mixing, wumanber
 from tablepact.llm.language import op7_language_id
+from tablepact.llm.mixing import op5_mix
 from tablepact.llm.simhash import op6_simhash
 from tablepact.llm.suffixes import op10_suffix_dedup
+from tablepact.llm.wumanber import op9_decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
+        op5_mix,
         op6_simhash,
         op7_language_id,
+        op9_decontaminate,
         op10_suffix_dedup,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_mix": mixing.SQL,
+    "op9_decontaminate": wumanber.SQL,
+}
