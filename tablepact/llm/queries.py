@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablepact.llm import mixing, wumanber
+from tablepact.llm import mixing, preferences, wumanber
 from tablepact.llm.language import op7_language_id
+from tablepact.llm.licenses import op2_licenses
 from tablepact.llm.mixing import op5_mix
+from tablepact.llm.preferences import op1_preferences
 from tablepact.llm.simhash import op6_simhash
 from tablepact.llm.suffixes import op10_suffix_dedup
 from tablepact.llm.wumanber import op9_decontaminate
@@ -16,6 +18,8 @@ from tablepact.llm.wumanber import op9_decontaminate
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
+        op1_preferences,
+        op2_licenses,
         op5_mix,
         op6_simhash,
         op7_language_id,
@@ -25,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_preferences": preferences.SQL,
     "op5_mix": mixing.SQL,
     "op9_decontaminate": wumanber.SQL,
 }
