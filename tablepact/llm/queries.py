@@ -11,6 +11,7 @@ from tablepact.llm.language import op7_language_id
 from tablepact.llm.licenses import op2_licenses
 from tablepact.llm.mixing import op5_mix
 from tablepact.llm.preferences import op1_preferences
+from tablepact.llm.quality import op8_quality
 from tablepact.llm.simhash import op6_simhash
 from tablepact.llm.suffixes import op10_suffix_dedup
 from tablepact.llm.wumanber import op9_decontaminate
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_mix,
         op6_simhash,
         op7_language_id,
+        op8_quality,
         op9_decontaminate,
         op10_suffix_dedup,
     )
