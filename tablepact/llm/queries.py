@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablepact.llm import mixing, preferences, wumanber
+from tablepact.llm.contexts import op3_context_tree
 from tablepact.llm.language import op7_language_id
 from tablepact.llm.licenses import op2_licenses
 from tablepact.llm.mixing import op5_mix
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         op1_preferences,
         op2_licenses,
+        op3_context_tree,
         op5_mix,
         op6_simhash,
         op7_language_id,
