@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablepact.llm import mixing, preferences, wumanber
+from tablepact.llm import lines, mixing, preferences, wumanber
 from tablepact.llm.contexts import op3_context_tree
 from tablepact.llm.language import op7_language_id
 from tablepact.llm.licenses import op2_licenses
+from tablepact.llm.lines import op4_line_dedup
 from tablepact.llm.mixing import op5_mix
 from tablepact.llm.preferences import op1_preferences
 from tablepact.llm.quality import op8_quality
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_preferences,
         op2_licenses,
         op3_context_tree,
+        op4_line_dedup,
         op5_mix,
         op6_simhash,
         op7_language_id,
@@ -34,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_preferences": preferences.SQL,
+    "op4_line_dedup": lines.SQL,
     "op5_mix": mixing.SQL,
     "op9_decontaminate": wumanber.SQL,
 }

@@ -17,17 +17,17 @@ bytes it covers are removed. The corpus is too large for one index, so:
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tablepact.llm.batches import append_columns, pieces, text_bytes, without
-from tablepact.llm.shared import cut
+from tablepact.llm.rolling import RollingHash, mix
+from tablepact.llm.shared import cut, numbered
 
 #: Bytes of an anchor; windows must be longer.
 ANCHOR = 32
@@ -39,30 +39,7 @@ BATCH, SHARD = 1 << 16, 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Scatters 64-bit values; distinct ones stay distinct."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-
-
-class _Powers:
-    """Powers of an odd base and of its inverse, modulo 2**64, as far as needed."""
-
-    BASE = 0x5851F42D4C957F2D
-
-    def __init__(self) -> None:
-        self.up = self.down = np.zeros(0, np.uint64)
-        self.bytes = _mix(np.arange(1, 257, dtype=np.uint64))
-
-    def reach(self, n: int) -> None:
-        if len(self.up) < n:
-            for name, base in (("up", self.BASE), ("down", pow(self.BASE, -1, 1 << 64))):
-                values = np.full(n, base, np.uint64)
-                values[0] = 1
-                setattr(self, name, np.cumprod(values))
-
-
-def window_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray, length: int, powers: _Powers):
+def window_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray, length: int, roll: RollingHash):
     """(first window, windows, anchor hash, content hash) of each run, and its text's number.
 
     ``start`` and ``end`` bound the texts within ``data``; windows don't cross them.
@@ -70,11 +47,9 @@ def window_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray, length: in
     n, width = len(data), length - ANCHOR + 1
     if n < length:
         return [np.zeros(0, np.int64)] * 5
-    powers.reach(n + 1)
-    up, down = powers.up, powers.down
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(powers.bytes[data] * up[:n], out=prefix[1:])
-    grams = _mix((prefix[ANCHOR:] - prefix[:-ANCHOR]) * down[: n - ANCHOR + 1])
+    roll.load(data)
+    place = np.arange(n - ANCHOR + 1)
+    grams = mix(roll.span(place, place + ANCHOR))
     # least of each window: the hash comes first, then the place
     rows = -(-len(grams) // width)
     ranked = np.full(rows * width, ~np.uint64(0))
@@ -94,9 +69,9 @@ def window_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray, length: in
     first = np.flatnonzero(inside & ~joined)
     last = np.flatnonzero(inside & ~np.r_[joined[1:], False])
     count = last - first + 1
-    content = (prefix[last + length] - prefix[first]) * down[first] + count.astype(np.uint64)
+    content = roll.span(first, last + length) + count.astype(np.uint64)
     text = np.searchsorted(start, first, side="right") - 1
-    hashes = grams[anchor[first].astype(np.int64)].view(np.int64), _mix(content).view(np.int64)
+    hashes = grams[anchor[first].astype(np.int64)].view(np.int64), mix(content).view(np.int64)
     return first, count, *hashes, text
 
 
@@ -137,20 +112,20 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
     """Runs of windows of each text; repeats within a piece are spans already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = _Powers()
+        roll = RollingHash()
 
         def found(texts: list[bytes], ords: np.ndarray, base: np.ndarray) -> Iterator[pa.RecordBatch]:
             data = np.frombuffer(b"".join(texts), np.uint8)
             end = np.cumsum([len(t) for t in texts])
             start = end - [len(t) for t in texts]
-            first, count, a, x, text = window_runs(data, start, end, length, powers)
+            first, count, a, x, text = window_runs(data, start, end, length, roll)
             ord, pos = ords[text], first - start[text] + base[text]
             order, new = _repeats(a, x, ord, pos)
             keep, again = order[new], order[~new]
             yield _rows(a[keep], x[keep], ord[keep], pos[keep], count[keep], 0)
             s, e, o = merged(pos[again], pos[again] + count[again] + length - 1, ord[again])
             if len(o):
-                yield _rows(_mix(o.astype(np.uint64)).view(np.int64), o, o, s, e - s, 1)
+                yield _rows(mix(o.astype(np.uint64)).view(np.int64), o, o, s, e - s, 1)
 
         for batch in batches:
             for piece in pieces(batch, "text", PIECE):
@@ -270,28 +245,10 @@ def _compare(runs: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "ord long, pos long, size int")
 
 
-def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``docs`` with ``ord``, a long in the order of keys, no two rows the same.
-
-    It is the key itself if keys are whole numbers, none null and none repeated;
-    else rows are numbered by key (null last), then text.
-    """
-    column = F.col(f"`{key}`")
-    repeated = docs.groupBy(column.alias("k")).count().filter("count > 1 or k is null")
-    if docs.schema[key].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint") and repeated.isEmpty():
-        return docs.withColumn("ord", column.cast("long"))
-    order = docs.orderBy(column.asc_nulls_last(), F.col(f"`{text}`").asc_nulls_last())
-    placed = cut(order.withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()))
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("n"), F.min("_row").alias("_low"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shift = sizes.select("_part", (before - F.col("_low")).alias("_shift"))  # a row for each task
-    return placed.join(shift, "_part").withColumn("ord", F.expr("_row + _shift")).drop("_part", "_row", "_shift")
-
-
-def repeated_spans(numbered: DataFrame, length: int) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """(ord, pos, size): byte spans that cover every string that also starts earlier."""
-    packed = _packed(numbered.select("ord", "text"))
-    settled = cut(_settle(_scan(numbered, length), length))
+    packed = _packed(docs.select("ord", "text"))
+    settled = cut(_settle(_scan(docs, length), length))
     wanted = (
         settled.filter("kind = 2").groupBy("ord")
         .agg(F.collect_list(F.struct("a", "pos", "size")).alias("runs"))
@@ -347,11 +304,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         raise ValueError(f"strings must be longer than {ANCHOR} bytes")
     added = ["kept", "n_bytes", "n_removed", "n_spans", "removed"]
     docs = without(docs, [*added, "ord", "packed", "spans", *(["text"] if text.lower() != "text" else [])])
-    numbered = _numbered(docs, key, text).withColumnRenamed(text, "text")
-    spans = repeated_spans(numbered, length).groupBy("ord").agg(
+    rows = numbered(docs, key, text).withColumnRenamed(text, "text")
+    spans = repeated_spans(rows, length).groupBy("ord").agg(
         F.collect_list(F.struct("pos", "size")).alias("spans")
     )
-    whole = _packed(numbered.withColumn("_null", F.col("text").isNull()))
+    whole = _packed(rows.withColumn("_null", F.col("text").isNull()))
     joined = whole.join(spans, "ord", "left").drop("ord")
     names = [c for c in joined.columns if c not in ("packed", "spans", "_null")]
     schema = joined.select(*[f"`{c}`" for c in names]).schema
