@@ -62,7 +62,7 @@ def fit_dictionaries(
     key: str = "doc_id",
     options: LanguageOptions = LanguageOptions(),
 ) -> dict[str, bytes]:
-    """A raw-content dictionary for each language among the labelled rows.
+    """A raw-content dictionary for each language among the labelled rows, the commonest first.
 
     The sample is bounded by ``options.sample_rows`` excerpts a language and is
     chosen by a hash of the key, so it doesn't depend on the order of rows. Rows
@@ -93,7 +93,8 @@ def fit_dictionaries(
     for row in sorted(rows, key=lambda r: (r["lang"], r["place"], r["part"])):
         if len(parts[row["lang"]]) < options.sample_rows:
             parts[row["lang"]].append(letters(row["part"].encode()))
-    return {k: b" ".join(v)[: options.dictionary_bytes] for k, v in sorted(parts.items())}
+    often = sorted(counts, key=lambda r: (-r["count"], r["lang"]))
+    return {r["lang"]: b" ".join(parts[r["lang"]])[: options.dictionary_bytes] for r in often}
 
 
 def identify_language(
@@ -107,7 +108,7 @@ def identify_language(
 
     A null text, or one without a letter, is ``und`` with score 0, and so is every
     text if no language is known; all of these are rejected, like margins below
-    ``options.min_margin``. Equal sizes go to the language that sorts first. Input
+    ``options.min_margin``. Equal sizes go to the language that comes first. Input
     columns with the new names are replaced (``prefix`` makes other names); repeated
     rows get equal results.
     """
@@ -145,11 +146,10 @@ def identify_language(
             step = options.block_bytes
             blocks = [content[i : i + step] for i in range(0, len(content), step)]
             sizes = sorted(
-                (sum(len(e.compress(b)) for b in blocks), name)
-                for e, name in zip(by, names, strict=True)
+                (sum(len(e.compress(b)) for b in blocks), i) for i, e in enumerate(by)
             )
             second = sizes[1][0] if len(sizes) > 1 else max(2 * sizes[0][0], 1)
-            return sizes[0][1], (second - sizes[0][0]) / second
+            return names[sizes[0][1]], (second - sizes[0][0]) / second
 
         def guess(content: bytes, has_letter: bool) -> tuple[str, float, bool]:
             if not names or not has_letter:
