@@ -21,6 +21,8 @@ from tablepact.llm.batches import append_columns, text_bytes
 from tablepact.llm.graph import connected_components
 from tablepact.llm.shared import cut
 
+#: Shingles hashed together.
+SHINGLES = 1 << 16
 #: Distinct fingerprints of one tree; fuller shards are split into a grid of cells.
 TREE_SIZE = 20_000
 #: Fingerprints searched together, and (query, tree node) pairs looked at together.
@@ -47,11 +49,13 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, name: st
             joined = b" ".join(words)
             ends = list(accumulate(len(w) + 1 for w in words))
             starts, stops = [0, *ends], ends[shingle - 1 :] or ends[-1:]
-            hashes = np.array(
-                [xxh64_intdigest(joined[s : e - 1], 42) for s, e in zip(starts, stops)], "<u8"
-            )
-            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            most = bits.sum(axis=0, dtype=np.uint32) * 2 > len(hashes)
+            votes = np.zeros(64, np.int64)
+            for at in range(0, len(stops), SHINGLES):
+                bounds = zip(starts[at : at + SHINGLES], stops[at : at + SHINGLES], strict=False)
+                hashes = np.array([xxh64_intdigest(joined[s : e - 1], 42) for s, e in bounds], "<u8")
+                bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                votes += bits.sum(axis=0, dtype=np.uint32)
+            most = votes * 2 > len(stops)
             return int((most.astype(np.uint64) << places).sum(dtype=np.uint64).astype(np.int64))
 
         return lambda batch: [[one(raw) for raw in text_bytes(batch, text)]]
@@ -240,11 +244,11 @@ def keep_one_of_each(
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     doubtful = kept.groupBy("doc_id").count().filter("count > 1 or doc_id is null")
     if doubtful.isEmpty():
-        wanted = kept.select(F.col("doc_id").alias("_kept"))
-        return docs.join(wanted, F.col(f"`{key}`") == F.col("_kept"), "left_semi").select(*names)
-    wanted = kept.select(F.col("doc_id").alias("_kept"), F.col("fp").alias("_kept_fp"), F.col("class").alias("_class"))
+        wanted = kept.select(F.col("doc_id").alias("_kept_doc_id"))
+        return docs.join(wanted, F.col(f"`{key}`") == F.col("_kept_doc_id"), "left_semi").select(*names)
+    wanted = kept.select(F.col("doc_id").alias("_kept_doc_id"), F.col("fp").alias("_fp_of_kept"), F.col("class").alias("_class"))
     first = Window.partitionBy("_class").orderBy("_fp", F.col(f"`{text}`").asc_nulls_last())
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_kept")) & (F.col("_fp") == F.col("_kept_fp"))
+    same = F.col(f"`{key}`").eqNullSafe(F.col("_kept_doc_id")) & (F.col("_fp") == F.col("_fp_of_kept"))
     return (
         fingerprints(docs, text, shingle, "_fp")
         .join(wanted.distinct(), same)

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -357,11 +357,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without repeated strings; texts with nothing else go.
 
-    n_chars follows the text where there is such a column.
+    n_chars follows the text where there is such a column; others stay as they are.
     """
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    left = remove_repeats(docs.withColumn("n_chars", F.col("n_chars")) if "n_chars" in docs.columns else docs)
+    names = [c for c in docs.columns if c not in ("doc_id", "text")]
+    others = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names])
+    left = remove_repeats(docs.select("doc_id", "text", others.alias("_others")))
     left = left.filter("n_removed = 0 or n_removed < n_bytes")
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
-    return left.select(*names)
+
+    def column(name: str) -> Column:
+        if name in ("doc_id", "text"):
+            return F.col(name)
+        was = F.col("_others")[name]
+        if name == "n_chars":
+            was = F.coalesce(F.length("text").cast(docs.schema[name].dataType), was)
+        return was.alias(name)
+
+    return left.select(*map(column, docs.columns))
