@@ -227,7 +227,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     low = x < 8
     shift = np.where(low, np.prod([np.where(low, x + k, 1.0) for k in range(8)], axis=0), 1.0)
     x = np.where(low, x + 8, x)
-    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7)
     return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
 
 

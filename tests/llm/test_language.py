@@ -1,0 +1,77 @@
+import zlib
+
+from pyspark.sql import functions as F
+
+from tablepact.llm.language import LanguageOptions, fit_dictionaries, identify_language, keep_known_languages, op7_language_id
+from tests.llm.conftest import ODD
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    got = op7_language_id(spark, SF)
+    rows = got.join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == 1000
+    held = [r for r in rows if r["held_out"]]
+    assert {r["doc_id"] for r in held} == {i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.97 * len(held)
+    assert all(0 <= r["score"] <= 1 for r in rows) and sum(r["rejected"] for r in rows) < 0.01 * len(rows)
+
+
+def test_sample_is_bounded_and_independent_of_order(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    options = LanguageOptions(sample_rows=20, excerpt_chars=300, dictionary_bytes=4000)
+    one = fit_dictionaries(docs, options=options)
+    assert one == fit_dictionaries(docs.orderBy(F.desc("text")).repartition(5), options=options)
+    assert set(one) == {"de", "en", "es", "fr"} and all(0 < len(v) <= 4000 for v in one.values())
+
+
+def test_smallest_encoding_wins(documents):
+    """The choice and the score are those of encoding each text by hand."""
+    import zstandard
+
+    prior = {"a": b"the cat sat on the mat and the dog ran to the house " * 3, "b": b"der hund lief zum haus und die katze sass " * 3}
+    texts = ["The dog sat on the house", "Die Katze lief zum Hund", "xyz qqq"]
+    rows = identify_language(documents(*texts), prior, options=LanguageOptions(level=5, recheck=0)).orderBy("doc_id").collect()
+    for text, row in zip(texts, rows, strict=True):
+        sizes = {}
+        for name, content in prior.items():
+            book = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            encoder = zstandard.ZstdCompressor(level=5, dict_data=book, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[name] = len(encoder.compress(b" " + text.lower().encode() + b" "))
+        assert row["lang_pred"] == min(sizes, key=sizes.get)
+        assert row["score"] == (max(sizes.values()) - min(sizes.values())) / max(sizes.values())
+        assert row["rejected"] == (row["score"] < 0.002)
+
+
+def test_odd_rows(documents):
+    prior = {"en": b"words of one language", "fr": b"des mots d'une autre"}
+    frame = documents(*ODD, (None, None, None, None), (70, "words of one", None, None), (70, "words of one", None, None))
+    frame = frame.withColumn("lang_pred", F.lit("mine")).withColumn("Score", F.lit("mine"))
+    got = identify_language(frame, prior).collect()
+    assert len(got) == len(ODD) + 3
+    for row in got:
+        if not any(map(str.isalpha, row["text"] or "")):
+            assert (row["lang_pred"], row["score"], row["rejected"]) == ("und", 0.0, True)
+    assert [r["lang_pred"] for r in got if r["doc_id"] == 70] == ["en", "en"]
+    assert identify_language(documents(), prior).collect() == []
+    unknown = identify_language(documents("some text"), {}).first()
+    assert (unknown["lang_pred"], unknown["rejected"]) == ("und", True)
+    assert identify_language(documents("some text"), {"en": b"text"}).first()["lang_pred"] == "en"
+
+
+def test_nothing_to_learn_from(documents):
+    assert fit_dictionaries(documents()) == {} == fit_dictionaries(documents((1, None, "en", "s"), (2, "text", None, "s")))
+
+
+def test_long_text(documents):
+    prior = {"en": b"words of one language and more words", "fr": b"des mots d'une autre et d'autres mots"}
+    assert identify_language(documents("des mots d'une autre " * 50_000), prior).first()["lang_pred"] == "fr"
+
+
+def test_stage_keeps_rows_and_columns(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("rejected", F.lit("mine"))
+    got = keep_known_languages(spark, docs, "")
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert len(rows) >= 197 and {r["rejected"] for r in rows} == {"mine"}
