@@ -67,7 +67,8 @@ def parse_expression(text: str) -> License | None:
     """Evaluates a licence expression; None if it is malformed.
 
     ``and`` binds the strictest of its sides, ``or`` lets the mildest be chosen, and
-    ``with`` an exception makes sharing of works one of changes. Case is ignored.
+    ``with`` an exception makes sharing of works one of changes. Case is ignored, and
+    brackets around a single name mean nothing.
     """
     output: list[License | str] = []
     operators: list[str] = []
