@@ -1,0 +1,64 @@
+import corpus_pipeline
+from tablepact.llm.language import fit_dictionaries, identify_language, training_row
+from tests.llm.test_simhash import classes, plain_fingerprint
+from tests.llm.test_suffixes import plain as plain_suffixes
+from tests.llm.test_wumanber import plain as plain_benchmark
+
+SF = "/root/testdata/sf0.001"
+
+
+def cut_texts(texts, length=100):
+    """Texts without repeated strings, and whether anything is left."""
+    seen, out = set(), []
+    for text in texts:
+        raw = text.encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if (part := raw[i : i + length]) in seen:
+                gone[i : i + length] = b"\1" * length
+            seen.add(part)
+        kept = bytes(c for c, g in zip(raw, gone) if not g)
+        out.append((kept.decode(errors="ignore"), not raw or bool(kept)))
+    return out
+
+
+def test_stages_are_the_dealt_ones():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_dedup", "suffix_dedup", "decontaminate", "mix"]
+
+
+def test_run_matches_a_plain_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    learned = fit_dictionaries(docs.filter(training_row(docs["doc_id"])))
+    rows = [r for r in identify_language(docs, learned).orderBy("doc_id").collect() if not r["rejected"]]
+    label = classes([plain_fingerprint(r["text"]) for r in rows])
+    rows = [r for i, r in enumerate(rows) if label[i] == i]
+    texts = cut_texts([r["text"] for r in rows])
+    assert len(texts) == len(plain_suffixes([r["text"] for r in rows]))
+    rows = [(r["doc_id"], r["source"], t) for r, (t, left) in zip(rows, texts, strict=True) if left]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = [r for r in rows if not plain_benchmark(r[2], items)[1]]
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert sorted((r["doc_id"], r["source"], r["size"]) for r in got) == sorted((d, s, len(t.split())) for d, s, t in rows)
+    sizes = {}
+    for _, source, text in rows:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+    assert {r["source"]: r["source_size"] for r in got} == sizes
+    assert all(r["taken"] <= 2 * r["size"] for r in got)
+    for source in sizes:
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 96
+
+
+def test_odd_rows(spark, documents, tiny):
+    clean = "the quick brown fox jumps over the lazy dog and runs through the green wood until the evening comes"
+    rows = [(None, clean + " one", "en", None), (1, None), (2, ""), (3, clean, "en", "s"), (3, clean, "en", "s"), (4, "à la maison nous avons mangé du pain avec du beurre et de la confiture", "fr", "t"), (5, clean + " " + clean + " " + clean, "en", "s")]
+    benchmark = spark.createDataFrame([(1, None)], "item_id long, text string")
+    sf = tiny(documents(*rows), benchmark=benchmark)
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert {r["doc_id"] for r in got} <= {None, 3, 4, 5} and {3, 4} <= {r["doc_id"] for r in got}
+    assert sum(r["doc_id"] == 3 for r in got) == 1
+
+
+def test_empty_tables(spark, documents, tiny):
+    sf = tiny(documents(), benchmark=spark.createDataFrame([], "item_id long, text string"))
+    assert corpus_pipeline.run(spark, sf).collect() == []
