@@ -134,7 +134,8 @@ def fit_quality(
     draw = F.pmod(F.xxhash64("_key", F.lit("quality sample")), F.lit(1 << 30)) / F.lit(1 << 30)
     rate = F.when(F.col("good"), 1.1 * options.sample_rows / counts[True]).otherwise(1.1 * options.sample_rows / counts[False])
     chosen = marked.filter(draw < rate)
-    sample = docs.filter(F.col(text).isNotNull()).join(chosen, F.col(key) == F.col("_key")).select(
+    # the sample's keys have a bound, so the texts of other documents need not move
+    sample = docs.filter(F.col(text).isNotNull()).join(F.broadcast(chosen), F.col(key) == F.col("_key")).select(
         F.xxhash64("_key", F.lit("fold")).alias("fold"), "good", F.col(text).alias("text")
     )
 
