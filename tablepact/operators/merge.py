@@ -5,7 +5,7 @@ match nothing; they go around the join, since an outer or anti join would send
 them all to one task. The right side of every existence test is reduced to
 distinct keys first.
 
-Merges make batch keys unique before joining, so a repeated key cannot fan out:
+Whatever pairs rows makes batch keys unique first, so a repeated key cannot fan out:
 the row greatest by ``order_by`` stays, or without an order one chosen by its
 content. Pass ``unique=True`` if the batch is unique already.
 """
@@ -30,6 +30,9 @@ END = "effective_end_date"
 CURRENT = "is_current"
 HISTORY = (START, END, CURRENT)
 
+# Which batch opened a version: with the key, it tells versions of one day apart.
+OPENED = "__opened"
+
 # Fixed value: the end date of a row that is still in force.
 OPEN_END = "9999-12-31"
 
@@ -97,9 +100,16 @@ def merge_untouched(batch: DataFrame, business: DataFrame, keys: Sequence[str])
 
 
 def merge_left_join(
-    batch: DataFrame, business: DataFrame, keys: Sequence[str], prefix: str = "business_"
+    batch: DataFrame,
+    business: DataFrame,
+    keys: Sequence[str],
+    prefix: str = "business_",
+    *,
+    order_by: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
-    """Batch rows beside the business row of the same key, if there is one."""
+    """Batch rows, one per key, beside the business row of the same key, if any."""
+    batch = _unique(batch, keys, order_by, unique).unionByName(_unkeyed(batch, keys))
     renamed = _keyed(business, keys).select(*[ref(c).alias(prefix + c) for c in business.columns])
     on = reduce(and_, [batch[k] == renamed[prefix + k] for k in keys])
     joined = _keyed(batch, keys).join(renamed, on, "left")
@@ -118,8 +128,12 @@ def scd1_merge(
     unique: bool = False,
 ) -> DataFrame:
     """Batch rows replace business rows of the same key; the rest is kept."""
-    kept = _unique(batch, keys, order_by, unique).unionByName(_unkeyed(batch, keys))
-    return kept.unionByName(merge_untouched(batch, business, keys))
+    incoming = _unique(batch, keys, order_by, unique)
+    # The unique rows' keys serve the anti join too, so the batch is shuffled once.
+    known = incoming.select(*[ref(k) for k in keys])
+    kept = _keyed(business, keys).join(known, list(keys), "left_anti").select(*business.columns)
+    around = _unkeyed(batch, keys).unionByName(_unkeyed(business, keys))
+    return incoming.unionByName(kept).unionByName(around)
 
 
 # -------------------------------------------------------------------- SCD2
@@ -203,6 +217,8 @@ def scd2_changed(
     tracked: Sequence[str],
     *,
     mode: str = "strict",
+    order_by: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Business rows whose key is in the batch with other tracked values.
 
@@ -211,7 +227,8 @@ def scd2_changed(
     """
     _check(mode)
     existing = current_rows(business) if mode == "strict" else business
-    pairs = _lookup(_keyed(existing, keys), _keyed(batch, keys), keys, tracked, "inner")
+    incoming = _unique(batch, keys, order_by, unique)
+    pairs = _lookup(_keyed(existing, keys), incoming, keys, tracked, "inner")
     return pairs.filter(_differs("old", "new", tracked, mode)).select("old.*")
 
 
@@ -223,9 +240,14 @@ def scd2_close_history(
     load_date: str | date,
     *,
     mode: str = "strict",
+    order_by: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
-    """The changed business rows, ended at the load date."""
-    return _closed(scd2_changed(business, batch, keys, tracked, mode=mode), load_date)
+    """The changed business rows, each once, ended at the load date."""
+    changed = scd2_changed(
+        business, batch, keys, tracked, mode=mode, order_by=order_by, unique=unique
+    )
+    return _closed(changed, load_date)
 
 
 def scd2_new_versions(
@@ -236,12 +258,15 @@ def scd2_new_versions(
     load_date: str | date,
     *,
     mode: str = "strict",
+    order_by: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
-    """Versions the batch opens: new and changed keys, or every row as read."""
+    """Versions the batch opens, one per key: new and changed keys, or all as read."""
     _check(mode)
+    incoming = _unique(batch, keys, order_by, unique)
     if mode == "as_read":
-        return open_versions(batch, load_date)
-    opened = _fresh(_keyed(batch, keys), _keyed(current_rows(business), keys), keys, tracked)
+        return open_versions(incoming.unionByName(_unkeyed(batch, keys)), load_date)
+    opened = _fresh(incoming, _keyed(current_rows(business), keys), keys, tracked)
     return open_versions(opened.unionByName(_unkeyed(batch, keys)), load_date)
 
 
@@ -297,7 +322,8 @@ def scd2_apply(
     if plan == "shuffle":
         applied = _versions(known, opened, keys, tracked, load_date, "full")
     else:
-        found = matched(known.select(*[ref(k) for k in keys]), batch, keys)
+        wanted = incoming.select(*[ref(k) for k in keys])
+        found = known.select(*[ref(k) for k in keys]).join(wanted, list(keys), "left_semi")
         inserts = opened.join(found, list(keys), "left_anti").select(*ordered)
         applied = _versions(known, opened, keys, tracked, load_date, "left").unionByName(inserts)
     around = _unkeyed(current, keys).unionByName(open_versions(_unkeyed(batch, keys), load_date))
@@ -329,6 +355,47 @@ def _versions(
     return pairs.select(F.inline(versions))
 
 
+def scd2_changes(
+    batch: DataFrame,
+    current: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    load_date: str | date,
+    *,
+    plan: str = "auto",
+    order_by: Sequence[str] = (),
+    unique: bool = False,
+) -> DataFrame:
+    """Only what a batch changes: versions it closes and versions it opens.
+
+    Current rows are scanned once. ``lookup`` first narrows them to the batch's keys
+    by a semi join, which leaves them where they are while Spark can broadcast the
+    keys; ``shuffle`` joins both tables, each shuffled once. Columns of ``current``
+    besides the history columns must be in the batch.
+    """
+    _check("strict", plan)
+    if plan == "auto":
+        plan = "lookup" if fits_broadcast(batch.select(*[ref(k) for k in keys])) else "shuffle"
+    columns = [c for c in current.columns if c not in HISTORY]
+    ordered = [*columns, *HISTORY]
+    batch = batch.select(*[ref(c) for c in columns])
+    known = _keyed(current.select(*[ref(c) for c in ordered]), keys)
+    incoming = _unique(batch, keys, order_by, unique)
+    if plan == "lookup":
+        wanted = incoming.select(*[ref(k) for k in keys])
+        known = known.join(wanted, list(keys), "left_semi").select(*ordered)
+    left = _packed(open_versions(incoming, load_date).select(*ordered), keys, "new", ordered)
+    pairs = left.join(_packed(known, keys, "old", ordered), _joined_keys(keys), "left")
+    old, new = F.col("old"), F.col("new")
+    replaced = {END: F.lit(_text(load_date)), CURRENT: F.lit(False)}
+    ended = F.struct(*[replaced.get(c, old[c]).alias(c) for c in ordered])
+    versions = F.when(old.isNull(), F.array(new)).when(
+        _differs("old", "new", tracked, "strict"), F.array(ended, new)
+    )
+    changes = pairs.select(F.inline(versions))
+    return changes.unionByName(open_versions(_unkeyed(batch, keys), load_date).select(*ordered))
+
+
 def scd2_merge(
     batch: DataFrame,
     business: DataFrame,

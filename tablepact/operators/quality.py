@@ -113,8 +113,13 @@ def _one_of(value: Column, data_type: DataType, allowed: Sequence[Any]) -> Colum
     return F.when(value.isNotNull(), reduce(or_, hits))
 
 
-def compile_rules(contract: Contract, kinds: Iterable[str] = RULE_KINDS) -> list[Rule]:
-    """The contract's rules in contract order; within a field in RULE_KINDS order."""
+def compile_rules(
+    contract: Contract, kinds: Iterable[str] = RULE_KINDS, required: Sequence[str] = ()
+) -> list[Rule]:
+    """The contract's rules in contract order; within a field in RULE_KINDS order.
+
+    ``required`` columns get a not-null rule in any case.
+    """
     kinds = tuple(kinds)
     unknown = set(kinds) - set(RULE_KINDS)
     if unknown:
@@ -122,7 +127,7 @@ def compile_rules(contract: Contract, kinds: Iterable[str] = RULE_KINDS) -> list
     rules = []
     for f in contract.fields:
         name = f.target
-        if "not_null" in kinds and not f.nullable:
+        if name in required or ("not_null" in kinds and not f.nullable):
             rules.append(Rule(name, "not_null", f"{name} null"))
         if "regex" in kinds and f.regex:
             rules.append(Rule(name, "regex", f"{name} regex", regex=f.regex))

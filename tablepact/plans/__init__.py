@@ -10,7 +10,9 @@ from .etl import (
     strict_tagged,
 )
 from .layered import (
+    DuplicateKeys,
     Layers,
+    compact,
     layered_tagged,
     load_daily_scd2,
     load_hourly_scd2,
@@ -20,8 +22,10 @@ from .layered import (
 from .result import LoadResult
 
 __all__ = [
+    "DuplicateKeys",
     "Layers",
     "LoadResult",
+    "compact",
     "layered_tagged",
     "lenient_frame",
     "load_daily_scd2",

@@ -11,9 +11,18 @@ on_cast_error    ``null``, ``reject`` or ``fail``
 all_reasons      also list every failed rule in ``error_reasons``
 min_valid_ratio  the gate's limit, if not the contract's
 reject_mode      ``overwrite`` the batch's rejects, or ``append`` to them
-scd_mode         ``strict`` or ``as_read``; see ``merge.scd2_merge``
-keys, tracked    business key and compared columns, if not the contract's
+scd_mode         ``strict`` or ``as_read``; see ``merge.scd2_merge``. A table keeps the
+                 mode of its first batch
+keys, tracked    business key and compared columns, if not the contract's. Rows
+                 without a key are rejected
+duplicates       what to do with valid rows that share a key: ``raise``, or merge the
+                 ``latest`` by ``order_by`` and count the others; by default ``latest``
+                 if there is an order, else ``raise``
 order_by         which of several batch rows with one key to merge: the greatest
+
+What would keep a batch from being merged (a newer snapshot, another mode, a column
+whose type doesn't fit the table's) raises before anything is written. Columns that
+only the table has are NULL in new rows; columns that only the batch has are added.
 """
 
 from __future__ import annotations
@@ -31,17 +40,24 @@ from ..audit import AuditLog, audited
 from ..contract import Contract, ContractError
 from ..functions.frames import empty_frame
 from ..operators import gates, merge, quality
-from ..operators.mapping import Mapping, compile_mapping, load_partition, with_ingest_ts
+from ..operators.dedupe import any_null, latest_per_key
+from ..operators.mapping import CAST_ERROR, Mapping, compile_mapping, load_partition, with_ingest_ts
 from ..operators.schema import annotated_schema, clean_schema
-from ..sources import writers
+from ..functions.casts import ref
+from ..sources import tables, writers
 from ..sources.contracts import save_document
 from ..sources.readers import read_source
 from .result import LoadResult, watched
 
 _REASON = "__reason"
+DUPLICATES = ("raise", "latest")
 LAYERED_RULES = ("range", "allowed")
 
 
+class DuplicateKeys(ValueError):
+    """Valid rows of a batch share a key, and nothing says which to merge."""
+
+
 @dataclass(frozen=True)
 class Layers:
     """Where each layer of a dataset lives; business tables hold snapshots."""
@@ -60,6 +76,7 @@ def _compile(
     kinds: Sequence[str],
     keep_extra: bool = True,
     on_cast_error: str = "null",
+    keys: Sequence[str] = (),
 ) -> tuple[Mapping, list[quality.Rule], StructType]:
     mapping = compile_mapping(
         source.schema,
@@ -68,7 +85,7 @@ def _compile(
         missing="raise",
         on_cast_error=on_cast_error,
     )
-    rules = quality.compile_rules(contract, kinds)
+    rules = quality.compile_rules(contract, kinds, required=keys)
     return mapping, rules, mapping.apply(source).schema
 
 
@@ -80,9 +97,11 @@ def layered_tagged(
     kinds: Sequence[str] = LAYERED_RULES,
     on_cast_error: str = "null",
     all_reasons: bool = False,
+    keys: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Mapped rows, each with the first rule it fails."""
-    mapping, rules, _ = _compile(source, contract, kinds, on_cast_error=on_cast_error)
+    """Mapped rows, each with the first rule it fails; a key is never NULL."""
+    keys = contract.key_columns if keys is None else keys
+    mapping, rules, _ = _compile(source, contract, kinds, on_cast_error=on_cast_error, keys=keys)
     return quality.tag_rows(
         mapping.apply(source), rules, null_policy=null_policy, all_reasons=all_reasons
     )
@@ -95,9 +114,12 @@ def _copy_raw(
     null_policy: str,
     kinds: Sequence[str],
     on_cast_error: str,
+    keys: Sequence[str],
 ) -> dict[str, int]:
     """Copy the source untouched; count valid and rejected rows on the way."""
-    mapping, rules, schema = _compile(source, contract, kinds, on_cast_error=on_cast_error)
+    mapping, rules, schema = _compile(
+        source, contract, kinds, on_cast_error=on_cast_error, keys=keys
+    )
     reason = quality.first_failure(rules, schema, null_policy, mapping.value)
     flagged = source.withColumn(_REASON, reason)
     valid = F.col(_REASON).isNull()
@@ -129,6 +151,52 @@ def _write_rejects(
     writers.write_batch(writers.evened(rejects), layers.rejects, dt, hr, mode)
 
 
+def _key_counts(batch: DataFrame, keys: Sequence[str]) -> dict[str, int]:
+    """Rows without a key, and rows beyond the first of their key; reads only the keys."""
+    groups = batch.groupBy(*[ref(k) for k in keys]).agg(F.count(F.lit(1)).alias("__rows"))
+    none = any_null(keys)
+    row = groups.agg(
+        F.sum(F.when(none, F.col("__rows"))).alias("keyless_rows"),
+        F.sum(F.when(~none, F.col("__rows") - 1)).alias("duplicate_rows"),
+    ).first()
+    return {name: row[name] or 0 for name in ("keyless_rows", "duplicate_rows")}
+
+
+def _duplicates(duplicates: str | None, order_by: Sequence[str]) -> str:
+    chosen = duplicates or ("latest" if order_by else "raise")
+    if chosen not in DUPLICATES:
+        raise ValueError(f"duplicates={duplicates!r}")
+    if chosen == "latest" and not order_by:
+        raise ValueError("duplicates='latest' needs order_by")
+    return chosen
+
+
+def _account(batch: DataFrame, keys: Sequence[str], duplicates: str, result: LoadResult) -> None:
+    """Count the rows that will not be merged; stop where none may be dropped."""
+    counts = _key_counts(batch, keys)
+    result.metrics.update(counts)
+    report = result.log.warn if any(counts.values()) else result.log.info
+    report("keys", "Keys counted", **counts)
+    if counts["duplicate_rows"] and duplicates == "raise":
+        raise DuplicateKeys(f"{counts['duplicate_rows']} rows repeat a key of {list(keys)}")
+
+
+def _opened(
+    spark: SparkSession,
+    root: str,
+    layout: str,
+    keys: Sequence[str],
+    snapshot: str,
+    schema: StructType,
+    log: AuditLog,
+) -> tables.Table:
+    table = tables.open_table(spark, root, layout, keys, snapshot, schema)
+    missing = [c for c in table.missing if c not in merge.HISTORY]
+    if missing:
+        log.warn("schema", "The batch lacks columns of the table", missing=missing)
+    return table
+
+
 def _load_scd2(
     spark: SparkSession,
     source: DataFrame,
@@ -147,6 +215,7 @@ def _load_scd2(
     scd_mode: str = "strict",
     keys: Sequence[str] | None = None,
     tracked: Sequence[str] | None = None,
+    duplicates: str | None = None,
     order_by: Sequence[str] = (),
 ) -> LoadResult:
     for name in ("curated", "rejects", "business"):
@@ -159,6 +228,15 @@ def _load_scd2(
     tracked = list(tracked if tracked is not None else contract.tracked_columns)
     if not keys:
         raise ContractError("an SCD2 load needs a key: flag a primary_key field or pass keys")
+    duplicates = _duplicates(duplicates, order_by)
+    merge._check(scd_mode)
+    snapshot = dt if hr is None else f"{dt}-{hr}"
+    mapping = _compile(source, contract, kinds, on_cast_error=on_cast_error, keys=keys)[0]
+    shape = with_ingest_ts(mapping.apply(source), moment).drop(CAST_ERROR).schema
+    layout = "scd2" if scd_mode == "strict" else "whole"
+    table = _opened(
+        spark, layers.business, layout, keys, snapshot, merge.history_schema(shape), log
+    )
     if layers.schema_document:
         document = annotated_schema(source.schema) if hourly else clean_schema(
             source.schema, "raw_layer", "curated_layer"
@@ -168,7 +246,9 @@ def _load_scd2(
 
     if layers.raw:
         raw_path = writers.batch_path(layers.raw, dt, hr)
-        counts = _copy_raw(source, contract, raw_path, null_policy, kinds, on_cast_error)
+        counts = _copy_raw(
+            source, contract, raw_path, null_policy, kinds, on_cast_error, keys
+        )
         source = spark.read.schema(source.schema).parquet(raw_path)
         result.paths["raw"] = raw_path
         log.info("raw_copy", "Raw copy written", path=raw_path)
@@ -180,6 +260,7 @@ def _load_scd2(
         kinds=kinds,
         on_cast_error=on_cast_error,
         all_reasons=all_reasons,
+        keys=keys,
     )
     if not layers.raw:
         counts = _count_rows(tagged)
@@ -199,48 +280,48 @@ def _load_scd2(
     log.info("curated", "Curated partition written", path=result.paths["curated"])
 
     batch = spark.read.schema(curated.schema).parquet(result.paths["curated"])
-    snapshot = dt if hr is None else f"{dt}-{hr}"
-    _merge_scd2(
-        spark, batch, layers.business, snapshot, keys, tracked, dt, scd_mode, order_by
-    )
+    _account(batch, keys, duplicates, result)
+    fitted = table.fitted(batch, snapshot).filter(~any_null(keys))
+    if scd_mode == "strict":
+        changes = merge.scd2_changes(
+            fitted, table.current(), keys, tracked, dt, order_by=order_by
+        )
+    else:
+        changes = merge.scd2_merge(
+            fitted, table.rows(), keys, tracked, dt, mode=scd_mode, order_by=order_by
+        )
+    table.write(changes, snapshot)
     result.snapshot = snapshot
     result.paths["business"] = layers.business
     log.info("merge", "Business layer merged", path=layers.business, snapshot=snapshot)
     return result
 
 
-def _merge_scd2(
-    spark: SparkSession,
-    batch: DataFrame,
-    root: str,
-    snapshot: str,
-    keys: Sequence[str],
-    tracked: Sequence[str],
-    load_date: str,
-    mode: str,
-    order_by: Sequence[str],
-) -> None:
-    schema = merge.history_schema(batch.schema)
-    base = writers.base_snapshot(spark, root, snapshot)
-    if mode == "strict":
-        current = writers.read_current(spark, root, schema, base)
-        applied = merge.scd2_apply(batch, current, keys, tracked, load_date, order_by=order_by)
-        writers.write_history_snapshot(applied, root, snapshot)
-        return
-    business = writers.read_base(spark, root, schema, base)
-    merged = merge.scd2_merge(
-        batch, business, keys, tracked, load_date, mode=mode, order_by=order_by
+def read_business(
+    spark: SparkSession, root: str, schema: StructType | None = None
+) -> DataFrame:
+    """The business table as of its newest finished snapshot.
+
+    It has the columns of all its batches, or those of ``schema``. Before the first
+    snapshot it is empty, for which a schema is needed.
+    """
+    table = tables.read_table(spark, root)
+    if table is None:
+        if schema is None:
+            raise tables.BrokenTable(f"no finished snapshot at {root}")
+        return empty_frame(spark, schema)
+    rows = table.rows()
+    if schema is None:
+        return rows
+    have = set(rows.columns)
+    return rows.select(
+        *[ref(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
     )
-    writers.write_snapshot(merged, root, snapshot)
 
 
-def read_business(
-    spark: SparkSession, root: str, schema: StructType, scd_mode: str = "strict"
-) -> DataFrame:
-    """The business table as of its newest finished snapshot."""
-    if scd_mode == "strict":
-        return writers.read_history(spark, root, schema)
-    return writers.read_snapshot(spark, root, schema)
+def compact(spark: SparkSession, root: str) -> str | None:
+    """Fold a business table's snapshots into one; see ``tables.fold``."""
+    return tables.fold(spark, root)
 
 
 def load_hourly_scd2(
@@ -293,22 +374,35 @@ def load_scd1(
     fmt: str = "csv",
     kinds: Sequence[str] = LAYERED_RULES,
     combine: str = "any",
+    on_cast_error: str = "null",
     keys: Sequence[str] | None = None,
+    duplicates: str | None = None,
     order_by: Sequence[str] = (),
 ) -> LoadResult:
     """Raw copy, reject and null gates, staging (``layers.curated``), SCD1 merge.
 
     This load gates batches; it does not route rows, so invalid rows of an
-    accepted batch stay. Three passes: raw (which also counts), staging,
-    business.
+    accepted batch stay. Rows without a key stay in staging, are counted, and are
+    not merged. Three passes: raw (which also counts), staging, and the batch's own
+    rows as a snapshot; the table itself is neither read nor rewritten.
     """
+    for name in ("raw", "curated", "business"):
+        if not getattr(layers, name):
+            raise ValueError(f"set layers.{name}")
     df = read_source(spark, source, fmt) if isinstance(source, str) else source
     keys = list(keys or contract.key_columns)
     if not keys:
         raise ContractError("an SCD1 load needs a key: flag a primary_key field or pass keys")
     with audited(spark, contract.name or "scd1", layers.audit, moment) as log:
         result = LoadResult(log=log)
-        mapping, rules, schema = _compile(df, contract, kinds, keep_extra=False)
+        chosen = _duplicates(duplicates, order_by)
+        mapping, rules, schema = _compile(
+            df, contract, kinds, keep_extra=False, on_cast_error=on_cast_error
+        )
+        dt, hr = load_partition(moment)
+        snapshot = f"{dt}-{hr}"
+        shape = with_ingest_ts(mapping.apply(df), moment).drop(CAST_ERROR).schema
+        table = _opened(spark, layers.business, "scd1", keys, snapshot, shape, log)
         copied, counts = watched(
             df,
             [
@@ -335,17 +429,16 @@ def load_scd1(
             gate.enforce()
 
         raw = spark.read.schema(df.schema).parquet(layers.raw)
-        staging = with_ingest_ts(mapping.apply(raw), moment)
+        staging = with_ingest_ts(mapping.apply(raw), moment).drop(CAST_ERROR)
         writers.overwrite(staging, layers.curated)
         log.info("staging", "Staging written", path=layers.curated)
 
         batch = spark.read.schema(staging.schema).parquet(layers.curated)
-        dt, hr = load_partition(moment)
-        snapshot = f"{dt}-{hr}"
-        base = writers.base_snapshot(spark, layers.business, snapshot)
-        business = writers.read_base(spark, layers.business, staging.schema, base)
-        merged = merge.scd1_merge(batch, business, keys, order_by=order_by)
-        writers.write_snapshot(merged, layers.business, snapshot)
+        _account(batch, keys, chosen, result)
+        keyed = table.fitted(batch, snapshot).filter(~any_null(keys))
+        if result.metrics["duplicate_rows"]:
+            keyed = latest_per_key(keyed, keys, order_by)
+        table.write(keyed, snapshot)
         result.snapshot = snapshot
         result.paths = {
             "raw": layers.raw, "curated": layers.curated, "business": layers.business

@@ -1,34 +1,17 @@
-"""Sinks: layers by batch partition, and business tables by snapshot."""
+"""Sinks: layers by batch partition, and where snapshots of business tables lie."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..functions.casts import ref
-from ..functions.frames import empty_frame
-from ..operators.merge import CURRENT
 
 _SNAPSHOT = "snapshot="
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder the cluster names for checkpoints.
-
-    Only a local session without that setting gets a folder on this machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/tablepact/{label}-{uuid.uuid4().hex}"
-
-
 # -------------------------------------------------------------------- layers
 
 
@@ -112,81 +95,5 @@ def _snapshots_holding(spark: SparkSession, root: str, entry: str) -> list[str]:
     return sorted(s.getPath().getParent().getName()[len(_SNAPSHOT) :] for s in found)
 
 
-def committed_snapshots(spark: SparkSession, root: str) -> list[str]:
-    """Ids of finished snapshots, oldest first."""
-    return _snapshots_holding(spark, root, "_SUCCESS")
-
-
 class StaleBatch(ValueError):
     """A batch older than the newest snapshot cannot be merged on top of it."""
-
-
-def base_snapshot(spark: SparkSession, root: str, snapshot: str) -> str | None:
-    """The snapshot a batch builds on: the newest one before its own id.
-
-    A retry of the newest batch therefore starts from the same base again.
-    """
-    done = committed_snapshots(spark, root)
-    if done and done[-1] > snapshot:
-        raise StaleBatch(f"snapshot {done[-1]} is newer than {snapshot}")
-    earlier = [i for i in done if i < snapshot]
-    return earlier[-1] if earlier else None
-
-
-def write_snapshot(df: DataFrame, root: str, snapshot: str) -> str:
-    """Write a whole table beside its predecessors; readers switch on success."""
-    target = snapshot_path(root, snapshot)
-    df.write.mode("overwrite").parquet(target)
-    return target
-
-
-def read_base(
-    spark: SparkSession, root: str, schema: StructType, snapshot: str | None
-) -> DataFrame:
-    """The snapshot of that id; an empty table before the first one."""
-    if snapshot is None:
-        return empty_frame(spark, schema)
-    return spark.read.schema(schema).parquet(snapshot_path(root, snapshot))
-
-
-def read_snapshot(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """The newest finished snapshot; empty if there is none."""
-    done = committed_snapshots(spark, root)
-    return read_base(spark, root, schema, done[-1] if done else None)
-
-
-def write_history_snapshot(applied: DataFrame, root: str, snapshot: str) -> str:
-    """Write what ``scd2_apply`` returns, split by ``is_current``.
-
-    A snapshot holds all rows in force but only the rows *its* batch closed, so
-    closed history is written once and never again.
-    """
-    target = snapshot_path(root, snapshot)
-    applied.write.mode("overwrite").partitionBy(CURRENT).parquet(target)
-    return target
-
-
-def read_current(
-    spark: SparkSession, root: str, schema: StructType, snapshot: str | None
-) -> DataFrame:
-    """Rows in force as of a snapshot; reads only its current partition."""
-    if snapshot is None:
-        return empty_frame(spark, schema)
-    table = spark.read.schema(schema).parquet(snapshot_path(root, snapshot))
-    return table.filter(table[CURRENT]).select(*schema.fieldNames())
-
-
-def read_history(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """The full history: rows in force now, and all rows ever closed."""
-    done = committed_snapshots(spark, root)
-    if not done:
-        return empty_frame(spark, schema)
-    names = schema.fieldNames()
-    current = read_current(spark, root, schema, done[-1])
-    closed_part = f"{CURRENT}=false"
-    with_closed = set(_snapshots_holding(spark, root, closed_part)) & set(done)
-    if not with_closed:
-        return current
-    paths = [f"{snapshot_path(root, i)}/{closed_part}" for i in sorted(with_closed)]
-    closed = spark.read.schema(schema).option("basePath", root).parquet(*paths)
-    return current.unionByName(closed.select(*names))

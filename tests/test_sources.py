@@ -1,10 +1,12 @@
 import json
 
 import pytest
+from pyspark.sql.types import StructType
 
 from tablepact.contract import ContractError, parse_contract
 from tablepact.operators import merge, schema
-from tablepact.sources import contracts, readers, writers
+from tablepact.sources import contracts, readers, tables, writers
+from workload import inputs
 
 
 @pytest.fixture
@@ -149,52 +151,129 @@ def test_a_retried_batch_replaces_itself_even_when_empty(spark, people, tmp_path
     assert read.sparkSession.read.parquet(path).count() == 4
 
 
-def test_snapshots_switch_on_success(spark, people, tmp_path, rows):
+def put(spark, root, layout, snapshot, df, keys=("id",)):
+    table = tables.open_table(spark, root, layout, keys, snapshot, df.schema)
+    table.write(table.fitted(df, snapshot), snapshot)
+    return table
+
+
+def test_snapshots_switch_when_finished(spark, people, tmp_path, rows):
     root = f"{tmp_path}/business"
-    assert writers.read_snapshot(spark, root, people.schema).count() == 0
-    assert writers.base_snapshot(spark, root, "1") is None
-    writers.write_snapshot(people, root, "1")
-    # A crashed write leaves files but no success marker.
-    target = writers.write_snapshot(people.limit(1), root, "2")
-    import os
-
-    os.rename(f"{target}/_SUCCESS", f"{target}/_temporary_marker")
-    assert writers.committed_snapshots(spark, root) == ["1"]
-    assert writers.read_snapshot(spark, root, people.schema).count() == 2
-    assert writers.base_snapshot(spark, root, "2") == "1"
-    writers.write_snapshot(people.limit(1), root, "2")
-    assert writers.read_snapshot(spark, root, people.schema).count() == 1
-    assert writers.base_snapshot(spark, root, "2") == "1"
+    assert tables.read_table(spark, root) is None
+    assert put(spark, root, "whole", "1", people).parts == ()
+    # A crashed write leaves files but no marker; Spark's own marker doesn't matter.
+    target = f"{tmp_path}/business/snapshot=2"
+    people.limit(1).write.parquet(target)
+    assert tables.finished(spark, root) == ["1"]
+    assert tables.read_table(spark, root).rows().count() == 2
+    for _ in range(2):  # the newest may be retried
+        assert put(spark, root, "whole", "2", people.limit(1)).parts == ("1",)
+        assert tables.read_table(spark, root).rows().count() == 1
     with pytest.raises(writers.StaleBatch):
-        writers.base_snapshot(spark, root, "1")
+        tables.open_table(spark, root, "whole", ["id"], "1", people.schema)
+    assert tables.retire(spark, root) == ["1"] and tables.retire(spark, root) == []
+
+
+def test_no_finished_snapshot_is_no_empty_table(spark, people, tmp_path):
+    root = f"{tmp_path}/business"
+    people.write.parquet(f"{root}/snapshot=1")
+    tables.open_table(spark, root, "whole", ["id"], "1", people.schema)  # a retry of the first
+    with pytest.raises(tables.BrokenTable, match="no finished"):
+        tables.open_table(spark, root, "whole", ["id"], "2", people.schema)
+
+
+def test_layout_and_keys_stay(spark, people, tmp_path):
+    root = f"{tmp_path}/business"
+    put(spark, root, "scd1", "1", people)
+    for layout, keys in (("scd2", ["id"]), ("scd1", ["name"])):
+        with pytest.raises(tables.BrokenTable, match="scd1"):
+            tables.open_table(spark, root, layout, keys, "2", people.schema)
+
+
+@pytest.mark.parametrize(
+    "stored, new, both",
+    [
+        ("int", "bigint", "bigint"), ("bigint", "smallint", "bigint"), ("float", "double", "double"),
+        ("int", "double", "double"), ("decimal(10,2)", "decimal(12,4)", "decimal(12,4)"),
+        ("decimal(12,2)", "decimal(5,4)", "decimal(14,4)"), ("int", "decimal(12,2)", "decimal(12,2)"),
+        ("bigint", "double", None), ("double", "decimal(12,2)", None), ("string", "int", None),
+        ("bigint", "decimal(12,2)", None), ("decimal(38,0)", "decimal(10,10)", None),
+    ],
+)
+def test_types_that_fit(stored, new, both):
+    of = lambda t: StructType.fromDDL(f"c {t}")
+    if both is None:
+        with pytest.raises(tables.SchemaClash, match="c is"):
+            tables.united(of(stored), of(new))
+    else:
+        assert tables.united(of(stored), of(new)) == of(both)
+
+
+@pytest.mark.parametrize("stored, new", [("int", "bigint"), ("int", "double"), ("decimal(6,2)", "decimal(12,4)"), ("float", "double")])
+def test_stored_rows_follow_a_wider_type(spark, tmp_path, stored, new):
+    root = f"{tmp_path}/business"
+    for snapshot, kind in (("1", stored), ("2", new), ("3", stored)):
+        df = spark.sql(f"select {snapshot} as id, cast({snapshot} as {kind}) as v")
+        put(spark, root, "scd1", snapshot, df)
+    table = tables.read_table(spark, root).rows()
+    assert table.schema["v"].dataType.simpleString() == new
+    assert sorted((r.id, float(r.v)) for r in table.collect()) == [(1, 1.0), (2, 2.0), (3, 3.0)]
 
 
-def test_history_snapshots_hold_closed_rows_once(spark, tmp_path, rows):
-    batch_schema = "id int, v int"
+@pytest.mark.parametrize("plan", ["shuffle", "lookup"])
+def test_histories_hold_changes_and_fold(spark, tmp_path, rows, plan):
     root = f"{tmp_path}/history"
-    table = merge.history_schema(spark.createDataFrame([], batch_schema).schema)
-    whole = spark.createDataFrame([], table)
-    batches = [[(1, 1), (2, 2)], [(1, 5), (3, 3)], [(9, 9)], [(1, 6), (2, 7)]]
-    for n, data in enumerate(batches, start=1):
-        batch = spark.createDataFrame(data, batch_schema)
-        day = f"2025-01-0{n}"
-        base = writers.base_snapshot(spark, root, day)
-        current = writers.read_current(spark, root, table, base)
-        applied = merge.scd2_apply(batch, current, ["id"], ["v"], day)
-        writers.write_history_snapshot(applied, root, day)
-        if n == 4:  # the newest batch may be retried
-            base = writers.base_snapshot(spark, root, day)
-            current = writers.read_current(spark, root, table, base)
-            again = merge.scd2_apply(batch, current, ["id"], ["v"], day)
-            writers.write_history_snapshot(again, root, day)
+    schema = merge.history_schema(spark.createDataFrame([], "id int, v int").schema)
+    whole = spark.createDataFrame([], schema)
+    batches = [[(1, 1), (2, 2)], [(1, 5), (3, 3)], [(9, 9)], [(1, 6), (2, 7)], [(1, 8)], [(2, 7), (3, None)]]
+    days = ["2025-01-01", "2025-01-02", "2025-01-03", "2025-01-03", "2025-01-03", "2025-01-06"]
+    for n, (data, day) in enumerate(zip(batches, days, strict=True), start=1):
+        batch = spark.createDataFrame(data, "id int, v int")
+        for _ in range(2 if n in (1, 4) else 1):  # the newest batch may be retried
+            table = tables.open_table(spark, root, "scd2", ["id"], f"{day}-{n}", schema)
+            fitted = table.fitted(batch, f"{day}-{n}")
+            changes = merge.scd2_changes(fitted, table.current(), ["id"], ["v"], day, plan=plan)
+            table.write(changes, f"{day}-{n}")
         merged = merge.scd2_merge(batch, whole, ["id"], ["v"], day)
-        whole = spark.createDataFrame(merged.collect(), table)
-        assert rows(writers.read_history(spark, root, table)) == rows(whole)
-    closed = spark.read.parquet(writers.snapshot_path(root, "2025-01-04")).filter("!is_current")
-    assert rows(closed, "id", "v") == [(1, 5), (2, 2)]
+        whole = spark.createDataFrame(merged.collect(), schema)
+        assert rows(tables.read_table(spark, root).rows()) == rows(whole)
+        if n in (3, 5):
+            assert tables.fold(spark, root) == f"{day}-{n}.fold"
+            assert rows(tables.read_table(spark, root).rows()) == rows(whole)
+            assert tables.fold(spark, root) is None
+            with pytest.raises(writers.StaleBatch):
+                tables.open_table(spark, root, "scd2", ["id"], f"{day}-{n}", schema)
+    assert len(tables.retire(spark, root)) == 6
+    assert rows(tables.read_table(spark, root).rows()) == rows(whole)
+    last = spark.read.parquet(writers.snapshot_path(root, "2025-01-06-6"))
+    assert rows(last, "id", "v", "is_current") == [(3, 3, "false"), (3, None, "true")]
+
+
+def test_newest_rows_count_and_fold(spark, tmp_path, rows):
+    root = f"{tmp_path}/newest"
+    for n, data in enumerate([[(1, 1), (2, 2)], [(2, 3), (3, 3)], [(2, 4)], [(1, None)]]):
+        put(spark, root, "scd1", str(n), spark.createDataFrame(data, "id int, v int"))
+        if n == 2:
+            assert tables.fold(spark, root) == "2.fold"
+    assert rows(tables.read_table(spark, root).rows()) == [(1, None), (2, 4), (3, 3)]
+
+
+def test_a_small_batch_writes_little(spark, tmp_path):
+    """A batch of one row in a hundred, over a table of 64 files."""
+    root = tmp_path / "history"
+    schema = merge.history_schema(spark.range(1).selectExpr("id", "id as v").schema)
+    first = spark.range(0, 64_000, 1, 64).selectExpr("id", "id as v")
+    for snapshot, batch in (("1", first), ("2", first.filter("id % 100 = 0").selectExpr("id", "v + 1 as v"))):
+        table = tables.open_table(spark, str(root), "scd2", ["id"], snapshot, schema)
+        changes = merge.scd2_changes(table.fitted(batch, snapshot), table.current(), ["id"], ["v"], "2025-01-01")
+        table.write(changes, snapshot)
+    files = {s: list((root / f"snapshot={s}").rglob("*.parquet")) for s in "12"}
+    size = {s: sum(f.stat().st_size for f in files[s]) for s in "12"}
+    assert len(files["2"]) <= 4 and size["2"] < 0.1 * size["1"]
+    assert tables.read_table(spark, str(root)).rows().count() == 64_640
 
 
 def test_scratch_is_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
-    first, second = (writers.scratch_path(spark, "x") for _ in range(2))
+    first, second = (inputs.scratch_path(spark, "x") for _ in range(2))
     assert first.startswith(f"{shared}/tablepact/x-") and first != second

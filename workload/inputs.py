@@ -3,7 +3,12 @@ NaNs, text dates, re-keyed rows) that the generated tables lack."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from datetime import datetime, timezone
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +20,27 @@ MOMENT = datetime(2025, 11, 14, 8, 30, tzinfo=timezone.utc)
 LOAD_DATE, LOAD_HOUR = "2025-11-14", "08"
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder the cluster names for checkpoints.
+
+    Only a local session without that setting gets a folder on this machine, which
+    is removed when Python ends.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        root = _own_folder()
+    return f"{root.rstrip('/')}/tablepact/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="workload-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_source(spark, f"{sf_dir}/{name}.parquet")
 

@@ -25,7 +25,7 @@ from tablepact.plans import (
     read_output,
     strict_tagged,
 )
-from tablepact.sources import contracts, readers, writers
+from tablepact.sources import contracts, readers, tables, writers
 
 from . import inputs
 from .inputs import LOAD_DATE, LOAD_HOUR, MOMENT, plain
@@ -172,14 +172,14 @@ def scan_parquet(spark, sf_dir):
 
 @query
 def scan_csv_header(spark, sf_dir):
-    path = writers.scratch_path(spark, "customer") + ".csv"
+    path = inputs.scratch_path(spark, "customer") + ".csv"
     inputs.table(spark, sf_dir, "customer").write.option("header", True).csv(path)
     return readers.read_source(spark, path)
 
 
 @query
 def scan_by_contract(spark, sf_dir):
-    path = writers.scratch_path(spark, "part")
+    path = inputs.scratch_path(spark, "part")
     inputs.table(spark, sf_dir, "part").write.option("header", True).csv(path)
     contract = ds_contract({"src_nm": "p_partkey"}, format="csv", src_prefix=path)
     return readers.read_by_contract(spark, contract)
@@ -188,7 +188,7 @@ def scan_by_contract(spark, sf_dir):
 @query
 def contract_fields_table(spark, sf_dir):
     """A contract generated from data, written, read back and normalised."""
-    path = writers.scratch_path(spark, "contract")
+    path = inputs.scratch_path(spark, "contract")
     document = schema.generate_contract(
         inputs.transactions(spark, sf_dir), "transactions", observe_nulls=True
     )
@@ -202,7 +202,7 @@ def contract_fields_table(spark, sf_dir):
 @query
 def contract_jsonl_parse(spark, sf_dir):
     """Mappings whose limits come from the data, written and parsed line by line."""
-    path = writers.scratch_path(spark, "mappings")
+    path = inputs.scratch_path(spark, "mappings")
     limits = inputs.table(spark, sf_dir, "events").agg(
         F.min("value").alias("min"),
         F.max("value").alias("max"),
@@ -232,7 +232,7 @@ def contract_jsonl_parse(spark, sf_dir):
 @query
 def read_or_empty(spark, sf_dir):
     customer = inputs.table(spark, sf_dir, "customer")
-    path = writers.scratch_path(spark, "customer")
+    path = inputs.scratch_path(spark, "customer")
     writers.overwrite(customer, path)
     there = readers.read_or_empty(spark, path, customer.schema)
     nowhere = readers.read_or_empty(spark, path + "-missing", customer.schema)
@@ -245,7 +245,7 @@ def read_or_empty(spark, sf_dir):
 @query
 def sink_overwrite_roundtrip(spark, sf_dir):
     part = inputs.table(spark, sf_dir, "part")
-    path = writers.scratch_path(spark, "part")
+    path = inputs.scratch_path(spark, "part")
     writers.overwrite(part.withColumn("p_size", F.col("p_size") + 1), path)
     writers.overwrite(part, path)
     return spark.read.schema(part.schema).parquet(path)
@@ -257,7 +257,7 @@ def sink_dynamic_partition(spark, sf_dir):
     events = inputs.table(spark, sf_dir, "events").select(
         "event_id", "user_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("dt")
     )
-    path = writers.scratch_path(spark, "events")
+    path = inputs.scratch_path(spark, "events")
     writers.write_partitions(events, path, ["dt"])
     last = events.agg(F.max("dt").alias("dt"))
     fixed = events.join(last, "dt", "left_semi").withColumn("value", F.col("value") + 1)
@@ -268,7 +268,7 @@ def sink_dynamic_partition(spark, sf_dir):
 @query
 def sink_raw_copy(spark, sf_dir):
     customer = inputs.table(spark, sf_dir, "customer")
-    path = writers.scratch_path(spark, "raw")
+    path = inputs.scratch_path(spark, "raw")
     writers.write_batch(customer, path, LOAD_DATE, LOAD_HOUR)
     return writers.read_layer(spark, path, customer.schema, ("dt", "hr"))
 
@@ -277,7 +277,7 @@ def sink_raw_copy(spark, sf_dir):
 def sink_append_rejects(spark, sf_dir):
     tagged = tagged_transactions(spark, sf_dir)
     rejects = quality.rejected_rows(tagged)
-    path = writers.scratch_path(spark, "rejects")
+    path = inputs.scratch_path(spark, "rejects")
     writers.append_rejects(rejects, path, LOAD_DATE, LOAD_HOUR)
     writers.append_rejects(rejects, path, LOAD_DATE, LOAD_HOUR)
     return plain(writers.read_layer(spark, path, rejects.schema, ("dt", "hr")))
@@ -287,13 +287,11 @@ def sink_append_rejects(spark, sf_dir):
 def sink_snapshot_swap(spark, sf_dir):
     """A table rewritten from its own rows: each state is a snapshot of its own."""
     business = inputs.business(spark, sf_dir)
-    root = writers.scratch_path(spark, "business")
-    writers.write_snapshot(business, root, "2025-11-13")
-    base = writers.base_snapshot(spark, root, "2025-11-14")
-    before = writers.read_base(spark, root, business.schema, base)
-    merged = merge.scd1_merge(inputs.batch(spark, sf_dir), before, KEYS)
-    writers.write_snapshot(merged, root, "2025-11-14")
-    return writers.read_snapshot(spark, root, business.schema)
+    root = inputs.scratch_path(spark, "business")
+    for day, rows in (("2025-11-13", business), ("2025-11-14", inputs.batch(spark, sf_dir))):
+        table = tables.open_table(spark, root, "whole", KEYS, day, rows.schema)
+        table.write(merge.scd1_merge(table.fitted(rows, day), table.rows(), KEYS), day)
+    return tables.read_table(spark, root).rows()
 
 
 # ------------------------------------------------------- schema and contracts
@@ -316,7 +314,7 @@ def contract_generate(spark, sf_dir):
     lines = inputs.table(spark, sf_dir, "lineitem")
     result = None
     for dialect in ("ds", "ds_bare", "dataset"):
-        path = writers.scratch_path(spark, dialect)
+        path = inputs.scratch_path(spark, dialect)
         document = schema.generate_contract(lines, "lines", dialect=dialect, observe_nulls=True)
         contracts.save_document(spark, document, path)
         frame = schema.contract_frame(spark, contracts.load_contract(spark, path))
@@ -767,7 +765,7 @@ def scd2_merge_as_read(spark, sf_dir):
 
 
 def _layers(spark: SparkSession) -> Layers:
-    root = writers.scratch_path(spark, "layers")
+    root = inputs.scratch_path(spark, "layers")
     return Layers(
         business=f"{root}/business",
         curated=f"{root}/curated",
@@ -783,22 +781,20 @@ def _first_batch(spark, sf_dir) -> DataFrame:
 
 
 def _stored(df: DataFrame, label: str) -> str:
-    path = writers.scratch_path(df.sparkSession, label)
+    path = inputs.scratch_path(df.sparkSession, label)
     writers.overwrite(df, path)
     return path
 
 
 def _history_of(spark, layers: Layers, result) -> DataFrame:
-    batch = spark.read.parquet(result.paths["curated"])
-    table = read_business(spark, layers.business, merge.history_schema(batch.schema))
-    return table.drop("ingest_ts")
+    return read_business(spark, layers.business).drop("ingest_ts")
 
 
 @query
 def layer_curated(spark, sf_dir):
     tagged = layered_tagged(inputs.transactions(spark, sf_dir), typed_contract())
     stamped = mapping.with_ingest_ts(quality.valid_rows(tagged), MOMENT)
-    path = writers.scratch_path(spark, "curated")
+    path = inputs.scratch_path(spark, "curated")
     writers.write_batch(stamped, path, LOAD_DATE, LOAD_HOUR)
     layer = writers.read_layer(spark, path, stamped.schema, ("dt", "hr"))
     micros = F.unix_micros("ingest_ts").alias("ingest_us")
@@ -847,11 +843,10 @@ def load_overwriting(spark, sf_dir):
     contract = merge_contract(max_reject_pct=0.2, max_null_pct=0.5)
     result = None
     for hour, frame in ((7, _first_batch(spark, sf_dir)), (8, inputs.batch(spark, sf_dir))):
-        path = writers.scratch_path(spark, "batch") + ".csv"
+        path = inputs.scratch_path(spark, "batch") + ".csv"
         frame.write.option("header", True).csv(path)
         result = load_scd1(spark, path, contract, layers, MOMENT.replace(hour=hour))
-    staged = spark.read.parquet(result.paths["curated"])
-    return writers.read_snapshot(spark, layers.business, staged.schema).drop("ingest_ts")
+    return read_business(spark, layers.business).drop("ingest_ts")
 
 
 def line_contract():
@@ -872,7 +867,7 @@ def strict_lines(spark, sf_dir) -> DataFrame:
 
 @query
 def load_strict_curated(spark, sf_dir):
-    output = writers.scratch_path(spark, "strict")
+    output = inputs.scratch_path(spark, "strict")
     source = scan_parquet(spark, sf_dir)
     load_strict(spark, line_contract(), output, MOMENT, source=source)
     return plain(read_output(spark, output, "curated", strict_lines(spark, sf_dir).schema))
@@ -880,7 +875,7 @@ def load_strict_curated(spark, sf_dir):
 
 @query
 def load_strict_rejects(spark, sf_dir):
-    output = writers.scratch_path(spark, "strict")
+    output = inputs.scratch_path(spark, "strict")
     source = scan_parquet(spark, sf_dir)
     load_strict(spark, line_contract(), output, MOMENT, source=source)
     return plain(read_output(spark, output, "rejects", strict_lines(spark, sf_dir).schema))
@@ -906,7 +901,7 @@ def text_contract():
 @query
 def load_lenient_counts(spark, sf_dir):
     """What a lenient load measures, and how many rows it keeps."""
-    output = writers.scratch_path(spark, "lenient")
+    output = inputs.scratch_path(spark, "lenient")
     source = inputs.text_transactions(spark, sf_dir)
     result = load_lenient(spark, text_contract(), output, MOMENT, source=source)
     kept = spark.read.parquet(output).agg(
@@ -920,17 +915,17 @@ def load_lenient_counts(spark, sf_dir):
 
 @query
 def load_lenient_rows(spark, sf_dir):
-    output = writers.scratch_path(spark, "lenient")
+    output = inputs.scratch_path(spark, "lenient")
     source = inputs.text_transactions(spark, sf_dir)
     load_lenient(spark, text_contract(), output, MOMENT, source=source)
     return plain(spark.read.parquet(output))
 
 
 def _policy_load(spark, sf_dir):
-    path = writers.scratch_path(spark, "text") + ".csv"
+    path = inputs.scratch_path(spark, "text") + ".csv"
     inputs.text_transactions(spark, sf_dir).write.option("header", True).csv(path)
-    curated = writers.scratch_path(spark, "curated")
-    rejects = writers.scratch_path(spark, "rejects")
+    curated = inputs.scratch_path(spark, "curated")
+    rejects = inputs.scratch_path(spark, "rejects")
     return load_with_policy(spark, path, text_contract(), curated, rejects, MOMENT)
 
 
@@ -947,7 +942,7 @@ def load_policy_rejects(spark, sf_dir):
 @query
 def run_audit(spark, sf_dir):
     """The events of a strict load, with the counts they report."""
-    root = writers.scratch_path(spark, "audited")
+    root = inputs.scratch_path(spark, "audited")
     load_strict(
         spark,
         line_contract(),
