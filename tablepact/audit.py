@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .functions.frames import rows_frame
 
+# The keys of an event, and the form of a job id.
 EVENT_SCHEMA = (
     "timestamp string, level string, job_nm string, job_id string, "
     "stage string, message string, details map<string,string>"
@@ -69,7 +70,11 @@ class AuditLog:
 def audited(
     spark: SparkSession, job: str, path: str | None = None, moment: datetime | None = None
 ) -> Iterator[AuditLog]:
-    """Record a run; a failure is logged with its traceback and raised again."""
+    """Record a run; a failure is logged with its traceback and raised again.
+
+    If a failed run's events cannot be written either, the run's own error is raised,
+    with a note of that.
+    """
     log = AuditLog.start(job, moment)
     try:
         log.info("init", "Run started")
@@ -77,10 +82,14 @@ def audited(
         log.info("complete", "Run finished")
     except Exception as error:
         log.error("failure", f"Run failed: {error}", traceback=traceback.format_exc())
-        raise
-    finally:
         if path:
-            log.append_to(spark, path)
+            try:
+                log.append_to(spark, path)
+            except Exception as unwritten:
+                error.add_note(f"the run's events could not be written: {unwritten}")
+        raise
+    if path:
+        log.append_to(spark, path)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:

@@ -7,7 +7,9 @@
 ``lines``     a list of mappings, one JSON object per line of the file
 ============  ============================================================
 
-Blank text, ``null`` and a missing key all mean "not given".
+Blank text, ``null`` and a missing key all mean "not given". A rule that is given but
+cannot be understood raises, or with ``on_bad_rule="ignore"`` is left out and listed
+in ``Contract.ignored``, which loads record.
 """
 
 from __future__ import annotations
@@ -79,6 +81,7 @@ class Contract:
     update_columns: tuple[str, ...] = ()
     policy: SchemaPolicy = field(default_factory=SchemaPolicy)
     thresholds: Thresholds = field(default_factory=Thresholds)
+    ignored: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         targets = [f.target for f in self.fields]
@@ -114,31 +117,55 @@ class Contract:
         return replace(self, **changes)
 
 
-def parse_contract(document: Mapping[str, Any] | Iterable[Mapping[str, Any]]) -> Contract:
+BAD_RULE = ("raise", "ignore")
+
+
+class _Rules:
+    """What to do with rules that cannot be understood."""
+
+    def __init__(self, on_bad_rule: str) -> None:
+        if on_bad_rule not in BAD_RULE:
+            raise ValueError(f"on_bad_rule={on_bad_rule!r}")
+        self.strict = on_bad_rule == "raise"
+        self.ignored: list[str] = []
+
+    def bad(self, what: str) -> None:
+        if self.strict:
+            raise ContractError(what)
+        self.ignored.append(what)
+
+
+def parse_contract(
+    document: Mapping[str, Any] | Iterable[Mapping[str, Any]], on_bad_rule: str = "raise"
+) -> Contract:
     """Contract from a decoded JSON document of any dialect."""
+    rules = _Rules(on_bad_rule)
     if not isinstance(document, Mapping):
-        return Contract(name="", fields=tuple(_mapped_field(m) for m in document))
-    if "ds" in document:
-        return _from_ds(document["ds"])
-    if "dataset" in document:
-        return _from_dataset(document["dataset"])
-    if "fields" in document:
-        return _from_fields(document)
-    if "target_field" in document:
-        return parse_contract([document])
-    raise ContractError("no 'fields', 'ds' or 'dataset' in the contract document")
-
-
-def parse_contract_text(text: str) -> Contract:
+        contract = Contract(name="", fields=tuple(_mapped_field(m, rules) for m in document))
+    elif "ds" in document:
+        contract = _from_ds(document["ds"])
+    elif "dataset" in document:
+        contract = _from_dataset(document["dataset"])
+    elif "fields" in document:
+        contract = _from_fields(document, rules)
+    elif "target_field" in document:
+        return parse_contract([document], on_bad_rule)
+    else:
+        raise ContractError("no 'fields', 'ds' or 'dataset' in the contract document")
+    return contract.but(ignored=tuple(rules.ignored))
+
+
+def parse_contract_text(text: str, on_bad_rule: str = "raise") -> Contract:
     """Contract from JSON text: one document, or one mapping per line."""
     try:
-        return parse_contract(json.loads(text))
+        document = json.loads(text)
     except json.JSONDecodeError as whole:
         lines = [line for line in text.splitlines() if line.strip()]
         try:
-            return parse_contract([json.loads(line) for line in lines])
+            document = [json.loads(line) for line in lines]
         except json.JSONDecodeError:
             raise ContractError(f"contract is not JSON: {whole}") from whole
+    return parse_contract(document, on_bad_rule)
 
 
 def _given(value: Any) -> Any:
@@ -162,15 +189,27 @@ def _names(value: Any) -> tuple[str, ...]:
     return (value,) if isinstance(value, str) else tuple(v for v in value if _given(v))
 
 
-def _decoded(value: Any) -> Any:
-    """Rule details may be nested JSON or JSON text; broken text counts as absent."""
+def _decoded(value: Any, kind: type, what: str, rules: _Rules) -> Any:
+    """Rule details as an object or a list, given as nested JSON or as JSON text."""
     value = _given(value)
-    if not isinstance(value, str):
-        return value
-    try:
-        return json.loads(value)
-    except json.JSONDecodeError:
+    if isinstance(value, str):
+        try:
+            value = json.loads(value)
+        except json.JSONDecodeError:
+            rules.bad(f"{what} is not JSON: {value}")
+            return None
+    if value is not None and not isinstance(value, kind):
+        rules.bad(f"{what} is not {'a list' if kind is list else 'an object'}: {value}")
         return None
+    return value
+
+
+def _bounds(value: Any, what: str, rules: _Rules) -> Mapping[str, Any]:
+    bounds = _decoded(value, dict, what, rules) or {}
+    unknown = sorted(set(bounds) - {"min", "max"})
+    if unknown:
+        rules.bad(f"{what} has {unknown}, not min or max")
+    return bounds
 
 
 def _source(name: Any) -> str | None:
@@ -183,14 +222,13 @@ def _type_name(name: Any) -> str | None:
     return None if name == NOT_IN_SOURCE else name
 
 
-def _mapped_field(entry: Mapping[str, Any]) -> Field:
+def _mapped_field(entry: Mapping[str, Any], rules: _Rules) -> Field:
     """An entry of the ``fields`` or ``lines`` dialect."""
     target = _given(entry.get("target_field")) or _given(entry.get("field_name"))
     if target is None:
         raise ContractError(f"mapping without target_field: {dict(entry)}")
-    bounds = _decoded(entry.get("constraints"))
-    bounds = bounds if isinstance(bounds, Mapping) else {}
-    allowed = _decoded(entry.get("allowed_values"))
+    bounds = _bounds(entry.get("constraints"), f"constraints of {target}", rules)
+    allowed = _decoded(entry.get("allowed_values"), list, f"allowed_values of {target}", rules)
     source = _source(entry.get("source_field"))
     changes = _names(entry.get("change_type"))
     return Field(
@@ -202,19 +240,26 @@ def _mapped_field(entry: Mapping[str, Any]) -> Field:
         primary_key=_flag(entry.get("primary_key"), False),
         minimum=_given(bounds.get("min")),
         maximum=_given(bounds.get("max")),
-        allowed=tuple(v for v in allowed if v is not None) if isinstance(allowed, list) else (),
+        allowed=tuple(v for v in allowed or () if v is not None),
         change_types=changes,
         expr=_given(entry.get("expr")),
     )
 
 
-def _from_fields(document: Mapping[str, Any]) -> Contract:
-    limits = document.get("thresholds") or {}
-    known = {k: float(v) for k, v in limits.items() if k in Thresholds.__dataclass_fields__}
+def _from_fields(document: Mapping[str, Any], rules: _Rules) -> Contract:
+    known = {}
+    for name, value in (document.get("thresholds") or {}).items():
+        if name not in Thresholds.__dataclass_fields__:
+            rules.bad(f"threshold {name} is unknown")
+            continue
+        try:
+            known[name] = float(value)
+        except (TypeError, ValueError):
+            rules.bad(f"threshold {name} is not a number: {value}")
     return Contract(
         name=_given(document.get("dataset_name")) or "",
         description=_given(document.get("description")),
-        fields=tuple(_mapped_field(entry) for entry in document["fields"]),
+        fields=tuple(_mapped_field(entry, rules) for entry in document["fields"]),
         thresholds=Thresholds(**known),
     )
 

@@ -16,7 +16,7 @@ from .quality import Rule
 
 
 def null_count(name: str) -> Column:
-    """Nulls as rows minus present values: both counts can come from footers."""
+    """Nulls as rows minus present values."""
     return F.count(F.lit(1)) - F.count(ref(name))
 
 

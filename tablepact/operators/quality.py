@@ -10,6 +10,7 @@ NULL, so neither in nor out of range) is the caller's ``null_policy``:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -101,7 +102,7 @@ def _comparable(value: Column, data_type: DataType, bound: Any) -> tuple[Column,
 
 def _one_of(value: Column, data_type: DataType, allowed: Sequence[Any]) -> Column:
     if isinstance(data_type, StringType):
-        return value.isin([str(a) for a in allowed])
+        return value.isin([a if isinstance(a, str) else json.dumps(a) for a in allowed])
     if isinstance(data_type, BooleanType) and all(isinstance(a, bool) for a in allowed):
         return value.isin(list(allowed))
     if isinstance(data_type, (DecimalType, IntegralType)) and all(

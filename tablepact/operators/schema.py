@@ -41,14 +41,19 @@ DATASET_FREQUENCY = "daily"
 
 
 def schema_profile(
-    df: DataFrame, source: str = PROFILE_SOURCE, target: str = PROFILE_TARGET
+    df: DataFrame,
+    source: str = PROFILE_SOURCE,
+    target: str = PROFILE_TARGET,
+    *,
+    count: bool = False,
 ) -> DataFrame:
-    """One row per column: name, type, decimal parts, nullability, null count.
+    """One row per column: name, type, decimal parts, nullability.
 
-    File formats report every column as nullable, so ``nullable`` alone never
-    yields a not-null rule; ``null_rows`` says what the data holds.
+    That needs the schema alone. File formats report every column as nullable, so
+    ``nullable`` never yields a not-null rule; ``count`` adds ``null_rows``, what the
+    data holds, for one pass over it.
     """
-    wide = df.agg(*[null_count(f.name).alias(f"n{i}") for i, f in enumerate(df.schema.fields)])
+    wide = _counted(df, [null_count(f.name) for f in df.schema.fields] if count else None)
     rows = []
     for i, f in enumerate(df.schema.fields):
         precision, scale = decimal_parts(f.dataType)
@@ -63,12 +68,19 @@ def schema_profile(
                 F.lit(COLUMN_DESCRIPTION.format(name=f.name)).alias("description"),
                 F.lit(source).alias("source"),
                 F.lit(target).alias("target"),
-                F.col(f"n{i}").alias("null_rows"),
+                *([F.col(f"n{i}").alias("null_rows")] if count else []),
             )
         )
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _counted(df: DataFrame, counts: list[Column] | None) -> DataFrame:
+    """One row with the counts n0, n1 and so on; without counts the data isn't read."""
+    if counts is None:
+        return df.sparkSession.range(1)
+    return df.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(f"n{i}") for i, c in enumerate(counts)])
+
+
 def clean_schema(
     schema: StructType, source: str = PROFILE_SOURCE, target: str = PROFILE_TARGET
 ) -> dict[str, Any]:
@@ -98,10 +110,10 @@ def annotated_schema(schema: StructType) -> dict[str, Any]:
     return document
 
 
-def schema_annotated(df: DataFrame) -> DataFrame:
-    """``annotated_schema`` as rows, with the number of values each column holds."""
+def schema_annotated(df: DataFrame, *, count: bool = False) -> DataFrame:
+    """``annotated_schema`` as rows; ``count`` adds the number of values of each column."""
     entries = annotated_schema(df.schema)["fields"]
-    wide = df.agg(*[F.count(ref(e["name"])).alias(f"n{i}") for i, e in enumerate(entries)])
+    wide = _counted(df, [F.count(ref(e["name"])) for e in entries] if count else None)
     rows = []
     for i, e in enumerate(entries):
         text = e["type"] if isinstance(e["type"], str) else json.dumps(e["type"], sort_keys=True)
@@ -113,7 +125,7 @@ def schema_annotated(df: DataFrame) -> DataFrame:
                 F.lit(e["description"]).alias("description"),
                 F.lit(e["source"]).alias("source"),
                 F.lit(e["target"]).alias("target"),
-                F.col(f"n{i}").alias("value_rows"),
+                *([F.col(f"n{i}").alias("value_rows")] if count else []),
             )
         )
     return wide.select(F.inline(F.array(*rows)))
@@ -318,30 +330,24 @@ def diff_columns(df: DataFrame, contract: Contract) -> SchemaDiff:
     return SchemaDiff(tuple(sorted(expected - actual)), tuple(sorted(actual - expected)))
 
 
-def schema_diff(df: DataFrame, contract: Contract) -> DataFrame:
-    """(column_name, status, value_rows): one row per difference.
+def schema_diff(df: DataFrame, contract: Contract, *, count: bool = False) -> DataFrame:
+    """(column_name, status): one row per difference.
 
-    ``value_rows`` is what the difference touches: the values an extra column
-    holds, or for a missing column nothing.
+    ``count`` adds ``value_rows``, what the difference touches: the values an extra
+    column holds, or for a missing column nothing.
     """
     diff = diff_columns(df, contract)
-    wide = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count(ref(name)).alias(f"n{i}") for i, name in enumerate(diff.extra)],
-    )
-    rows = [_diff_row(name, "missing", F.lit(0)) for name in diff.missing]
-    rows += [_diff_row(name, "extra", F.col(f"n{i}")) for i, name in enumerate(diff.extra)]
-    if not rows:
-        return wide.select(_diff_row("", "", F.lit(0)).alias("d")).select("d.*").filter("false")
-    return wide.select(F.inline(F.array(*rows)))
+    wide = _counted(df, [F.count(ref(name)) for name in diff.extra] if count else None)
 
+    def row(name: str, status: str, values: Column) -> Column:
+        touched = [values.cast("bigint").alias("value_rows")] if count else []
+        return F.struct(F.lit(name).alias("column_name"), F.lit(status).alias("status"), *touched)
 
-def _diff_row(name: str, status: str, values: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("column_name"),
-        F.lit(status).alias("status"),
-        values.cast("bigint").alias("value_rows"),
-    )
+    rows = [row(name, "missing", F.lit(0)) for name in diff.missing]
+    rows += [row(name, "extra", F.col(f"n{i}") if count else F.lit(0)) for i, name in enumerate(diff.extra)]
+    if not rows:
+        return wide.select(row("", "", F.lit(0)).alias("d")).select("d.*").filter("false")
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def check_schema(

@@ -19,7 +19,7 @@ from ..operators.profile import null_count, regex_failures
 from ..operators.schema import check_schema, diff_columns
 from ..sources import writers
 from ..sources.readers import read_by_contract, read_or_empty, read_source
-from .result import LoadResult, watched
+from .result import LoadResult, log_ignored, watched
 
 LAYER = "layer"
 CURATED, REJECTS = "curated", "rejects"
@@ -36,6 +36,7 @@ def _tagged(
 
 
 def _log_diff(df: DataFrame, contract: Contract, log: AuditLog) -> None:
+    log_ignored(contract, log)
     diff = diff_columns(df, contract)
     if diff.missing:
         log.error("schema_validation", "Source lacks contract columns", missing=diff.missing)
@@ -62,10 +63,17 @@ def strict_tagged(
     null_policy: str = "reject",
     on_cast_error: str = "null",
     all_reasons: bool = False,
+    null_keys: str = "keep",
 ) -> DataFrame:
-    """Latest row per key, mapped, each with the first rule it fails."""
+    """Latest row per key, mapped, each with the first rule it fails.
+
+    Rows without a key are all kept, for the rules to judge; ``null_keys="collapse"``
+    takes them as one key.
+    """
     dated = add_missing_update_columns(df, contract.update_columns, moment)
-    latest = latest_per_key(dated, contract.id_columns, contract.update_columns)
+    latest = latest_per_key(
+        dated, contract.id_columns, contract.update_columns, null_keys=null_keys
+    )
     return _tagged(latest, contract, null_policy, on_cast_error, all_reasons)
 
 
@@ -79,10 +87,15 @@ def load_strict(
     null_policy: str = "reject",
     on_cast_error: str = "null",
     all_reasons: bool = False,
+    null_keys: str = "keep",
     audit: str = "",
 ) -> LoadResult:
     """Schema check, dedupe, mapping, rules; curated rows and rejects.
 
+    Every source row is accounted for: it is curated, rejected, counted in
+    ``duplicate_rows`` as one that a later row of its key replaces, or, if NULLs are
+    to be dropped, counted in ``dropped_rows``.
+
     The deduplicated rows are shuffled once and written once, into
     ``layer=curated`` and ``layer=rejects`` under ``output``; see read_output.
     Without keys to deduplicate by nothing is shuffled and each layer is written
@@ -106,6 +119,7 @@ def load_strict(
             null_policy=null_policy,
             on_cast_error=on_cast_error,
             all_reasons=all_reasons,
+            null_keys=null_keys,
         )
         result.paths = {name: layer_path(output, name) for name in (CURATED, REJECTS)}
         observed, counts = watched(tagged, gates.row_metrics())
@@ -124,7 +138,11 @@ def load_strict(
             writers.overwrite(writers.evened(rejects), result.paths[REJECTS])
 
         result.metrics["deduped_rows"] = metrics["total_rows"]
+        result.metrics["duplicate_rows"] = source_rows - metrics["total_rows"]
         result.metrics["rule_rejects"] = metrics["rejected_rows"]
+        result.metrics["dropped_rows"] = (
+            metrics["total_rows"] - metrics["valid_rows"] - metrics["rejected_rows"]
+        )
         log.info("write_output", "Curated and rejects written", path=output, **metrics)
         _log_counts(result, source_rows, metrics["valid_rows"])
         return result
@@ -216,15 +234,21 @@ def load_with_policy(
     all_reasons: bool = False,
     audit: str = "",
 ) -> LoadResult:
-    """Schema policy, mapping, rules; distinct rejects if there are any.
+    """Schema policy, mapping, rules; distinct rejects.
 
-    One pass writes curated rows and counts; a second runs only for rejects.
+    One pass writes curated rows and counts; a second reads them only for rejects.
+    Both outputs replace what an earlier run left, also with no rows.
     """
     df = read_source(spark, source) if isinstance(source, str) else source
     with audited(spark, contract.name or "policy", audit, moment) as log:
         result = LoadResult(log=log)
-        result.schema_ok, diff = check_schema(df, contract, on_schema_fail)
-        if result.schema_ok:
+        log_ignored(contract, log)
+        result.schema_ok, diff = True, diff_columns(df, contract)
+        if contract.policy.check_schema:
+            result.schema_ok, diff = check_schema(df, contract, on_schema_fail)
+        if not contract.policy.check_schema:
+            log.info("schema_validation", "Columns not checked, as the contract says")
+        elif result.schema_ok:
             log.info("schema_validation", "Column policy met")
         else:
             log.warn(
@@ -245,9 +269,11 @@ def load_with_policy(
         metrics = counts.get
         result.metrics.update(metrics)
         result.paths[CURATED] = curated
-        if metrics["rejected_rows"]:
-            writers.overwrite(quality.rejected_rows(tagged).dropDuplicates(), rejects)
-            result.paths[REJECTS] = rejects
+        rejected = quality.rejected_rows(tagged).dropDuplicates()
+        if not metrics["rejected_rows"]:
+            rejected = empty_frame(spark, rejected.schema)
+        writers.overwrite(rejected, rejects)
+        result.paths[REJECTS] = rejects
         log.info("write_output", "Output written", **metrics)
         if contract.policy.check_row_count:
             _log_counts(result, metrics["total_rows"], metrics["valid_rows"])

@@ -47,7 +47,7 @@ from ..functions.casts import ref
 from ..sources import tables, writers
 from ..sources.contracts import save_document
 from ..sources.readers import read_source
-from .result import LoadResult, watched
+from .result import LoadResult, log_ignored, watched
 
 _REASON = "__reason"
 DUPLICATES = ("raise", "latest")
@@ -222,6 +222,7 @@ def _load_scd2(
         if not getattr(layers, name):
             raise ValueError(f"set layers.{name}")
     result = LoadResult(log=log)
+    log_ignored(contract, log)
     dt, hour = load_partition(moment)
     hr = hour if hourly else None
     keys = list(keys or contract.key_columns)
@@ -395,6 +396,7 @@ def load_scd1(
         raise ContractError("an SCD1 load needs a key: flag a primary_key field or pass keys")
     with audited(spark, contract.name or "scd1", layers.audit, moment) as log:
         result = LoadResult(log=log)
+        log_ignored(contract, log)
         chosen = _duplicates(duplicates, order_by)
         mapping, rules, schema = _compile(
             df, contract, kinds, keep_extra=False, on_cast_error=on_cast_error

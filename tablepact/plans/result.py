@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation
 
 from ..audit import AuditLog
+from ..contract import Contract
 from ..operators.gates import Gate
 
 
@@ -23,6 +24,12 @@ class LoadResult:
     log: AuditLog | None = None
 
 
+def log_ignored(contract: Contract, log: AuditLog) -> None:
+    """Record the rules a contract was read without."""
+    if contract.ignored:
+        log.warn("contract", "Rules left out", ignored=list(contract.ignored))
+
+
 def watched(df: DataFrame, metrics: Sequence[Column]) -> tuple[DataFrame, Observation]:
     """The frame with metrics that are counted while something else writes it.
 

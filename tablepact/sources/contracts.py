@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import Contract, ContractError, parse_contract_text
+from ..functions.frames import rows_frame
 
-MAPPING_LINE_SCHEMA = (
-    "source_field string, target_field string, change_type string, "
-    "target_type string, constraints string, allowed_values string"
+MAPPING_ROW_SCHEMA = (
+    "source_field string, target_field string, change_type string, target_type string, "
+    "minimum double, maximum double, allowed_values array<string>"
 )
 
 
@@ -25,9 +26,9 @@ def load_document(spark: SparkSession, path: str) -> str:
     return documents[0][0]
 
 
-def load_contract(spark: SparkSession, path: str) -> Contract:
+def load_contract(spark: SparkSession, path: str, on_bad_rule: str = "raise") -> Contract:
     """Contract of any dialect, pretty-printed or on one line."""
-    return parse_contract_text(load_document(spark, path))
+    return parse_contract_text(load_document(spark, path), on_bad_rule)
 
 
 def save_document(spark: SparkSession, document: Mapping[str, Any] | list, path: str) -> None:
@@ -39,20 +40,24 @@ def save_document(spark: SparkSession, document: Mapping[str, Any] | list, path:
     spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
-def read_mapping_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Line-delimited mappings with their embedded JSON parsed by Spark.
+def read_mapping_lines(spark: SparkSession, path: str, on_bad_rule: str = "raise") -> DataFrame:
+    """The mappings of a line-delimited contract as rows, as ``load_contract`` means them.
 
-    Blank or broken ``constraints`` and ``allowed_values`` come back as NULL.
+    A mapping with a source keeps its data, whatever its change and type say; one
+    without is an added column. No type is the source's own type.
     """
-    lines = spark.read.schema(MAPPING_LINE_SCHEMA).json(path)
-    bounds = F.from_json("constraints", "min double, max double")
-    allowed = F.from_json("allowed_values", "array<string>")
-    return lines.select(
-        "source_field",
-        "target_field",
-        F.coalesce("change_type", F.lit("added")).alias("change_type"),
-        F.coalesce("target_type", F.lit("string")).alias("target_type"),
-        bounds["min"].alias("minimum"),
-        bounds["max"].alias("maximum"),
-        allowed.alias("allowed_values"),
-    )
+    contract = load_contract(spark, path, on_bad_rule)
+    text = lambda v: None if v is None else str(v)
+    rows = [
+        {
+            "source_field": f.source,
+            "target_field": f.target,
+            "change_type": ",".join(f.change_types) or None,
+            "target_type": f.target_type,
+            "minimum": None if f.minimum is None else float(f.minimum),
+            "maximum": None if f.maximum is None else float(f.maximum),
+            "allowed_values": [text(v) for v in f.allowed] or None,
+        }
+        for f in contract.fields
+    ]
+    return rows_frame(spark, rows, MAPPING_ROW_SCHEMA)

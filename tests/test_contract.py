@@ -125,7 +125,11 @@ def test_lines_dialect_with_embedded_and_broken_json():
         {"source_field": "b", "target_field": "c", "allowed_values": '["x"]'},
         {"source_field": "d", "target_field": "d", "constraints": "{oops", "allowed_values": " "},
     ]
-    contract = parse_contract_text("\n".join(json.dumps(line) for line in lines))
+    text = "\n".join(json.dumps(line) for line in lines)
+    with pytest.raises(ContractError, match="constraints of d is not JSON"):
+        parse_contract_text(text)
+    contract = parse_contract_text(text, "ignore")
+    assert contract.ignored == ("constraints of d is not JSON: {oops",)
     a, c, d = contract.fields
     assert (a.minimum, a.maximum) == (1, 2)
     assert c.allowed == ("x",)
@@ -146,3 +150,25 @@ def test_targets_are_unique():
         parse_contract(
             [{"source_field": "a", "target_field": "x"}, {"source_field": "b", "target_field": "x"}]
         )
+
+
+@pytest.mark.parametrize(
+    "entry, thresholds, said",
+    [
+        ({"constraints": "{min: 5}"}, {}, "not JSON"),
+        ({"constraints": [1, 2]}, {}, "not an object"),
+        ({"constraints": {"minimum": 5}}, {}, "not min or max"),
+        ({"allowed_values": "credit"}, {}, "not JSON"),
+        ({"allowed_values": '"credit"'}, {}, "not a list"),
+        ({}, {"max_rejects": 1}, "unknown"),
+        ({}, {"max_null_pct": "few"}, "not a number"),
+    ],
+)
+def test_broken_rules_are_errors(entry, thresholds, said):
+    field = {"source_field": "a", "target_field": "a", **entry}
+    document = {"dataset_name": "t", "fields": [field], "thresholds": thresholds}
+    with pytest.raises(ContractError, match=said):
+        parse_contract(document)
+    assert said in parse_contract(document, "ignore").ignored[0]
+    with pytest.raises(ValueError):
+        parse_contract(document, "shrug")

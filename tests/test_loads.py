@@ -1,3 +1,4 @@
+import json
 from datetime import datetime, timezone
 
 import pytest
@@ -8,6 +9,7 @@ from tablepact.functions.frames import empty_frame
 from tablepact.operators import merge, schema
 from tablepact.operators.gates import GateFailed
 from tablepact.plans import (
+    DuplicateKeys,
     Layers,
     load_daily_scd2,
     load_hourly_scd2,
@@ -19,7 +21,7 @@ from tablepact.plans import (
     read_output,
     strict_tagged,
 )
-from tablepact.sources import writers
+from tablepact.sources import tables, writers
 from tests.test_contract import SPECIMEN
 
 UNREPEATED = {"keyless_rows": 0, "duplicate_rows": 0}
@@ -320,8 +322,8 @@ def test_policy_load(spark, tmp_path, rows):
     assert result.metrics["rejected_rows"] == 3
     with pytest.raises(schema.SchemaMismatch):
         load_with_policy(spark, path, STRICT, out, bad, HOURS[0], on_schema_fail="raise")
-    clean = load_with_policy(spark, df.limit(1), STRICT, out, f"{tmp_path}/none", HOURS[0])
-    assert "rejects" not in clean.paths and not (tmp_path / "none").exists()
+    load_with_policy(spark, df.limit(1), STRICT, out, bad, HOURS[0])
+    assert spark.read.parquet(bad).count() == 0  # the earlier run's rejects are gone
 
 
 def test_the_number_of_actions_does_not_grow_with_the_contract(spark, tmp_path, executions):
@@ -383,3 +385,93 @@ def test_audit_of_a_failure(spark, tmp_path):
     failed = [e for e in events if e.level == "ERROR"]
     assert "oops" in failed[0].message and "ZeroDivisionError" in failed[0].details["traceback"]
     assert [e.details["rows"] for e in events if e.stage == "stage"] == ["3"]
+
+
+def test_columns_may_come_and_go(spark, tmp_path, rows):
+    place = layers(tmp_path)
+    first = source(spark, ("1", "1", "a"), ("2", "2", "b"))
+    load_hourly_scd2(spark, first, contract(), place, HOURS[0])
+    load_hourly_scd2(spark, first.limit(1).drop("note").selectExpr("txn_id", "'5' as amount", "7 as extra"),
+                     contract(), place, HOURS[1])
+    table = business(spark, tmp_path)
+    assert rows(table.filter("is_current"), "id", "amount", "note", "extra") == [
+        (1, 5.0, None, 7), (2, 2.0, "b", None)
+    ]
+    warned = read_audit(spark, place.audit).filter("level = 'WARN'").collect()
+    assert [json.loads(e.details["missing"]) for e in warned] == [["note"]]
+
+
+@pytest.mark.parametrize("load", [load_hourly_scd2, load_scd1])
+def test_a_type_that_does_not_fit_stops_a_load_before_it_writes(spark, tmp_path, load):
+    place = layers(tmp_path)
+    options = {"fmt": "parquet"} if load is load_scd1 else {}
+    load(spark, lots(spark), contract(), place, HOURS[0], **options)
+    other = parse_contract({"dataset_name": "txn", "fields": [
+        {"source_field": "txn_id", "target_field": "id", "target_type": "bigint", "primary_key": True},
+        {"source_field": "amount", "target_field": "amount", "target_type": "decimal(12,2)"}]})
+    before = sorted(p for p in tmp_path.rglob("*") if "audit" not in str(p))
+    with pytest.raises(tables.SchemaClash, match="amount"):
+        load(spark, lots(spark), other, place, HOURS[1], **options)
+    with pytest.raises(writers.StaleBatch):
+        load(spark, lots(spark), contract(), place, HOURS[0].replace(hour=1), **options)
+    assert sorted(p for p in tmp_path.rglob("*") if "audit" not in str(p)) == before
+
+
+def test_a_table_keeps_its_mode(spark, tmp_path):
+    place = layers(tmp_path)
+    load_hourly_scd2(spark, lots(spark), contract(), place, HOURS[0])
+    with pytest.raises(tables.BrokenTable, match="scd2"):
+        load_hourly_scd2(spark, lots(spark), contract(), place, HOURS[1], scd_mode="as_read")
+
+
+@pytest.mark.parametrize("load", [load_hourly_scd2, load_scd1])
+def test_repeated_keys_are_counted_or_refused(spark, tmp_path, rows, load):
+    df = source(spark, ("1", "1", "a"), ("1", "3", "b"), ("1", "2", "c"), ("2", "5", "d"))
+    with pytest.raises(DuplicateKeys, match="2 rows"):
+        load(spark, df, contract(), layers(tmp_path / "a"), HOURS[0])
+    with pytest.raises(ValueError, match="order_by"):
+        load(spark, df, contract(), layers(tmp_path / "a"), HOURS[0], duplicates="latest")
+    place = layers(tmp_path / "b")
+    result = load(spark, df, contract(), place, HOURS[0], order_by=["amount"])
+    assert result.metrics["duplicate_rows"] == 2
+    assert rows(read_business(spark, place.business), "id", "amount") == [(1, 3.0), (2, 5.0)]
+
+
+@pytest.mark.parametrize("load", [load_hourly_scd2, load_scd1])
+def test_rows_without_a_key_stay_out(spark, tmp_path, rows, load):
+    df = source(spark, *[(str(i), "1", "n") for i in range(30)], (None, "2", "n"))
+    place, options = layers(tmp_path), {"fmt": "parquet"} if load is load_scd1 else {}
+    for hour in HOURS[:3]:
+        result = load(spark, df, contract(), place, hour, **options)
+        table = read_business(spark, place.business)
+        assert table.count() == 30 and table.filter("id is null").count() == 0
+    if load is load_scd1:
+        assert result.metrics["keyless_rows"] == 1
+    else:
+        assert result.metrics["rejected_rows"] == 1
+        reject = spark.read.parquet(f"{place.rejects}/dt=2025-11-14/hr=08")
+        assert rows(reject, "error_reason") == [("id null",)]
+
+
+def test_strict_load_accounts_for_rows_without_a_key(spark, tmp_path):
+    df = spark.createDataFrame([(None, "open", 1)] * 3 + [("1", "open", 1), ("1", "open", 2)],
+                               "txn_id string, status string, updated int")
+    kept = load_strict(spark, STRICT, f"{tmp_path}/a", HOURS[0], source=df).metrics
+    assert (kept["rule_rejects"], kept["duplicate_rows"], kept["curated_count"]) == (3, 1, 1)
+    folded = load_strict(spark, STRICT, f"{tmp_path}/b", HOURS[0], source=df, null_keys="collapse")
+    assert (folded.metrics["rule_rejects"], folded.metrics["duplicate_rows"]) == (1, 3)
+
+
+def test_ignored_rules_are_recorded(spark, tmp_path):
+    broken = [{"source_field": "txn_id", "target_field": "id", "primary_key": True, "constraints": "{min: 5}"}]
+    place = layers(tmp_path)
+    load_daily_scd2(spark, lots(spark), parse_contract(broken, "ignore"), place, HOURS[0])
+    said = read_audit(spark, place.audit).filter("stage = 'contract'").collect()
+    assert len(said) == 1 and "constraints of id" in said[0].details["ignored"]
+
+
+def test_an_unwritable_audit_does_not_hide_the_error(spark):
+    with pytest.raises(ZeroDivisionError) as caught:
+        with audited(spark, "job", "nowhere://x/audit", HOURS[0]):
+            raise ZeroDivisionError("oops")
+    assert "could not be written" in caught.value.__notes__[0]

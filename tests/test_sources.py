@@ -98,9 +98,10 @@ def test_schema_diff_and_policy(spark, people, rows):
         cols = [{"src_nm": "id"}, {"src_nm": "NAME"}]
         return parse_contract({"ds": {"nm": "t", "cols": cols, "dq_rules": rules}})
 
-    assert rows(schema.schema_diff(people, contract())) == [
+    assert rows(schema.schema_diff(people, contract(), count=True)) == [
         ("NAME", "missing", 0), ("name", "extra", 1)
     ]
+    assert rows(schema.schema_diff(people, contract())) == [("NAME", "missing"), ("name", "extra")]
     assert schema.check_schema(people, contract())[0] is False
     both = contract(allow_missing_columns=True, allow_extra_columns=True)
     assert schema.check_schema(people, both, "raise")[0] is True
@@ -277,3 +278,17 @@ def test_scratch_is_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = (inputs.scratch_path(spark, "x") for _ in range(2))
     assert first.startswith(f"{shared}/tablepact/x-") and first != second
+
+
+@pytest.mark.parametrize("name", ["schema_profile", "schema_annotated", "schema_diff"])
+def test_schemas_are_read_without_data(spark, tmp_path, name):
+    path = tmp_path / "data"
+    spark.range(3).selectExpr("id", "id as v").write.parquet(str(path))
+    df = spark.read.parquet(str(path))
+    contract = [parse_contract([{"source_field": "id", "target_field": "id"}])] if name == "schema_diff" else []
+    frame = getattr(schema, name)(df, *contract)
+    assert "FileScan" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert frame.count() == (1 if contract else 2)
+    counted = getattr(schema, name)(df, *contract, count=True)
+    assert "FileScan" in counted._jdf.queryExecution().executedPlan().toString()
+    assert set(counted.columns) - set(frame.columns) in ({"null_rows"}, {"value_rows"})

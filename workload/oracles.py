@@ -145,7 +145,8 @@ second_valid as (
 )
 
 
-def _scd2_load(first_date: str, second_date: str) -> str:
+def _scd2_load(first_date: str, second_date: str, note: bool = False) -> str:
+    old, new = (", 'n' || transaction_id as note", ", null as note") if note else ("", "")
     return f"""with {LOADED},
 pairs as (
   select coalesce(f.transaction_id, s.transaction_id) as transaction_id,
@@ -160,10 +161,10 @@ select transaction_id, old_amount as amount, old_type as transaction_type,
        '{first_date}' as effective_start_date,
        case when in_second and differs then '{second_date}' else '9999-12-31' end
          as effective_end_date,
-       not (in_second and differs) as is_current
+       not (in_second and differs) as is_current{old}
 from pairs where in_first
 union all
-select transaction_id, new_amount, new_type, '{second_date}', '9999-12-31', true
+select transaction_id, new_amount, new_type, '{second_date}', '9999-12-31', true{new}
 from pairs where in_second and (not in_first or differs)"""
 
 
@@ -283,10 +284,10 @@ select 'value' as source_field, 'value' as target_field, 'type_modified' as chan
        'double' as target_type, min(value) as minimum, max(value) as maximum,
        cast(null as varchar) as allowed_values from events
 union all
-select 'event_type', 'kind', 'renamed', 'string', null, null,
+select 'event_type', 'kind', 'renamed', null, null, null,
        min(event_type) || ',' || max(event_type) from events
 union all
-select 'props', 'payload', 'added', 'string', null, null, null from events
+select 'props', 'payload', null, null, null, null, null from events
   having count(*) > 0""",
     "read_or_empty": "select * from customer",
     # sinks
@@ -508,6 +509,13 @@ where not exists (select 1 from batch n where n.transaction_id = b.transaction_i
     "scd2_changed": f"with {MERGE}, {CHANGED} select * from changed",
     "scd2_changed_as_read": f"with {MERGE}, {CHANGED} select * from changed_as_read",
     "scd2_close_history": f"with {MERGE}, {CHANGED} select {CLOSED_COLUMNS} from changed",
+    "scd2_close_history_repeated": f"""with {MERGE},
+greatest_batch as (select transaction_id, amount + 5 as amount, transaction_type from batch)
+select h.transaction_id, h.amount, h.transaction_type, h.effective_start_date,
+       '2025-11-14' as effective_end_date, false as is_current
+from history h join greatest_batch b on h.transaction_id = b.transaction_id
+where h.is_current and (h.amount is distinct from b.amount
+                        or h.transaction_type is distinct from b.transaction_type)""",
     "scd2_new_versions": f"with {MERGE}, {CHANGED} select * from fresh",
     "scd2_carry_forward": f"""with {MERGE}
 select * from history h
@@ -530,6 +538,30 @@ select txn_id as transaction_id, cast(acct_no as varchar) as account_number,
        epoch_us(timestamp '2025-11-14 08:30:00') as ingest_us
 from txn where cast(amount as decimal(12,2)) between 5000 and 450000""",
     "load_hourly": _scd2_load("2025-11-14", "2025-11-14"),
+    "load_hourly_column_gone": _scd2_load("2025-11-14", "2025-11-14", note=True),
+    "load_hourly_compacted": _scd2_load("2025-11-14", "2025-11-14"),
+    "load_hourly_from_lines": _scd2_load("2025-11-14", "2025-11-14"),
+    "load_accounts": f"""with {MERGE}, {LATEST_LINES},
+source as (
+  select * from batch
+  union all select transaction_id, amount + 2, transaction_type from batch
+  where transaction_type = 'P'
+  union all select null, amount, transaction_type from batch where transaction_type = 'F'
+),
+judged as (
+  select transaction_id,
+         transaction_id is not null and coalesce(amount between 5000 and 450000, false) as ok
+  from source
+)
+select 'hourly' as load, count(*) as source_rows,
+       count(distinct transaction_id) filter (ok) as kept_rows,
+       count(*) filter (not ok) as rejected_rows,
+       count(*) filter (ok) - count(distinct transaction_id) filter (ok) as duplicate_rows
+from judged
+union all
+select 'strict', (select count(*) from lineitem), count(*) filter (error_reason is null),
+       count(*) filter (error_reason is not null), (select count(*) from lineitem) - count(*)
+from checked""",
     "load_daily": _scd2_load("2025-11-13", "2025-11-14"),
     "load_daily_rejects": f"""with {MERGE}
 select *, 'amount outside range' as error_reason, '2025-11-14' as dt from batch
@@ -539,6 +571,13 @@ select * from batch
 union all
 select * from business b
 where not exists (select 1 from batch n where n.transaction_id = b.transaction_id)""",
+    "load_overwriting_column_gone": f"""with {MERGE}
+select *, null as note from batch
+union all
+select *, 'n' || transaction_id from business b
+where not exists (select 1 from batch n where n.transaction_id = b.transaction_id)""",
+    "load_strict_from_document": f"""with {LATEST_LINES}
+select * exclude (error_reason) from checked where error_reason is null""",
     "load_strict_curated": f"""with {LATEST_LINES}
 select * exclude (error_reason) from checked where error_reason is null""",
     "load_strict_rejects": f"""with {LATEST_LINES}
@@ -578,6 +617,20 @@ select distinct cast(txn_id as bigint) as txn_id,
             else 'priority regex' end as error_reason
 from text_txn
 where try_strptime(txn_day, '%d/%m/%Y') is null or not regexp_matches(priority, '^[1-3]-')""",
+    "load_policy_rerun_rejects": f"""with {TEXT_TXN},
+rejects as (
+  select distinct cast(txn_id as bigint) as txn_id, txn_day, txn_iso, amount, priority
+  from text_txn
+  where try_strptime(txn_day, '%d/%m/%Y') is null or not regexp_matches(priority, '^[1-3]-')
+)
+select 'first' as run, count(*) as rejects from rejects union all select 'clean', 0""",
+    "run_audit_failure": f"""with {MERGE},
+n as (select cast(count(*) as varchar) as bad from batch
+      where not coalesce(amount between 5000 and 450000, false))
+select level, stage, case when stage = 'validate' then bad end as rejected_rows,
+       case when stage = 'failure' then true end as traced
+from n, (values ('INFO', 'init'), ('INFO', 'schema'), ('INFO', 'validate'), ('INFO', 'gate'),
+                ('ERROR', 'failure')) e(level, stage)""",
     "run_audit": f"""with {LATEST_LINES},
 counts as (
   select (select cast(count(*) as varchar) from lineitem) as n,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from tablepact.functions.frames import rows_frame
 from tablepact.operators import dedupe, gates, mapping, merge, profile, quality, schema
 from tablepact.plans import (
     Layers,
+    compact,
     layered_tagged,
     load_daily_scd2,
     load_hourly_scd2,
@@ -50,12 +52,16 @@ def fields_contract(*fields: dict, **document):
     return parse_contract({"dataset_name": "transactions", "fields": entries, **document})
 
 
-def ds_contract(*columns: dict, **ds):
+def ds_document(*columns: dict, **ds) -> dict:
     entries = [
         {"tgt_nm": c["src_nm"], "src_dtype": "", "tgt_dtype": "", "nullable": True, **c}
         for c in columns
     ]
-    return parse_contract({"ds": {"nm": "transactions", "cols": entries, **ds}})
+    return {"ds": {"nm": "transactions", "cols": entries, **ds}}
+
+
+def ds_contract(*columns: dict, **ds):
+    return parse_contract(ds_document(*columns, **ds))
 
 
 def typed_contract(**document):
@@ -97,30 +103,32 @@ def typed_contract(**document):
     )
 
 
-def merge_contract(**limits):
+MERGE_FIELDS = (
+    {
+        "source_field": "transaction_id",
+        "target_field": "transaction_id",
+        "target_type": "bigint",
+        "primary_key": True,
+    },
+    {
+        "source_field": "amount",
+        "target_field": "amount",
+        "target_type": "double",
+        "constraints": {"min": 5000, "max": 450000.0},
+        "change_type": "type_modified",
+    },
+    {
+        "source_field": "transaction_type",
+        "target_field": "transaction_type",
+        "target_type": "string",
+        "allowed_values": ["O", "F", "P"],
+    },
+)
+
+
+def merge_contract(*more: dict, **limits):
     """Batches of the business table, checked for amount and type."""
-    return fields_contract(
-        {
-            "source_field": "transaction_id",
-            "target_field": "transaction_id",
-            "target_type": "bigint",
-            "primary_key": True,
-        },
-        {
-            "source_field": "amount",
-            "target_field": "amount",
-            "target_type": "double",
-            "constraints": {"min": 5000, "max": 450000.0},
-            "change_type": "type_modified",
-        },
-        {
-            "source_field": "transaction_type",
-            "target_field": "transaction_type",
-            "target_type": "string",
-            "allowed_values": ["O", "F", "P"],
-        },
-        thresholds=limits,
-    )
+    return fields_contract(*MERGE_FIELDS, *more, thresholds=limits)
 
 
 def rule_contract():
@@ -212,7 +220,7 @@ def contract_jsonl_parse(spark, sf_dir):
 
     def line(source, target, change, type_name, constraints, allowed):
         values = [source, target, change, type_name, constraints, allowed]
-        names = contracts.MAPPING_LINE_SCHEMA.replace(" string", "").split(", ")
+        names = ("source_field", "target_field", "change_type", "target_type", "constraints", "allowed_values")
         return F.struct(
             *[
                 (F.lit(v).cast("string") if v is None or isinstance(v, str) else v).alias(n)
@@ -226,7 +234,7 @@ def contract_jsonl_parse(spark, sf_dir):
         line("props", "payload", None, None, "{broken", "not json"),
     )
     limits.select(F.explode(lines).alias("l")).select(F.to_json("l")).write.text(path)
-    return plain(contracts.read_mapping_lines(spark, path))
+    return plain(contracts.read_mapping_lines(spark, path, on_bad_rule="ignore"))
 
 
 @query
@@ -300,12 +308,12 @@ def sink_snapshot_swap(spark, sf_dir):
 @query
 def schema_profile(spark, sf_dir):
     typed = mapping.map_columns(inputs.transactions(spark, sf_dir), typed_contract())
-    return schema.schema_profile(typed)
+    return schema.schema_profile(typed, count=True)
 
 
 @query
 def schema_annotated(spark, sf_dir):
-    return schema.schema_annotated(inputs.table(spark, sf_dir, "embeddings"))
+    return schema.schema_annotated(inputs.table(spark, sf_dir, "embeddings"), count=True)
 
 
 @query
@@ -339,7 +347,7 @@ def drifted_contract(**ds):
 
 @query
 def schema_diff(spark, sf_dir):
-    return schema.schema_diff(inputs.table(spark, sf_dir, "orders"), drifted_contract())
+    return schema.schema_diff(inputs.table(spark, sf_dir, "orders"), drifted_contract(), count=True)
 
 
 @query
@@ -723,6 +731,16 @@ def scd2_new_versions(spark, sf_dir):
     )
 
 
+@query
+def scd2_close_history_repeated(spark, sf_dir):
+    """Every batch row twice: each changed row is closed once."""
+    batch = inputs.batch(spark, sf_dir)
+    doubled = batch.unionByName(batch.withColumn("amount", F.col("amount") + 5))
+    return merge.scd2_close_history(
+        inputs.history(spark, sf_dir), doubled, KEYS, TRACKED, LOAD_DATE, order_by=["amount"]
+    )
+
+
 @query
 def scd2_carry_forward(spark, sf_dir):
     return merge.scd2_carry_forward(
@@ -813,6 +831,82 @@ def load_hourly(spark, sf_dir):
     return _history_of(spark, layers, result)
 
 
+@query
+def load_hourly_column_gone(spark, sf_dir):
+    """The second batch lacks a column of the first: old rows keep it."""
+    layers = _layers(spark)
+    contract = merge_contract(min_valid_ratio=0.5)
+    note = F.concat(F.lit("n"), F.col("transaction_id"))
+    first = _stored(_first_batch(spark, sf_dir).withColumn("note", note), "first")
+    load_hourly_scd2(spark, first, contract, layers, MOMENT.replace(hour=7))
+    second = _stored(inputs.batch(spark, sf_dir), "second")
+    return _history_of(spark, layers, load_hourly_scd2(spark, second, contract, layers, MOMENT))
+
+
+@query
+def load_hourly_compacted(spark, sf_dir):
+    """Two hourly batches, folded into one snapshot."""
+    layers = _layers(spark)
+    contract = merge_contract(min_valid_ratio=0.5)
+    frames = (_first_batch(spark, sf_dir), inputs.batch(spark, sf_dir))
+    for hour, frame in zip((7, 8), frames, strict=True):
+        source = _stored(frame, "batch")
+        result = load_hourly_scd2(spark, source, contract, layers, MOMENT.replace(hour=hour))
+    compact(spark, layers.business)
+    return _history_of(spark, layers, result)
+
+
+@query
+def load_hourly_from_lines(spark, sf_dir):
+    """Two hourly batches under a contract file of one mapping a line."""
+    layers = _layers(spark)
+    path = inputs.scratch_path(spark, "lines")
+    lines = [
+        {k: json.dumps(v) if k in ("constraints", "allowed_values") else v for k, v in f.items()}
+        for f in MERGE_FIELDS
+    ]
+    contracts.save_document(spark, lines, path)
+    contract = contracts.load_contract(spark, path)
+    frames = (_first_batch(spark, sf_dir), inputs.batch(spark, sf_dir))
+    for hour, frame in zip((7, 8), frames, strict=True):
+        source, moment = _stored(frame, "batch"), MOMENT.replace(hour=hour)
+        result = load_hourly_scd2(spark, source, contract, layers, moment, min_valid_ratio=0.5)
+    return _history_of(spark, layers, result)
+
+
+@query
+def load_accounts(spark, sf_dir):
+    """Where the rows of a batch with repeated and missing keys go, by load."""
+    batch = inputs.batch(spark, sf_dir)
+    repeated = batch.filter("transaction_type = 'P'").withColumn("amount", F.col("amount") + 2)
+    keyless = batch.filter("transaction_type = 'F'").withColumn("transaction_id", F.lit(None).cast("bigint"))
+    source = _stored(batch.unionByName(repeated).unionByName(keyless), "batch")
+    hourly = load_hourly_scd2(
+        spark, source, merge_contract(min_valid_ratio=0.1), _layers(spark), MOMENT, order_by=["amount"]
+    ).metrics
+    strict = load_strict(
+        spark, line_contract(), inputs.scratch_path(spark, "strict"), MOMENT, source=scan_parquet(spark, sf_dir)
+    ).metrics
+    rows = [
+        {
+            "load": "hourly",
+            "source_rows": hourly["total_rows"],
+            "kept_rows": hourly["valid_rows"] - hourly["duplicate_rows"],
+            "rejected_rows": hourly["rejected_rows"],
+            "duplicate_rows": hourly["duplicate_rows"],
+        },
+        {
+            "load": "strict",
+            "source_rows": strict["source_count"],
+            "kept_rows": strict["curated_count"],
+            "rejected_rows": strict["rule_rejects"],
+            "duplicate_rows": strict["duplicate_rows"],
+        },
+    ]
+    names = "load string, source_rows long, kept_rows long, rejected_rows long, duplicate_rows long"
+    return rows_frame(spark, rows, names)
+
+
 @query
 def load_daily(spark, sf_dir):
     """Two daily batches into SCD2 history."""
@@ -849,8 +943,22 @@ def load_overwriting(spark, sf_dir):
     return read_business(spark, layers.business).drop("ingest_ts")
 
 
-def line_contract():
-    return ds_contract(
+@query
+def load_overwriting_column_gone(spark, sf_dir):
+    """The second contract lacks a column of the first: rows it doesn't touch keep it."""
+    layers = _layers(spark)
+    limits = {"max_reject_pct": 0.2, "max_null_pct": 0.5}
+    noted = merge_contract({"source_field": "note", "target_field": "note"}, **limits)
+    note = F.concat(F.lit("n"), F.col("transaction_id"))
+    first = _stored(_first_batch(spark, sf_dir).withColumn("note", note), "first")
+    load_scd1(spark, first, noted, layers, MOMENT.replace(hour=7), fmt="parquet")
+    second = _stored(inputs.batch(spark, sf_dir), "second")
+    load_scd1(spark, second, merge_contract(**limits), layers, MOMENT, fmt="parquet")
+    return read_business(spark, layers.business).drop("ingest_ts")
+
+
+def line_document() -> dict:
+    return ds_document(
         {"src_nm": "l_orderkey", "tgt_nm": "order_id", "nullable": False},
         {"src_nm": "l_linenumber", "tgt_nm": "line_no", "nullable": False},
         {"src_nm": "l_returnflag", "tgt_nm": "return_flag", "regex": "[AR]"},
@@ -861,6 +969,10 @@ def line_contract():
     )
 
 
+def line_contract():
+    return parse_contract(line_document())
+
+
 def strict_lines(spark, sf_dir) -> DataFrame:
     return strict_tagged(scan_parquet(spark, sf_dir), line_contract(), MOMENT)
 
@@ -873,6 +985,16 @@ def load_strict_curated(spark, sf_dir):
     return plain(read_output(spark, output, "curated", strict_lines(spark, sf_dir).schema))
 
 
+@query
+def load_strict_from_document(spark, sf_dir):
+    """A strict load under a contract document saved as a file."""
+    path, output = (inputs.scratch_path(spark, label) for label in ("contract", "strict"))
+    contracts.save_document(spark, line_document(), path)
+    contract = contracts.load_contract(spark, path)
+    load_strict(spark, contract, output, MOMENT, source=scan_parquet(spark, sf_dir))
+    return plain(read_output(spark, output, "curated", strict_lines(spark, sf_dir).schema))
+
+
 @query
 def load_strict_rejects(spark, sf_dir):
     output = inputs.scratch_path(spark, "strict")
@@ -939,6 +1061,36 @@ def load_policy_rejects(spark, sf_dir):
     return plain(spark.read.parquet(_policy_load(spark, sf_dir).paths["rejects"]))
 
 
+@query
+def load_policy_rerun_rejects(spark, sf_dir):
+    """Rejects a policy load leaves, and what a clean run leaves of them."""
+    curated, rejects = (inputs.scratch_path(spark, label) for label in ("curated", "rejects"))
+    texts = _stored(inputs.text_transactions(spark, sf_dir), "text")
+    clean = spark.read.parquet(texts).filter("txn_day <> 'n/a' and priority rlike '^[1-3]-'")
+    counts = []
+    for run, source in (("first", spark.read.parquet(texts)), ("clean", clean)):
+        load_with_policy(spark, source, text_contract(), curated, rejects, MOMENT)
+        left = spark.read.parquet(rejects).agg(F.count("*").alias("rejects"))
+        counts.append(left.select(F.lit(run).alias("run"), "rejects").first().asDict())
+    return rows_frame(spark, counts, "run string, rejects long")
+
+
+@query
+def run_audit_failure(spark, sf_dir):
+    """The events of a daily load whose gate fails."""
+    layers = _layers(spark)
+    source = _stored(inputs.batch(spark, sf_dir), "batch")
+    try:
+        load_daily_scd2(spark, source, merge_contract(min_valid_ratio=1.0), layers, MOMENT)
+    except gates.GateFailed:
+        pass
+    events = read_audit(spark, layers.audit)
+    return events.select(
+        "level", "stage", F.col("details")["rejected_rows"].alias("rejected_rows"),
+        F.col("details")["traceback"].contains("GateFailed").alias("traced"),
+    )
+
+
 @query
 def run_audit(spark, sf_dir):
     """The events of a strict load, with the counts they report."""
