@@ -35,6 +35,8 @@ ANCHOR = 32
 PIECE = 2 << 20
 #: Suffixes that get an array together, and suffixes of a shard's index.
 BATCH, SHARD = 1 << 16, 1 << 20
+#: Runs of one anchor beyond which its windows are dealt out one by one.
+HOT_RUNS = 500
 
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -91,7 +93,7 @@ def merged(start: np.ndarray, end: np.ndarray, of: np.ndarray) -> tuple[np.ndarr
     return start[at], np.maximum.reduceat(reach, at), of[at]
 
 
-_ROWS = "a long, x long, ord long, pos long, size int, kind int"  # kind 0 a run of windows, 1 a span, 2 a run to compare
+_ROWS = "a long, x long, ord long, pos long, size int, kind int"  # kind 0 a run of windows, 1 a span, 2 a run to compare, 3 one of a hot anchor
 _NAMES = ["a", "x", "ord", "pos", "size", "kind"]
 
 
@@ -157,7 +159,11 @@ def _settle(rows: DataFrame, length: int) -> DataFrame:
         alone = np.r_[True, a[kept][1:] != a[kept][:-1]][: len(kept)]
         alone &= np.r_[alone[1:], True][: len(kept)]
         kept = kept[~alone]
-        yield _rows(a[kept], x[kept], ord[kept], pos[kept], size[kept], 2)
+        head = np.flatnonzero(np.r_[True, a[kept][1:] != a[kept][:-1]][: len(kept)])
+        runs = np.diff(np.r_[head, len(kept)])
+        hot = np.repeat(runs > HOT_RUNS, runs)
+        for part, kind in ((kept[~hot], 2), (kept[hot], 3)):
+            yield _rows(a[part], x[part], ord[part], pos[part], size[part], kind)
 
     return rows.repartition("a").mapInArrow(run, _ROWS)
 
@@ -250,12 +256,13 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     packed = _packed(docs.select("ord", "text"))
     settled = cut(_settle(_scan(docs, length), length))
     wanted = (
-        settled.filter("kind = 2").groupBy("ord")
-        .agg(F.collect_list(F.struct("a", "pos", "size")).alias("runs"))
+        settled.filter("kind >= 2").groupBy("ord")
+        .agg(F.collect_list(F.struct("a", "pos", "size", "kind")).alias("runs"))
     )
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
+        from xxhash import xxh64_intdigest
 
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
@@ -263,10 +270,12 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
             for o, body, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 body = unpack(body)
                 for r in runs:
-                    a.append(r["a"])
-                    ord.append(o)
-                    pos.append(r["pos"])
-                    part.append(body[r["pos"] : r["pos"] + r["size"] + length - 1])
+                    step = r["size"] if r["kind"] == 2 else 1
+                    for at in range(r["pos"], r["pos"] + r["size"], step):
+                        part.append(body[at : at + step + length - 1])
+                        a.append(r["a"] if r["kind"] == 2 else xxh64_intdigest(part[-1]) - (1 << 63))
+                        ord.append(o)
+                        pos.append(at)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(ord, pa.int64()), pa.array(pos, pa.int64()), pa.array(part, pa.binary())],
                 names=["a", "ord", "pos", "part"],

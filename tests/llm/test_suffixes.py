@@ -31,7 +31,9 @@ def found(df):
     return [tuple(r)[1:] for r in rows]
 
 
-def test_matches_plain_search(documents, monkeypatch):
+@pytest.mark.parametrize("hot_runs", [500, 3])
+def test_matches_plain_search(documents, monkeypatch, hot_runs):
+    monkeypatch.setattr(suffixes, "HOT_RUNS", hot_runs)
     monkeypatch.setattr(suffixes, "PIECE", 700)  # cuts long texts
     monkeypatch.setattr(suffixes, "BATCH", 300)  # several batches and levels
     rng = random.Random(7)
@@ -47,6 +49,13 @@ def test_matches_plain_search(documents, monkeypatch):
     assert found(remove_repeats(documents(*texts))) == plain(texts)
 
 
+def test_common_line_in_other_surroundings(documents, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT_RUNS", 20)
+    line = "a very common line that stands in a great many texts and is long enough by itself"
+    texts = [f"{i * 7919 % 1009:04d} before it {i % 9} {line} {i % 11} after it {i * 31 % 97}" for i in range(120)]
+    assert found(remove_repeats(documents(*texts))) == plain(texts)
+
+
 def test_odd_rows(documents):
     long = "the same words again and again " * 5
     texts = [*ODD, long, long, long[:99], "é" * 60]
