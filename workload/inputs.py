@@ -128,3 +128,42 @@ def plain(df: DataFrame) -> DataFrame:
             c = F.array_join(c, ",").alias(f.name)
         columns.append(c)
     return df.select(*columns)
+
+
+def _noted(df: DataFrame) -> DataFrame:
+    return df.withColumn("note", F.concat(F.lit("n"), F.col("transaction_id")))
+
+
+def repeated_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch, its pending orders once more, and its finished ones without a key."""
+    df = batch(spark, sf_dir)
+    again = df.filter("transaction_type = 'P'").withColumn("amount", F.col("amount") + 2)
+    keyless = df.filter("transaction_type = 'F'").withColumn(
+        "transaction_id", F.lit(None).cast("bigint")
+    )
+    return df.unionByName(again).unionByName(keyless)
+
+
+#: Files that loads read, by name: how their rows are made, and their format.
+FIXTURES = {
+    "business": (business, "parquet"),
+    "business_noted": (lambda spark, sf_dir: _noted(business(spark, sf_dir)), "parquet"),
+    "business_csv": (business, "csv"),
+    "batch": (batch, "parquet"),
+    "batch_csv": (batch, "csv"),
+    "batch_repeated": (repeated_batch, "parquet"),
+    "text": (text_transactions, "parquet"),
+    "text_csv": (text_transactions, "csv"),
+}
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The path of a fixture, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        build, fmt = FIXTURES[name]
+        path = f"{scratch_path(spark, name)}.{fmt}"
+        build(spark, sf_dir).write.option("header", True).format(fmt).save(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]

@@ -794,14 +794,8 @@ def _layers(spark: SparkSession) -> Layers:
     )
 
 
-def _first_batch(spark, sf_dir) -> DataFrame:
-    return inputs.business(spark, sf_dir)
-
-
-def _stored(df: DataFrame, label: str) -> str:
-    path = inputs.scratch_path(df.sparkSession, label)
-    writers.overwrite(df, path)
-    return path
+def _stored(spark, sf_dir, *names: str) -> tuple[str, ...]:
+    return tuple(inputs.stored(spark, sf_dir, name) for name in names)
 
 
 def _history_of(spark, layers: Layers, result) -> DataFrame:
@@ -824,9 +818,8 @@ def load_hourly(spark, sf_dir):
     """Two hourly batches into SCD2 history."""
     layers = _layers(spark)
     contract = merge_contract(min_valid_ratio=0.5)
-    first = _stored(_first_batch(spark, sf_dir), "first")
+    first, second = _stored(spark, sf_dir, "business", "batch")
     load_hourly_scd2(spark, first, contract, layers, MOMENT.replace(hour=7))
-    second = _stored(inputs.batch(spark, sf_dir), "second")
     result = load_hourly_scd2(spark, second, contract, layers, MOMENT)
     return _history_of(spark, layers, result)
 
@@ -836,10 +829,8 @@ def load_hourly_column_gone(spark, sf_dir):
     """The second batch lacks a column of the first: old rows keep it."""
     layers = _layers(spark)
     contract = merge_contract(min_valid_ratio=0.5)
-    note = F.concat(F.lit("n"), F.col("transaction_id"))
-    first = _stored(_first_batch(spark, sf_dir).withColumn("note", note), "first")
+    first, second = _stored(spark, sf_dir, "business_noted", "batch")
     load_hourly_scd2(spark, first, contract, layers, MOMENT.replace(hour=7))
-    second = _stored(inputs.batch(spark, sf_dir), "second")
     return _history_of(spark, layers, load_hourly_scd2(spark, second, contract, layers, MOMENT))
 
 
@@ -848,9 +839,7 @@ def load_hourly_compacted(spark, sf_dir):
     """Two hourly batches, folded into one snapshot."""
     layers = _layers(spark)
     contract = merge_contract(min_valid_ratio=0.5)
-    frames = (_first_batch(spark, sf_dir), inputs.batch(spark, sf_dir))
-    for hour, frame in zip((7, 8), frames, strict=True):
-        source = _stored(frame, "batch")
+    for hour, source in zip((7, 8), _stored(spark, sf_dir, "business", "batch"), strict=True):
         result = load_hourly_scd2(spark, source, contract, layers, MOMENT.replace(hour=hour))
     compact(spark, layers.business)
     return _history_of(spark, layers, result)
@@ -867,9 +856,8 @@ def load_hourly_from_lines(spark, sf_dir):
     ]
     contracts.save_document(spark, lines, path)
     contract = contracts.load_contract(spark, path)
-    frames = (_first_batch(spark, sf_dir), inputs.batch(spark, sf_dir))
-    for hour, frame in zip((7, 8), frames, strict=True):
-        source, moment = _stored(frame, "batch"), MOMENT.replace(hour=hour)
+    for hour, source in zip((7, 8), _stored(spark, sf_dir, "business", "batch"), strict=True):
+        moment = MOMENT.replace(hour=hour)
         result = load_hourly_scd2(spark, source, contract, layers, moment, min_valid_ratio=0.5)
     return _history_of(spark, layers, result)
 
@@ -877,10 +865,7 @@ def load_hourly_from_lines(spark, sf_dir):
 @query
 def load_accounts(spark, sf_dir):
     """Where the rows of a batch with repeated and missing keys go, by load."""
-    batch = inputs.batch(spark, sf_dir)
-    repeated = batch.filter("transaction_type = 'P'").withColumn("amount", F.col("amount") + 2)
-    keyless = batch.filter("transaction_type = 'F'").withColumn("transaction_id", F.lit(None).cast("bigint"))
-    source = _stored(batch.unionByName(repeated).unionByName(keyless), "batch")
+    (source,) = _stored(spark, sf_dir, "batch_repeated")
     hourly = load_hourly_scd2(
         spark, source, merge_contract(min_valid_ratio=0.1), _layers(spark), MOMENT, order_by=["amount"]
     ).metrics
@@ -912,9 +897,8 @@ def load_daily(spark, sf_dir):
     """Two daily batches into SCD2 history."""
     layers = _layers(spark)
     contract = merge_contract(min_valid_ratio=0.5)
-    first = _stored(_first_batch(spark, sf_dir), "first")
+    first, second = _stored(spark, sf_dir, "business", "batch")
     load_daily_scd2(spark, first, contract, layers, MOMENT.replace(day=13))
-    second = _stored(inputs.batch(spark, sf_dir), "second")
     result = load_daily_scd2(spark, second, contract, layers, MOMENT)
     return _history_of(spark, layers, result)
 
@@ -924,9 +908,9 @@ def load_daily_rejects(spark, sf_dir):
     """The rejects a daily load leaves in its partition."""
     layers = _layers(spark)
     contract = merge_contract(min_valid_ratio=0.5)
-    batch = inputs.batch(spark, sf_dir)
-    load_daily_scd2(spark, _stored(batch, "batch"), contract, layers, MOMENT)
-    tagged = layered_tagged(batch, contract)
+    (source,) = _stored(spark, sf_dir, "batch")
+    load_daily_scd2(spark, source, contract, layers, MOMENT)
+    tagged = layered_tagged(spark.read.parquet(source), contract)
     return writers.read_layer(spark, layers.rejects, tagged.schema)
 
 
@@ -935,11 +919,9 @@ def load_overwriting(spark, sf_dir):
     """Two CSV batches into an SCD1 table."""
     layers = _layers(spark)
     contract = merge_contract(max_reject_pct=0.2, max_null_pct=0.5)
-    result = None
-    for hour, frame in ((7, _first_batch(spark, sf_dir)), (8, inputs.batch(spark, sf_dir))):
-        path = inputs.scratch_path(spark, "batch") + ".csv"
-        frame.write.option("header", True).csv(path)
-        result = load_scd1(spark, path, contract, layers, MOMENT.replace(hour=hour))
+    paths = _stored(spark, sf_dir, "business_csv", "batch_csv")
+    for hour, path in zip((7, 8), paths, strict=True):
+        load_scd1(spark, path, contract, layers, MOMENT.replace(hour=hour))
     return read_business(spark, layers.business).drop("ingest_ts")
 
 
@@ -949,10 +931,8 @@ def load_overwriting_column_gone(spark, sf_dir):
     layers = _layers(spark)
     limits = {"max_reject_pct": 0.2, "max_null_pct": 0.5}
     noted = merge_contract({"source_field": "note", "target_field": "note"}, **limits)
-    note = F.concat(F.lit("n"), F.col("transaction_id"))
-    first = _stored(_first_batch(spark, sf_dir).withColumn("note", note), "first")
+    first, second = _stored(spark, sf_dir, "business_noted", "batch")
     load_scd1(spark, first, noted, layers, MOMENT.replace(hour=7), fmt="parquet")
-    second = _stored(inputs.batch(spark, sf_dir), "second")
     load_scd1(spark, second, merge_contract(**limits), layers, MOMENT, fmt="parquet")
     return read_business(spark, layers.business).drop("ingest_ts")
 
@@ -1044,8 +1024,7 @@ def load_lenient_rows(spark, sf_dir):
 
 
 def _policy_load(spark, sf_dir):
-    path = inputs.scratch_path(spark, "text") + ".csv"
-    inputs.text_transactions(spark, sf_dir).write.option("header", True).csv(path)
+    (path,) = _stored(spark, sf_dir, "text_csv")
     curated = inputs.scratch_path(spark, "curated")
     rejects = inputs.scratch_path(spark, "rejects")
     return load_with_policy(spark, path, text_contract(), curated, rejects, MOMENT)
@@ -1065,7 +1044,7 @@ def load_policy_rejects(spark, sf_dir):
 def load_policy_rerun_rejects(spark, sf_dir):
     """Rejects a policy load leaves, and what a clean run leaves of them."""
     curated, rejects = (inputs.scratch_path(spark, label) for label in ("curated", "rejects"))
-    texts = _stored(inputs.text_transactions(spark, sf_dir), "text")
+    (texts,) = _stored(spark, sf_dir, "text")
     clean = spark.read.parquet(texts).filter("txn_day <> 'n/a' and priority rlike '^[1-3]-'")
     counts = []
     for run, source in (("first", spark.read.parquet(texts)), ("clean", clean)):
@@ -1079,7 +1058,7 @@ def load_policy_rerun_rejects(spark, sf_dir):
 def run_audit_failure(spark, sf_dir):
     """The events of a daily load whose gate fails."""
     layers = _layers(spark)
-    source = _stored(inputs.batch(spark, sf_dir), "batch")
+    (source,) = _stored(spark, sf_dir, "batch")
     try:
         load_daily_scd2(spark, source, merge_contract(min_valid_ratio=1.0), layers, MOMENT)
     except gates.GateFailed:
