@@ -300,10 +300,11 @@ def _deep_levels(code: np.ndarray, n: np.ndarray) -> list[Level]:
     return levels
 
 
-def _totals(table: pa.Table) -> tuple[np.ndarray, ...]:
-    block, code, n = (table.column(c).to_numpy() for c in ("block", "code", "n"))
-    unique, back = np.unique(code, return_inverse=True)
-    return block, code, unique, back, np.bincount(back, n, len(unique)).astype(np.int64)
+def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Strings in order, and how often each is there to learn from."""
+    code, n = table.column("code").to_numpy(), table.column("n").to_numpy()
+    order = np.argsort(code)
+    return code[order], n[order]
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -327,12 +328,15 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def _string_answers(requests: DataFrame) -> DataFrame:
     """(block, kind 1, key, value): log10 probability of the string's last byte."""
+    requests = cut(requests)
+    # blocks are summed up first, so that a shard grows with its strings and not with the corpus
+    counts = requests.groupBy("code").agg(F.sum("n").alias("n"))
     shard = F.shiftright("code", 8).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    dealt = cut(requests.withColumn("shard", shard).repartition("shard").sortWithinPartitions("shard"))
+    dealt = cut(counts.withColumn("shard", shard).repartition("shard").sortWithinPartitions("shard"))
 
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _shards(batches):
-            _, _, unique, _, n = _totals(table)
+            unique, n = _totals(table)
             two = _deep_levels(unique, n)[-1]
             key, back = np.unique(two.key & 0xFFFF, return_inverse=True)
             add = lambda v: pa.array(np.bincount(back, v, len(key)).astype(np.int64))  # noqa: E731, B023
@@ -350,7 +354,7 @@ def _string_answers(requests: DataFrame) -> DataFrame:
         one = Level(*shared.value)
         top = [one, one.parent(0)]
         for table in _shards(batches):
-            block, code, unique, back, n = _totals(table)
+            unique, n = _totals(table)
             levels = [*_deep_levels(unique, n), *top]
             value = np.zeros(len(unique))
             for key, bit in bit_nodes(unique):
@@ -358,9 +362,10 @@ def _string_answers(requests: DataFrame) -> DataFrame:
                 for level, keep in zip(levels, range(DEPTH, -1, -1), strict=True):
                     chance = level.mix(key & ((1 << 8 * keep + 8) - 1), bit, chance)
                 value += np.log10(chance)
-            yield _answers(block, 1, code, value[back])
+            yield pa.RecordBatch.from_arrays([pa.array(unique), pa.array(value)], names=["code", "value"])
 
-    return dealt.mapInArrow(answer, _ANSWERS)
+    answers = cut(dealt.mapInArrow(answer, "code long, value double"))
+    return requests.join(answers, "code").select("block", F.lit(1).alias("kind"), F.col("code").alias("key"), "value")
 
 
 def score_texts(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "text") -> DataFrame:
