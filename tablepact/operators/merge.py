@@ -382,7 +382,7 @@ def scd2_changes(
     known = _keyed(current.select(*[ref(c) for c in ordered]), keys)
     incoming = _unique(batch, keys, order_by, unique)
     if plan == "lookup":
-        wanted = incoming.select(*[ref(k) for k in keys])
+        wanted = _keyed(batch, keys).select(*[ref(k) for k in keys])
         known = known.join(wanted, list(keys), "left_semi").select(*ordered)
     left = _packed(open_versions(incoming, load_date).select(*ordered), keys, "new", ordered)
     pairs = left.join(_packed(known, keys, "old", ordered), _joined_keys(keys), "left")

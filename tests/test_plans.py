@@ -94,3 +94,41 @@ def test_no_query_crosses_tables_or_runs_python(spark):
         plan = plan_of(query(spark, SF))
         assert "Cartesian" not in plan and "NestedLoop" not in plan, name
         assert "Python" not in plan and "Scan ExistingRDD" not in plan, name
+
+
+def _ran(df, *paths: str) -> dict[str, int]:
+    """Scans of each path, and shuffles, of the plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    return {p: plan.count(f"{p}]") for p in paths} | {"shuffles": plan.count("Exchange hashpart")}
+
+
+def test_changes_scan_the_table_once(shuffled, tmp_path):
+    """Even if nothing is broadcast: the batch's keys and rows, and the table, move once each."""
+    spark, batch, table = shuffled, f"{tmp_path}/batch", f"{tmp_path}/table"
+    spark.range(50).selectExpr("id", "id as v").write.parquet(batch)
+    rows = spark.range(900).selectExpr("id", "id + 1 as v")
+    merge.open_versions(rows, "2025-01-01").write.parquet(table)
+    counts = {}
+    for plan in ("lookup", "shuffle"):
+        changes = merge.scd2_changes(
+            spark.read.parquet(batch), spark.read.parquet(table), ["id"], ["v"], "2025-01-02", plan=plan
+        )
+        counts[plan] = _ran(changes, batch, table)
+        assert changes.count() == 100
+    assert counts["shuffle"] == {batch: 2, table: 1, "shuffles": 2}
+    assert counts["lookup"] == {batch: 3, table: 1, "shuffles": 3}
+    business = spark.read.parquet(table).select("id", "v")
+    merged = merge.scd1_merge(spark.read.parquet(batch), business, ["id"])
+    assert _ran(merged, batch, table)["shuffles"] <= 3
+
+
+def test_small_batches_change_the_table_where_it_lies(spark, tmp_path):
+    batch, table = f"{tmp_path}/batch", f"{tmp_path}/table"
+    spark.range(50).selectExpr("id", "id as v").write.parquet(batch)
+    merge.open_versions(spark.range(900).selectExpr("id", "id + 1 as v"), "2025-01-01").write.parquet(table)
+    changes = merge.scd2_changes(
+        spark.read.parquet(batch), spark.read.parquet(table), ["id"], ["v"], "2025-01-02"
+    )
+    # the one shuffle is that of the batch's own keys
+    assert _ran(changes, table) == {table: 1, "shuffles": 1}
