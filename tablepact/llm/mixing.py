@@ -21,8 +21,9 @@ WEIGHTS = (3, 1, 2)
 #: Size of the mix and most of a source in it, as multiples of what there is.
 SHARE, EPOCHS = 1.5, 2
 BLOCK_WORDS = 32
-#: Words of a shard: a source, however hot, is dealt out by so many.
-SHARD_WORDS = 1_000_000
+#: Words of a shard: a source, however hot, is dealt out by so many, or by this part of
+#: all words where that is more, so that the shards to apportion stay a short list.
+SHARD_WORDS, SHARD_PART = 1_000_000, 1 / 20_000
 SEED = "mix-1"
 
 
@@ -110,7 +111,8 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
     targets = targets.withColumn("blocks", F.round(F.col("total") / BLOCK_WORDS).cast("long"))
     quotas = sainte_lague(targets, "target", "total", "blocks", [F.col("source").asc_nulls_last()])
-    shards = F.greatest(F.ceil(F.col("source_size") / SHARD_WORDS), F.lit(1)).cast("long")
+    shard_words = F.greatest(F.lit(float(SHARD_WORDS)), F.col("total") * (SHARD_PART / SHARE))
+    shards = F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)).cast("long")
     quotas = cut(quotas.select(F.col("source").alias("_s"), "source_size", "target", F.col("quota").alias("blocks"), shards.alias("shards")))
 
     dealt = sized.join(quotas, F.col("source").eqNullSafe(F.col("_s"))).withColumn("shard", F.expr("draw % shards"))
@@ -200,7 +202,7 @@ s4 as (
         cast(round(total / {BLOCK_WORDS}) as bigint) blocks, 0 one
     from s3
 ),
-quotas as (select source, source_size, target, quota blocks, greatest(cast(ceil(source_size / {SHARD_WORDS}) as bigint), 1) shards from ({_sql_quota("s4", "source, source_size, target", "target", "total", "blocks", "source nulls last", "one")})),
+quotas as (select source, source_size, target, quota blocks, greatest(cast(ceil(source_size / greatest({SHARD_WORDS}::double, total * {SHARD_PART / SHARE}::double)) as bigint), 1) shards from ({_sql_quota("s4", "source, source_size, target, total", "target", "total", "blocks", "source nulls last", "one")})),
 dealt as (select z.*, source_size, target, blocks, draw % shards shard from sized z join quotas q on z.source is not distinct from q.source),
 p1 as (select source, source_size, blocks, shard, cast(sum(size) as bigint) shard_size from dealt group by all),
 p2 as ({_sql_quota("p1", "source, shard, shard_size", "shard_size", "source_size", "blocks", "shard", "source")}),

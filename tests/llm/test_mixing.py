@@ -57,6 +57,7 @@ def test_mix_comes_near_its_targets(spark):
 
 def test_shards_of_a_hot_source(spark, documents, monkeypatch):
     monkeypatch.setattr(mixing, "SHARD_WORDS", 500)
+    monkeypatch.setattr(mixing, "SHARD_PART", 0.01)
     texts = [(i, "w " * (7 + i % 90), None, "hot" if i % 4 else f"s{i % 7}") for i in range(400)]
     first = mix_sources(documents(*texts)).collect()
     again = mix_sources(documents(*texts[::-1]).repartition(5)).collect()
