@@ -13,6 +13,11 @@ bytes it covers are removed. The corpus is too large for one index, so:
    each shard of anchors, batches in document order get suffix arrays, are scanned
    against the levels of the index so far, and levels of like size are merged.
 4. The spans found are joined to their documents.
+
+An anchor with many different runs (a common line in ever other surroundings) would
+fill one task in steps 2 and 3. Such anchors are looked for in a bounded sample; their
+runs are dealt out by the run and their windows by the window. So are those the sample
+missed, in step 3. Either way gives the same spans.
 """
 
 from __future__ import annotations
@@ -37,6 +42,8 @@ PIECE = 2 << 20
 BATCH, SHARD = 1 << 16, 1 << 20
 #: Runs of one anchor beyond which its windows are dealt out one by one.
 HOT_RUNS = 500
+#: Documents looked at for such anchors beforehand, and the part of them that must have one.
+HOT_SAMPLE, HOT_PART = 2_000, 0.02
 
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -110,8 +117,25 @@ def _repeats(a, x, ord, pos) -> tuple[np.ndarray, np.ndarray]:
     return order, np.r_[True, (a[1:] != a[:-1]) | (x[1:] != x[:-1])][: len(order)]
 
 
-def _scan(docs: DataFrame, length: int) -> DataFrame:
-    """Runs of windows of each text; repeats within a piece are spans already."""
+def _hot_anchors(docs: DataFrame, length: int) -> list[int]:
+    """Anchors with many different runs in a sample of documents, chosen by their number.
+
+    There are at most as many as a document has runs, times 1 / HOT_PART.
+    """
+    total = docs.count()
+    draw = F.pmod(F.xxhash64("ord", F.lit("hot anchors")), F.lit(1 << 30)) / F.lit(1 << 30)
+    sample = docs.filter(draw < HOT_SAMPLE / max(total, 1))
+    runs = _scan(sample, length, []).filter("kind = 0").groupBy("a").agg(F.countDistinct("x").alias("runs"))
+    least = max(2, HOT_PART * min(total, HOT_SAMPLE))
+    return sorted(r["a"] for r in runs.filter(F.col("runs") >= least).select("a").collect())
+
+
+def _scan(docs: DataFrame, length: int, hot: list[int]) -> DataFrame:
+    """Runs of windows of each text; repeats within a piece are spans already.
+
+    Runs of ``hot`` anchors are of kind 3 and have a number of their own for ``a``.
+    """
+    known = np.array(hot, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll = RollingHash()
@@ -124,7 +148,10 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
             ord, pos = ords[text], first - start[text] + base[text]
             order, new = _repeats(a, x, ord, pos)
             keep, again = order[new], order[~new]
-            yield _rows(a[keep], x[keep], ord[keep], pos[keep], count[keep], 0)
+            common = np.isin(a, known)
+            a = np.where(common, mix((a ^ x).view(np.uint64)).view(np.int64), a)
+            for part, kind in ((keep[~common[keep]], 0), (keep[common[keep]], 3)):
+                yield _rows(a[part], x[part], ord[part], pos[part], count[part], kind)
             s, e, o = merged(pos[again], pos[again] + count[again] + length - 1, ord[again])
             if len(o):
                 yield _rows(mix(o.astype(np.uint64)).view(np.int64), o, o, s, e - s, 1)
@@ -152,18 +179,20 @@ def _settle(rows: DataFrame, length: int) -> DataFrame:
         got = [table.column(n).to_numpy() for n in _NAMES]
         if span.any():
             yield _rows(*(c[span] for c in got[:5]), 1)
-        a, x, ord, pos, size, _ = (c[~span] for c in got)
+        a, x, ord, pos, size, kind = (c[~span] for c in got)
         order, new = _repeats(a, x, ord, pos)
         again, kept = order[~new], order[new]
         yield _rows(a[again], x[again], ord[again], pos[again], size[again] + length - 1, 1)
+        common, kept = kept[kind[kept] == 3], kept[kind[kept] == 0]
+        yield _rows(a[common], x[common], ord[common], pos[common], size[common], 3)
         alone = np.r_[True, a[kept][1:] != a[kept][:-1]][: len(kept)]
         alone &= np.r_[alone[1:], True][: len(kept)]
         kept = kept[~alone]
         head = np.flatnonzero(np.r_[True, a[kept][1:] != a[kept][:-1]][: len(kept)])
         runs = np.diff(np.r_[head, len(kept)])
         hot = np.repeat(runs > HOT_RUNS, runs)
-        for part, kind in ((kept[~hot], 2), (kept[hot], 3)):
-            yield _rows(a[part], x[part], ord[part], pos[part], size[part], kind)
+        for part, sort in ((kept[~hot], 2), (kept[hot], 3)):
+            yield _rows(a[part], x[part], ord[part], pos[part], size[part], sort)
 
     return rows.repartition("a").mapInArrow(run, _ROWS)
 
@@ -254,7 +283,7 @@ def _compare(runs: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """(ord, pos, size): byte spans that cover every string that also starts earlier."""
     packed = _packed(docs.select("ord", "text"))
-    settled = cut(_settle(_scan(docs, length), length))
+    settled = cut(_settle(_scan(docs, length, _hot_anchors(docs, length)), length))
     wanted = (
         settled.filter("kind >= 2").groupBy("ord")
         .agg(F.collect_list(F.struct("a", "pos", "size", "kind")).alias("runs"))

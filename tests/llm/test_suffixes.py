@@ -31,9 +31,10 @@ def found(df):
     return [tuple(r)[1:] for r in rows]
 
 
-@pytest.mark.parametrize("hot_runs", [500, 3])
-def test_matches_plain_search(documents, monkeypatch, hot_runs):
+@pytest.mark.parametrize("hot_runs, hot_part", [(500, 2), (3, 2), (500, 0.05), (3, 0)])
+def test_matches_plain_search(documents, monkeypatch, hot_runs, hot_part):
     monkeypatch.setattr(suffixes, "HOT_RUNS", hot_runs)
+    monkeypatch.setattr(suffixes, "HOT_PART", hot_part)
     monkeypatch.setattr(suffixes, "PIECE", 700)  # cuts long texts
     monkeypatch.setattr(suffixes, "BATCH", 300)  # several batches and levels
     rng = random.Random(7)
@@ -49,11 +50,15 @@ def test_matches_plain_search(documents, monkeypatch, hot_runs):
     assert found(remove_repeats(documents(*texts))) == plain(texts)
 
 
-def test_common_line_in_other_surroundings(documents, monkeypatch):
+@pytest.mark.parametrize("hot_part", [2, 0.02])
+def test_common_line_in_other_surroundings(documents, monkeypatch, hot_part):
     monkeypatch.setattr(suffixes, "HOT_RUNS", 20)
+    monkeypatch.setattr(suffixes, "HOT_PART", hot_part)
     line = "a very common line that stands in a great many texts and is long enough by itself"
     texts = [f"{i * 7919 % 1009:04d} before it {i % 9} {line} {i % 11} after it {i * 31 % 97}" for i in range(120)]
     assert found(remove_repeats(documents(*texts))) == plain(texts)
+    frame = documents(*texts).withColumn("ord", F.col("doc_id"))
+    assert bool(suffixes._hot_anchors(frame, 100)) == (hot_part < 1)
 
 
 def test_odd_rows(documents):
