@@ -25,7 +25,7 @@ from tablepact.llm.shared import cut
 #: Bytes of context; strings are contexts and the byte that follows.
 DEPTH = 4
 #: Bytes of text in a block, and bytes looked at together.
-BLOCK_BYTES, PIECE = 32 << 20, 2 << 20
+BLOCK_BYTES, PIECE = 16 << 20, 1 << 20
 #: Stands before and after each text; UTF-8 has no such byte.
 EDGE = b"\xff"
 #: The token that ends a text, among word hashes.
