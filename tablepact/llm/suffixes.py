@@ -37,7 +37,7 @@ from tablepact.llm.shared import cut, numbered
 #: Bytes of an anchor; windows must be longer.
 ANCHOR = 32
 #: Bytes looked at together; longer texts are cut, with windows across the cut kept.
-PIECE = 2 << 20
+PIECE = 1 << 20
 #: Suffixes that get an array together, and suffixes of a shard's index.
 BATCH, SHARD = 1 << 16, 1 << 20
 #: Runs of one anchor beyond which its windows are dealt out one by one.
