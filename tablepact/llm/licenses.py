@@ -82,7 +82,8 @@ def parse_expression(text: str) -> License | None:
         if operator == "with":
             if not (isinstance(right, str) and isinstance(left, str)):
                 return False
-            output.append(License(frozenset({f"{left}-with-{right}"}), min(level(left), 2) if level(left) == 3 else level(left)))
+            eased = 2 if level(left) == 3 else level(left)
+            output.append(License(frozenset({f"{left}-with-{right}"}), eased))
             return True
         left, right = map(_value, (left, right))
         chosen = max if operator == "and" else min

@@ -74,7 +74,9 @@ class _Piece:
         return np.maximum(np.minimum(self.gram_stop, len(self.gram)) - self.start, 0)
 
 
-def _train(good: np.ndarray, index: np.ndarray, value: np.ndarray, row: np.ndarray, options: QualityOptions) -> np.ndarray:
+def _train(
+    good: np.ndarray, index: np.ndarray, value: np.ndarray, row: np.ndarray, options: QualityOptions
+) -> np.ndarray:
     """Weights of a logistic regression by Adam; the classes weigh the same. Last: bias."""
     n, size = len(good), 2 << options.bits
     weight, first, second = (np.zeros(size + 1) for _ in range(3))
@@ -132,7 +134,8 @@ def fit_quality(
     if len(counts) < 2:
         return None
     draw = F.pmod(F.xxhash64("_key", F.lit("quality sample")), F.lit(1 << 30)) / F.lit(1 << 30)
-    rate = F.when(F.col("good"), 1.1 * options.sample_rows / counts[True]).otherwise(1.1 * options.sample_rows / counts[False])
+    wanted = {kind: 1.1 * options.sample_rows / n for kind, n in counts.items()}
+    rate = F.when(F.col("good"), wanted[True]).otherwise(wanted[False])
     chosen = marked.filter(draw < rate)
     # the sample's keys have a bound, so the texts of other documents need not move
     sample = docs.filter(F.col(text).isNotNull()).join(F.broadcast(chosen), F.col(key) == F.col("_key")).select(
@@ -185,7 +188,12 @@ def fit_quality(
     return (np.frombuffer(fitted[0], np.int64), fitted[1], fitted[2]) if fitted else None
 
 
-def score_quality(docs: DataFrame, model, text: str = "text", options: QualityOptions = QualityOptions()) -> DataFrame:
+def score_quality(
+    docs: DataFrame,
+    model: tuple[np.ndarray, float, float] | None,
+    text: str = "text",
+    options: QualityOptions = QualityOptions(),
+) -> DataFrame:
     """``docs`` with the rules' counts, base_failed, probability and kept.
 
     Words are what ASCII white space separates. word_chars counts their characters;

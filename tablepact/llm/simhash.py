@@ -150,8 +150,11 @@ def hamming_links(values: DataFrame, radius: int = 3) -> DataFrame:
     their chunk with each chunk, so no task holds more than two chunks.
     """
     masks = _masks(values.count(), radius)
-    table = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(_signed(m)).alias("k")) for i, m in enumerate(masks)]))
-    keyed = values.select("fp", table.alias("t")).select("fp", "t.i", "t.k")
+    shards = [
+        F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(_signed(m)).alias("k"))
+        for i, m in enumerate(masks)
+    ]
+    keyed = values.select("fp", F.explode(F.array(*shards)).alias("t")).select("fp", "t.i", "t.k")
     large = (
         keyed.groupBy("i", "k").count().filter(F.col("count") > TREE_SIZE)
         .select("i", "k", F.ceil(F.col("count") / TREE_SIZE).cast("int").alias("chunks"))
@@ -246,7 +249,11 @@ def keep_one_of_each(
     if doubtful.isEmpty():
         wanted = kept.select(F.col("doc_id").alias("_kept_doc_id"))
         return docs.join(wanted, F.col(f"`{key}`") == F.col("_kept_doc_id"), "left_semi").select(*names)
-    wanted = kept.select(F.col("doc_id").alias("_kept_doc_id"), F.col("fp").alias("_fp_of_kept"), F.col("class").alias("_class"))
+    wanted = kept.select(
+        F.col("doc_id").alias("_kept_doc_id"),
+        F.col("fp").alias("_fp_of_kept"),
+        F.col("class").alias("_class"),
+    )
     first = Window.partitionBy("_class").orderBy("_fp", F.col(f"`{text}`").asc_nulls_last())
     same = F.col(f"`{key}`").eqNullSafe(F.col("_kept_doc_id")) & (F.col("_fp") == F.col("_fp_of_kept"))
     return (

@@ -100,7 +100,8 @@ def merged(start: np.ndarray, end: np.ndarray, of: np.ndarray) -> tuple[np.ndarr
     return start[at], np.maximum.reduceat(reach, at), of[at]
 
 
-_ROWS = "a long, x long, ord long, pos long, size int, kind int"  # kind 0 a run of windows, 1 a span, 2 a run to compare, 3 one of a hot anchor
+# kind: 0 a run of windows, 1 a span, 2 a run to compare, 3 a run of a hot anchor
+_ROWS = "a long, x long, ord long, pos long, size int, kind int"
 _NAMES = ["a", "x", "ord", "pos", "size", "kind"]
 
 
@@ -172,9 +173,10 @@ def _settle(rows: DataFrame, length: int) -> DataFrame:
     """Spans of runs that repeat an earlier one whole; runs to compare by bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), None) if (batches := [b for b in batches if b.num_rows]) else None
-        if table is None:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         span = table.column("kind").to_numpy() == 1
         got = [table.column(n).to_numpy() for n in _NAMES]
         if span.any():
@@ -257,7 +259,8 @@ def _compare(runs: DataFrame, length: int) -> DataFrame:
                 hit = np.flatnonzero(index.add(data, begin[of] + offset))
                 start = pos[rows][of[hit]] + offset[hit]
                 s, e, o = merged(start, start + length, ord[rows][of[hit]])
-                yield pa.RecordBatch.from_arrays([pa.array(o), pa.array(s), pa.array((e - s).astype(np.int32))], names=["ord", "pos", "size"])
+                columns = [pa.array(o), pa.array(s), pa.array((e - s).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["ord", "pos", "size"])
 
         held, windows = [], 0
         for batch in batches:
@@ -305,9 +308,9 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
                         a.append(r["a"] if r["kind"] == 2 else xxh64_intdigest(part[-1]) - (1 << 63))
                         ord.append(o)
                         pos.append(at)
+            columns = [pa.array(c, pa.int64()) for c in (a, ord, pos)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(ord, pa.int64()), pa.array(pos, pa.int64()), pa.array(part, pa.binary())],
-                names=["a", "ord", "pos", "part"],
+                [*columns, pa.array(part, pa.binary())], names=["a", "ord", "pos", "part"]
             )
 
     runs = packed.join(wanted, "ord").select("ord", "packed", "runs")
@@ -350,7 +353,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     joined = whole.join(spans, "ord", "left").drop("ord")
     names = [c for c in joined.columns if c not in ("packed", "spans", "_null")]
     schema = joined.select(*[f"`{c}`" for c in names]).schema
-    schema = StructType([*schema.fields, *_parsed("text string, kept binary, n_bytes long, n_removed long, n_spans long, removed array<struct<start:long,end:long>>")])
+    found = (
+        "text string, kept binary, n_bytes long, n_removed long, n_spans long, "
+        "removed array<struct<start:long,end:long>>"
+    )
+    schema = StructType([*schema.fields, *StructType.fromDDL(found).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -361,14 +368,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
             columns = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("packed", "spans", "_null"))
-            for body, found, null in zip(*columns, strict=True):
+            for body, gone, null in zip(*columns, strict=True):
                 body = unpack(body)
-                start = np.array([s["pos"] for s in found or []], np.int64)
-                end = start + np.array([s["size"] for s in found or []], np.int64)
+                start = np.array([s["pos"] for s in gone or []], np.int64)
+                end = start + np.array([s["size"] for s in gone or []], np.int64)
                 start, end, _ = merged(start, end, np.zeros(len(start), np.int64))
                 kept = b"".join(body[a:b] for a, b in zip(np.r_[0, end], np.r_[start, len(body)], strict=True))
                 values = (
-                    None if null else kept.decode(errors="ignore"), kept, len(body), len(body) - len(kept), len(start),
+                    None if null else kept.decode(errors="ignore"),
+                    kept,
+                    len(body),
+                    len(body) - len(kept),
+                    len(start),
                     [{"start": int(a), "end": int(b)} for a, b in zip(start, end, strict=True)],
                 )
                 for column, value in zip(out, values, strict=True):
@@ -380,10 +391,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     return joined.mapInArrow(run, schema).withColumnRenamed("text", text)
 
 
-def _parsed(ddl: str) -> list[StructField]:
-    return StructType.fromDDL(ddl).fields
-
-
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes removed from every document, as counts and a digest of the rest."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -127,7 +127,8 @@ class Table:
         version = [*self.keys, OPENED]
         closed = self._read(self.parts[1:], f"{CURRENT}=false").select(*map(ref, version))
         keyed = opened.filter(~any_null(self.keys))
-        return keyed.join(closed, version, "left_anti").select(*map(ref, opened.columns)).unionByName(opened.filter(any_null(self.keys)))
+        still = keyed.join(closed, version, "left_anti").select(*map(ref, opened.columns))
+        return still.unionByName(opened.filter(any_null(self.keys)))
 
     def _newest(self) -> DataFrame:
         """The newest row of each key; the first part's rows move only if they lose."""
