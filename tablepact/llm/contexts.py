@@ -7,6 +7,11 @@ of its children's weighted probabilities count half each; so all depths are mixe
 Neither the counts nor the vocabulary have a size bound, so they are not broadcast.
 Documents are laid out in blocks; a block asks once for each word and byte string in
 it, requests meet their counts by a shuffle, and answers go back to the block.
+
+Most long strings are rare, so there are about as many requests as a quarter of the
+bytes. They travel in lists, dealt into buckets by hash; only each bucket's distinct
+strings are dealt again, by their nearest context bytes, to build the trees. The
+depths above those bytes have a bounded number of nodes, which are broadcast.
 """
 
 from __future__ import annotations
@@ -22,8 +27,14 @@ from tablepact.llm.batches import text_bytes
 from tablepact.llm.rolling import RollingHash, mix
 from tablepact.llm.shared import cut
 
-#: Bytes of context; strings are contexts and the byte that follows.
-DEPTH = 4
+#: Bytes of context; strings are contexts and the byte that follows, so 7 fill a long.
+DEPTH = 7
+#: Nearest bytes of context that strings of a tree have in common.
+NEAR = 3
+#: Buckets of strings, and groups of trees, for each block.
+BUCKETS = 4
+#: Logarithms of strings' probabilities travel as whole multiples of this, 3e-8 off at most.
+_LOG_UNIT = 2.0**-24
 #: Bytes of text in a block, and bytes looked at together.
 BLOCK_BYTES, PIECE = 16 << 20, 1 << 20
 #: Stands before and after each text; UTF-8 has no such byte.
@@ -59,9 +70,9 @@ class _Piece:
         self.start = self.stop - size + DEPTH
 
     def strings(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each coded byte after its context, as a number, and where each part's begin."""
+        """Each coded byte and its context, nearest byte first, as a number, and where each part's begin."""
         code = np.zeros(len(self.data) - DEPTH, np.int64)
-        for k in range(DEPTH + 1):
+        for k in range(DEPTH, -1, -1):
             code <<= 8
             code |= self.data[k : len(self.data) - DEPTH + k]
         inside = np.ones(len(code), bool)
@@ -129,8 +140,73 @@ def _packed(docs: DataFrame) -> DataFrame:
     return cut(docs.select("doc_id", "learn", "text").mapInArrow(run, f"block long, doc_id {kind}, learn boolean, packed binary"))
 
 
-def _requests(packed: DataFrame, key: str, keys: Callable) -> DataFrame:
-    """(block, key, n) of each block: its distinct keys, and their number in rows to learn from."""
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys starts."""
+    return np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of each one's ``n``."""
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    at = _starts(key)
+    return key[at], np.add.reduceat(n, at) if len(at) else n
+
+
+def _distinct(keys: list[np.ndarray]) -> np.ndarray:
+    """Distinct keys in order, by sorting: np.unique's hash table is slow on so many."""
+    key = np.sort(np.concatenate(keys))
+    return key[_starts(key)]
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Eight-byte values, first bytes first, compressed."""
+    import zstandard
+
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unsqueeze(bodies: list[bytes], kind: type) -> np.ndarray:
+    """The values of all ``bodies``, end to end."""
+    import zstandard
+
+    planes = (np.frombuffer(zstandard.decompress(b), np.uint8).reshape(8, -1) for b in bodies)
+    return np.concatenate([np.zeros(0, kind), *(np.ascontiguousarray(x.T).ravel().view(kind) for x in planes)])
+
+
+def _bucket(code: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(code.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _group(code: np.ndarray, groups: int) -> np.ndarray:
+    """Strings of one tree have the same nearest bytes of context and so the same group."""
+    near = code.view(np.uint64) >> np.uint64(8 * (DEPTH - NEAR)) & np.uint64((1 << 8 * NEAR) - 1)
+    return _bucket(near, groups)
+
+
+def _dealt(of: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list]:
+    """The buckets there are, and the values of each in order, as lists."""
+    order = np.argsort(of, kind="stable")
+    of = of[order]
+    at = _starts(of)
+    return of[at], [[squeeze(x) for x in np.split(v[order], at[1:])] for v in columns]
+
+
+def _word_rows(block: int, word: np.ndarray, n: np.ndarray) -> list:
+    return [np.full(len(n), block), word, n]
+
+
+def _string_rows(buckets: int) -> Callable:
+    def rows(block: int, code: np.ndarray, n: np.ndarray) -> list:
+        bucket, (codes, times) = _dealt(_bucket(code, buckets), code, n)
+        return [np.full(len(bucket), block), bucket, codes, times]
+
+    return rows
+
+
+def _requests(packed: DataFrame, schema: str, keys: Callable, rows: Callable) -> DataFrame:
+    """``rows`` of each block: its distinct keys, and their number in rows to learn from."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -139,20 +215,15 @@ def _requests(packed: DataFrame, key: str, keys: Callable) -> DataFrame:
         block, found = None, []
 
         def fold() -> tuple[np.ndarray, np.ndarray]:
-            key = np.concatenate([k for k, _ in found])
-            unique, back = np.unique(key, return_inverse=True)
-            return unique, np.bincount(back, np.concatenate([n for _, n in found]), len(unique)).astype(np.int64)
+            return _summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
         def out() -> pa.RecordBatch:
-            unique, n = fold()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), block)), pa.array(unique), pa.array(n)], names=["block", key, "n"]
-            )
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in rows(block, *fold())], names=names)
 
         for batch in batches:
             blocks = batch.column(0).to_numpy()
             learn = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-            for at in np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]][: len(blocks)]):
+            for at in _starts(blocks):
                 end = at + np.searchsorted(blocks[at:] != blocks[at], True)
                 if block is not None and blocks[at] != block:
                     yield out()
@@ -161,25 +232,18 @@ def _requests(packed: DataFrame, key: str, keys: Callable) -> DataFrame:
                 texts = [unpack(b) for b in batch.column(3).slice(at, end - at).to_pylist()]
                 for piece in _pieces(texts):
                     found.append(find(piece, learn[at:end]))
-                    if len(found) > 8:
+                    if len(found) > 4:
                         found = [fold()]
         if block is not None:
             yield out()
 
-    return packed.mapInArrow(run, f"block long, {key} long, n long")
-
-
-def _count(key: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(key)
-    key, total = key[order], np.r_[0, np.cumsum(learn[order])]
-    at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
-    return key[at], total[np.r_[at[1:], len(key)]] - total[at] if len(at) else at
+    return packed.mapInArrow(run, schema)
 
 
 def _string_keys() -> Callable:
     def find(piece: _Piece, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         code, _ = piece.strings()
-        return _count(code, np.repeat(learn[piece.doc], piece.stop - piece.start))
+        return _summed(code, np.repeat(learn[piece.doc], piece.stop - piece.start))
 
     return find
 
@@ -190,7 +254,7 @@ def _word_keys() -> Callable:
     def find(piece: _Piece, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         word, part = piece.words(roll)
         ends = piece.doc[piece.last]
-        return _count(np.r_[word, np.full(len(ends), END_TOKEN)], np.r_[learn[piece.doc[part]], learn[ends]])
+        return _summed(np.r_[word, np.full(len(ends), END_TOKEN)], np.r_[learn[piece.doc[part]], learn[ends]])
 
     return find
 
@@ -231,20 +295,34 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
 
 
+_HALVES, _WHOLES = log_gamma(np.arange(1024) + 0.5), log_gamma(np.arange(1024) + 1.0)
+
+
+def _log_gamma_above(n: np.ndarray, shift: float, known: np.ndarray) -> np.ndarray:
+    """log_gamma(n + shift) for whole n, of which small ones are ``known``."""
+    n = n.astype(np.int64)
+    out = known[np.minimum(n, len(known) - 1)]
+    large = n >= len(known)
+    out[large] = log_gamma(n[large] + shift)
+    return out
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Krichevsky-Trofimov estimate of any sequence with these counts, as a logarithm."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - np.log(np.pi) - log_gamma(zeros + ones + 1.0)
+    half = lambda n: _log_gamma_above(n, 0.5, _HALVES)
+    return half(zeros) + half(ones) - np.log(np.pi) - _log_gamma_above(zeros + ones, 1.0, _WHOLES)
 
 
 class Level:
     """Nodes of one depth: counts, the logarithm of the weighted probability, and ``stop``.
 
-    ``stop`` is the part of the node's own estimate in it. Keys are context << 8 | bit
-    node; bit nodes are the bits so far with a 1 before them.
+    ``stop`` is the part of the node's own estimate in it. Keys, in order, are the bits
+    of the byte so far with a 1 before them, then the context, nearest byte first.
+    Nodes of strings that are not there to learn from have no counts.
     """
 
-    def __init__(self, key, zeros, ones, below) -> None:
-        self.key, self.zeros, self.ones = key, zeros, ones
+    def __init__(self, key, zeros, ones, below=None) -> None:
+        self.key, self.zeros, self.ones, self.up = key, zeros, ones, None
         own = log_kt(zeros, ones)
         if below is None:
             self.weighted, self.stop = own, np.ones(len(key))
@@ -252,120 +330,145 @@ class Level:
             self.weighted = np.logaddexp(own, below) - np.log(2)
             self.stop = np.exp(own - np.log(2) - self.weighted)
 
-    def parent(self, keep: int) -> Level:
-        """The level above, whose contexts have ``keep`` bytes."""
-        key = self.key & ((1 << 8 * keep + 8) - 1)
-        unique, back = np.unique(key, return_inverse=True)
-        add = lambda v: np.bincount(back, v, len(unique))
-        return Level(unique, add(self.zeros), add(self.ones), add(np.round(self.weighted / _UNIT)) * _UNIT)
-
-    def mix(self, key: np.ndarray, bit: np.ndarray, below: np.ndarray | None) -> np.ndarray:
-        """Probability of the bit at each node, given the one at its child; new nodes don't know."""
-        if not len(self.key):
-            return np.full(len(key), 0.5)
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        there = self.key[at] == key
-        zeros, ones = (np.where(there, c[at], 0) for c in (self.zeros, self.ones))
-        own = (np.where(bit == 1, ones, zeros) + 0.5) / (zeros + ones + 1)
-        if below is None:
-            return own
-        stop = np.where(there, self.stop[at], 0.5)
-        return stop * own + (1 - stop) * below
+    def parent(self) -> Level:
+        """The level above, whose contexts have a byte less; ``up`` is each node's place there."""
+        key = self.key >> np.uint64(8)
+        at = _starts(key)
+        self.up = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(key)]))
+        add = lambda v: np.add.reduceat(v, at) if len(at) else v
+        return Level(key[at], add(self.zeros), add(self.ones), add(np.round(self.weighted / _UNIT)) * _UNIT)
 
+    def mix(self, zero: np.ndarray, one: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Probability of a 0 and a 1 by the nodes and those above, and the part of those below.
 
-def bit_nodes(code: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each of the eight decisions: the node's key at full depth, and the bit."""
-    byte = code & 255
-    for k in range(8):
-        node = (1 << k) | (byte >> (8 - k))
-        yield (code >> 8 << 8) | node, (byte >> (7 - k)) & 1
+        The arguments are the same of each node's parent.
+        """
+        own = rest * self.stop / (self.zeros + self.ones + 1)
+        return zero + own * (self.zeros + 0.5), one + own * (self.ones + 0.5), rest * (1 - self.stop)
 
 
-def bottom_level(code: np.ndarray, n: np.ndarray) -> Level:
-    """The deepest nodes, from how often each string is there."""
-    code, n = code[n > 0], n[n > 0]
-    pairs = list(bit_nodes(code))
-    key = np.concatenate([k for k, _ in pairs])
-    bit = np.concatenate([b for _, b in pairs])
-    unique, back = np.unique(key, return_inverse=True)
-    times = np.tile(n, 8)
-    return Level(unique, np.bincount(back, times * (1 - bit), len(unique)), np.bincount(back, times * bit, len(unique)), None)
+def _decisions(code: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[Level]]]:
+    """For each of a byte's bits: an order of the strings, their bits and bottom nodes in it, levels.
+
+    Levels are those of depth ``DEPTH`` to ``NEAR``, whole for the nearest bytes that are there.
+    """
+    code = code.view(np.uint64)
+    byte, context = code >> np.uint64(8 * DEPTH), code & np.uint64((1 << 8 * DEPTH) - 1)
+    byte = byte & np.uint64(255)
+    for k in range(8):
+        key = (np.uint64(1 << k) | byte >> np.uint64(8 - k)) << np.uint64(8 * DEPTH) | context
+        order = np.argsort(key)
+        key, bit = key[order], (byte[order] >> np.uint64(7 - k) & np.uint64(1)).astype(np.int64)
+        at = _starts(key)
+        node = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(key)]))
+        ones, total = np.add.reduceat(n[order] * bit, at), np.add.reduceat(n[order], at)
+        levels = [Level(key[at], total - ones, ones)]
+        while len(levels) <= DEPTH - NEAR:
+            levels.append(levels[-1].parent())
+        yield order, bit, node, levels
+
+
+def _summed_lists(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct strings of each ``key`` in order, and their sums; rows come sorted by the key."""
+
+    def out() -> tuple[np.ndarray, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        return _summed(*(unsqueeze(table.column(c).to_pylist(), np.int64) for c in ("codes", "n")))
+
+    held, last = [], None
+    for batch in batches:
+        keys = batch.column(key).to_numpy()
+        starts = _starts(keys)
+        for at, end in zip(starts, np.r_[starts[1:], len(keys)], strict=True):
+            if held and keys[at] != last:
+                yield out()
+                held = []
+            last = keys[at]
+            held.append(batch.slice(at, end - at))
+    if held:
+        yield out()
 
 
-def _deep_levels(code: np.ndarray, n: np.ndarray) -> list[Level]:
-    """Depths ``DEPTH`` to 2, whole for each pair of nearest context bytes that is there."""
-    levels = [bottom_level(code, n)]
-    for keep in range(DEPTH - 1, 1, -1):
-        levels.append(levels[-1].parent(keep))
-    return levels
+def _counted(requests: DataFrame, groups: int) -> DataFrame:
+    """(codes, n) lists of distinct strings and how often each is there to learn from, trees whole."""
 
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, n in _summed_lists(batches, "bucket"):
+            group, lists = _dealt(_group(code, groups), code, n)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (group, *lists)], names=["tree", "codes", "n"])
 
-def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Strings in order, and how often each is there to learn from."""
-    code, n = table.column("code").to_numpy(), table.column("n").to_numpy()
-    order = np.argsort(code)
-    return code[order], n[order]
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _summed_lists(batches, "tree"):
+            yield pa.RecordBatch.from_arrays([pa.array([squeeze(v)], pa.binary()) for v in found], names=["codes", "n"])
 
+    # blocks are summed up first, so that a tree grows with its strings and not with the corpus
+    dealt = requests.select("bucket", "codes", "n").repartition("bucket").sortWithinPartitions("bucket")
+    counts = dealt.mapInArrow(totals, "tree long, codes binary, n binary")
+    return cut(counts.repartition("tree").sortWithinPartitions("tree").mapInArrow(lists, "codes binary, n binary"))
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The task's rows, all of a pair of nearest context bytes together, some pairs at once."""
-    held, rows = [], 0
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            rows += batch.num_rows
-        if rows > 2_000_000:
-            table = pa.Table.from_batches(held)
-            shard = table.column("shard").to_numpy()
-            done = int(np.argmax(shard == shard[-1]))
-            if done:
-                yield table.slice(0, done)
-                held = table.slice(done).combine_chunks().to_batches()
-                rows = len(shard) - done
-    if held:
-        yield pa.Table.from_batches(held)
+        for codes, n in zip(batch.column(0), batch.column(1), strict=True):
+            yield unsqueeze([codes.as_py()], np.int64), unsqueeze([n.as_py()], np.int64)
 
 
-def _string_answers(requests: DataFrame) -> DataFrame:
-    """(block, kind 1, key, value): log10 probability of the string's last byte."""
-    requests = cut(requests)
-    # blocks are summed up first, so that a shard grows with its strings and not with the corpus
-    counts = requests.groupBy("code").agg(F.sum("n").alias("n"))
-    shard = F.shiftright("code", 8).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    dealt = cut(counts.withColumn("shard", shard).repartition("shard").sortWithinPartitions("shard"))
+def _string_answers(requests: DataFrame, buckets: int) -> DataFrame:
+    """(block, bucket, values): log10 probability of the last byte of each string, in their order.
 
-    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _shards(batches):
-            unique, n = _totals(table)
-            two = _deep_levels(unique, n)[-1]
-            key, back = np.unique(two.key & 0xFFFF, return_inverse=True)
-            add = lambda v: pa.array(np.bincount(back, v, len(key)).astype(np.int64))  # noqa: E731, B023
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), add(two.zeros), add(two.ones), add(np.round(two.weighted / _UNIT))], names=["key", "zeros", "ones", "below"]
-            )
+    ``requests`` are made twice, which costs less than to keep them.
+    """
+    counted = _counted(requests, buckets)
 
-    top = dealt.mapInArrow(tops, "key long, zeros long, ones long, below long")
-    # at most 256 nearest bytes times 255 bit nodes
-    rows = top.groupBy("key").agg(F.sum("zeros"), F.sum("ones"), F.sum("below")).orderBy("key").collect()
-    key, zeros, ones, below = (np.array([r[i] for r in rows], np.int64) for i in range(4))
-    shared = requests.sparkSession.sparkContext.broadcast((key, zeros, ones, below * _UNIT))
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, n in _each(batches):
+            for _, _, _, levels in _decisions(code, n):
+                near = levels[-1]
+                at = _starts(near.key >> np.uint64(8))
+                add = lambda v: pa.array(np.add.reduceat(v, at).astype(np.int64))  # noqa: E731, B023
+                key = (near.key[at] >> np.uint64(8)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), add(near.zeros), add(near.ones), add(np.round(near.weighted / _UNIT))],
+                    names=["key", "zeros", "ones", "below"],
+                )
+
+    # at most 256 ** (NEAR - 1) nearest bytes times 255 bit nodes, of which texts have few
+    top = counted.mapInArrow(tops, "key long, zeros long, ones long, below long").groupBy("key")
+    rows = top.agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below"))).toArrow()
+    key, zeros, ones, below = (c.to_numpy() for c in rows.columns)
+    order = np.argsort(key)
+    levels = [Level(key[order].astype(np.uint64), zeros[order], ones[order], below[order] * _UNIT)]
+    while len(levels) < NEAR:
+        levels.append(levels[-1].parent())
+    mixed = levels[-1].mix(*(np.full(len(levels[-1].key), x) for x in (0.0, 0.0, 1.0)))
+    for level in levels[-2::-1]:
+        mixed = level.mix(*(v[level.up] for v in mixed))
+    shared = requests.sparkSession.sparkContext.broadcast((levels[0].key, mixed))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = Level(*shared.value)
-        top = [one, one.parent(0)]
-        for table in _shards(batches):
-            unique, n = _totals(table)
-            levels = [*_deep_levels(unique, n), *top]
-            value = np.zeros(len(unique))
-            for key, bit in bit_nodes(unique):
-                chance = None
-                for level, keep in zip(levels, range(DEPTH, -1, -1), strict=True):
-                    chance = level.mix(key & ((1 << 8 * keep + 8) - 1), bit, chance)
-                value += np.log10(chance)
-            yield pa.RecordBatch.from_arrays([pa.array(unique), pa.array(value)], names=["code", "value"])
-
-    answers = cut(dealt.mapInArrow(answer, "code long, value double"))
-    return requests.join(answers, "code").select("block", F.lit(1).alias("kind"), F.col("code").alias("key"), "value")
+        top, known = shared.value
+        for code, n in _each(batches):
+            value = np.zeros(len(code))
+            for order, bit, node, levels in _decisions(code, n):
+                at = np.searchsorted(top, levels[-1].key >> np.uint64(8))
+                mixed = levels[-1].mix(*(v[at] for v in known))
+                for level in levels[-2::-1]:
+                    mixed = level.mix(*(v[level.up] for v in mixed))
+                value[order] += np.log10(np.where(bit == 1, mixed[1][node], mixed[0][node]))
+            bucket, lists = _dealt(_bucket(code, buckets), code, np.round(value / _LOG_UNIT).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (bucket, *lists)], names=["bucket", "codes", "values"])
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        code = unsqueeze(right.column("codes").to_pylist(), np.int64)
+        order = np.argsort(code)
+        code, value = code[order], unsqueeze(right.column("values").to_pylist(), np.int64)[order]
+        asked = left.column("codes")
+        values = [squeeze(value[np.searchsorted(code, unsqueeze([c.as_py()], np.int64))]) for c in asked]
+        return pa.table({"block": left.column("block"), "bucket": left.column("bucket"), "values": pa.array(values, pa.binary())})
+
+    answers = counted.mapInArrow(answer, "bucket long, codes binary, values binary")
+    asked = requests.select("bucket", "block", "codes").groupBy("bucket")
+    return asked.cogroup(answers.groupBy("bucket")).applyInArrow(meet, "block long, bucket long, values binary")
 
 
 def score_texts(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -383,8 +486,12 @@ def score_texts(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "t
         F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(learn), F.lit(False)).alias("learn"), F.col(f"`{text}`").alias("text")
     )
     packed = _packed(plain)
-    words = _word_answers(_requests(packed, "word", _word_keys))
-    strings = _string_answers(_requests(packed, "code", _string_keys))
+    words = _word_answers(_requests(packed, "block long, word long, n long", _word_keys, _word_rows))
+    buckets = BUCKETS * max(packed.select("block").distinct().count(), 8)
+    asked = "block long, bucket long, codes binary, n binary"
+    strings = _string_answers(_requests(packed, asked, _string_keys, _string_rows(buckets)), buckets)
+    words = words.withColumn("values", F.lit(None).cast("binary"))
+    strings = strings.select("block", F.lit(1).alias("kind"), F.col("bucket").alias("key"), F.lit(0.0).alias("value"), "values")
     kind = packed.schema["doc_id"].dataType.simpleString()
 
     def block_scores(key, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -397,12 +504,20 @@ def score_texts(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "t
         if key[0].as_py() == -1:
             columns = [pa.nulls(1, id_type), [None], [None], [int(value.sum())], [int(asked.sum())], [0.0], [0.0]]
         else:
-            tables = []
-            for k in (0, 1):
-                order = np.argsort(asked[kinds == k])
-                tables.append((asked[kinds == k][order], value[kinds == k][order]))
             unpack, roll = zstandard.ZstdDecompressor().decompress, RollingHash()
             texts = [unpack(b) for b in left.column("packed").to_pylist()]
+            order = np.argsort(asked[kinds == 0])
+            tables = [(asked[kinds == 0][order], value[kinds == 0][order])]
+            found: list[np.ndarray] = []
+            for piece in _pieces(texts):
+                found.append(_distinct([piece.strings()[0]]))
+                if len(found) > 4:
+                    found = [_distinct(found)]
+            codes = _distinct(found)
+            lists = right.filter(pa.array(kinds == 1)).sort_by("key").column("values").to_pylist()
+            chances = np.empty(len(codes))
+            chances[np.argsort(_bucket(codes, buckets), kind="stable")] = unsqueeze(lists, np.int64) * _LOG_UNIT
+            tables.append((codes, chances))
             n_tokens, n_known, n_bytes = (np.zeros(len(texts), np.int64) for _ in range(3))
             logs, score = np.zeros(len(texts)), np.zeros(len(texts))
             for piece in _pieces(texts):
