@@ -54,6 +54,8 @@ def window_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray, length: in
     ``start`` and ``end`` bound the texts within ``data``; windows don't cross them.
     """
     n, width = len(data), length - ANCHOR + 1
+    if n > int(_PLACE) + 1:
+        raise ValueError(f"{n} bytes at once, but places have 24 bits")
     if n < length:
         return [np.zeros(0, np.int64)] * 5
     roll.load(data)
@@ -160,11 +162,13 @@ def _scan(docs: DataFrame, length: int, hot: list[int]) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch, "text", PIECE):
                 texts, ords = text_bytes(piece, "text"), piece.column(0).to_numpy()
-                if len(texts) > 1 or len(texts[0]) <= 2 * PIECE:
-                    yield from found(texts, ords, np.zeros(len(texts), np.int64))
-                else:
-                    for at in range(0, len(texts[0]), PIECE):
-                        yield from found([texts[0][at : at + PIECE + length - 1]], ords, np.array([at]))
+                long = np.array([len(t) > 2 * PIECE for t in texts])
+                for i in np.flatnonzero(long):  # empty texts may stand beside it
+                    for at in range(0, len(texts[i]), PIECE):
+                        yield from found([texts[i][at : at + PIECE + length - 1]], ords[[i]], np.array([at]))
+                if not long.all():
+                    short = [t for t, cut_up in zip(texts, long, strict=True) if not cut_up]
+                    yield from found(short, ords[~long], np.zeros(len(short), np.int64))
 
     return docs.select("ord", "text").mapInArrow(run, _ROWS)
 

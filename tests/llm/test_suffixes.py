@@ -95,6 +95,20 @@ def test_offsets_and_text(documents):
     assert row["removed"] == [(0, 300)] and row["text"] == " tail" and bytes(row["kept"]) == b" tail"
 
 
+def test_very_long_text_after_an_empty_one(documents):
+    rng = np.random.default_rng(5)
+    long = rng.integers(97, 123, (1 << 24) + 3000).astype(np.uint8).tobytes().decode()
+    frame = documents(None, "", long, "A" + long[-1500:-1000] + "B").coalesce(1)
+    got = [r["removed"] for r in remove_repeats(frame).orderBy("doc_id").collect()]
+    assert got == [[], [], [], [(1, 501)]]
+
+
+def test_places_beyond_24_bits_are_refused():
+    data = np.zeros((1 << 24) + 1, np.uint8)
+    with pytest.raises(ValueError):
+        suffixes.window_runs(data, np.array([0]), np.array([len(data)]), 100, suffixes.RollingHash())
+
+
 def test_short_strings_are_refused(documents):
     with pytest.raises(ValueError):
         remove_repeats(documents("a"), length=32)
