@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablepact.llm import lines, mixing, preferences, wumanber
+from tablepact.llm.bpe import op11_pieces
 from tablepact.llm.contexts import op3_context_tree
 from tablepact.llm.language import op7_language_id
 from tablepact.llm.licenses import op2_licenses
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_decontaminate,
         op10_suffix_dedup,
+        op11_pieces,
     )
 }
 
