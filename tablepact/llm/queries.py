@@ -17,6 +17,7 @@ from tablepact.llm.preferences import op1_preferences
 from tablepact.llm.quality import op8_quality
 from tablepact.llm.simhash import op6_simhash
 from tablepact.llm.suffixes import op10_suffix_dedup
+from tablepact.llm.whitening import op12_whitening
 from tablepact.llm.wumanber import op9_decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontaminate,
         op10_suffix_dedup,
         op11_pieces,
+        op12_whitening,
     )
 }
 
