@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablepact.llm import lines, mixing, preferences, wumanber
+from tablepact.llm import lines, mixing, negatives, preferences, wumanber
 from tablepact.llm.bpe import op11_pieces
 from tablepact.llm.contexts import op3_context_tree
 from tablepact.llm.language import op7_language_id
 from tablepact.llm.licenses import op2_licenses
 from tablepact.llm.lines import op4_line_dedup
 from tablepact.llm.mixing import op5_mix
+from tablepact.llm.negatives import op13_hard_negatives
 from tablepact.llm.preferences import op1_preferences
 from tablepact.llm.quality import op8_quality
 from tablepact.llm.simhash import op6_simhash
@@ -35,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_suffix_dedup,
         op11_pieces,
         op12_whitening,
+        op13_hard_negatives,
     )
 }
 
@@ -43,4 +45,5 @@ ORACLES: dict[str, str] = {
     "op4_line_dedup": lines.SQL,
     "op5_mix": mixing.SQL,
     "op9_decontaminate": wumanber.SQL,
+    "op13_hard_negatives": negatives.SQL,
 }
