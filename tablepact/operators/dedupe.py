@@ -51,28 +51,34 @@ def latest_per_key(
     *,
     tie_breakers: Sequence[str] = (),
     null_keys: str = "collapse",
+    count: str | None = None,
 ) -> DataFrame:
     """Keep the row with the greatest ``order_by`` values of every key.
 
     NULL order values count as least. Ties fall to ``tie_breakers``, then to the
     other columns from left to right, greatest first, so re-runs keep the same
     row. With no keys or no order the frame is returned as it is. Rows with a
-    NULL in the key form one group (``collapse``) or are all kept (``keep``).
+    NULL in the key form one group (``collapse``) or are all kept (``keep``). With
+    ``count``, a column of that name says how many rows each one stands for.
     """
     if null_keys not in ("collapse", "keep"):
         raise ValueError(f"null_keys={null_keys!r}")
     if not keys or not order_by:
-        return df
+        return df.withColumn(count, F.lit(1).cast("bigint")) if count else df
     if null_keys == "keep":
-        kept = latest_per_key(df.filter(~any_null(keys)), keys, order_by, tie_breakers=tie_breakers)
-        return kept.unionByName(df.filter(any_null(keys)))
+        kept = latest_per_key(
+            df.filter(~any_null(keys)), keys, order_by, tie_breakers=tie_breakers, count=count
+        )
+        around = df.filter(any_null(keys))
+        return kept.unionByName(around.withColumn(count, F.lit(1).cast("bigint")) if count else around)
 
     types = {f.name: f.dataType for f in df.schema.fields}
     # Grouping turns -0.0 into 0.0; such keys are taken from the row instead.
     grouped = [k for k in keys if not isinstance(types[k], (FloatType, DoubleType))]
     carried = [c for c in df.columns if c not in grouped]
+    rows = [F.count(F.lit(1)).alias(count)] if count else []
     if not carried:
-        return df.distinct()
+        return df.groupBy(*[ref(k) for k in keys]).agg(*rows) if rows else df.distinct()
     ranking = [c for c in dict.fromkeys([*order_by, *tie_breakers]) if c not in keys]
     others = [c for c in carried if c not in ranking]
     compared = ranking + [c for c in others if _sortable(types[c])]
@@ -81,6 +87,7 @@ def latest_per_key(
     else:
         order = F.struct(*[ref(c) for c in compared] or [F.lit(0)])
         latest = F.max_by(F.struct(*[ref(c) for c in carried]), order)
-    found = df.groupBy(*[ref(k) for k in keys]).agg(latest.alias(_ROW))
+    found = df.groupBy(*[ref(k) for k in keys]).agg(latest.alias(_ROW), *rows)
     row = F.col(_ROW)
-    return found.select(*[ref(c) if c in grouped else row[c].alias(c) for c in df.columns])
+    kept = [ref(c) if c in grouped else row[c].alias(c) for c in df.columns]
+    return found.select(*kept, *([ref(count)] if count else []))

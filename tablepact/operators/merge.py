@@ -355,6 +355,16 @@ def _versions(
     return pairs.select(F.inline(versions))
 
 
+def keys_of(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of a batch, none NULL, repeated as they are."""
+    return _keyed(batch, keys).select(*[ref(k) for k in keys])
+
+
+def keys_fit_broadcast(batch: DataFrame, keys: Sequence[str]) -> bool:
+    """True if Spark would broadcast a batch's keys, so that they can go to the table's rows."""
+    return fits_broadcast(batch.select(*[ref(k) for k in keys]))
+
+
 def scd2_changes(
     batch: DataFrame,
     current: DataFrame,
@@ -365,24 +375,26 @@ def scd2_changes(
     plan: str = "auto",
     order_by: Sequence[str] = (),
     unique: bool = False,
+    narrowed: bool = False,
 ) -> DataFrame:
     """Only what a batch changes: versions it closes and versions it opens.
 
     Current rows are scanned once. ``lookup`` first narrows them to the batch's keys
     by a semi join, which leaves them where they are while Spark can broadcast the
     keys; ``shuffle`` joins both tables, each shuffled once. Columns of ``current``
-    besides the history columns must be in the batch.
+    besides the history columns must be in the batch. Pass ``narrowed=True`` if ``current``
+    holds rows of the batch's keys only.
     """
     _check("strict", plan)
     if plan == "auto":
-        plan = "lookup" if fits_broadcast(batch.select(*[ref(k) for k in keys])) else "shuffle"
+        plan = "lookup" if keys_fit_broadcast(batch, keys) else "shuffle"
     columns = [c for c in current.columns if c not in HISTORY]
     ordered = [*columns, *HISTORY]
     batch = batch.select(*[ref(c) for c in columns])
     known = _keyed(current.select(*[ref(c) for c in ordered]), keys)
     incoming = _unique(batch, keys, order_by, unique)
-    if plan == "lookup":
-        wanted = _keyed(batch, keys).select(*[ref(k) for k in keys])
+    if plan == "lookup" and not narrowed:
+        wanted = keys_of(batch, keys)
         known = known.join(wanted, list(keys), "left_semi").select(*ordered)
     left = _packed(open_versions(incoming, load_date).select(*ordered), keys, "new", ordered)
     pairs = left.join(_packed(known, keys, "old", ordered), _joined_keys(keys), "left")

@@ -30,11 +30,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
+from functools import reduce
+from operator import or_
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ByteType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    StructType,
+)
 
 from ..audit import AuditLog, audited
 from ..contract import Contract, ContractError
@@ -50,6 +61,8 @@ from ..sources.readers import read_source
 from .result import LoadResult, log_ignored, watched
 
 _REASON = "__reason"
+_ROWS = "__rows"
+_REPEATED = "a key of the batch is repeated"
 DUPLICATES = ("raise", "latest")
 LAYERED_RULES = ("range", "allowed")
 
@@ -171,14 +184,68 @@ def _duplicates(duplicates: str | None, order_by: Sequence[str]) -> str:
     return chosen
 
 
-def _account(batch: DataFrame, keys: Sequence[str], duplicates: str, result: LoadResult) -> None:
-    """Count the rows that will not be merged; stop where none may be dropped."""
-    counts = _key_counts(batch, keys)
-    result.metrics.update(counts)
+#: Types whose least and greatest value Parquet's statistics and a literal both hold.
+_RANGED = (ByteType, ShortType, IntegerType, LongType, StringType, DateType, DecimalType)
+
+
+def _key_range(schema: StructType, keys: Sequence[str]) -> list[Column]:
+    """The least and greatest value of each key column that has them in file statistics."""
+    ranged = [k for k in keys if isinstance(schema[k].dataType, _RANGED)]
+    bounds = [(F.min(ref(k)), F.max(ref(k))) for k in ranged]
+    return [c.alias(f"{side}.{k}") for k, pair in zip(ranged, bounds) for side, c in zip(("low", "high"), pair)]
+
+
+def _between(found: dict[str, Any]) -> dict[str, tuple[Any, Any]]:
+    names = [n.removeprefix("low.") for n in found if n.startswith("low.")]
+    return {n: (found[f"low.{n}"], found[f"high.{n}"]) for n in names if found[f"low.{n}"] is not None}
+
+
+def _one_row_per_key(
+    batch: DataFrame, keys: Sequence[str], order_by: Sequence[str], duplicates: str, result: LoadResult
+) -> DataFrame:
+    """The batch with unique keys; where a repeated key is refused, its write fails.
+
+    The rows of a key are counted by the aggregate that makes keys unique anyway, and a
+    task that meets a second one stops the write. Only where the latest is to be merged
+    are the others counted, by a pass over the keys.
+    """
+    if duplicates == "latest":
+        result.metrics |= _key_counts(batch, keys) | {"keyless_rows": result.metrics["keyless_rows"]}
+        unique = not result.metrics["duplicate_rows"]
+        _log_keys(result)
+        return batch if unique else latest_per_key(batch, keys, order_by)
+    counted = latest_per_key(batch, keys, keys, count=_ROWS)
+    repeated = F.raise_error(F.lit(_REPEATED)).cast("boolean")
+    return counted.filter(F.when(F.col(_ROWS) > 1, repeated).otherwise(F.lit(True))).drop(_ROWS)
+
+
+def _log_keys(result: LoadResult) -> None:
+    counts = {n: result.metrics[n] for n in ("keyless_rows", "duplicate_rows")}
     report = result.log.warn if any(counts.values()) else result.log.info
     report("keys", "Keys counted", **counts)
-    if counts["duplicate_rows"] and duplicates == "raise":
-        raise DuplicateKeys(f"{counts['duplicate_rows']} rows repeat a key of {list(keys)}")
+
+
+def _merge_in(
+    table: tables.Table,
+    rows: DataFrame,
+    snapshot: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    duplicates: str,
+    result: LoadResult,
+) -> None:
+    """Write a snapshot; where repeated keys stopped it, say how many there are."""
+    try:
+        table.write(rows, snapshot)
+    except Exception as e:
+        if duplicates != "raise" or _REPEATED not in str(e):
+            raise
+        result.metrics["duplicate_rows"] = repeated = _key_counts(batch, keys)["duplicate_rows"]
+        _log_keys(result)
+        raise DuplicateKeys(f"{repeated} rows repeat a key of {list(keys)}") from e
+    if duplicates == "raise":
+        result.metrics["duplicate_rows"] = 0
+        _log_keys(result)
 
 
 def _opened(
@@ -277,21 +344,26 @@ def _load_scd2(
     gate.enforce()
 
     curated = with_ingest_ts(quality.valid_rows(tagged), moment)
-    result.paths["curated"] = writers.write_batch(curated, layers.curated, dt, hr)
+    # keys' bounds come from the write itself, and are the same however often a task runs
+    bounds = _key_range(curated.schema, keys) or [F.count(F.lit(1)).alias("rows")]
+    observed, ranges = watched(curated, bounds)
+    result.paths["curated"] = writers.write_batch(observed, layers.curated, dt, hr)
     log.info("curated", "Curated partition written", path=result.paths["curated"])
 
     batch = spark.read.schema(curated.schema).parquet(result.paths["curated"])
-    _account(batch, keys, duplicates, result)
+    result.metrics["keyless_rows"] = 0  # they are rejects
     fitted = table.fitted(batch, snapshot).filter(~any_null(keys))
+    unique = _one_row_per_key(fitted, keys, order_by, duplicates, result)
     if scd_mode == "strict":
+        small = merge.keys_fit_broadcast(fitted, keys)
+        only, between = (merge.keys_of(fitted, keys), _between(ranges.get)) if small else (None, None)
         changes = merge.scd2_changes(
-            fitted, table.current(), keys, tracked, dt, order_by=order_by
-        )
+            unique, table.current(only, between, keyed=True), keys, tracked, dt,
+            plan="lookup" if small else "shuffle", unique=True, narrowed=small,
+        )
     else:
-        changes = merge.scd2_merge(
-            fitted, table.rows(), keys, tracked, dt, mode=scd_mode, order_by=order_by
-        )
-    table.write(changes, snapshot)
+        changes = merge.scd2_merge(unique, table.rows(), keys, tracked, dt, mode=scd_mode, unique=True)
+    _merge_in(table, changes, snapshot, fitted, keys, duplicates, result)
     result.snapshot = snapshot
     result.paths["business"] = layers.business
     log.info("merge", "Business layer merged", path=layers.business, snapshot=snapshot)
@@ -413,6 +485,7 @@ def load_scd1(
                     "invalid_rows"
                 ),
                 gates.null_total(contract.target_columns, mapping.value).alias("null_values"),
+                F.count_if(reduce(or_, [mapping.value(k).isNull() for k in keys])).alias("keyless_rows"),
             ],
         )
         writers.overwrite(copied, layers.raw)
@@ -436,11 +509,9 @@ def load_scd1(
         log.info("staging", "Staging written", path=layers.curated)
 
         batch = spark.read.schema(staging.schema).parquet(layers.curated)
-        _account(batch, keys, chosen, result)
         keyed = table.fitted(batch, snapshot).filter(~any_null(keys))
-        if result.metrics["duplicate_rows"]:
-            keyed = latest_per_key(keyed, keys, order_by)
-        table.write(keyed, snapshot)
+        unique = _one_row_per_key(keyed, keys, order_by, chosen, result)
+        _merge_in(table, unique, snapshot, keyed, keys, chosen, result)
         result.snapshot = snapshot
         result.paths = {
             "raw": layers.raw, "curated": layers.curated, "business": layers.business

@@ -6,6 +6,7 @@ import pytest
 
 from tablepact.operators import merge, quality
 from tablepact.operators.dedupe import latest_per_key
+from tablepact.sources import tables
 from workload import inputs, queries
 
 SF = "/root/testdata/sf0.001"
@@ -96,11 +97,50 @@ def test_no_query_crosses_tables_or_runs_python(spark):
         assert "Python" not in plan and "Scan ExistingRDD" not in plan, name
 
 
+def _nodes(node):
+    """The physical operators that ran, from the top, query stages opened."""
+    name = node.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        yield from _nodes(node.executedPlan())
+        return
+    yield node
+    if name.endswith("QueryStage"):
+        yield from _nodes(node.plan())
+    children = node.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+def _paths(node, above=()):
+    """(operators above, scan) of each scan that ran."""
+    name = node.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        yield from _paths(node.executedPlan(), above)
+    elif name.startswith("Scan"):
+        yield above, node
+    else:
+        above = (*above, node)
+        if name.endswith("QueryStage"):
+            yield from _paths(node.plan(), above)
+        children = node.children()
+        for i in range(children.size()):
+            yield from _paths(children.apply(i), above)
+
+
+def _of(scan) -> str:
+    """Where a scan reads from, in full however long the path."""
+    locations = scan.relation().location().rootPaths()
+    return " ".join(locations.apply(i).toString() for i in range(locations.size()))
+
+
 def _ran(df, *paths: str) -> dict[str, int]:
     """Scans of each path, and shuffles, of the plan that ran."""
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
-    return {p: plan.count(f"{p}]") for p in paths} | {"shuffles": plan.count("Exchange hashpart")}
+    nodes = list(_nodes(df._jdf.queryExecution().executedPlan()))
+    scans = [_of(n) for n in nodes if n.nodeName().startswith("Scan parquet")]
+    # a query stage shows its exchange too
+    shuffles = sum(n.nodeName() == "Exchange" for n in nodes)
+    return {p: sum(s.endswith(p) for s in scans) for p in paths} | {"shuffles": shuffles}
 
 
 def test_changes_scan_the_table_once(shuffled, tmp_path):
@@ -132,3 +172,56 @@ def test_small_batches_change_the_table_where_it_lies(spark, tmp_path):
     )
     # the one shuffle is that of the batch's own keys
     assert _ran(changes, table) == {table: 1, "shuffles": 1}
+
+
+def _history(spark, root: str, batches: int) -> tables.Table:
+    """A table of several parts, each batch of which closed versions of the one before."""
+    schema = merge.history_schema(spark.range(1).selectExpr("id", "id as v").schema)
+    for n in range(batches):
+        rows = spark.range(0, 20_000, 1, 4).selectExpr("id", f"id + {n} as v")
+        table = tables.open_table(spark, root, "scd2", ["id"], str(n), schema)
+        changes = merge.scd2_changes(table.fitted(rows, str(n)), table.current(), ["id"], ["v"], "2025-01-01", unique=True)
+        table.write(changes, str(n))
+    return tables.open_table(spark, root, "scd2", ["id"], str(batches), schema)
+
+
+def test_small_batches_leave_a_table_of_parts_where_it_lies(spark, tmp_path):
+    """However many versions are closed: open rows meet the batch's keys before anything moves."""
+    root, batch = f"{tmp_path}/history", f"{tmp_path}/batch"
+    table = _history(spark, root, 3)
+    spark.range(50).selectExpr("id", "-id as v").write.parquet(batch)
+    rows = spark.read.parquet(batch)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")  # the batch, not the closed versions
+    try:
+        changes = merge.scd2_changes(
+            table.fitted(rows, "3"), table.current(merge.keys_of(rows, ["id"])), ["id"], ["v"],
+            "2025-01-02", plan="lookup", unique=True, narrowed=True,
+        )
+        assert changes.count() == 100
+        changes.collect()
+        plan = changes._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    seen = 0
+    for above, scan in _paths(plan):
+        if "is_current=" not in _of(scan):
+            continue
+        seen += 1
+        names = [n.simpleString(100) for n in reversed(above)]
+        moved = next((i for i, n in enumerate(names) if n.startswith("Exchange")), len(names))
+        assert any(n.startswith("BroadcastHashJoin") and "LeftSemi" in n for n in names[:moved]), names
+    assert seen == 2  # open rows, closed versions
+
+
+def test_big_batches_shuffle_a_table_of_parts_once(shuffled, tmp_path):
+    root = f"{tmp_path}/history"
+    table = _history(shuffled, root, 3)
+    rows = shuffled.range(0, 30_000).selectExpr("id", "-id as v")
+    rows.write.parquet(f"{tmp_path}/batch")
+    rows = shuffled.read.parquet(f"{tmp_path}/batch")
+    changes = merge.scd2_changes(
+        table.fitted(rows, "3"), table.current(keyed=True), ["id"], ["v"], "2025-01-02", plan="shuffle", unique=True
+    )
+    assert changes.count() == 50_000
+    # closed versions, open rows, the batch: each once, all by the key alone
+    assert _ran(changes)["shuffles"] == 3

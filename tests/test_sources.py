@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablepact.contract import ContractError, parse_contract
@@ -250,6 +251,145 @@ def test_histories_hold_changes_and_fold(spark, tmp_path, rows, plan):
     assert rows(last, "id", "v", "is_current") == [(3, 3, "false"), (3, None, "true")]
 
 
+def opened_batch(spark, root, snapshot, *data):
+    """A batch as it stands between opening the table and writing to it."""
+    batch = spark.createDataFrame(list(data), "id int, v int")
+    table = tables.open_table(spark, root, "scd2", ["id"], snapshot, merge.history_schema(batch.schema))
+    changes = merge.scd2_changes(table.fitted(batch, snapshot), table.current(), ["id"], ["v"], snapshot)
+    return table, changes
+
+
+def in_force(spark, root):
+    found = tables.read_table(spark, root).rows().filter("is_current").select("id", "v").collect()
+    return sorted(map(tuple, found))
+
+
+def test_of_two_batches_on_one_base_one_is_finished(spark, tmp_path):
+    root = f"{tmp_path}/history"
+    table, changes = opened_batch(spark, root, "1", (0, 1), (1, 1))
+    table.write(changes, "1")
+    (first, one), (second, two) = opened_batch(spark, root, "2", (0, 8)), opened_batch(spark, root, "3", (0, 9))
+    first.write(one, "2")
+    with pytest.raises(writers.StaleBatch, match="3 was opened on 1, but 2 is finished"):
+        second.write(two, "3")
+    assert in_force(spark, root) == [(0, 8), (1, 1)]
+    assert not list((tmp_path / "history").glob("snapshot=3*"))  # nothing is left behind
+    again, changes = opened_batch(spark, root, "3", (0, 9))
+    again.write(changes, "3")
+    assert in_force(spark, root) == [(0, 9), (1, 1)]
+    with pytest.raises(writers.StaleBatch):  # the first retried after the second
+        opened_batch(spark, root, "2", (0, 8))
+    with pytest.raises(writers.StaleBatch):
+        first.write(one, "2")
+    assert in_force(spark, root) == [(0, 9), (1, 1)]
+
+
+def test_a_late_batch_gives_way_to_a_newer_one(spark, tmp_path):
+    root = f"{tmp_path}/history"
+    (late, one), (newer, two) = opened_batch(spark, root, "1", (0, 8)), opened_batch(spark, root, "2", (0, 9))
+    newer.write(two, "2")
+    with pytest.raises(writers.StaleBatch, match="an empty table, but 2"):
+        late.write(one, "1")
+    assert in_force(spark, root) == [(0, 9)]
+
+
+def test_batches_that_look_at_the_same_time(spark, tmp_path, monkeypatch):
+    """Both find the base as it was; the look after the marker still tells."""
+    root = f"{tmp_path}/history"
+    batches = [opened_batch(spark, root, s, (0, int(s))) for s in ("1", "2")]
+    verify = tables.Table._verify
+    looked = []
+
+    def blind(self, snapshot):
+        looked.append(snapshot)
+        if looked.count(snapshot) > 1:
+            verify(self, snapshot)
+
+    monkeypatch.setattr(tables.Table, "_verify", blind)
+    batches[0][0].write(batches[0][1], "1")
+    with pytest.raises(writers.StaleBatch):
+        batches[1][0].write(batches[1][1], "2")
+    assert tables.finished(spark, root) == ["1"] and in_force(spark, root) == [(0, 1)]
+
+
+def test_a_base_that_was_written_again_is_another_base(spark, tmp_path):
+    root = f"{tmp_path}/history"
+    table, changes = opened_batch(spark, root, "1", (0, 1))
+    table.write(changes, "1")
+    (later, two), (retry, one) = opened_batch(spark, root, "2", (0, 9)), opened_batch(spark, root, "1", (0, 5))
+    retry.write(one, "1")
+    with pytest.raises(writers.StaleBatch, match="opened on 1"):
+        later.write(two, "2")
+    (a, rows_a), (b, rows_b) = opened_batch(spark, root, "1", (0, 6)), opened_batch(spark, root, "1", (0, 7))
+    a.write(rows_a, "1")
+    with pytest.raises(writers.StaleBatch, match="another run of 1"):  # two runs of one batch
+        b.write(rows_b, "1")
+    assert in_force(spark, root) == [(0, 6)]
+
+
+def test_a_fold_beside_a_batch(spark, tmp_path, rows):
+    root = f"{tmp_path}/history"
+    for snapshot, v in (("1", 1), ("2", 2)):
+        table, changes = opened_batch(spark, root, snapshot, (0, v), (int(snapshot), v))
+        table.write(changes, snapshot)
+    batch, changes = opened_batch(spark, root, "3", (0, 3))
+    assert tables.fold(spark, root) == "2.fold"
+    batch.write(changes, "3")  # the fold holds what the batch was opened on
+    assert in_force(spark, root) == [(0, 3), (1, 1), (2, 2)]
+    assert tables.read_table(spark, root).parts == ("2.fold", "3")
+    retry, changes = opened_batch(spark, root, "3", (0, 4))
+    folded = tables.read_table(spark, root)
+    retry.write(changes, "3")
+    with pytest.raises(writers.StaleBatch):  # what was to be folded is not there any more
+        folded.write(folded.stored(), "3.fold", files=1)
+    assert in_force(spark, root) == [(0, 4), (1, 1), (2, 2)]
+
+
+def test_narrowed_to_a_batch_the_table_reads_the_same(spark, tmp_path, rows):
+    root = f"{tmp_path}/history"
+    for n in range(1, 6):
+        table, changes = opened_batch(spark, root, str(n), *[(i, n) for i in range(n, 30, n)])
+        table.write(changes, str(n))
+        table = tables.read_table(spark, root)
+        for keys in ([], [4], [0, 2, 7, 29, 99]):
+            only = spark.createDataFrame([(k,) for k in keys], "id int")
+            bounds = {"id": (min(keys), max(keys))} if keys else None
+            expected = rows(table.current().filter(F.col("id").isin(keys)))
+            assert rows(table.current(only)) == rows(table.current(only, bounds)) == expected
+
+
+def test_a_folded_table_is_clustered_by_key(spark, tmp_path):
+    """A batch of one key range reads few of 64 files."""
+    root = str(tmp_path / "history")
+    schema = merge.history_schema(spark.range(1).selectExpr("id", "id as v").schema)
+    keys = spark.range(0, 64_000, 1, 8).selectExpr("id", "id as v").repartition(8, "v")
+    for snapshot, batch in (("1", keys), ("2", keys.filter("id % 3 = 0").selectExpr("id", "v + 1 as v"))):
+        table = tables.open_table(spark, root, "scd2", ["id"], snapshot, schema)
+        changes = merge.scd2_changes(table.fitted(batch, snapshot), table.current(), ["id"], ["v"], "2025-01-01")
+        table.write(changes, snapshot)
+    before = sum(f.stat().st_size for f in (tmp_path / "history").rglob("*.parquet"))
+    assert tables.fold(spark, root, file_bytes=before // 64) == "2.fold"
+    files = list((tmp_path / "history" / "snapshot=2.fold").rglob("*.parquet"))
+    assert 60 <= len(files) <= 130
+    table = tables.read_table(spark, root)
+    assert table.rows().count() == 64_000 + 64_000 // 3 + 1
+    found = table.current(spark.range(1000, 1500).select("id"), {"id": (1000, 1499)})
+    assert found.count() == 500
+    plan = found._jdf.queryExecution().executedPlan()
+    found.collect()
+
+    def scanned(node) -> int:
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return scanned(node.executedPlan())
+        own = node.metrics().apply("numOutputRows").value() if node.nodeName().startswith("Scan parquet") else 0
+        if node.nodeName().endswith("QueryStage"):
+            return scanned(node.plan())
+        children = node.children()
+        return own + sum(scanned(children.apply(i)) for i in range(children.size()))
+
+    assert 500 <= scanned(plan) <= 4000  # of 64,000
+
+
 def test_newest_rows_count_and_fold(spark, tmp_path, rows):
     root = f"{tmp_path}/newest"
     for n, data in enumerate([[(1, 1), (2, 2)], [(2, 3), (3, 3)], [(2, 4)], [(1, None)]]):
