@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,11 @@ from pyspark.sql.types import (
 )
 
 from ..functions.casts import ref
+from ..functions.sizing import broadcast_limit
 
-_ROW = "__row"
+_ROW, _ROWS, _FILE, _PLACE = "__row", "__rows", "__file", "__place"
+#: Reckoned for a path and a number; the paths of a file's rows are not shared in memory.
+_LOCATOR_BYTES = 200
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -91,3 +94,64 @@ def latest_per_key(
     row = F.col(_ROW)
     kept = [ref(c) if c in grouped else row[c].alias(c) for c in df.columns]
     return found.select(*kept, *([ref(count)] if count else []))
+
+
+def latest_in_files(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    scratch: str,
+    *,
+    tie_breakers: Sequence[str] = (),
+    null_keys: str = "collapse",
+    limit: int | None = None,
+) -> DataFrame:
+    """``latest_per_key`` of a parquet scan, without moving its rows.
+
+    Each row has a locator: its file and its place there. Keys, order columns and
+    locators are shuffled; the other columns only of rows that tie for the latest, whose
+    whole content decides. The locators of the rows that lose are written to
+    ``scratch``, a folder that is not there yet, and go to the scan as a broadcast, which
+    then leaves these rows out where they lie. Beyond ``limit`` bytes of them (by default
+    what Spark itself would broadcast; about 200 bytes are reckoned a row) the
+    rows are moved after all, by ``latest_per_key``. The result is the same.
+
+    ``df`` must be a scan of parquet files, which it may filter or project.
+    """
+    if null_keys not in ("collapse", "keep"):
+        raise ValueError(f"null_keys={null_keys!r}")
+    if not keys or not order_by:
+        return df
+    limit = broadcast_limit(df) if limit is None else limit
+    located = df.select(
+        *[ref(c) for c in df.columns],
+        F.col("_metadata.file_path").alias(_FILE),
+        F.col("_metadata.row_index").alias(_PLACE),
+    )
+    locator, judged = [_FILE, _PLACE], located
+    if null_keys == "keep":
+        judged = located.filter(~any_null(keys))
+    ranking = [c for c in dict.fromkeys([*order_by, *tie_breakers]) if c not in keys]
+    named = [*keys, *ranking]
+    # two steps, so that neither a hot key nor a hot tie meets in one task uncombined
+    alike = judged.groupBy(*map(ref, named)).agg(
+        F.count(F.lit(1)).alias(_ROWS), F.max(F.struct(*locator)).alias(_ROW)
+    )
+    rank = F.struct(*[ref(c) for c in ranking], ref(_ROWS), ref(_ROW))
+    tops = alike.groupBy(*map(ref, keys)).agg(F.max(rank).alias("__top"))
+    top = F.col("__top")
+    alone = tops.filter(top[_ROWS] == 1).select(*[top[_ROW][c].alias(c) for c in locator])
+    tied = tops.filter(top[_ROWS] > 1).select(
+        *[ref(k).alias(f"__{i}") for i, k in enumerate(keys)],
+        *[top[c].alias(f"__{len(keys) + i}") for i, c in enumerate(ranking)],
+    )
+    same = reduce(and_, [ref(c).eqNullSafe(F.col(f"__{i}")) for i, c in enumerate(named)])
+    ties = judged.join(tied, same, "left_semi")
+    won = latest_per_key(ties, keys, order_by, tie_breakers=tie_breakers).select(*locator)
+    places = judged.select(*locator)
+    places.join(alone.unionByName(won), locator, "left_anti").write.parquet(scratch)
+    losers = df.sparkSession.read.schema(places.schema).parquet(scratch)
+    if losers.count() * _LOCATOR_BYTES > limit:
+        return latest_per_key(df, keys, order_by, tie_breakers=tie_breakers, null_keys=null_keys)
+    kept = located.join(F.broadcast(losers), locator, "left_anti")
+    return kept.select(*[ref(c) for c in df.columns])

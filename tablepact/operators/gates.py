@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import ref
+from ..functions.frames import rows_frame
+from ..sources.footers import null_counts
 from .quality import Resolver, Rule, invalid_flag, is_rejected, is_valid
 
 
@@ -144,7 +146,14 @@ def gate_reject_pct(
 
 
 def gate_null_pct(df: DataFrame, columns: Iterable[str], threshold: float = 0.10) -> DataFrame:
-    metrics = df.agg(F.count(F.lit(1)).alias("total_rows"), null_total(columns).alias("nulls"))
+    """Of a frame that is parquet files and nothing else, from the files' footers."""
+    columns = list(columns)
+    found = null_counts(df, columns)
+    if found and set(found[1]) == set(columns):
+        row = {"total_rows": found[0], "nulls": sum(found[1][c] for c in columns)}
+        metrics = rows_frame(df.sparkSession, [row], "total_rows bigint, nulls bigint")
+    else:
+        metrics = df.agg(F.count(F.lit(1)).alias("total_rows"), null_total(columns).alias("nulls"))
     return _gate_frame(
         metrics, _ratio("nulls", F.greatest("total_rows", F.lit(1))), threshold, at_least=False
     )

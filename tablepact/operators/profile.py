@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import ref
+from ..functions.frames import rows_frame
+from ..sources.footers import null_counts
 from .quality import Rule
 
 
@@ -44,9 +46,21 @@ def _by_column(df: DataFrame, metrics: Mapping[str, Column], count: str) -> Data
 
 
 def profile_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column_name, total_rows, null_rows), one row per column."""
+    """(column_name, total_rows, null_rows), one row per column.
+
+    Of a frame that is parquet files and nothing else, columns that aren't nested are
+    counted at once from the files' footers; the others, and other frames, by one
+    aggregate when the result is asked for.
+    """
     names = list(columns) if columns is not None else df.columns
-    return _by_column(df, {n: null_count(n) for n in names}, "null_rows")
+    found = null_counts(df, names)
+    if found is None:
+        return _by_column(df, {n: null_count(n) for n in names}, "null_rows")
+    total, nulls = found
+    rows = [{"column_name": n, "total_rows": total, "null_rows": nulls[n]} for n in nulls]
+    counts = rows_frame(df.sparkSession, rows, "column_name string, total_rows bigint, null_rows bigint")
+    rest = [n for n in names if n not in nulls]
+    return counts.unionByName(_by_column(df, {n: null_count(n) for n in rest}, "null_rows")) if rest else counts
 
 
 def profile_regex(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:

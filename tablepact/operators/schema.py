@@ -15,6 +15,7 @@ from ..contract import Contract
 from ..functions.casts import ref
 from ..functions.frames import rows_frame
 from ..functions.types import decimal_parts, type_text
+from ..sources.footers import null_counts
 from .profile import null_count
 
 # The texts and defaults generated contracts carry.
@@ -135,10 +136,14 @@ def schema_annotated(df: DataFrame, *, count: bool = False) -> DataFrame:
 
 
 def observed_nullability(df: DataFrame) -> dict[str, bool]:
-    """Which columns hold a NULL in the data; one aggregate, one row back."""
-    names = df.columns
-    row = df.agg(*[null_count(n).alias(f"n{i}") for i, n in enumerate(names)]).first()
-    return {name: row[i] > 0 for i, name in enumerate(names)}
+    """Which columns hold a NULL in the data; from footers, else one aggregate, one row back."""
+    _, known = null_counts(df, df.columns) or (0, {})
+    names = [n for n in df.columns if n not in known]
+    held = {n: known[n] > 0 for n in known}
+    if names:
+        row = df.agg(*[null_count(n).alias(f"n{i}") for i, n in enumerate(names)]).first()
+        held |= {name: row[i] > 0 for i, name in enumerate(names)}
+    return {name: held[name] for name in df.columns}
 
 
 def generate_contract(

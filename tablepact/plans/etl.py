@@ -127,7 +127,7 @@ def load_strict(
         if deduped:
             layer = F.when(quality.is_valid(), CURATED).otherwise(REJECTS)
             by_layer = kept.withColumn(LAYER, layer)
-            by_layer.write.mode("overwrite").partitionBy(LAYER).parquet(output)
+            writers.overwrite(by_layer, output, [LAYER])
             metrics = counts.get
         else:
             writers.overwrite(kept.filter(quality.is_valid()), result.paths[CURATED])

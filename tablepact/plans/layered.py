@@ -10,7 +10,10 @@ kinds            rule kinds to apply; by default ranges and value lists
 on_cast_error    ``null``, ``reject`` or ``fail``
 all_reasons      also list every failed rule in ``error_reasons``
 min_valid_ratio  the gate's limit, if not the contract's
-reject_mode      ``overwrite`` the batch's rejects, or ``append`` to them
+reject_mode      ``overwrite`` the rejects of the date (and hour), or ``append`` to them,
+                 as ``batch=<batch_id>``: what a batch appends again replaces its first try
+batch_id         a name that stays the same when the batch is tried again; by default its
+                 moment
 scd_mode         ``strict`` or ``as_read``; see ``merge.scd2_merge``. A table keeps the
                  mode of its first batch
 keys, tracked    business key and compared columns, if not the contract's. Rows
@@ -155,13 +158,17 @@ def _count_rows(tagged: DataFrame) -> dict[str, int]:
 
 
 def _write_rejects(
-    tagged: DataFrame, layers: Layers, dt: str, hr: str | None, mode: str, expected: int
+    tagged: DataFrame, layers: Layers, dt: str, hr: str | None, mode: str, expected: int, batch: str
 ) -> None:
     rejects = quality.rejected_rows(tagged)
     if expected == 0:
         # Nothing to look for; still replace what an earlier try left.
         rejects = empty_frame(tagged.sparkSession, rejects.schema)
-    writers.write_batch(writers.evened(rejects), layers.rejects, dt, hr, mode)
+    rejects = writers.evened(rejects)
+    if mode == "append":
+        writers.append_rejects(rejects, layers.rejects, dt, hr, batch)
+    else:
+        writers.write_batch(rejects, layers.rejects, dt, hr, mode)
 
 
 def _key_counts(batch: DataFrame, keys: Sequence[str]) -> dict[str, int]:
@@ -279,6 +286,7 @@ def _load_scd2(
     all_reasons: bool = False,
     min_valid_ratio: float | None = None,
     reject_mode: str = "overwrite",
+    batch_id: str | None = None,
     scd_mode: str = "strict",
     keys: Sequence[str] | None = None,
     tracked: Sequence[str] | None = None,
@@ -332,7 +340,8 @@ def _load_scd2(
     )
     if not layers.raw:
         counts = _count_rows(tagged)
-    _write_rejects(tagged, layers, dt, hr, reject_mode, counts["rejected_rows"])
+    batch_id = batch_id or moment.strftime("%Y%m%dT%H%M%S")
+    _write_rejects(tagged, layers, dt, hr, reject_mode, counts["rejected_rows"], batch_id)
     result.metrics.update(counts)
     result.paths["rejects"] = writers.batch_path(layers.rejects, dt, hr)
     log.info("validate", "Rejects written", path=result.paths["rejects"], **counts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +12,41 @@ from pyspark.sql.types import StructType
 from ..functions.casts import ref
 
 _SNAPSHOT = "snapshot="
+BATCH = "batch"
 
 
 # -------------------------------------------------------------------- layers
 
 
-def overwrite(df: DataFrame, path: str) -> None:
-    """Replace the dataset at a path. The frame must not read from that path."""
-    df.write.mode("overwrite").parquet(path)
+def overwrite(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """Replace the dataset at a path, once its successor is there in full.
+
+    Rows are written beside the dataset and switched in by renaming, so a write that
+    fails leaves the earlier rows, and the frame may read from the path itself. Names of
+    folders beside it begin with "_", so nobody reads them. A run that was stopped between
+    its two renames is made good by the next. Renaming must be cheap and whole, as on
+    HDFS; where a store copies instead, readers may meet the switch half done.
+    """
+    target, fs = _file_system(df.sparkSession, path.rstrip("/"))
+    parent, name = target.getParent().toString(), target.getName()
+    kept = fs.globStatus(_file_system(df.sparkSession, f"{parent}/_{name}.before-*")[0])
+    if kept and not fs.exists(target):
+        fs.rename(kept[0].getPath(), target)
+    run = uuid.uuid4().hex
+    beside, _ = _file_system(df.sparkSession, f"{parent}/_{name}.next-{run}")
+    before, _ = _file_system(df.sparkSession, f"{parent}/_{name}.before-{run}")
+    writer = df.write.partitionBy(*by) if by else df.write
+    try:
+        writer.parquet(beside.toString())
+    except Exception:
+        fs.delete(beside, True)
+        raise
+    if fs.exists(target) and not fs.rename(target, before):
+        raise OSError(f"{path} could not be moved aside")
+    if not fs.rename(beside, target):
+        fs.rename(before, target)
+        raise OSError(f"{path} could not be replaced")
+    fs.delete(before, True)
 
 
 def evened(df: DataFrame, *by: str) -> DataFrame:
@@ -58,13 +87,29 @@ def write_batch(
     rows, which a dynamic partition overwrite would leave standing.
     """
     target = batch_path(path, dt, hr)
-    df.write.mode(mode).parquet(target)
+    if mode == "overwrite":
+        overwrite(df, target)
+    else:
+        df.write.mode(mode).parquet(target)
     return target
 
 
-def append_rejects(df: DataFrame, path: str, dt: str, hr: str | None = None) -> str:
-    """Add rejects to their batch partition; a retry adds them again."""
-    return write_batch(df, path, dt, hr, mode="append")
+def append_rejects(
+    df: DataFrame, path: str, dt: str, hr: str | None = None, batch: str | None = None
+) -> str:
+    """Add rejects to their dt (and hr) partition.
+
+    Under the name of their ``batch``, in a partition of its own, they are replaced as
+    a unit: a retry adds nothing twice, and other batches of the hour stay. Without a
+    name a retry adds them again. A partition holds named batches, or unnamed ones.
+    """
+    if batch is None:
+        return write_batch(df, path, dt, hr, mode="append")
+    if not re.fullmatch(r"[\w.-]+", batch):
+        raise ValueError(f"batch={batch!r} is no name for a folder")
+    target = f"{batch_path(path, dt, hr)}/{BATCH}={batch}"
+    overwrite(df, target)
+    return target
 
 
 def read_layer(

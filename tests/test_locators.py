@@ -1,0 +1,89 @@
+"""Deduplication by row locators: the same rows, without moving them."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablepact.operators.dedupe import latest_in_files, latest_per_key
+from tests.test_plans import _nodes
+
+SCHEMA = "k int, j string, o int, t double, wide string, more int"
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    def build(data, files=3):
+        spark.createDataFrame(data, SCHEMA).repartition(files).write.mode("overwrite").parquet(f"{tmp_path}/t")
+        return spark.read.parquet(f"{tmp_path}/t")
+
+    return build
+
+
+def data():
+    """Distinct rows, ties in order columns, ties in all but the last column, copies, NULLs, a hot key."""
+    out = [(i % 7, f"j{i % 3}", i % 5, float(i % 2), f"w{i % 4}", i % 2) for i in range(60)]
+    out += [(1, "j1", 4, 1.0, "w9", 3)] * 3 + [(None, "j1", 9, None, "x", 1), (None, "j1", 9, None, "y", 1), (None, "j1", 3, 0.0, "y", 1)]
+    out += [(5, None, None, None, None, None), (5, None, 1, 0.0, "z", None), (5, "j9", None, None, "a", 2)]
+    return out + [(99, "hot", i % 11, -0.0 if i % 2 else 0.0, f"h{i % 3}", i % 2) for i in range(300)]
+
+
+@pytest.mark.parametrize("limit", [1 << 30, 0])
+@pytest.mark.parametrize("null_keys", ["collapse", "keep"])
+@pytest.mark.parametrize("keys, order, ties", [(["k", "j"], ["o"], ["t"]), (["k"], ["o", "t"], []), (["t"], ["o"], []), (["k", "j", "o", "t"], ["o"], ["more"])])
+def test_keeps_the_rows_that_the_plain_way_keeps(table, tmp_path, rows, keys, order, ties, null_keys, limit):
+    df = table(data())
+    expected = rows(latest_per_key(df, keys, order, tie_breakers=ties, null_keys=null_keys))
+    found = latest_in_files(df, keys, order, f"{tmp_path}/losers", tie_breakers=ties, null_keys=null_keys, limit=limit)
+    assert found.columns == df.columns
+    assert rows(found) == expected
+
+
+def test_wide_columns_stay_where_they_are(spark, tmp_path):
+    """What is shuffled does not depend on the other columns' width; the scan loses rows by a broadcast."""
+    sizes = {}
+    for width in (1, 400):
+        wide = F.repeat(F.sha2(F.col("id").cast("string"), 256), width)
+        rows = spark.range(0, 4000, 1, 4).select((F.col("id") % 3900).alias("k"), "id", wide.alias("wide"))
+        rows.write.parquet(f"{tmp_path}/{width}")
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+        found = latest_in_files(spark.read.parquet(f"{tmp_path}/{width}"), ["k"], ["id"], f"{tmp_path}/losers-{width}", limit=1 << 20)
+        assert found.count() == 3900
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan()
+        names = [n.nodeName() for n in _nodes(plan)]
+        assert "BroadcastHashJoin" in names and "Exchange" not in names
+        written = spark.read.parquet(f"{tmp_path}/losers-{width}")
+        assert written.count() == 100
+        sizes[width] = _shuffled_bytes(spark)
+    assert abs(sizes[400] - sizes[1]) < 0.1 * sizes[1]
+
+
+def _shuffled_bytes(spark) -> int:
+    """Bytes that the last write's exchanges took in."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    total = 0
+    runs = store.executionsList()
+    for i in range(runs.size() - 1, -1, -1):
+        run = runs.apply(i)
+        if "losers" in run.physicalPlanDescription() and "InsertIntoHadoopFs" in run.physicalPlanDescription():
+            values = store.executionMetrics(run.executionId())
+            metrics = run.metrics()
+            for j in range(metrics.size()):
+                if metrics.apply(j).name() == "shuffle bytes written":
+                    text = values.get(metrics.apply(j).accumulatorId())
+                    if text.isDefined():
+                        total += _bytes(text.get())
+            return total
+    raise AssertionError("no such write")
+
+
+def _bytes(text: str) -> int:
+    number, unit = text.split("\n")[-1].split(" (")[0].split()[:2]
+    return int(float(number) * {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20}[unit])
+
+
+def test_guards(table, tmp_path):
+    df = table(data())
+    assert latest_in_files(df, [], ["o"], f"{tmp_path}/x") is df and latest_in_files(df, ["k"], [], f"{tmp_path}/x") is df
+    with pytest.raises(ValueError, match="null_keys"):
+        latest_in_files(df, ["k"], ["o"], f"{tmp_path}/x", null_keys="other")
+    assert latest_in_files(df.filter("false"), ["k"], ["o"], f"{tmp_path}/y", limit=1 << 20).count() == 0

@@ -1,0 +1,106 @@
+"""Layers replaced without a gap, appends that survive a retry, counts from footers."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablepact.operators import gates
+from tablepact.operators.profile import profile_nulls
+from tablepact.operators.schema import observed_nullability
+from tablepact.sources import footers, writers
+
+SCHEMA = "id int, name string"
+
+
+def failing(spark):
+    """Rows of which some are written before a task fails."""
+    fails = F.when(F.col("id") == 999, F.raise_error(F.lit("half-way"))).otherwise(F.col("id"))
+    return spark.range(1000).withColumn("id", fails.cast("int")).withColumn("name", F.lit("x"))
+
+
+@pytest.mark.parametrize("by", [[], ["name"]])
+def test_a_write_that_fails_leaves_the_earlier_layer(spark, tmp_path, rows, by):
+    path = f"{tmp_path}/layer"
+    writers.overwrite(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), path, by)
+    with pytest.raises(Exception, match="half-way"):
+        writers.overwrite(failing(spark), path, by)
+    assert rows(spark.read.parquet(path), "id", "name") == [(1, "a"), (2, "b")]
+    assert [p.name for p in tmp_path.iterdir()] == ["layer"]  # nothing else is left
+    writers.overwrite(spark.createDataFrame([(3, "c")], SCHEMA), path, by)
+    assert rows(spark.read.parquet(path), "id", "name") == [(3, "c")]
+    assert [p.name for p in tmp_path.iterdir()] == ["layer"]
+
+
+def test_a_layer_may_be_replaced_by_its_own_rows(spark, tmp_path, rows):
+    path = f"{tmp_path}/layer"
+    writers.overwrite(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), path)
+    writers.overwrite(spark.read.parquet(path).filter("id = 2"), path)
+    assert rows(spark.read.parquet(path)) == [(2, "b")]
+
+
+def test_a_run_stopped_between_its_renames_is_made_good(spark, tmp_path, rows):
+    path = f"{tmp_path}/layer"
+    writers.overwrite(spark.createDataFrame([(1, "a")], SCHEMA), path)
+    Path(path).rename(tmp_path / "_layer.before-0")
+    with pytest.raises(Exception, match="half-way"):
+        writers.overwrite(failing(spark), path)
+    assert rows(spark.read.parquet(path)) == [(1, "a")]
+
+
+def test_a_batch_partition_that_fails_leaves_the_earlier_one(spark, tmp_path, rows):
+    path = f"{tmp_path}/curated"
+    for hour in ("07", "08"):
+        writers.write_batch(spark.createDataFrame([(1, hour)], SCHEMA), path, "2025-01-01", hour)
+    with pytest.raises(Exception, match="half-way"):
+        writers.write_batch(failing(spark), path, "2025-01-01", "08")
+    layer = writers.read_layer(spark, path, spark.createDataFrame([], SCHEMA).schema, ("dt", "hr"))
+    assert rows(layer, "id", "name", "hr") == [(1, "07", "07"), (1, "08", "08")]
+
+
+def test_what_a_batch_appends_again_replaces_its_first_try(spark, tmp_path, rows):
+    path = f"{tmp_path}/rejects"
+    for batch, name in (("a", "x"), ("b", "y"), ("a", "x"), ("b", "z")):
+        frame = spark.createDataFrame([(1, name)], SCHEMA)
+        writers.append_rejects(frame, path, "2025-01-01", "08", batch)
+    layer = writers.read_layer(spark, path, frame.schema, ("dt", "hr", writers.BATCH))
+    assert rows(layer, "name", "batch") == [("x", "a"), ("z", "b")]
+    writers.append_rejects(frame.limit(0), path, "2025-01-01", "08", "b")  # a retry without rejects
+    assert rows(writers.read_layer(spark, path, frame.schema, ("dt", "hr", "batch")), "name") == [("x",)]
+    with pytest.raises(ValueError, match="no name"):
+        writers.append_rejects(frame, path, "2025-01-01", "08", "a/b")
+
+
+def test_footers_answer_without_reading_columns(spark, tmp_path):
+    rows = [(1, "a", [1]), (None, "b", None), (3, None, None), (None, None, [2])]
+    spark.createDataFrame(rows, "id int, name string, tags array<int>").repartition(2).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    paths = footers.plain_parquet(df)
+    plan = footers.footer_frame(spark, paths, df.schema, ["id", "name"])._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(id), COUNT(name)]" in plan
+    assert footers.footer_counts(spark, paths, df.schema, ["id", "name"]) == (4, {"id": 2, "name": 2})
+    found = {r.column_name: (r.total_rows, r.null_rows) for r in profile_nulls(df).collect()}
+    assert found == {"id": (4, 2), "name": (4, 2), "tags": (4, 2)}
+    # the frame of counts holds no scan at all
+    assert "FileScan" not in profile_nulls(df, ["id", "name"])._jdf.queryExecution().executedPlan().toString()
+    assert observed_nullability(df) == {"id": True, "name": True, "tags": True}
+    assert observed_nullability(df.filter("id is not null")) == {"id": False, "name": True, "tags": True}
+    gate = gates.gate_null_pct(df, ["id", "name"])
+    assert "FileScan" not in gate._jdf.queryExecution().executedPlan().toString()
+    assert gate.collect() == gates.gate_null_pct(df.filter("true or id = 1"), ["id", "name"]).collect()
+
+
+def test_only_plain_parquet_has_footers_that_tell(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "a"), (None, "b")], SCHEMA)
+    frame.write.parquet(f"{tmp_path}/plain")
+    frame.write.partitionBy("name").parquet(f"{tmp_path}/parted")
+    frame.write.csv(f"{tmp_path}/text")
+    plain = spark.read.parquet(f"{tmp_path}/plain")
+    assert footers.plain_parquet(plain)
+    for other in (plain.filter("id = 1"), plain.select("id"), frame, spark.read.parquet(f"{tmp_path}/parted"), spark.read.csv(f"{tmp_path}/text")):
+        assert footers.plain_parquet(other) is None
+    rows = profile_nulls(spark.read.parquet(f"{tmp_path}/parted")).collect()
+    assert {r.column_name: r.null_rows for r in rows} == {"id": 1, "name": 0}
+    assert profile_nulls(spark.read.parquet(f"{tmp_path}/plain").limit(0)).collect()[0].total_rows == 0
+    with pytest.raises(ValueError, match="nested"):
+        footers.footer_counts(spark, [], spark.createDataFrame([], "a array<int>").schema, ["a"])

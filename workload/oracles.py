@@ -306,6 +306,49 @@ rejects as (
   where error_reason is not null
 )
 select * from rejects union all select * from rejects""",
+    "sink_append_retry": f"""with {TAGGED}
+select {_PLAIN_REJECT}, '2025-11-14' as dt, '08' as hr,
+       case when txn_id % 2 = 0 then 'first' else 'second' end as batch
+from tagged where error_reason is not null""",
+    "sink_overwrite_own_input": f"""with {TXN}
+select txn_id, acct_no, txn_date, amount * 2 as amount, status, priority from txn where amount >= 5000""",
+    "table_two_batches_at_once": f"""with {MERGE},
+late as (select transaction_id, amount + 100 as amount, transaction_type from batch),
+first as (
+  select b.*, '2025-11-12' as effective_start_date, n.transaction_id is not null
+      and (b.amount is distinct from n.amount or b.transaction_type is distinct from n.transaction_type) as gone
+  from business b left join batch n using (transaction_id)
+),
+second as (
+  select transaction_id, amount, transaction_type, effective_start_date from first where not gone
+  union all
+  select n.*, '2025-11-13' from batch n
+  where not exists (select 1 from first f where f.transaction_id = n.transaction_id and not f.gone)
+),
+third as (
+  select s.*, l.transaction_id is not null
+      and (s.amount is distinct from l.amount or s.transaction_type is distinct from l.transaction_type) as gone
+  from second s left join late l using (transaction_id)
+)
+select transaction_id, amount, transaction_type, effective_start_date,
+       '2025-11-13' as effective_end_date, false as is_current from first where gone
+union all
+select transaction_id, amount, transaction_type, effective_start_date,
+       case when gone then '2025-11-14' else '9999-12-31' end, not gone from third
+union all
+select l.*, '2025-11-14', '9999-12-31', true from late l
+where not exists (select 1 from third t where t.transaction_id = l.transaction_id and not t.gone)""",
+    "table_folded_key_range": f"""with {MERGE},
+pairs as (
+  select n.transaction_id, n.amount, n.transaction_type,
+         b.transaction_id is not null and b.amount is not distinct from n.amount
+           and b.transaction_type is not distinct from n.transaction_type as same
+  from batch n left join business b using (transaction_id)
+)
+select transaction_id, amount, transaction_type,
+       case when same then '2025-11-11' else '2025-11-12' end as effective_start_date,
+       '9999-12-31' as effective_end_date, true as is_current
+from pairs where transaction_id between 1000 and 3000""",
     "sink_snapshot_swap": f"""with {MERGE}
 select * from batch
 union all
@@ -416,6 +459,8 @@ select count(*) as total_rows,
 from txn""",
     "profile_nulls": f"with {TXN}\n"
     + _profile("txn", [(n, f"count(*) - count({n}) as null_rows") for n, _ in _ORDER_TYPES]),
+    "profile_nulls_footers": f"with {TXN}\n"
+    + _profile("txn", [(n, f"count(*) - count({n}) as null_rows") for n, _ in _ORDER_TYPES]),
     "profile_regex": f"with {TXN}\n"
     + _profile(
         "txn",
@@ -462,6 +507,7 @@ select total_rows, round(cast(n as double) / greatest(total_rows, 1), 6) as valu
 from counts""",
     # dedupe
     "dedupe_latest": f"with {LATEST_LINES} select * from latest",
+    "dedupe_latest_in_files": f"with {LATEST_LINES} select * from latest",
     "dedupe_hot_key": """
 select * exclude (rn) from (
   select *, row_number() over (partition by event_type order by ts desc, event_id desc) as rn

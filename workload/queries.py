@@ -291,6 +291,71 @@ def sink_append_rejects(spark, sf_dir):
     return plain(writers.read_layer(spark, path, rejects.schema, ("dt", "hr")))
 
 
+@query
+def sink_append_retry(spark, sf_dir):
+    """Two batches of one hour append their rejects, one of them twice."""
+    rejects = quality.rejected_rows(tagged_transactions(spark, sf_dir))
+    path = inputs.scratch_path(spark, "rejects")
+    for batch, parity in (("first", 0), ("second", 1), ("first", 0)):
+        part = rejects.filter(F.pmod("txn_id", F.lit(2)) == parity)
+        writers.append_rejects(part, path, LOAD_DATE, LOAD_HOUR, batch)
+    return plain(writers.read_layer(spark, path, rejects.schema, ("dt", "hr", writers.BATCH)))
+
+
+@query
+def sink_overwrite_own_input(spark, sf_dir):
+    """A layer replaced by rows read from it: the new one is switched in when it is whole."""
+    path = inputs.scratch_path(spark, "layer")
+    writers.overwrite(inputs.transactions(spark, sf_dir), path)
+    layer = spark.read.parquet(path)
+    writers.overwrite(layer.filter("amount >= 5000").withColumn("amount", F.col("amount") * 2), path)
+    return spark.read.parquet(path)
+
+
+@query
+def table_two_batches_at_once(spark, sf_dir):
+    """Two batches opened on one snapshot: one is merged, the other refused and run again."""
+    root = inputs.scratch_path(spark, "history")
+    business, batch = inputs.business(spark, sf_dir), inputs.batch(spark, sf_dir)
+    late = batch.withColumn("amount", F.col("amount") + 100)
+
+    def opened(rows, snapshot):
+        table = tables.open_table(spark, root, "scd2", KEYS, snapshot, merge.history_schema(rows.schema))
+        fitted = table.fitted(rows, snapshot)
+        return table, merge.scd2_changes(
+            fitted, table.current(merge.keys_of(fitted, KEYS)), KEYS, TRACKED, snapshot, narrowed=True
+        )
+
+    for rows, snapshot in ((business, "2025-11-12"),):
+        table, changes = opened(rows, snapshot)
+        table.write(changes, snapshot)
+    first, second = opened(batch, "2025-11-13"), opened(late, "2025-11-14")
+    first[0].write(first[1], "2025-11-13")
+    try:
+        second[0].write(second[1], "2025-11-14")
+        raise AssertionError("both batches were merged onto one snapshot")
+    except writers.StaleBatch:
+        table, changes = opened(late, "2025-11-14")
+        table.write(changes, "2025-11-14")
+    return plain(tables.read_table(spark, root).rows())
+
+
+@query
+def table_folded_key_range(spark, sf_dir):
+    """One key range of a folded table, whose files are clustered by key."""
+    root = inputs.scratch_path(spark, "newest")
+    for snapshot, rows in (("1", inputs.business(spark, sf_dir)), ("2", inputs.batch(spark, sf_dir))):
+        rows = merge.open_versions(rows, "2025-11-14")
+        table = tables.open_table(spark, root, "scd2", KEYS, snapshot, rows.schema)
+        changes = merge.scd2_changes(
+            table.fitted(rows.drop(*merge.HISTORY), snapshot), table.current(), KEYS, TRACKED, f"2025-11-1{snapshot}"
+        )
+        table.write(changes, snapshot)
+    tables.fold(spark, root, file_bytes=64 << 10)
+    keys = inputs.batch(spark, sf_dir).select(*KEYS).filter("transaction_id between 1000 and 3000")
+    return plain(tables.read_table(spark, root).current(keys, {KEYS[0]: (1000, 3000)}).drop(merge.OPENED))
+
+
 @query
 def sink_snapshot_swap(spark, sf_dir):
     """A table rewritten from its own rows: each state is a snapshot of its own."""
@@ -586,6 +651,14 @@ def profile_nulls(spark, sf_dir):
     return profile.profile_nulls(inputs.transactions(spark, sf_dir))
 
 
+@query
+def profile_nulls_footers(spark, sf_dir):
+    """Null counts of a written table, from its files' footers."""
+    path = inputs.scratch_path(spark, "transactions")
+    writers.overwrite(inputs.transactions(spark, sf_dir), path)
+    return profile.profile_nulls(spark.read.parquet(path))
+
+
 @query
 def profile_regex(spark, sf_dir):
     patterns = {"priority": "^[12]-", "status": "[OF]"}
@@ -627,6 +700,14 @@ def dedupe_latest(spark, sf_dir):
     return dedupe.latest_per_key(lines, LINE_KEY, ["l_shipdate"], tie_breakers=LINE_TIES)
 
 
+@query
+def dedupe_latest_in_files(spark, sf_dir):
+    """The latest line per key, found by row locators: only keys and order columns move."""
+    scratch = inputs.scratch_path(spark, "losers")
+    lines = scan_parquet(spark, sf_dir)
+    return dedupe.latest_in_files(lines, LINE_KEY, ["l_shipdate"], scratch, tie_breakers=LINE_TIES, limit=64 << 20)
+
+
 @query
 def dedupe_hot_key(spark, sf_dir):
     """The latest event per type: a few keys share all rows."""
