@@ -6,7 +6,8 @@ holds. Quality is counted during a write that happens anyway.
 Options of both SCD2 loads:
 
 null_policy      what a rule says about NULL: ``reject``, ``pass`` or ``drop``
-kinds            rule kinds to apply; by default ranges and value lists
+kinds            rule kinds to apply; by default columns that the contract says are not
+                 nullable, ranges and value lists
 on_cast_error    ``null``, ``reject`` or ``fail``
 all_reasons      also list every failed rule in ``error_reasons``
 min_valid_ratio  the gate's limit, if not the contract's
@@ -67,7 +68,9 @@ _REASON = "__reason"
 _ROWS = "__rows"
 _REPEATED = "a key of the batch is repeated"
 DUPLICATES = ("raise", "latest")
-LAYERED_RULES = ("range", "allowed")
+LAYERED_RULES = ("not_null", "range", "allowed")
+#: Of a load that routes no rows, whose NULLs a gate of their own counts.
+GATED_RULES = ("range", "allowed")
 
 
 class DuplicateKeys(ValueError):
@@ -454,7 +457,7 @@ def load_scd1(
     moment: datetime,
     *,
     fmt: str = "csv",
-    kinds: Sequence[str] = LAYERED_RULES,
+    kinds: Sequence[str] = GATED_RULES,
     combine: str = "any",
     on_cast_error: str = "null",
     keys: Sequence[str] | None = None,
@@ -464,7 +467,8 @@ def load_scd1(
     """Raw copy, reject and null gates, staging (``layers.curated``), SCD1 merge.
 
     This load gates batches; it does not route rows, so invalid rows of an
-    accepted batch stay. Rows without a key stay in staging, are counted, and are
+    accepted batch stay. NULLs count in the null gate, and as invalid rows where ``kinds``
+    has ``not_null``; else the audit names the columns that should have none. Rows without a key stay in staging, are counted, and are
     not merged. Three passes: raw (which also counts), staging, and the batch's own
     rows as a snapshot; the table itself is neither read nor rewritten.
     """
@@ -478,6 +482,9 @@ def load_scd1(
     with audited(spark, contract.name or "scd1", layers.audit, moment) as log:
         result = LoadResult(log=log)
         log_ignored(contract, log)
+        mandatory = [f.target for f in contract.fields if not f.nullable]
+        if mandatory and "not_null" not in kinds:
+            log.warn("contract", "Not-null columns count in the null gate only", columns=mandatory)
         chosen = _duplicates(duplicates, order_by)
         mapping, rules, schema = _compile(
             df, contract, kinds, keep_extra=False, on_cast_error=on_cast_error

@@ -25,9 +25,13 @@ class LoadResult:
 
 
 def log_ignored(contract: Contract, log: AuditLog) -> None:
-    """Record the rules a contract was read without."""
+    """Record what a contract says and a load doesn't do: rules left out, target formats."""
     if contract.ignored:
         log.warn("contract", "Rules left out", ignored=list(contract.ignored))
+    formats = [f.target for f in contract.fields if f.target_format]
+    if formats:
+        # columns are typed in every layer, so there is no text to give a format to
+        log.warn("contract", "Target formats are not enforced", columns=formats)
 
 
 def watched(df: DataFrame, metrics: Sequence[Column]) -> tuple[DataFrame, Observation]:

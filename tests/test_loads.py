@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
@@ -481,3 +482,30 @@ def test_an_unwritable_audit_does_not_hide_the_error(spark):
         with audited(spark, "job", "nowhere://x/audit", HOURS[0]):
             raise ZeroDivisionError("oops")
     assert "could not be written" in caught.value.__notes__[0]
+
+
+NOTE = {"source_field": "note", "target_field": "note", "target_type": "string", "nullable": False}
+
+
+@pytest.mark.parametrize("load", [load_hourly_scd2, load_daily_scd2])
+def test_columns_that_are_not_nullable_are_mandatory(spark, tmp_path, rows, load):
+    strict = contract(extra_fields=[NOTE])
+    strict = strict.but(fields=tuple(replace(f, target_format="x") if f.target == "note" else f for f in strict.fields))
+    df = source(spark, *[(str(i), "1", "n") for i in range(30)], ("40", "1", None))
+    result = load(spark, df, strict, layers(tmp_path), HOURS[0])
+    assert (result.metrics["valid_rows"], result.metrics["rejected_rows"]) == (30, 1)
+    reject = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/rejects")
+    assert rows(reject, "id", "error_reason") == [(40, "note null")]
+    assert read_business(spark, f"{tmp_path}/business").filter("note is null").count() == 0
+    events = read_audit(spark, f"{tmp_path}/audit").filter("message = 'Target formats are not enforced'")
+    assert events.count() == 1
+
+
+def test_a_load_that_only_gates_says_which_columns_should_have_no_nulls(spark, tmp_path):
+    strict = contract(extra_fields=[NOTE])
+    df = source(spark, *[(str(i), "1", "n" if i else None) for i in range(30)])
+    assert load_scd1(spark, df, strict, layers(tmp_path), HOURS[0]).metrics["invalid_rows"] == 0
+    events = read_audit(spark, f"{tmp_path}/audit").filter("message like 'Not-null columns%'")
+    assert events.count() == 1
+    kinds = ["not_null", "range"]
+    assert load_scd1(spark, df, strict, layers(tmp_path), HOURS[1], kinds=kinds).metrics["invalid_rows"] == 1
