@@ -18,8 +18,13 @@ character), and the encodings of short units are remembered.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import sys
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +39,7 @@ BLANK = "▁"
 #: Longer units are encoded anew each time; so many units and pairs are remembered.
 UNIT, REMEMBERED = 64, 1 << 18
 NONE: dict[str, bool] = {}
+UNREACHED = ("", "", False)
 
 
 class PieceModel:
@@ -45,7 +51,6 @@ class PieceModel:
     """
 
     def __init__(self, proto: bytes):
-        import ahocorasick
         from sentencepiece import SentencePieceProcessor
 
         self.library = SentencePieceProcessor(model_proto=proto)
@@ -64,21 +69,46 @@ class PieceModel:
         #: The id of each byte's piece, and back; empty without byte fallback.
         self.of_byte = {int(self.pieces[i][1:-1], 16): i for i in byte}
         self.byte_of = {i: b for b, i in self.of_byte.items()}
-        self.found = ahocorasick.Automaton()
-        for p in self.ids:
-            self.found.add_word(p[::-1], len(p))
-        self.found.make_automaton()
-        across = any(BLANK in p.lstrip(BLANK) for p in self.ids)
-        self.unit = re.compile("(?s).+" if across else f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        self.units: dict[str, list[int]] = {}
+        self.unit = re.compile(self._unit())
+        self.units: dict[str, bytes] = {}
         self.beside: dict[str, dict[str, bool]] = {}
         self.checked = 0
         self.shorter: dict[str, str] = {}
+        self.parts: dict[str, tuple[str, str, bool]] = {}
+
+    @cached_property
+    def found(self):
+        """Finds the pieces that end at each place of a reversed text."""
+        import ahocorasick
 
-    def merge(self, text: str) -> list[str]:
-        """The encoding of a short text as the format defines it: the best-scored pair merges first, the left one of equals."""
+        pieces = ahocorasick.Automaton()
+        for p in self.ids:
+            pieces.add_word(p[::-1], len(p))
+        pieces.make_automaton()
+        return pieces
+
+    def _unit(self) -> str:
+        """A pattern of units: texts are cut between characters that stand side by side in no piece.
+
+        Only cuts before a blank, and before ASCII marks that follow a letter in no piece, are made.
+        """
+        if any(BLANK in p.lstrip(BLANK) for p in self.ids):
+            return "(?s).+"
+        after = {b for p in self.ids for a, b in zip(p, p[1:]) if a.isalnum() and not a.isdecimal()}
+        marks = set(punctuation) - after
+        if not marks:
+            return f"{BLANK}*[^{BLANK}]+|{BLANK}+"
+        marks = "".join(map(re.escape, sorted(marks)))
+        more = f"(?:[^{BLANK}{marks}]+|(?<![^\\W\\d_])[{marks}])*"
+        return f"{BLANK}+{more}|[^{BLANK}]{more}"
+
+    def merge(self, text: str, least: int = 1) -> list[str]:
+        """The encoding of a short text as the format defines it: the best-scored pair merges first, the left one of equals.
+
+        Merging ends early once ``least`` parts are left.
+        """
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > least:
             pairs = [(-self.score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.ids]
             if not pairs:
                 break
@@ -92,10 +122,54 @@ class PieceModel:
             self.beside.clear()
             self.checked = 0
         self.checked += 1
-        passed = self.merge(left + piece) == ([left, piece] if left else [piece])
+        passed = self.stay_apart(left, piece) if left else self.halves(piece) is not UNREACHED
         self.beside.setdefault(left, {})[piece] = passed
         return passed
 
+    def halves(self, piece: str) -> tuple[str, str, bool]:
+        """The two parts that a piece is merged from last, and whether all merges in it come in the order of scores.
+
+        ``UNREACHED`` if merging the piece's characters doesn't give it.
+        """
+        got = self.parts.get(piece)
+        if got is None:
+            got = "", "", True
+            if len(piece) > 1:
+                last = self.merge(piece, 2)
+                got = UNREACHED
+                if len(last) == 2 and self.merge(piece) == [piece]:
+                    ordered = all(len(x) == 1 or self.score[x] > self.score[piece] and self.halves(x)[2] for x in last)
+                    got = last[0], last[1], ordered
+            self.parts[piece] = got
+        return got
+
+    def stay_apart(self, left: str, piece: str) -> bool:
+        """Whether merging the characters of two pieces gives these two again.
+
+        Only what meets at their border matters. Going back in time, the part merged later
+        is taken apart; two parts that lay side by side would have merged if their joint
+        score beat that of the merge that each of them went into.
+        """
+        halves, score = self.halves, self.score
+        a, b = halves(left), halves(piece)
+        if a is UNREACHED or b is UNREACHED:
+            return False
+        if not (a[2] and b[2]):
+            return self.merge(left + piece) == [left, piece]
+        x, y, after_x, after_y = left, piece, None, None
+        while True:
+            joint = x + y
+            if joint in self.ids:
+                s = score[joint]  # of equals, the merge further left comes first
+                if (after_x is None or s > after_x) and (after_y is None or s >= after_y):
+                    return False
+            if len(y) > 1 and (len(x) == 1 or score[y] <= score[x]):
+                after_y, y = score[y], halves(y)[0]
+            elif len(x) > 1:
+                after_x, x = score[x], halves(x)[1]
+            else:
+                return True
+
     def shortened(self, piece: str) -> str:
         """The longest shorter piece that ``piece`` begins with, or ''."""
         got = self.shorter.get(piece)
@@ -107,14 +181,22 @@ class PieceModel:
     def split(self, text: str) -> list[str]:
         """The pieces of a normalised unit; a character that is no piece stands alone."""
         n = len(text)
-        longest = [1] * n
-        for end, length in self.found.iter(text[::-1]):
-            if length > longest[n - 1 - end]:
-                longest[n - 1 - end] = length
+        if n <= UNIT:  # of matches that end at one place, the longest comes first
+            longest = dict([*self.found.iter(text[::-1])][::-1]).get
+        else:
+            lengths = array("i", [1]) * n
+            for end, length in self.found.iter(text[::-1]):
+                if length > lengths[end]:
+                    lengths[end] = length
+
+            def longest(end: int, _: int) -> int:
+                return lengths[end]
+
+        beside = self.beside
         failed = None
         chosen: list[str] = []
-        at, left, piece = 0, "", text[: longest[0]]
-        known = self.beside.get(left, NONE)
+        at, left, piece = 0, "", text[: longest(n - 1, 1)]
+        known = beside.get(left, NONE)
         while True:
             while piece:
                 passed = known.get(piece)
@@ -130,38 +212,47 @@ class PieceModel:
                 if to == n:
                     return chosen
                 at, left = to, piece
-                piece = text[at : at + longest[at]]
+                piece = text[at : at + longest(n - 1 - at, 1)]
             else:
                 failed = failed or bytearray((n >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 back = chosen.pop()
                 at -= len(back)
                 left, piece = chosen[-1] if chosen else "", self.shortened(back)
-            known = self.beside.get(left, NONE)
+            known = beside.get(left, NONE)
 
     def encode_unit(self, unit: str) -> list[int]:
+        pieces, ids = self.split(unit), self.ids
+        try:
+            return [ids[p] for p in pieces]
+        except KeyError:
+            pass
         out: list[int] = []
-        for piece in self.split(unit):
-            if piece in self.ids:
-                out.append(self.ids[piece])
+        for piece in pieces:
+            if piece in ids:
+                out.append(ids[piece])
             elif self.of_byte:
                 out += [self.of_byte[b] for b in piece.encode()]
             elif out[-1:] != [self.unknown]:
                 out.append(self.unknown)
         return out
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def encoded(self, text: str) -> np.ndarray:
+        """The ids of a text."""
+        units, out = self.units, []
         for unit in self.unit.findall(self.library.normalize(text)):
-            got = self.units.get(unit)
+            got = units.get(unit)
             if got is None:
-                got = self.encode_unit(unit)
+                got = array("i", self.encode_unit(unit)).tobytes()
                 if len(unit) <= UNIT:
-                    if len(self.units) >= REMEMBERED:
-                        self.units.clear()
-                    self.units[unit] = got
-            out += got
-        return out
+                    if len(units) >= REMEMBERED:
+                        units.clear()
+                    units[unit] = got
+            out.append(got)
+        return np.frombuffer(b"".join(out), np.int32)
+
+    def encode(self, text: str) -> list[int]:
+        return self.encoded(text).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The text of any ids: control pieces are silent, runs of byte pieces are read as UTF-8."""
@@ -199,6 +290,16 @@ def _utf8(raw: bytes) -> str:
     return "".join(out)
 
 
+def remembered(model: bytes) -> PieceModel:
+    """The model, which a worker process builds once and keeps from task to task with what it remembers."""
+    models = sys.__dict__.setdefault("_kept_piece_models", {})
+    name = hashlib.sha256(model).digest()
+    if name not in models:
+        models.clear()
+        models[name] = PieceModel(model)
+    return models[name]
+
+
 def encode(docs: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with an array of piece ids, exactly those of the library's ``encode``.
 
@@ -212,14 +313,11 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", ids: str = "ids")
     """
 
     def make():
-        from tablepact.llm.bpe import PieceModel
-
-        coder = PieceModel(model)
+        coder = remembered(model)
 
         def work(batch: pa.RecordBatch) -> list:
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            lists = [np.array(coder.encode(t) if t else [], np.int32) for t in texts]
-            return [_lists(lists)]
+            return [_lists([coder.encoded(t or "") for t in texts])]
 
         return work
 
@@ -240,12 +338,13 @@ def decode(docs: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded
     schema = StructType([*kept.schema.fields, StructField(text, StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tablepact.llm.bpe import PieceModel
-
-        coder = PieceModel(model)
-        words = pa.array([p.replace(BLANK, " ") for p in coder.pieces], pa.string())
+        coder = remembered(model)
+        # an ASCII byte is a character whatever stands beside it; only other bytes need the slow way
+        ascii_of = {i: chr(b) for i, b in coder.byte_of.items() if b < 0x80}
+        words = pa.array([ascii_of.get(i, p.replace(BLANK, " ")) for i, p in enumerate(coder.pieces)], pa.string())
         plain = np.ones(len(words), bool)
-        plain[[*coder.control, *coder.byte_of, coder.unknown]] = False
+        plain[[*coder.control, *(i for i in coder.byte_of if i not in ascii_of), coder.unknown]] = False
+        blank = np.array([p[:1] == BLANK for p in coder.pieces])
         for batch in batches:
             held = batch.column(batch.schema.get_field_index(ids))
             step = 64 if len(held.flatten()) < 1 << 26 else 1
@@ -264,7 +363,7 @@ def decode(docs: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded
                 for i, (a, b) in enumerate(zip(ends, ends[1:])):
                     if odd[a] != odd[b]:
                         texts[i] = coder.decode(flat[a:b].tolist())
-                    elif a != b and texts[i][0] == " ":
+                    elif a != b and blank[flat[a]]:
                         texts[i] = texts[i][1:]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, text]

@@ -52,6 +52,17 @@ def test_a_failed_place_is_taken_back(proto):
     assert pops
 
 
+def test_the_border_decides_what_stays_apart(proto):
+    rng, coder = random.Random(4), PieceModel(proto)
+    pieces = [p for p in coder.ids if len(p) > 1]
+    blanks = [p for p in coder.ids if set(p) == {"▁"}]
+    pairs = [(rng.choice(pieces), rng.choice(pieces)) for _ in range(5000)]
+    pairs += [(p[:i], p[i:]) for p in rng.sample(pieces, 2000) for i in range(1, len(p)) if {p[:i], p[i:]} <= set(coder.ids)]
+    pairs += [(rng.choice(blanks), rng.choice(blanks + pieces)) for _ in range(500)] + [(p, p) for p in pieces[:1000]]
+    for left, right in pairs:
+        assert coder.stay_apart(left, right) == (coder.merge(left + right) == [left, right]), (left, right)
+
+
 def test_decodes_any_ids_as_the_library(proto, library):
     rng, coder = random.Random(3), PieceModel(proto)
     for _ in range(3000):
