@@ -27,8 +27,8 @@ from tablepact.llm.batches import text_bytes
 from tablepact.llm.rolling import RollingHash, mix
 from tablepact.llm.shared import cut
 
-#: Bytes of context; strings are contexts and the byte that follows, so 7 fill a long.
-DEPTH = 7
+#: Bytes of context, at most 7: strings, contexts and the byte that follows, fill a long.
+DEPTH = 5
 #: Nearest bytes of context that strings of a tree have in common.
 NEAR = 3
 #: Buckets of strings, and groups of trees, for each block.
@@ -90,7 +90,26 @@ class _Piece:
         edge = np.diff(np.r_[True, space, True].astype(np.int8))
         first, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         roll.load(self.data)
-        return mix(roll.span(first, end)).view(np.int64), np.searchsorted(self.stop, first, side="right")
+        # polynomials modulo 2**64 collide on some long words by construction; those modulo a prime don't
+        hashes = mix(roll.span(first, end)) ^ mix(_prime_hashes(self.data, first, end) + np.uint64(1 << 40))
+        return hashes.view(np.int64), np.searchsorted(self.stop, first, side="right")
+
+
+_PRIME, _BASE = (1 << 31) - 1, 0x2545F491
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _prime_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of spans modulo 2**31 - 1."""
+    prime = np.uint64(_PRIME)
+    for i, base in enumerate((_BASE, pow(_BASE, -1, _PRIME))):
+        while len(_POWERS[i]) < len(data):  # twice as many by one product
+            known = _POWERS[i]
+            _POWERS[i] = np.r_[known, known * np.uint64(pow(base, len(known), _PRIME)) % prime]
+    up, down = _POWERS
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(up[: len(data)] * (data + np.uint64(1)) % prime, out=prefix[1:])
+    return (prefix[end] - prefix[first]) % prime * down[first] % prime
 
 
 def _pieces(texts: list[bytes]) -> Iterator[_Piece]:
@@ -159,19 +178,22 @@ def _distinct(keys: list[np.ndarray]) -> np.ndarray:
     return key[_starts(key)]
 
 
-def squeeze(values: np.ndarray) -> bytes:
-    """Eight-byte values, first bytes first, compressed."""
+def squeeze(values: np.ndarray, rising: bool = False) -> bytes:
+    """Eight-byte values, first bytes first, compressed; of ``rising`` ones the steps."""
     import zstandard
 
+    if rising:
+        values = np.diff(values, prepend=values.dtype.type(0))
     return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
 
 
-def unsqueeze(bodies: list[bytes], kind: type) -> np.ndarray:
+def unsqueeze(bodies: list[bytes], kind: type, rising: bool = False) -> np.ndarray:
     """The values of all ``bodies``, end to end."""
     import zstandard
 
     planes = (np.frombuffer(zstandard.decompress(b), np.uint8).reshape(8, -1) for b in bodies)
-    return np.concatenate([np.zeros(0, kind), *(np.ascontiguousarray(x.T).ravel().view(kind) for x in planes)])
+    values = (np.ascontiguousarray(x.T).ravel().view(kind) for x in planes)
+    return np.concatenate([np.zeros(0, kind), *(np.cumsum(v, dtype=kind) if rising else v for v in values)])
 
 
 def _bucket(code: np.ndarray, buckets: int) -> np.ndarray:
@@ -184,12 +206,12 @@ def _group(code: np.ndarray, groups: int) -> np.ndarray:
     return _bucket(near, groups)
 
 
-def _dealt(of: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list]:
-    """The buckets there are, and the values of each in order, as lists."""
+def _dealt(of: np.ndarray, code: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, list]:
+    """The buckets there are, and each one's strings, which rise, and their values, as lists."""
     order = np.argsort(of, kind="stable")
     of = of[order]
     at = _starts(of)
-    return of[at], [[squeeze(x) for x in np.split(v[order], at[1:])] for v in columns]
+    return of[at], [[squeeze(x, v is code) for x in np.split(v[order], at[1:])] for v in (code, more)]
 
 
 def _word_rows(block: int, word: np.ndarray, n: np.ndarray) -> list:
@@ -373,7 +395,7 @@ def _summed_lists(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple
 
     def out() -> tuple[np.ndarray, np.ndarray]:
         table = pa.Table.from_batches(held)
-        return _summed(*(unsqueeze(table.column(c).to_pylist(), np.int64) for c in ("codes", "n")))
+        return _summed(*(unsqueeze(table.column(c).to_pylist(), np.int64, c == "codes") for c in ("codes", "n")))
 
     held, last = [], None
     for batch in batches:
@@ -398,8 +420,9 @@ def _counted(requests: DataFrame, groups: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (group, *lists)], names=["tree", "codes", "n"])
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _summed_lists(batches, "tree"):
-            yield pa.RecordBatch.from_arrays([pa.array([squeeze(v)], pa.binary()) for v in found], names=["codes", "n"])
+        for code, n in _summed_lists(batches, "tree"):
+            bodies = [squeeze(code, True), squeeze(n)]
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in bodies], names=["codes", "n"])
 
     # blocks are summed up first, so that a tree grows with its strings and not with the corpus
     dealt = requests.select("bucket", "codes", "n").repartition("bucket").sortWithinPartitions("bucket")
@@ -410,14 +433,11 @@ def _counted(requests: DataFrame, groups: int) -> DataFrame:
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for batch in batches:
         for codes, n in zip(batch.column(0), batch.column(1), strict=True):
-            yield unsqueeze([codes.as_py()], np.int64), unsqueeze([n.as_py()], np.int64)
+            yield unsqueeze([codes.as_py()], np.int64, True), unsqueeze([n.as_py()], np.int64)
 
 
 def _string_answers(requests: DataFrame, buckets: int) -> DataFrame:
-    """(block, bucket, values): log10 probability of the last byte of each string, in their order.
-
-    ``requests`` are made twice, which costs less than to keep them.
-    """
+    """(block, bucket, values): log10 probability of the last byte of each string, in their order."""
     counted = _counted(requests, buckets)
 
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -459,11 +479,11 @@ def _string_answers(requests: DataFrame, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (bucket, *lists)], names=["bucket", "codes", "values"])
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        code = unsqueeze(right.column("codes").to_pylist(), np.int64)
+        code = unsqueeze(right.column("codes").to_pylist(), np.int64, True)
         order = np.argsort(code)
         code, value = code[order], unsqueeze(right.column("values").to_pylist(), np.int64)[order]
         asked = left.column("codes")
-        values = [squeeze(value[np.searchsorted(code, unsqueeze([c.as_py()], np.int64))]) for c in asked]
+        values = [squeeze(value[np.searchsorted(code, unsqueeze([c.as_py()], np.int64, True))]) for c in asked]
         return pa.table({"block": left.column("block"), "bucket": left.column("bucket"), "values": pa.array(values, pa.binary())})
 
     answers = counted.mapInArrow(answer, "bucket long, codes binary, values binary")
@@ -480,7 +500,8 @@ def score_texts(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "t
     context tree's log10 probability of the bytes and the end, bits_per_byte its code
     length (null for an empty text). Repeated rows, and rows without a key, stay
     apart; nothing to learn from leaves every bit at one half. Words are told apart
-    by 64-bit hashes. Other columns are not read.
+    by two hashes, of 64 and of 31 bits. Very long texts are looked at in pieces, an empty table gives an empty
+    one. Other columns, whatever their names, are not read.
     """
     plain = docs.select(
         F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(learn), F.lit(False)).alias("learn"), F.col(f"`{text}`").alias("text")
@@ -489,7 +510,9 @@ def score_texts(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "t
     words = _word_answers(_requests(packed, "block long, word long, n long", _word_keys, _word_rows))
     buckets = BUCKETS * max(packed.select("block").distinct().count(), 8)
     asked = "block long, bucket long, codes binary, n binary"
-    strings = _string_answers(_requests(packed, asked, _string_keys, _string_rows(buckets)), buckets)
+    # made once: the lists sent to be counted are those to be answered
+    requests = cut(_requests(packed, asked, _string_keys, _string_rows(buckets)))
+    strings = _string_answers(requests, buckets)
     words = words.withColumn("values", F.lit(None).cast("binary"))
     strings = strings.select("block", F.lit(1).alias("kind"), F.col("bucket").alias("key"), F.lit(0.0).alias("value"), "values")
     kind = packed.schema["doc_id"].dataType.simpleString()

@@ -95,20 +95,31 @@ def test_odd_rows_in_many_pieces(documents, monkeypatch):
 
 
 def test_repeats_longer_than_four_bytes_count(documents):
-    # the last digit follows from the one six before it, and from none nearer
-    texts = [f"{k}abcde{k} " for k in "0123456789"] * 20
+    # the last digit follows from the one five before it, and from none nearer
+    texts = [f"{k}abcd{k} " for k in "0123456789"] * 20
     rows = score_texts(documents(*texts).withColumn("learn", F.col("doc_id") < 190), "learn").collect()
     check(sorted(rows, key=lambda r: r["doc_id"]), plain(texts, [i < 190 for i in range(200)]))
     assert max(r["bits_per_byte"] for r in rows if not r["learn"]) < 0.6  # 0.88 with four bytes
 
 
+def test_words_that_collide_modulo_a_power_of_two(documents):
+    # Thue-Morse words and their complements have the same polynomial hash modulo 2**64
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word, word.translate(str.maketrans("ab", "ba"))]
+    rows = score_texts(documents(*texts).withColumn("learn", F.col("doc_id") == 0), "learn").orderBy("doc_id").collect()
+    check(rows, plain(texts, [True, False]))
+    assert [r["n_known"] for r in rows] == [2, 1]
+
+
 def test_lists_keep_strings():
     import numpy as np
 
     code = np.sort(np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 5000, np.int64))
     group, (codes, n) = contexts._dealt(contexts._group(code, 7), code, np.arange(5000))
-    assert len(group) == 7 and np.array_equal(np.sort(contexts.unsqueeze(codes, np.int64)), code)
-    assert np.array_equal(code[contexts.unsqueeze(n, np.int64)], contexts.unsqueeze(codes, np.int64))
+    assert len(group) == 7 and np.array_equal(np.sort(contexts.unsqueeze(codes, np.int64, True)), code)
+    assert np.array_equal(code[contexts.unsqueeze(n, np.int64)], contexts.unsqueeze(codes, np.int64, True))
 
 
 def test_nothing_to_learn_from(documents):
