@@ -129,8 +129,51 @@ def _value(x: License | str) -> License:
     return License(frozenset({x}), level(x)) if isinstance(x, str) else x
 
 
-#: From a tag to the end of its line; comment marks that close there are not part of it.
-_EXPRESSION = re.compile(rb"spdx-license-identifier:[ \t]*([^\r\n]*?)[ \t]*(?:\*/|-->|[\"'#;,.])*[ \t]*(?=[\r\n]|$)")
+def leading_expression(text: str) -> tuple[str, License | None]:
+    """The expression that a line begins with, and its value; None if there is none.
+
+    It is the whole line if that is one, without marks that close a comment or a string.
+    Else it is the longest part from the start that is one and names known licences only
+    (exceptions after ``with`` aside), else the longest that is one at all; a line of
+    nothing but known names and operators is malformed as a whole. Operands and
+    operators alternate, so a part ends where they don't, however long the line.
+    """
+    line = _CLOSING.sub("", text.strip())
+    whole = parse_expression(line)
+    if whole:
+        return line, whole
+    ends, unknown, due, before = [], None, True, ""
+    for found in _TOKEN.finditer(line.lower()):
+        token = found[0]
+        if line[ends[-1] if ends else 0 : found.start()].strip() or token in (*_ORDER, ")") and due or token not in (*_ORDER, ")") and not due:
+            break
+        if token not in _ORDER and token not in "()":
+            token = token.rstrip(".:")  # a sentence's, not the name's
+            if not any(token == k or token.startswith(k + "-") for k in LEVELS) and before != "with" and unknown is None:
+                unknown = len(ends)
+        ends.append(found.start() + len(token))
+        due = token in _ORDER or token == "("
+        before = token
+    else:
+        if unknown is None:  # licences and operators to the end, only not in order
+            return line, None
+    for tries in (ends if unknown is None else ends[:unknown], ends):
+        for end in reversed(tries[-_BACK:]):
+            value = parse_expression(line[:end])
+            if value:
+                return line[:end], value
+    return line, None
+
+
+#: The tag's words with any marks between them, a colon, and the rest of the line.
+_MARK = rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+_TAGGED = re.compile(
+    rb"(?:(?<=" + _MARK + rb")|^)" + (_MARK + rb"+").join(w.encode() for w in TAG.split())
+    + rb"(?![^\x00-\x2F\x3A-\x60\x7B-\x7F])[ \t]*:[ \t]*([^\r\n]*)"
+)
+_CLOSING = re.compile(r"(?:[ \t]|\*/|-->|[\"'#;,.])+$")
+#: Ends tried from the last back; operators and brackets that stay open are fewer.
+_BACK = 64
 
 
 def scan_licenses(
@@ -146,10 +189,12 @@ def scan_licenses(
     of ``base`` phrases, first_word and last_word are the least and largest of their
     first words (null if none). ``labels`` adds those of ``notices`` and of the
     expressions after tags; both lists are distinct, sorted and comma-joined, empty
-    if nothing is found. ``expressions`` has each tag's text. ``score`` says how
+    if nothing is found. ``expressions`` has the expression after each tag, or the rest
+    of the line if it begins with none. ``score`` says how
     much the strictest evidence restricts: 0 without evidence, to 1. Null and empty
-    texts have no words; repeated rows get equal results. Input columns with the
-    new names are replaced.
+    texts have no words; very long ones are scanned whole; repeated rows get equal
+    results, and so do ties of phrases at one place. An empty table gives an empty one.
+    Input columns with the new names, in any case, are replaced.
     """
     fields = StructType.fromDDL(
         "n_words long, n_base long, first_word long, last_word long, base_labels string, "
@@ -184,10 +229,10 @@ def scan_licenses(
             first = joined.count(b" ", 0, min(places)) if places else None
             last = joined.count(b" ", 0, max(places)) if places else None
             strictest = max(map(level, labels), default=0)
-            expressions = _EXPRESSION.findall(raw.lower()) if tagged else []
-            expressions = [e.decode(errors="replace") for e in expressions]
-            for e in expressions:
-                value = parse_expression(e)
+            lines = _TAGGED.findall(raw.lower()) if tagged else []
+            values = [leading_expression(x.decode(errors="replace")) for x in lines]
+            expressions = [e for e, _ in values]
+            for _, value in values:
                 labels |= value.labels if value else {INVALID}
                 strictest = max(strictest, value.level if value else STRICTEST)
             both = (",".join(sorted(x)) for x in (base_labels, labels))

@@ -120,3 +120,27 @@ def test_odd_rows(documents):
     assert [(r["n_base"], r["last_word"]) for r in got if r["doc_id"] == 60] == [(100_000, 299_997)]
     assert all((r["n_words"], r["score"], r["first_word"]) == (0, 0.0, None) for r in got if not (r["text"] or "").strip())
     assert scan_licenses(documents()).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("SPDX-License-Identifier: MIT and more prose", "mit"),
+        ("/* SPDX-License-Identifier: MIT */ int x;", "mit"),
+        ("<!-- SPDX-License-Identifier: MIT --> <html>", "mit"),
+        ("SPDX-License-Identifier : MIT", "mit"),
+        ("SPDX License Identifier: GPL-2.0 WITH Linux-syscall-note, see the file.", "gpl-2.0-with-linux-syscall-note"),
+        ("# SPDX-License-Identifier: (MIT OR Apache-2.0) and so on", "apache-2.0,mit"),
+        ("SPDX-License-Identifier: MIT. All is well", "mit"),
+        ("SPDX-License-Identifier: ISC OR strange-1.0 then", "isc"),
+        ("SPDX-License-Identifier: strange-1.0 then", "strange-1.0"),
+        ("SPDX-License-Identifier: MIT OR", "invalid-expression"),
+        ("SPDX-License-Identifier: MIT OR something else", "mit"),
+        ("SPDX-License-Identifier: ((MIT", "invalid-expression"),
+        ("SPDX-License-Identifier:", "invalid-expression"),
+        ("SPDX-License-Identifier: " + "mit and " * 20_000 + "mit plus", "mit"),
+        ("xSPDX-License-Identifier: MIT", ""),
+    ],
+)
+def test_tags_within_a_line(documents, text, labels):
+    assert [r["labels"] for r in scan_licenses(documents(text)).collect()] == [labels]
