@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder spark.checkpoint.dir names; where none is set (tests), a temporary one."""
+    """The folder spark.checkpoint.dir names; a local session without one gets a temporary one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
