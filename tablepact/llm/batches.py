@@ -47,11 +47,13 @@ def append_columns(
     text: str,
     fields: Sequence[StructField],
     make: Callable[[], Callable[[pa.RecordBatch], list[list]]],
+    limit: int | None = None,
 ) -> DataFrame:
     """``df`` with ``fields`` appended; columns that had these names are replaced.
 
     ``make`` runs once in each task and returns the function that turns a batch
-    into the new columns. Rows stay where they are: nothing is shuffled.
+    into the new columns; it gets about ``limit`` bytes of text at a time. Rows stay
+    where they are: nothing is shuffled.
     """
     kept = without(df, [f.name for f in fields])
     schema = StructType([*kept.schema.fields, *fields])
@@ -62,7 +64,7 @@ def append_columns(
         types = [to_arrow_type(f.dataType) for f in fields]
         work = make()
         for batch in batches:
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, text, limit) if limit else pieces(batch, text):
                 new = [pa.array(x, t) for x, t in zip(work(piece), types, strict=True)]
                 names = [*piece.schema.names, *(f.name for f in fields)]
                 yield pa.RecordBatch.from_arrays([*piece.columns, *new], names=names)

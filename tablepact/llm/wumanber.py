@@ -10,18 +10,24 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablepact.llm import batches
 from tablepact.llm.batches import WORD_BYTES, append_columns, text_bytes, without
+from tablepact.llm.shared import cut
 
 #: Words of a window; a shorter text is one window.
 WINDOW = 10
-#: Bytes of benchmark text that are sent to the tasks at once.
-BLOCK_BYTES = 32 << 20
+#: Bytes of benchmark text whose tables a task holds at once, and bytes that are broadcast
+#: at once. A larger benchmark goes out in several rounds.
+BLOCK_BYTES, ROUND_BYTES = 2 << 20, 32 << 20
+#: Bytes of documents that pass all blocks of a round together, if it has several.
+PIECE_BYTES = 32 << 20
 
 
 def words(text: bytes) -> list[bytes]:
@@ -73,12 +79,10 @@ def patterns_of(texts: Iterable[bytes], window: int = WINDOW) -> list[Patterns]:
     return [Patterns(owned) for _, owned in sorted(by_length.items())]
 
 
-def _blocks(benchmark: DataFrame, key: str, text: str, limit: int) -> Iterator[list[tuple]]:
-    """The benchmark's (key as text, text) in lists of about ``limit`` bytes."""
+def _filled(rows: Iterable[tuple], limit: int) -> Iterator[list[tuple]]:
+    """Rows (name, text) in lists of about ``limit`` bytes of text."""
     held, size = [], 0
-    rows = benchmark.select(F.col(key).cast("string"), F.col(text)).filter(F.col(text).isNotNull())
-    for name, body in rows.toLocalIterator():
-        raw = body.encode()
+    for name, raw in rows:
         if held and size + len(raw) > limit:
             yield held
             held, size = [], 0
@@ -88,6 +92,12 @@ def _blocks(benchmark: DataFrame, key: str, text: str, limit: int) -> Iterator[l
         yield held
 
 
+def _rounds(benchmark: DataFrame, key: str, text: str, limit: int) -> Iterator[list[tuple]]:
+    """The benchmark's (key as text, text) in lists of about ``limit`` bytes, one at a time."""
+    rows = benchmark.select(F.col(key).cast("string"), F.col(text)).filter(F.col(text).isNotNull())
+    return _filled(((name, body.encode()) for name, body in rows.toLocalIterator()), limit)
+
+
 def find_benchmark(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -96,6 +106,7 @@ def find_benchmark(
     item_text: str = "text",
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
+    round_bytes: int = ROUND_BYTES,
     prefix: str = "",
 ) -> DataFrame:
     """``docs`` with n_words, hits, n_hit, items and contaminated.
@@ -106,18 +117,30 @@ def find_benchmark(
     words but has no place among the items; rows of one id count as one item. An
     empty benchmark leaves all clean. Input columns with the new names are replaced.
 
-    The benchmark goes to the tasks in blocks of ``block_bytes``; documents pass all
-    blocks in one stage, without a shuffle.
+    A very long document is searched whole; equal documents get equal results. Input
+    columns called ``_hits0``, ``_items0`` and so on are replaced too.
+
+    ``round_bytes`` of the benchmark are on the driver and broadcast at once, and a
+    task builds tables for ``block_bytes`` of them at a time. A benchmark beyond one
+    round takes several; between two of them documents are written to the checkpoint
+    folder with what was found so far. Documents are never shuffled.
     """
     out = {n: prefix + n for n in ("n_words", "hits", "n_hit", "items", "contaminated")}
-    docs, parts = without(docs, out.values()), []
+    docs = without(docs, out.values())
     context = docs.sparkSession.sparkContext
-    blocks = list(map(context.broadcast, _blocks(benchmark, item, item_text, block_bytes))) or [None]
-    for i, block in enumerate(blocks):
+    parts, shared = [], None
+    for i, held in enumerate(chain(_rounds(benchmark, item, item_text, round_bytes), [None])):
+        if held is None and parts:
+            break  # the last round needs no cut: it runs with what follows
+        if parts:
+            docs = cut(docs)
+            shared.unpersist()
+        shared = context.broadcast(list(_filled(held or [], block_bytes)))
         fields = StructType.fromDDL(
             f"{out['n_words']} long, `_hits{i}` array<struct<start:long,end:long>>, `_items{i}` array<string>"
         ).fields
-        docs = append_columns(docs, text, fields, _searcher(block, text, window))
+        limit = PIECE_BYTES if len(shared.value) > 1 else batches.PIECE_BYTES
+        docs = append_columns(docs, text, fields, _searcher(shared, text, window), limit)
         parts.append(i)
     hits = F.array_sort(F.concat(*[f"_hits{i}" for i in parts]))
     items = F.array_sort(F.array_distinct(F.concat(*[f"_items{i}" for i in parts])))
@@ -135,27 +158,31 @@ def find_benchmark(
     return docs.withColumn(out["contaminated"], F.col(out["n_hit"]) > 0)
 
 
-def _searcher(block, text: str, window: int):
+def _searcher(shared, text: str, window: int):
     def make():
-        names, searchers = [], []
-        if block is not None:
-            names = [n for n, _ in block.value]
-            searchers = patterns_of((b for _, b in block.value), window)
-
-        def one(raw: bytes) -> tuple[int, list, list]:
-            found, owners = words(raw), set()
-            runs: list[dict] = []
+        blocks = shared.value
+        tables = lambda block: patterns_of((b for _, b in block), window)
+        only = tables(blocks[0]) if len(blocks) == 1 else None
+
+        def one(found: list[bytes], names: list, searchers: list[Patterns], runs: list, items: set) -> None:
             for s in searchers:
                 for at, own in s.search(found):
-                    owners |= own
+                    items.update(names[i] for i in own if names[i] is not None)
                     if runs and runs[-1]["start"] <= at <= runs[-1]["end"]:
                         runs[-1]["end"] = max(runs[-1]["end"], at + s.length)
                     else:
                         runs.append({"start": at, "end": at + s.length})
-            return len(found), runs, [names[i] for i in owners if names[i] is not None]
 
         def work(batch: pa.RecordBatch) -> list[list]:
-            return [list(c) for c in zip(*map(one, text_bytes(batch, text)), strict=True)] or [[], [], []]
+            texts = text_bytes(batch, text)
+            n_words, runs, items = [0] * len(texts), [[] for _ in texts], [set() for _ in texts]
+            for block in blocks or [[]]:
+                searchers, names = only or tables(block), [n for n, _ in block]
+                for k, raw in enumerate(texts):
+                    found = words(raw)
+                    n_words[k] = len(found)
+                    one(found, names, searchers, runs[k], items[k])
+            return [n_words, runs, list(map(list, items))]
 
         return work
 

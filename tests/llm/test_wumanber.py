@@ -32,12 +32,12 @@ def corpus():
     return items, texts
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
-def test_matches_plain_search(spark, documents, corpus, block_bytes):
+@pytest.mark.parametrize("block_bytes, round_bytes", [(1 << 20, 1 << 20), (200, 1 << 20), (200, 700)])
+def test_matches_plain_search(spark, documents, corpus, block_bytes, round_bytes):
     items, texts = corpus
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("n_words", F.lit(1))
     frame = documents(*texts).withColumn("hits", F.lit("mine"))
-    rows = find_benchmark(frame, benchmark, block_bytes=block_bytes).orderBy("doc_id").collect()
+    rows = find_benchmark(frame, benchmark, block_bytes=block_bytes, round_bytes=round_bytes).orderBy("doc_id").collect()
     for text, row in zip(texts, rows, strict=True):
         expected = plain(text, items)
         assert (row["n_words"], row["n_hit"], row["items"]) == expected
