@@ -17,7 +17,9 @@ bytes it covers are removed. The corpus is too large for one index, so:
 An anchor with many different runs (a common line in ever other surroundings) would
 fill one task in steps 2 and 3. Such anchors are looked for in a bounded sample; their
 runs are dealt out by the run and their windows by the window. So are those the sample
-missed, in step 3. Either way gives the same spans.
+missed, in step 3. Either way gives the same spans. Before windows are dealt out, a
+task keeps the earliest of those that are equal and calls the others spans, so a passage
+that very many documents share sends few rows to the task that compares it.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ ANCHOR = 32
 PIECE = 1 << 20
 #: Suffixes that get an array together, and suffixes of a shard's index.
 BATCH, SHARD = 1 << 16, 1 << 20
+#: Windows of hot anchors that a task of step 3 combines at once.
+COMBINE = 1 << 16
 #: Runs of one anchor beyond which its windows are dealt out one by one.
 HOT_RUNS = 500
 #: Documents looked at for such anchors beforehand, and the part of them that must have one.
@@ -203,12 +207,21 @@ def _settle(rows: DataFrame, length: int) -> DataFrame:
     return rows.repartition("a").mapInArrow(run, _ROWS)
 
 
+def _merge(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order that merges two sorted arrays, left first in ties, and whether a string repeats the one ahead."""
+    both = np.r_[left, right]
+    order = np.argsort(both, kind="stable")  # finds the two sorted runs and merges them
+    ranked = both[order]
+    return order, np.r_[False, ranked[1:] == ranked[:-1]]
+
+
 class SuffixLevels:
     """Suffix arrays of growing size over batches of texts, told apart by ``length`` bytes.
 
     Each level is a buffer and the places in it where a string starts that no level
-    or earlier place has, sorted by the string. A new batch is scanned against every
-    level; then levels are merged while the newest is as large as the one before.
+    or earlier place has, sorted by the string. A new batch gets a suffix array, which
+    is scanned against every level by a merge of the two; then levels are merged while
+    the newest is as large as the one before.
     """
 
     def __init__(self, length: int) -> None:
@@ -222,27 +235,29 @@ class SuffixLevels:
     def add(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """For each place, in document order, whether its string was there before."""
         strings = self._strings(data, at)
-        order = np.argsort(strings, kind="stable")
-        ranked = strings[order]
-        known = np.r_[False, ranked[1:] == ranked[:-1]]
-        for text, array in self.levels:
-            level = self._strings(text, array)
-            place = np.minimum(np.searchsorted(level, ranked), len(level) - 1)
-            known |= level[place] == ranked
+        array = np.argsort(strings, kind="stable")
+        ranked = strings[array]
+        known = np.r_[False, ranked[1:] == ranked[:-1]][: len(ranked)]
+        for text, level in self.levels:
+            order, repeats = _merge(self._strings(text, level), ranked)
+            mine = order >= len(level)
+            known[order[mine] - len(level)] |= repeats[mine]
         before = np.empty(len(at), bool)
-        before[order] = known
+        before[array] = known
         if not known.all():
-            self.levels.append((data, at[order[~known]]))
+            self.levels.append((data, at[array[~known]]))
         while len(self.levels) > 1 and len(self.levels[-1][1]) >= len(self.levels[-2][1]):
             (old, left), (new, right) = self.levels[-2:]
-            both, places = np.r_[old, new], np.r_[left, right + len(old)]
-            merged_order = np.argsort(self._strings(both, places), kind="stable")
-            self.levels[-2:] = [(both, places[merged_order])]
+            order, _ = _merge(self._strings(old, left), self._strings(new, right))
+            self.levels[-2:] = [(np.r_[old, new], np.r_[left, right + len(old)][order])]
         return before
 
 
 def _compare(runs: DataFrame, length: int) -> DataFrame:
-    """(ord, pos, size) spans of windows that start earlier in another run of the anchor."""
+    """(ord, pos, size) spans of windows that start earlier in another run of the anchor.
+
+    Rows with a size are spans already and pass through.
+    """
     dealt = runs.repartition("a").sortWithinPartitions("a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,6 +283,10 @@ def _compare(runs: DataFrame, length: int) -> DataFrame:
 
         held, windows = [], 0
         for batch in batches:
+            span = pa.compute.is_valid(batch.column(4))
+            if span.true_count:
+                yield batch.filter(span).select(["ord", "pos", "size"])
+            batch = batch.filter(pa.compute.invert(span))
             if not batch.num_rows:
                 continue
             held.append(batch)
@@ -296,29 +315,45 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
         .agg(F.collect_list(F.struct("a", "pos", "size", "kind")).alias("runs"))
     )
 
+    names = ["a", "ord", "pos", "part", "size"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32()]
+
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         from xxhash import xxh64_intdigest
 
         unpack = zstandard.ZstdDecompressor().decompress
+        first: dict[bytes, tuple[int, int]] = {}
+        rows: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            rows.extend((xxh64_intdigest(part) - (1 << 63), *at, part, None) for part, at in first.items())
+            first.clear()
+            columns = zip(*rows, strict=True) if rows else [()] * 5
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+            rows.clear()
+            return out
+
         for batch in batches:
-            a, ord, pos, part = [], [], [], []
             for o, body, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 body = unpack(body)
                 for r in runs:
-                    step = r["size"] if r["kind"] == 2 else 1
-                    for at in range(r["pos"], r["pos"] + r["size"], step):
-                        part.append(body[at : at + step + length - 1])
-                        a.append(r["a"] if r["kind"] == 2 else xxh64_intdigest(part[-1]) - (1 << 63))
-                        ord.append(o)
-                        pos.append(at)
-            columns = [pa.array(c, pa.int64()) for c in (a, ord, pos)]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(part, pa.binary())], names=["a", "ord", "pos", "part"]
-            )
+                    a, pos, size, kind = r["a"], r["pos"], r["size"], r["kind"]
+                    if kind == 2:
+                        rows.append((a, o, pos, body[pos : pos + size + length - 1], None))
+                    for at in range(pos, pos + size) if kind == 3 else ():
+                        part, here = body[at : at + length], (o, at)
+                        there = first.setdefault(part, here)
+                        if here != there:  # the later one of two equal windows is a span
+                            first[part] = min(here, there)
+                            late, start = max(here, there)
+                            rows.append((late, late, start, b"", length))
+                        if len(first) + len(rows) >= COMBINE:
+                            yield flush()
+        yield flush()
 
     runs = packed.join(wanted, "ord").select("ord", "packed", "runs")
-    runs = runs.mapInArrow(fetch, "a long, ord long, pos long, part binary")
+    runs = runs.mapInArrow(fetch, "a long, ord long, pos long, part binary, size int")
     return settled.filter("kind = 1").select("ord", "pos", "size").union(_compare(runs, length))
 
 
@@ -340,7 +375,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     Texts count as UTF-8 bytes, a null as empty. A byte goes if a string of
     ``length`` bytes over it also starts earlier: in a row of a smaller key, or
     further ahead in the same text. Of rows with equal keys the smaller text is the
-    earlier; null keys come last; of equal rows any is the first. Columns added (and
+    earlier; null keys come last; of equal rows any is the first. Very long texts are
+    cut into pieces that overlap, so no string is missed. No rows give none. Columns added (and
     replaced, if there): kept (binary, the rest), n_bytes, n_removed, n_spans, and
     removed, an array of (start, end) byte offsets in the text as it was. The text
     column holds the rest without characters that were cut in half; null stays null.

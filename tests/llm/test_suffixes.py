@@ -61,6 +61,26 @@ def test_common_line_in_other_surroundings(documents, monkeypatch, hot_part):
     assert bool(suffixes._hot_anchors(frame, 100)) == (hot_part < 1)
 
 
+def test_hot_windows_are_combined_before_the_shuffle(documents, monkeypatch):
+    """However many documents share a passage, a task sends each of its windows once."""
+    met, compare = [], suffixes._compare
+
+    def counted(runs, length):
+        met.append(runs.filter("size is null").groupBy("a").count().agg(F.max("count")).first()[0])
+        return compare(runs, length)
+
+    monkeypatch.setattr(suffixes, "_compare", counted)
+    rng = np.random.default_rng(9)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passage, largest = word(150), []
+    for n in (60, 240):
+        texts = [word(int(rng.integers(5, 40))) + passage + word(int(rng.integers(5, 40))) for _ in range(n)]
+        frame = documents(*texts).coalesce(1)
+        assert found(remove_repeats(frame)) == plain(texts)
+        largest.append(met.pop())
+    assert max(largest) <= 16  # tasks of the join, not documents
+
+
 def test_odd_rows(documents):
     long = "the same words again and again " * 5
     texts = [*ODD, long, long, long[:99], "é" * 60]
