@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,11 +17,12 @@ from tablepact.llm.rolling import RollingHash, mix
 
 @dataclass(frozen=True)
 class QualityOptions:
-    #: Bound of the training sample: labelled documents of each class.
+    #: Bounds of the training sample: labelled documents of each class, and their bytes.
     sample_rows: int = 1500
-    #: Bits of a feature number; words and character n-grams have tables of their own.
+    sample_bytes: int = 16 << 20
+    #: Bits of a feature number; words, word pairs and character n-grams have tables of their own.
     bits: int = 17
-    gram_bytes: int = 4
+    gram_chars: int = 4
     #: Passes of the trainer over the sample, its step, and the penalty on weights.
     steps: int = 150
     rate: float = 0.3
@@ -58,11 +59,26 @@ class _Piece:
         self.words = np.searchsorted(self.word_start, np.r_[self.start, len(data)])
         down = np.uint64(64 - options.bits)
         roll.load(data)
-        self.word = (mix(roll.span(self.word_start, self.word_end)) >> down).astype(np.int64)
-        n = max(len(data) - options.gram_bytes, 0)
-        gram = roll.span(np.arange(n), np.arange(n) + options.gram_bytes)
+        hashes = roll.span(self.word_start, self.word_end)
+        self.word = (mix(hashes) >> down).astype(np.int64)
+        # pairs are of words, whatever space lies between; a text's last word opens none
+        self.pair = (mix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]) >> down).astype(np.int64)
+        self.pair_stop = np.maximum(self.words[1:] - 1, self.words[:-1])
+        self.lead = lead = np.flatnonzero((data & 0xC0) != 0x80)
+        self.chars = np.searchsorted(lead, np.r_[self.start, len(data)])
+        k = options.gram_chars
+        gram = roll.span(lead[:-k], lead[k:]) if len(lead) > k else np.zeros(0, np.uint64)
         self.gram = (mix(gram + np.uint64(1)) >> down).astype(np.int64)
-        self.gram_stop = np.maximum(self.end - options.gram_bytes + 1, self.start)
+        # k characters must end before the space behind the text
+        self.gram_stop = np.maximum(self.chars[1:] - k, self.chars[:-1])
+
+    def families(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(numbers, first, stop) of words, word pairs and character n-grams; texts are first to stop."""
+        return [
+            (self.word, self.words[:-1], self.words[1:]),
+            (self.pair, self.words[:-1], self.pair_stop),
+            (self.gram, self.chars[:-1], self.gram_stop),
+        ]
 
     def sums(self, values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """Sum of whole values between each start and stop."""
@@ -70,15 +86,12 @@ class _Piece:
         last = len(total) - 1
         return total[np.minimum(stop, last)] - total[np.minimum(start, last)]
 
-    def grams(self) -> np.ndarray:
-        return np.maximum(np.minimum(self.gram_stop, len(self.gram)) - self.start, 0)
-
 
 def _train(
     good: np.ndarray, index: np.ndarray, value: np.ndarray, row: np.ndarray, options: QualityOptions
 ) -> np.ndarray:
     """Weights of a logistic regression by Adam; the classes weigh the same. Last: bias."""
-    n, size = len(good), 2 << options.bits
+    n, size = len(good), 3 << options.bits
     weight, first, second = (np.zeros(size + 1) for _ in range(3))
     share = np.where(good, 0.5 / max(good.sum(), 1), 0.5 / max((~good).sum(), 1))
     for step in range(1, options.steps + 1):
@@ -120,11 +133,14 @@ def fit_quality(
 ) -> tuple[np.ndarray, float, float] | None:
     """(fixed-point weights, slope, shift), or None unless both classes have rows.
 
-    The sample is bounded: ``options.sample_rows`` labelled documents of each class,
-    or all if there are fewer, chosen by a hash of the key. Four fifths of it train
+    The sample is bounded: about ``options.sample_rows`` labelled documents of each
+    class, or all if there are fewer, chosen by a hash of the key, and of these the
+    first whose texts have ``options.sample_bytes`` together. A text longer than a
+    sixteenth of that teaches nothing. Four fifths of the sample train
     the weights, the rest calibrates, weighted to the classes' true shares. Of rows
     of one key that disagree the worst label counts; null keys, labels and texts
-    teach nothing. Training is one task, as the sample has a bound.
+    teach nothing; rows repeated in ``docs`` teach each time. Other columns of either
+    table may have any name. Training is one task, as the sample has a bound.
     """
     marked = (
         labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
@@ -138,8 +154,13 @@ def fit_quality(
     rate = F.when(F.col("good"), wanted[True]).otherwise(wanted[False])
     chosen = marked.filter(draw < rate)
     # the sample's keys have a bound, so the texts of other documents need not move
-    sample = docs.filter(F.col(text).isNotNull()).join(F.broadcast(chosen), F.col(key) == F.col("_key")).select(
-        F.xxhash64("_key", F.lit("fold")).alias("fold"), "good", F.col(text).alias("text")
+    known = docs.select(F.col(key).alias("_doc"), F.col(text).alias("text"))
+    known = known.filter(F.octet_length("text") <= options.sample_bytes // 16)
+    known = known.join(F.broadcast(chosen.withColumn("draw", draw)), F.expr("_doc = _key"))
+    ahead = Window.partitionBy("good").orderBy("draw", "_key", "text").rowsBetween(Window.unboundedPreceding, 0)
+    known = known.withColumn("held", F.sum(F.octet_length("text").cast("long")).over(ahead))
+    sample = known.filter(F.col("held") <= options.sample_bytes).select(
+        F.xxhash64("_key", F.lit("fold")).alias("fold"), "good", "text"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,14 +169,16 @@ def fit_quality(
             for piece in pieces(batch, "text", 1 << 20):
                 p = _Piece(text_bytes(piece, "text"), options, roll)
                 n = piece.num_rows
-                of_word = np.searchsorted(p.end, p.word_start)
-                of_gram = np.searchsorted(p.end, np.arange(len(p.gram)), side="left")
-                inside = np.arange(len(p.gram)) < p.gram_stop[of_gram]
-                code = np.r_[of_word << 20 | p.word, (of_gram << 20 | p.gram + (1 << options.bits))[inside]]
-                code, count = np.unique(code, return_counts=True)
+                codes, totals = [], []
+                for family, (numbers, first, stop) in enumerate(p.families()):
+                    of = np.repeat(np.arange(n), stop - first)
+                    inside = np.arange(len(of)) + np.repeat(first - (np.cumsum(stop - first) - (stop - first)), stop - first)
+                    codes.append(of << 20 | numbers[inside] + (family << options.bits))
+                    totals.append(np.maximum(stop - first, 1))
+                code, count = np.unique(np.concatenate(codes), return_counts=True)
                 row, index = code >> 20, code & (1 << 20) - 1
-                total = np.where(index >> options.bits, p.grams()[row], np.diff(p.words)[row])
-                new = (row + rows, index, count / np.maximum(total, 1) * 100,
+                total = np.stack(totals)[index >> options.bits, row]
+                new = (row + rows, index, count / total * 100,
                        piece.column(0).to_numpy(), piece.column(1).to_numpy(zero_copy_only=False))
                 for held, values in zip(parts, new, strict=True):
                     held.append(values)
@@ -202,13 +225,15 @@ def score_quality(
     more. base_failed: too few words or too many repeated ones. probability is the
     model's that the document is good, 1 without a model; kept asks for it to reach
     the threshold and for base_failed to be false. Null and empty texts have no
-    words and fail. Input columns with the new names are replaced.
+    words and fail. A very long text is scored whole, equal texts alike; a
+    probability that equals the threshold is kept; no rows give none. Input columns
+    with the new names are replaced.
     """
     fields = StructType.fromDDL(
         "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "base_failed boolean, probability double, kept boolean"
     ).fields
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # two tables of 2**bits numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # three tables of 2**bits numbers
 
     def make():
         roll, fitted = RollingHash(), shared.value
@@ -217,9 +242,10 @@ def score_quality(
             if fitted is None:
                 return np.ones(len(n_words))
             weights, slope, shift = fitted
-            words = p.sums(weights[p.word], p.words[:-1], p.words[1:]) / np.maximum(n_words, 1)
-            grams = p.sums(weights[p.gram + (1 << options.bits)], p.start, p.gram_stop) / np.maximum(p.grams(), 1)
-            score = (words + grams + weights[-1]) * _UNIT
+            score = np.full(len(n_words), weights[-1], float)
+            for family, (numbers, first, stop) in enumerate(p.families()):
+                score += p.sums(weights[numbers + (family << options.bits)], first, stop) / np.maximum(stop - first, 1)
+            score *= _UNIT
             return 1 / (1 + np.exp(-np.clip(slope * score + shift, -30, 30)))
 
         def work(batch: pa.RecordBatch) -> list[list]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablepact.llm import batches
 from tablepact.llm.quality import QualityOptions, fit_quality, op8_quality, score_quality
+from tablepact.llm.rolling import RollingHash, mix
 from tests.llm.conftest import ODD
 
 SF = "/root/testdata/sf0.01"
@@ -89,9 +90,47 @@ def test_nothing_to_learn_from(documents, spark):
 @pytest.mark.parametrize("bits", [8, 17])
 def test_scores_are_sums_of_weights(documents, bits):
     options = QualityOptions(bits=bits)
-    size = 2 << bits
-    words, grams = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
-    words[: size // 2], grams[size // 2 : size] = 1 << 24, 1 << 24
-    for weights in (words, grams):
+    for family in range(3):
+        weights = np.zeros((3 << bits) + 1, np.int64)
+        weights[family << bits : family + 1 << bits] = 1 << 24
         row = score_quality(documents("four words are here"), (weights, 1.0, 0.0), options=options).first()
         assert row["probability"] == pytest.approx(1 / (1 + np.exp(-1)))
+
+
+def plain_features(text, options=QualityOptions()):
+    """The features' numbers of each family, word by word and character by character."""
+    number = lambda h: int(mix(np.array([h % 2**64], np.uint64))[0]) >> 64 - options.bits
+
+    def digest(part):
+        roll = RollingHash()
+        roll.load(np.frombuffer(part, np.uint8))
+        return int(roll.span(np.array([0]), np.array([len(part)]))[0])
+
+    words = [digest(w.encode()) for w in re.findall("[^\x20\x09-\x0d]+", text)]
+    grams = [digest(text[i : i + options.gram_chars].encode()) for i in range(len(text) - options.gram_chars + 1)]
+    pairs = [a * 0x9E3779B97F4A7C15 + b for a, b in zip(words, words[1:], strict=False)]
+    return [[*map(number, words)], [*map(number, pairs)], [number(g + 1) for g in grams]]
+
+
+def test_fitted_weights_score_as_a_plain_sum(spark, documents):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    weights, slope, shift = fit_quality(docs, labels)
+    texts = ["", "a", "a b", "héé 世界 世界 ok", "one  two\tthree\none two"] + [r["text"] for r in docs.filter("text is not null").orderBy("doc_id").limit(25).collect()]
+    size = len(weights) // 3
+    for text, row in zip(texts, score_quality(documents(*texts), (weights, slope, shift)).orderBy("doc_id").collect(), strict=True):
+        score = weights[-1] + sum(sum(int(weights[i * size + n]) for n in part) / max(len(part), 1) for i, part in enumerate(plain_features(text)))
+        assert row["probability"] == pytest.approx(1 / (1 + np.exp(-slope * score / 2**24 - shift)), abs=1e-9)
+
+
+def test_the_sample_is_bounded_in_bytes(spark, documents):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    docs = documents(*[(f"good text {i} " if i % 2 else f"bad stuff {i} ") * 15 for i in range(60)])
+    long = documents((1000, "bad stuff " * 400_000, "en", "s"), (1001, "bad stuff " * 400_000, "en", "s"))
+    more = labels.union(spark.createDataFrame([(1000, 1, 0), (1001, 1, 0)], labels.schema))
+    options = QualityOptions(sample_bytes=64_000)
+    model, with_long = fit_quality(docs, labels, options=options), fit_quality(docs.union(long), more, options=options)
+    assert (model[0] == with_long[0]).all()  # texts beyond the bound teach nothing
+    few = fit_quality(docs, labels, options=QualityOptions(sample_bytes=3_200))
+    assert few is not None and (few[0] != model[0]).any()
+    good, bad = (r["probability"] for r in score_quality(documents("good text " * 20, "bad stuff " * 20), few).orderBy("doc_id").collect())
+    assert good > bad
