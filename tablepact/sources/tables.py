@@ -26,12 +26,16 @@ import math
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import add
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    AtomicType,
+    BinaryType,
     ByteType,
     DataType,
     DateType,
@@ -45,6 +49,7 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampNTZType,
+    VariantType,
 )
 
 from ..functions.casts import ref
@@ -57,6 +62,8 @@ LAYOUTS = ("scd2", "scd1", "whole")
 MARKER = "_table.json"
 FOLD = ".fold"
 RUN = "__run"
+#: Rows that a task of a fold sorts take about so many bytes in memory.
+SORT_BYTES = 256 << 20
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 _DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
@@ -371,6 +378,22 @@ def read_table(spark: SparkSession, root: str) -> Table | None:
     return _as_of(spark, root, done) if done else None
 
 
+def _bytes_in_memory(rows: DataFrame) -> int:
+    """About what rows take while they are sorted: 8 bytes a column, beside them what has no fixed width.
+
+    Nested values are reckoned by their text, generously. Only columns without a fixed width are read.
+    """
+    wide = [F.lit(32 + 8 * len(rows.columns))]
+    for f in rows.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            wide.append(8 + F.coalesce(F.octet_length(ref(f.name)), F.lit(0)))
+        elif isinstance(f.dataType, DecimalType):
+            wide.append(F.lit(16))
+        elif isinstance(f.dataType, VariantType) or not isinstance(f.dataType, AtomicType):
+            wide.append(8 + 4 * F.coalesce(F.octet_length(ref(f.name).cast("string")), F.lit(0)))
+    return rows.agg(F.sum(reduce(add, wide).cast("long"))).first()[0] or 0
+
+
 def fold(spark: SparkSession, root: str, file_bytes: int | None = None) -> str | None:
     """Write one snapshot that stands for all there are; None if there is nothing to fold.
 
@@ -379,6 +402,8 @@ def fold(spark: SparkSession, root: str, file_bytes: int | None = None) -> str |
     dealt into files of about ``file_bytes`` (the session's bytes of a read task, if not
     given) by ranges of the key and sorted by it, so that the files' own statistics tell
     readers of some keys which to skip. Range bounds come from a sample that Spark takes.
+    Rows that compress well make smaller files, as each is sorted by one task: about
+    ``SORT_BYTES`` in memory, which a pass over the columns without a fixed width reckons.
     """
     table = read_table(spark, root)
     if table is None or table.layout == "whole" or len(table.parts) < 2:
@@ -390,7 +415,9 @@ def fold(spark: SparkSession, root: str, file_bytes: int | None = None) -> str |
     if file_bytes is None:
         file_bytes = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     snapshot = table.parts[-1] + FOLD
-    table.write(table.stored(), snapshot, files=max(1, math.ceil(stored / file_bytes)))
+    held = _bytes_in_memory(table._read(table.parts))
+    files = max(1, math.ceil(stored / file_bytes), math.ceil(held / SORT_BYTES))
+    table.write(table.stored(), snapshot, files=files)
     return snapshot
 
 

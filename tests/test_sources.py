@@ -390,6 +390,23 @@ def test_a_folded_table_is_clustered_by_key(spark, tmp_path):
     assert 500 <= scanned(plan) <= 4000  # of 64,000
 
 
+def test_a_fold_sorts_bounded_rows_a_task(spark, tmp_path, monkeypatch):
+    """Rows that compress to a few bytes are dealt by what they take in memory."""
+    monkeypatch.setattr(tables, "SORT_BYTES", 64 << 10, raising=False)
+    root = str(tmp_path / "newest")
+    wide = "id", "repeat('x', 400) as text", "array(id, id) as pair", "cast(id as decimal(30, 2)) as sum"
+    for snapshot, start in (("1", 0), ("2", 1000)):
+        put(spark, root, "scd1", snapshot, spark.range(start, start + 2000).selectExpr(*wide))
+    assert tables.fold(spark, root) == "2.fold"
+    files = list((tmp_path / "newest" / "snapshot=2.fold").rglob("*.parquet"))
+    assert len(files) >= 20  # 4,000 rows of over 400 bytes
+    held = [spark.read.parquet(str(f)).selectExpr("count(*)", "min(id)", "max(id)").first() for f in files]
+    assert max(n for n, _, _ in held) < 400
+    ranges = sorted((low, high) for n, low, high in held if n)
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert tables.read_table(spark, root).rows().count() == 3000
+
+
 def test_newest_rows_count_and_fold(spark, tmp_path, rows):
     root = f"{tmp_path}/newest"
     for n, data in enumerate([[(1, 1), (2, 2)], [(2, 3), (3, 3)], [(2, 4)], [(1, None)]]):
