@@ -36,7 +36,7 @@ from tablepact.llm.batches import append_columns, without
 
 #: The character that stands for a blank in pieces (fixed by the format).
 BLANK = "▁"
-#: Longer units are encoded anew each time; so many units and pairs are remembered.
+#: Longer units are encoded anew each time; so many pairs, and of units up to twice as many, are remembered.
 UNIT, REMEMBERED = 64, 1 << 18
 NONE: dict[str, bool] = {}
 UNREACHED = ("", "", False)
@@ -71,6 +71,7 @@ class PieceModel:
         self.byte_of = {i: b for b, i in self.of_byte.items()}
         self.unit = re.compile(self._unit())
         self.units: dict[str, bytes] = {}
+        self.older = self.units
         self.beside: dict[str, dict[str, bool]] = {}
         self.checked = 0
         self.shorter: dict[str, str] = {}
@@ -90,17 +91,20 @@ class PieceModel:
     def _unit(self) -> str:
         """A pattern of units: texts are cut between characters that stand side by side in no piece.
 
-        Only cuts before a blank, and before ASCII marks that follow a letter in no piece, are made.
+        Only cuts before a blank, before ASCII marks that follow a letter in no piece, and
+        around ASCII control characters that no longer piece holds are made.
         """
         if any(BLANK in p.lstrip(BLANK) for p in self.ids):
             return "(?s).+"
-        after = {b for p in self.ids for a, b in zip(p, p[1:]) if a.isalnum() and not a.isdecimal()}
-        marks = set(punctuation) - after
-        if not marks:
-            return f"{BLANK}*[^{BLANK}]+|{BLANK}+"
-        marks = "".join(map(re.escape, sorted(marks)))
-        more = f"(?:[^{BLANK}{marks}]+|(?<![^\\W\\d_])[{marks}])*"
-        return f"{BLANK}+{more}|[^{BLANK}]{more}"
+        beside = {(a, b) for p in self.ids for a, b in zip(p, p[1:])}
+        marks = set(punctuation) - {b for a, b in beside if a.isalpha()}
+        before = {a for a, b in beside if b in marks}
+        # neighbours that are unknown would be one id, so these are cut only where none is
+        alone = {chr(c) for c in (*range(32), 127)} - {c for pair in beside for c in pair} if self.of_byte else set()
+        marks, before, alone = ("".join(map(re.escape, sorted(x))) for x in (marks, before, alone))
+        stays = f"|(?<=[{before}])[{marks}]" if marks and before else ""
+        more = f"(?:[^{BLANK}{marks}{alone}]+{stays})*"
+        return f"{BLANK}+{more}|[^{BLANK}{alone}]{more}" + (f"|[{alone}]+" if alone else "")
 
     def merge(self, text: str, least: int = 1) -> list[str]:
         """The encoding of a short text as the format defines it: the best-scored pair merges first, the left one of equals.
@@ -243,10 +247,13 @@ class PieceModel:
         for unit in self.unit.findall(self.library.normalize(text)):
             got = units.get(unit)
             if got is None:
-                got = array("i", self.encode_unit(unit)).tobytes()
+                got = self.older.get(unit)
+                if got is None:
+                    got = array("i", self.encode_unit(unit)).tobytes()
                 if len(unit) <= UNIT:
-                    if len(units) >= REMEMBERED:
-                        units.clear()
+                    if len(units) >= REMEMBERED:  # units met lately stay
+                        self.older, self.units = units, {}
+                        units = self.units
                     units[unit] = got
             out.append(got)
         return np.frombuffer(b"".join(out), np.int32)

@@ -36,6 +36,18 @@ def test_encodes_as_the_library(proto, library):
         assert coder.encode(text) == library.encode(text), text
 
 
+def test_units_end_at_marks_and_line_ends(proto, library):
+    """Words are remembered alone, not with the mark and the line that follow."""
+    coder = PieceModel(proto)
+    assert coder.unit.findall("▁one.\n\nTwo.***▁3.\t") == ["▁one", ".", "\n\n", "Two", ".***", "▁3", ".", "\t"]
+    rng = random.Random(5)
+    marks = [*"\n\t.!?*|%&$'\"-,", "²", "’", " ", "é", "1", "word", "\x7f", "\r\n"]
+    for _ in range(3000):
+        text = "".join(rng.choice(marks) for _ in range(rng.randrange(20)))
+        assert "".join(coder.unit.findall(coder.library.normalize(text))) == coder.library.normalize(text)
+        assert coder.encode(text) == library.encode(text), text
+
+
 def test_backtracking_gives_what_plain_merging_gives(proto):
     rng, coder = random.Random(2), PieceModel(proto)
     for _ in range(500):
